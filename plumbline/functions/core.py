@@ -29,6 +29,24 @@ def unit(*cols: str | Column, part: int = 0) -> Column:
     return h32(*cols, part=part) / F.lit(4294967296.0)
 
 
+PRIME = 2147483647
+
+
+def mix_factors(k: int) -> tuple[int, int]:
+    """Multipliers of the k-th member of a family of hash functions modulo PRIME."""
+    return pow(48271, k + 1, PRIME), pow(16807, k + 1, PRIME)
+
+
+def mixed(h0: Column, h1: Column, k: int) -> Column:
+    """The k-th independent number in [0, PRIME) from two hashes below PRIME: many numbers from one digest."""
+    a, b = mix_factors(k)
+    return F.pmod(h0 * F.lit(a) + h1 * F.lit(b), F.lit(PRIME))
+
+
+def mixed_unit(h0: Column, h1: Column, k: int) -> Column:
+    return mixed(h0, h1, k) / F.lit(float(PRIME))
+
+
 def hash_bucket(k: int, *cols: str | Column) -> Column:
     return F.pmod(h32(*cols), F.lit(k)).cast("int")
 
@@ -118,6 +136,7 @@ def agg_per_column(df: DataFrame, exprs: dict[str, dict[str, Column]], key: str
     return out
 
 
-def total_of(df: DataFrame, agg: Column) -> Column:
-    """A one-row total as a scalar sub-query, usable inside any expression over ``df``'s results."""
-    return df.agg(agg.alias("total")).scalar()
+def unpivot_numbers(df: DataFrame, columns: Iterable[str], keep: Iterable[str] = (), key: str = "column", value: str = "x") -> DataFrame:
+    """Non-missing numbers of many columns as rows ``(*keep, key, value)``, from one scan."""
+    cells = [F.struct(F.lit(c).alias(key), as_number(df, c).cast("double").alias(value)) for c in columns]
+    return df.select(*keep, F.inline(F.array(*cells))).where(F.col(value).isNotNull())

@@ -11,37 +11,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.core import h32, unit
+from plumbline.functions.core import PRIME, h32, mixed, unit
 
 
-def normal(*key: str | Column) -> Column:
-    """Deterministic standard normal number (Box-Muller over two hash uniforms)."""
-    u1 = (h32(*key, part=0) + F.lit(1.0)) / F.lit(4294967296.0)
-    return F.sqrt(-2.0 * F.ln(u1)) * F.cos(F.lit(2 * math.pi) * unit(*key, part=1))
+# Which member of the hash family feeds which planted column.
+ISSUE_HASHES = ("leak_a", "leak_b", "user", "rare", "miss", "skew_a", "skew_b", "spike", "level", "lat_a", "lat_b",
+                "copy_a", "copy_b", "area")
 
 
 def inject_issues(df: DataFrame, key: Sequence[str], target: str, feature: str, n_ids: int = 666) -> DataFrame:
     """Add one column per known issue: leakage, id-like category, near-constant, missing, skewed, outlier, redundant.
 
     ``target`` is 0/1, ``feature`` a numeric column that the missing and the redundant column copy.
+    One digest per row feeds all columns.
     """
-    k = list(key)
-    spike = unit(F.lit("spike"), *k) < 0.02
-
-    def named(tag: str) -> list:
-        return [F.lit(tag), *k]
-
-    return df.withColumns({
-        "leak_after_event": F.col(target) * 100.0 + normal(*named("leak")),
-        "session_user": F.concat(F.lit("user_"), F.pmod(h32(*named("user")), F.lit(n_ids)).cast("string")),
-        "rare_flag": (unit(*named("rare")) < 0.01).cast("int"),
-        "feature_missing": F.when(unit(*named("miss")) >= 0.30, F.col(feature)),
-        "skewed_amount": F.exp(5.0 + 2.0 * normal(*named("skew"))),
-        "latency_ms": F.when(spike, 1500.0 + 3500.0 * unit(*named("level"))).otherwise(100.0 + 20.0 * normal(*named("lat"))),
-        "feature_copy": F.col(feature) + 0.01 * normal(*named("copy")),
+    base = df.withColumn("__d", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key]).cast("binary")))
+    base = base.withColumns({f"__h{i}": F.pmod(F.conv(F.substring("__d", 1 + 8 * i, 8), 16, 10).cast("long"), F.lit(PRIME))
+                             for i in (0, 1)})
+
+    def number(tag: str) -> Column:
+        return mixed(F.col("__h0"), F.col("__h1"), ISSUE_HASHES.index(tag))
+
+    def u(tag: str) -> Column:
+        return number(tag) / F.lit(float(PRIME))
+
+    def normal(tag: str) -> Column:
+        """Standard normal number (Box-Muller)."""
+        u1 = (number(f"{tag}_a") + F.lit(1.0)) / F.lit(float(PRIME))
+        return F.sqrt(-2.0 * F.ln(u1)) * F.cos(F.lit(2 * math.pi) * u(f"{tag}_b"))
+
+    return base.withColumns({
+        "leak_after_event": F.col(target) * 100.0 + normal("leak"),
+        "session_user": F.concat(F.lit("user_"), F.pmod(number("user"), F.lit(n_ids)).cast("string")),
+        "rare_flag": (u("rare") < 0.01).cast("int"),
+        "feature_missing": F.when(u("miss") >= 0.30, F.col(feature)),
+        "skewed_amount": F.exp(5.0 + 2.0 * normal("skew")),
+        "latency_ms": F.when(u("spike") < 0.02, 1500.0 + 3500.0 * u("level")).otherwise(100.0 + 20.0 * normal("lat")),
+        "feature_copy": F.col(feature) + 0.01 * normal("copy"),
         "area": F.element_at(F.array(*[F.lit(x) for x in ("north", "south", "east", "west")]),
-                             (F.pmod(h32(*named("area")), F.lit(4)) + 1).cast("int")),
-    })
+                             (F.pmod(number("area"), F.lit(4)) + 1).cast("int")),
+    }).drop("__d", "__h0", "__h1")
 
 
 def planted_issues(spark, feature: str) -> DataFrame:

@@ -6,12 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.core import (
-    NUMERIC, agg_per_column, as_number, bin_index, h32, ratio, rnd, safe_corr, sample_skew,
+    NUMERIC, agg_per_column, as_number, bin_index, h32, ratio, rnd, sample_skew, unpivot_numbers,
 )
 from plumbline.operators.ordering import exact_quantiles
 
@@ -100,7 +102,7 @@ def class_balance(df: DataFrame, target: str) -> DataFrame:
 
 def profile_skew(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     columns = columns or roles(df).numeric
-    out = agg_per_column(df, {c: {"skew": sample_skew(as_number(df, c))} for c in columns})
+    out = unpivot_numbers(df, columns).groupBy("column").agg(sample_skew(F.col("x")).alias("skew"))
     return out.select("column", rnd(F.col("skew"), 4).alias("skew"),
                       F.coalesce(F.abs("skew") > SKEW_LIMIT, F.lit(False)).alias("flagged"))
 
@@ -191,13 +193,43 @@ def dup_rows(df: DataFrame) -> DataFrame:
 
 
 def _pair_corrs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(a, b, pearson) for each pair, from aggregate passes over blocks of pairs."""
-    packed = agg_per_column(
-        df, {f"{i}": {"pearson": safe_corr(as_number(df, a), as_number(df, b))} for i, (a, b) in enumerate(pairs)},
-        key="__p")
+    """(a, b, pearson) for each pair over pairwise-complete rows; NULL when a side is constant.
+
+    Hundreds of pair aggregates in one ``agg`` overflow the generated code, and unpivoting pairs multiplies
+    the rows, so every Arrow batch adds to six moment matrices by matrix products and each task emits one
+    small row per pair.  Values are shifted by an actual value near the median, which keeps the sums
+    precise and makes a constant column exactly zero.
+    """
+    cols = sorted({c for pair in pairs for c in pair})
+    numbers = df.select(*[as_number(df, c).cast("double").alias(c) for c in cols])
+    mid = numbers.agg(*[F.percentile_approx(c, 0.5, 100).alias(c) for c in cols]).first()
+    shift = np.array([mid[c] if mid[c] is not None else 0.0 for c in cols])
+    pos = {c: i for i, c in enumerate(cols)}
+    left = np.array([pos[a] for a, _ in pairs])
+    right = np.array([pos[b] for _, b in pairs])
+
+    def moments(batches):
+        k = len(cols)
+        total = np.zeros((6, k, k))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(k)]).astype(float) - shift
+            m = ~np.isnan(x)
+            x, m = np.where(m, x, 0.0), m.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+        picked = total[:, left, right]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(left), dtype=np.int32)), *[pa.array(picked[i]) for i in range(6)]],
+            names=["p", "n", "sa", "sb", "saa", "sbb", "sab"])
+
+    parts = numbers.mapInArrow(moments, "p int, n double, sa double, sb double, saa double, sbb double, sab double")
+    s = parts.groupBy("p").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    var_a = F.col("n") * F.col("saa") - F.col("sa") * F.col("sa")
+    var_b = F.col("n") * F.col("sbb") - F.col("sb") * F.col("sb")
+    cov = F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")
+    spread = F.sqrt(F.when(var_a > 0, var_a)) * F.sqrt(F.when(var_b > 0, var_b))
     names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    pair = F.element_at(names, F.col("__p").cast("int") + 1)
-    return packed.select(pair["a"].alias("a"), pair["b"].alias("b"), "pearson")
+    pair = F.element_at(names, F.col("p") + 1)
+    return s.select(pair["a"].alias("a"), pair["b"].alias("b"), F.try_divide(cov, spread).alias("pearson"))
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -270,7 +302,7 @@ def box_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 def find_scale_mismatch(df: DataFrame, columns: Sequence[str] | None = None, orders: float = 2.0) -> DataFrame:
     """Spread of each feature against the median spread; flagged when ``orders`` powers of ten apart."""
     columns = columns or roles(df).numeric
-    spread = agg_per_column(df, {c: {"spread": F.stddev_samp(as_number(df, c).cast("double"))} for c in columns})
+    spread = unpivot_numbers(df, columns).groupBy("column").agg(F.stddev_samp("x").alias("spread"))
     mid = spread.agg(F.percentile("spread", 0.5)).scalar()  # one value per column: bounded by the schema
     r = F.try_divide(F.col("spread"), mid)
     return spread.select("column", rnd(F.col("spread"), 4).alias("spread"), rnd(r, 4).alias("ratio_to_median"),

@@ -9,21 +9,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.core import h32, unit
-from plumbline.operators.inject import inject_issues, inject_label_noise
+from plumbline.functions.core import mix_factors, unit
+from plumbline.operators.inject import ISSUE_HASHES, inject_issues, inject_label_noise
 from plumbline.plans.registry import H, U, key, table
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
 
-def line_key_sql(tag: str) -> str:
-    return key(f"'{tag}'", *LINE_KEY)
+def n_sql(tag: str) -> str:
+    a, b = mix_factors(ISSUE_HASHES.index(tag))
+    return f"((h0 * {a} + h1 * {b}) % 2147483647)"
+
+
+def u_sql(tag: str) -> str:
+    return f"({n_sql(tag)} / 2147483647::DOUBLE)"
 
 
 def z_sql(tag: str) -> str:
-    """SQL twin of ``inject.normal``."""
-    k = line_key_sql(tag)
-    return f"(sqrt(-2.0::DOUBLE * ln(({H(k)} + 1.0::DOUBLE) / 4294967296::DOUBLE)) * cos(6.283185307179586::DOUBLE * {U(k, 1)}))"
+    return (f"(sqrt(-2.0::DOUBLE * ln(({n_sql(tag + '_a')} + 1.0::DOUBLE) / 2147483647::DOUBLE)) "
+            f"* cos(6.283185307179586::DOUBLE * {u_sql(tag + '_b')}))")
 
 
 def profiled(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,17 +36,17 @@ def profiled(spark: SparkSession, sf: str) -> DataFrame:
     return inject_issues(li, LINE_KEY, "is_returned", "l_quantity")
 
 
-PROFILED = f"""profiled AS (SELECT *,
+PROFILED = f"""profiled AS MATERIALIZED (SELECT * EXCLUDE (h0, h1),
   is_returned * 100.0::DOUBLE + {z_sql('leak')} AS leak_after_event,
-  concat('user_', ({H(line_key_sql('user'))} % 666)::VARCHAR) AS session_user,
-  ({U(line_key_sql('rare'))} < 0.01)::INT AS rare_flag,
-  CASE WHEN {U(line_key_sql('miss'))} >= 0.30 THEN l_quantity END AS feature_missing,
+  concat('user_', ({n_sql('user')} % 666)::VARCHAR) AS session_user,
+  ({u_sql('rare')} < 0.01)::INT AS rare_flag,
+  CASE WHEN {u_sql('miss')} >= 0.30 THEN l_quantity END AS feature_missing,
   exp(5.0::DOUBLE + 2.0::DOUBLE * {z_sql('skew')}) AS skewed_amount,
-  CASE WHEN {U(line_key_sql('spike'))} < 0.02 THEN 1500.0::DOUBLE + 3500.0::DOUBLE * {U(line_key_sql('level'))}
+  CASE WHEN {u_sql('spike')} < 0.02 THEN 1500.0::DOUBLE + 3500.0::DOUBLE * {u_sql('level')}
        ELSE 100.0::DOUBLE + 20.0::DOUBLE * {z_sql('lat')} END AS latency_ms,
   l_quantity + 0.01::DOUBLE * {z_sql('copy')} AS feature_copy,
-  ['north','south','east','west'][({H(line_key_sql('area'))} % 4) + 1] AS area
-  FROM (SELECT *, (l_returnflag = 'R')::INT AS is_returned FROM lineitem))"""
+  ['north','south','east','west'][({n_sql('area')} % 4) + 1] AS area
+  FROM (SELECT *, (l_returnflag = 'R')::INT AS is_returned, {H(key(*LINE_KEY))} % 2147483647 AS h0, {H(key(*LINE_KEY), 1)} % 2147483647 AS h1 FROM lineitem))"""
 
 PROFILED_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
                     "l_tax", "is_returned", "leak_after_event", "rare_flag", "feature_missing", "skewed_amount",
