@@ -9,11 +9,12 @@ once and used as literals, so a recomputed task sees the same buckets.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 8192
@@ -55,14 +56,16 @@ def rank_rows(
     by: Sequence[str] = (),
     descending: bool = False,
     name: str = "rank",
+    running: dict[str, str] | None = None,
     rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Position (from 1) of each row by ``order`` then ascending ``tie``, inside each group of ``by``.
 
-    ``tie`` must be numeric and unique inside a group.  A value of ``order`` shared by a large part of
-    the table is spread over buckets of ``tie``, so no task receives an unbounded group.
+    ``running`` adds running sums of columns in the same order.  ``tie`` must be numeric and unique inside a
+    group.  A value of ``order`` shared by a large part of the table is spread over buckets of ``tie``, so no
+    task receives an unbounded group.
     """
-    by = list(by)
+    by, running = list(by), dict(running or {})
     cuts, hot = cut_points(df, order, rows_per_bucket)
     out = with_bucket(df, order, cuts, hot, "__b1")
     if hot:
@@ -72,18 +75,49 @@ def rank_rows(
     else:
         out = out.withColumn("__b2", F.lit(0))
     direction = F.col(order).desc() if descending else F.col(order).asc()
-    if not cuts:
-        w = Window.partitionBy(*by, "__b1").orderBy(direction, F.col(tie).asc())
-        return out.withColumn(name, F.row_number().over(w).cast("long")).drop("__b1", "__b2")
-    b1 = F.col("__b1").desc() if descending else F.col("__b1").asc()
-    totals = out.groupBy(*by, "__b1", "__b2").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*by).orderBy(b1, F.col("__b2").asc()).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     inside = Window.partitionBy(*by, "__b1", "__b2").orderBy(direction, F.col(tie).asc())
-    ranked = out.withColumn("__r", F.row_number().over(inside))
-    cond = [ranked[c].eqNullSafe(totals[c]) for c in [*by, "__b1", "__b2"]]
-    joined = ranked.join(totals, cond, "inner")
-    return joined.select(*[ranked[c] for c in df.columns], (F.col("__off") + F.col("__r")).cast("long").alias(name))
+    sums = inside.rowsBetween(Window.unboundedPreceding, 0)
+    ranked = out.withColumns({"__r": F.row_number().over(inside).cast("long"),
+                              **{f"__s_{k}": F.sum(v).over(sums) for k, v in running.items()}})
+    if not cuts:  # one bucket only: positions inside it are the answer
+        return ranked.select(*df.columns, F.col("__r").alias(name), *[F.col(f"__s_{k}").alias(k) for k in running])
+    b1 = F.col("__b1").desc() if descending else F.col("__b1").asc()
+    totals = out.groupBy(*by, "__b1", "__b2").agg(
+        F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(f"__t_{k}") for k, v in running.items()])
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy(b1, F.col("__b2").asc()).rowsBetween(
+        Window.unboundedPreceding, -1)  # at most MAX_BUCKETS rows per group
+    totals = totals.select(
+        *by, "__b1", "__b2", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+        *[F.coalesce(F.sum(f"__t_{k}").over(before), F.lit(0)).alias(f"__o_{k}") for k in running])
+    joined = ranked.join(totals, [ranked[c].eqNullSafe(totals[c]) for c in [*by, "__b1", "__b2"]], "inner")
+    return joined.select(
+        *[ranked[c] for c in df.columns], (F.col("__off") + F.col("__r")).alias(name),
+        *[(F.col(f"__o_{k}") + F.col(f"__s_{k}")).alias(k) for k in running])
+
+
+def rolling(
+    df: DataFrame,
+    by: Sequence[str],
+    order: str,
+    tie: str,
+    width: int,
+    make: Callable[[WindowSpec], dict[str, Column]],
+    chunk: int = 100_000,
+) -> DataFrame:
+    """Evaluate window expressions over the last ``width`` rows of each entity.
+
+    ``make(window)`` returns the named expressions.  An entity of any size is cut into chunks of its
+    row positions; each chunk also receives the ``width - 1`` rows before it, so a hot entity is shared by many tasks.
+    """
+    chunk = max(chunk, width)
+    pos = rank_rows(df, order, tie, by=by, name="__pos")
+    own = F.floor((F.col("__pos") - 1) / chunk)
+    ahead = (F.pmod(F.col("__pos") - 1, F.lit(chunk)) >= chunk - (width - 1)) if width > 1 else F.lit(False)
+    homes = F.when(ahead, F.array(own, own + 1)).otherwise(F.array(own))
+    spread = pos.withColumn("__own", own).withColumn("__chunk", F.explode(homes))
+    w = Window.partitionBy(*by, "__chunk").orderBy("__pos").rowsBetween(-(width - 1), 0)
+    out = spread.withColumns(make(w)).where(F.col("__own") == F.col("__chunk"))
+    return out.drop("__pos", "__own", "__chunk")
 
 
 def running_totals(
