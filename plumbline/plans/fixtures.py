@@ -75,9 +75,9 @@ def class_probs(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     y = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
     base = o.select(F.col("o_orderkey").alias("row_id"), y.alias("y"))
-    w = [0.05 + unit(F.lit(f"p{c}"), "row_id") + 0.6 * (F.col("y") == c).cast("double") for c in range(3)]
-    total = w[0] + w[1] + w[2]
-    out = base.select("row_id", "y", F.array(*[x / total for x in w]).alias("probs"))
+    base = base.withColumns({f"w{c}": 0.05 + unit(F.lit(f"p{c}"), "row_id") + 0.6 * (F.col("y") == c).cast("double") for c in range(3)})
+    base = base.withColumn("total", F.col("w0") + F.col("w1") + F.col("w2"))
+    out = base.select("row_id", "y", F.array(*[F.col(f"w{c}") / F.col("total") for c in range(3)]).alias("probs"))
     p = F.col("probs")
     best = F.when((p[0] >= p[1]) & (p[0] >= p[2]), 0).when(p[1] >= p[2], 1).otherwise(2)
     return out.withColumn("yhat", best)

@@ -39,9 +39,9 @@ def _(spark, sf):
     return ev.residual_table(predicted(spark, sf))
 
 
-@query("residual_histogram", f"""{W}, s AS (SELECT count(*) AS t, avg(y - yhat) AS m, stddev_pop(y - yhat) AS s, min(y - yhat) AS lo, (max(y - yhat) - min(y - yhat)) / 40 AS w FROM predicted),
-h AS (SELECT least(floor((y - yhat - lo) / (w * 40) * 40)::INT, 39) AS bin, count(*) AS n FROM predicted, s GROUP BY 1)
-SELECT b.i::INT AS bin, coalesce(n, 0) AS n, {R('coalesce(n, 0) / (t * w)')} AS density, {R('exp(-(((lo + (b.i + 0.5) * w - m) / s) ** 2) / 2) / (s * sqrt(2 * pi()))')} AS normal_density FROM range(40) b(i) CROSS JOIN s LEFT JOIN h ON h.bin = b.i""")
+@query("residual_histogram", f"""{W}, s AS (SELECT count(*) AS t, avg(y - yhat) AS m, stddev_pop(y - yhat) AS s, min(y - yhat) AS rl, (max(y - yhat) - min(y - yhat)) / 40 AS w FROM predicted),
+h AS (SELECT least(floor((y - yhat - rl) / (s.w * 40) * 40)::INT, 39) AS bin, count(*) AS n FROM predicted, s GROUP BY 1)
+SELECT b.i::INT AS bin, coalesce(n, 0) AS n, {R('coalesce(n, 0) / (t * s.w)')} AS density, {R('exp(-(((rl + (b.i + 0.5) * s.w - m) / s.s) ** 2) / 2) / (s.s * sqrt(2 * pi()))')} AS normal_density FROM range(40) b(i) CROSS JOIN s LEFT JOIN h ON h.bin = b.i""")
 def _(spark, sf):
     return ev.residual_histogram(predicted(spark, sf))
 
