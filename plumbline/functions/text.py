@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Patterns and answer words whose results must match.
@@ -68,8 +68,7 @@ def strip_thinking(c: Column) -> Column:
     """Drop think blocks; if nothing is left use the text after the last closing tag, else the original."""
     cleaned = strip_ws(F.regexp_replace(c, THINK_PATTERN, ""))
     tail = strip_ws(F.element_at(F.split(c, "</think>"), -1))
-    best = F.when((cleaned == "") & c.contains("</think>"), tail).otherwise(cleaned)
-    return F.when(best == "", c).otherwise(best)
+    return F.coalesce(F.nullif(cleaned, F.lit("")), F.nullif(tail, F.lit("")), c)
 
 
 def parse_label(c: Column, labels: Sequence[str]) -> Column:
@@ -91,20 +90,22 @@ def _truthy(variant: Column, path: str) -> Column:
             .otherwise(F.coalesce(number != 0, F.lit(True))))
 
 
-def parse_json_prediction(c: Column, classes: Sequence[str]) -> Column:
-    """Struct (fire, crash, component, make, year) from the first JSON object of the answer; NULLs on failure."""
-    body = F.regexp_extract(strip_thinking(c), JSON_PATTERN, 0)
-    v = F.try_parse_json(F.when(body != "", body))
+def parse_json_prediction(df: DataFrame, answer: str, classes: Sequence[str]) -> DataFrame:
+    """Add fire, crash, component, make and year from the first JSON object of the answer; NULLs on failure.
+
+    The answer is cleaned and parsed once per row into a variant column that the fields read.
+    """
+    body = df.withColumn("__clean", strip_thinking(F.col(answer))).withColumn("__body", F.regexp_extract("__clean", JSON_PATTERN, 0))
+    parsed = body.withColumn("__v", F.try_parse_json("__body"))  # no object found is "", which does not parse
 
     def text(path: str) -> Column:
-        return strip_ws(F.try_variant_get(v, path, "string"))
-
-    component = F.lower(text("$.component"))
-    return F.struct(
-        _truthy(v, "$.fire").alias("fire"), _truthy(v, "$.crash").alias("crash"),
-        F.when(component.isin(*classes), component).alias("component"),
-        F.nullif(F.upper(text("$.make")), F.lit("")).alias("make"),
-        F.nullif(text("$.year"), F.lit("")).alias("year"))
+        return strip_ws(F.try_variant_get(F.col("__v"), path, "string"))
+
+    out = parsed.withColumn("__component", F.lower(text("$.component"))).withColumns({
+        "fire": _truthy(F.col("__v"), "$.fire"), "crash": _truthy(F.col("__v"), "$.crash"),
+        "component": F.when(F.col("__component").isin(*classes), F.col("__component")),
+        "make": F.nullif(F.upper(text("$.make")), F.lit("")), "year": F.nullif(text("$.year"), F.lit(""))})
+    return out.drop("__clean", "__body", "__v", "__component")
 
 
 def parse_verdict(c: Column) -> Column:

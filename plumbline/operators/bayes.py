@@ -33,28 +33,33 @@ def _with_grid(post: DataFrame, cells: int) -> DataFrame:
     low, high = F.greatest(mean - 20 * sd, F.lit(0.0)), F.least(mean + 20 * sd, F.lit(1.0))
     d = post.withColumns({"__lo": low, "__step": (high - low) / cells})
     d = d.withColumn("__x", F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda i: F.col("__lo") + (i + 0.5) * F.col("__step")))
-    d = d.withColumn("__l", F.transform("__x", lambda x: (F.col("a") - 1) * F.ln(x) + (F.col("b") - 1) * F.ln(1 - x)))
-    d = d.withColumn("__m", F.array_max("__l"))
-    d = d.withColumn("__w", F.transform("__l", lambda v: F.exp(v - F.col("__m"))))
-    return d.withColumn("__t", F.aggregate("__w", F.lit(0.0), lambda s, v: s + v))
+    # The density at the mean keeps the exponentials in range.  Scalars are used inside the element functions
+    # below only where they are cheap: anything that walks the array again there would be quadratic.
+    top = (F.col("a") - 1) * F.ln(mean) + (F.col("b") - 1) * F.ln(1 - mean)
+    return d.withColumn("__w", F.transform("__x", lambda x: F.exp((F.col("a") - 1) * F.ln(x) + (F.col("b") - 1) * F.ln(1 - x) - top)))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
 
 
 def prob_within(df: DataFrame, by: Sequence[str], outcome: Column, low: float, high: float, cells: int = GRID) -> DataFrame:
     """P(low <= p <= high) under the flat-prior posterior of each group."""
     d = _with_grid(beta_posterior(df, by, outcome, digits=None), cells)
     inside = F.zip_with("__x", "__w", lambda x, w: F.when((x >= low) & (x <= high), w).otherwise(F.lit(0.0)))
-    return d.select(*by, "n", "k", rnd(F.aggregate(inside, F.lit(0.0), lambda s, v: s + v) / F.col("__t")).alias("prob_within"))
+    return d.select(*by, "n", "k", rnd(_sum(inside) / _sum(F.col("__w"))).alias("prob_within"))
 
 
 def hdi_interval(df: DataFrame, by: Sequence[str], outcome: Column, mass: float = 0.94, cells: int = GRID) -> DataFrame:
     """Highest-density interval: the densest grid cells that together reach ``mass``."""
     d = _with_grid(beta_posterior(df, by, outcome, digits=None), cells)
-    pairs = F.reverse(F.sort_array(F.zip_with("__w", "__x", lambda w, x: F.struct((w / F.col("__t")).alias("w"), (-x).alias("x")))))
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(2.0).alias("lo"), F.lit(-1.0).alias("hi"))
+    pairs = F.reverse(F.sort_array(F.zip_with("__w", "__x", lambda w, x: F.struct(w.alias("w"), (-x).alias("x")))))
+    goal = F.lit(mass) * _sum(F.col("__w"))
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(2.0).alias("lo"), F.lit(-1.0).alias("hi"), goal.alias("goal"))
 
     def step(acc: Column, p: Column) -> Column:
-        return F.when(acc["s"] >= mass, acc).otherwise(F.struct(
-            (acc["s"] + p["w"]).alias("s"), F.least(acc["lo"], -p["x"]).alias("lo"), F.greatest(acc["hi"], -p["x"]).alias("hi")))
+        return F.when(acc["s"] >= acc["goal"], acc).otherwise(F.struct(
+            (acc["s"] + p["w"]).alias("s"), F.least(acc["lo"], -p["x"]).alias("lo"), F.greatest(acc["hi"], -p["x"]).alias("hi"), acc["goal"].alias("goal")))
 
     d = d.withColumn("__h", F.aggregate(pairs, start, step))
     half = F.col("__step") / 2

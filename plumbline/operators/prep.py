@@ -72,14 +72,14 @@ def encode_frequency(df: DataFrame, column: str) -> DataFrame:
 def encode_target(df: DataFrame, column: str, target: str, fold: str, smoothing: float = 10.0) -> DataFrame:
     """Smoothed target mean of the value, taken from the other folds only."""
     cells = df.groupBy(column, fold).agg(F.sum(target).cast("double").alias("s"), F.count(target).cast("double").alias("n"))
-    whole = cells.groupBy(column).agg(F.sum("s").alias("all_s"), F.sum("n").alias("all_n"))
-    folds = cells.groupBy(fold).agg(F.sum("s").alias("fs"), F.sum("n").alias("fn"))
+    whole = cells.groupBy(F.col(column).alias("__wk")).agg(F.sum("s").alias("all_s"), F.sum("n").alias("all_n"))
+    folds = cells.groupBy(F.col(fold).alias("__wf")).agg(F.sum("s").alias("fs"), F.sum("n").alias("fn"))
     total = cells.agg(F.struct(F.sum("s").alias("s"), F.sum("n").alias("n"))).scalar()
     prior = ratio(total["s"] - F.col("fs"), total["n"] - F.col("fn"))
     value = (F.col("all_s") - F.col("s") + smoothing * prior) / (F.col("all_n") - F.col("n") + smoothing)
-    enc = (cells.join(whole, cells[column].eqNullSafe(whole[column])).join(folds, fold)
-           .select(cells[column].alias("__k"), fold, value.alias(f"{column}_target")))
-    return df.join(enc, [df[column].eqNullSafe(enc["__k"]), df[fold] == enc[fold]], "left").drop(enc[fold]).drop("__k")
+    enc = (cells.join(whole, F.col(column).eqNullSafe(F.col("__wk"))).join(folds, F.col(fold) == F.col("__wf"))
+           .select(F.col(column).alias("__k"), F.col(fold).alias("__f"), value.alias(f"{column}_target")))
+    return df.join(enc, F.col(column).eqNullSafe(F.col("__k")) & (F.col(fold) == F.col("__f")), "left").drop("__k", "__f")
 
 
 def encode_hash(df: DataFrame, column: str, buckets: int) -> DataFrame:

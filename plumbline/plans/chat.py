@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from plumbline.functions.core import hash_bucket
-from plumbline.functions.text import parse_json_prediction, strip_thinking
+from plumbline.functions.text import parse_json_prediction
 from plumbline.operators import chat
 from plumbline.plans.fixtures import CLASS_PROBS, class_probs
 from plumbline.plans.registry import D, H, R, key, query, table
@@ -93,7 +93,7 @@ def pairs(spark, sf):
     k = C("p_partkey")
     t = table(spark, sf, "part").select(k.alias("row_id"), (k % 2 == 0).alias("true_fire"), (k % 3 == 0).alias("true_crash"),
                                         F.element_at(F.array(*[F.lit(c) for c in CLASSES]), (k % 4 + 1).cast("int")).alias("true_component"))
-    p = json_answers(spark, sf).select("row_id", parse_json_prediction(C("answer"), CLASSES).alias("p")).select("row_id", *[C(f"p.{n}").alias(f"pred_{n}") for n in NAMES])
+    p = parse_json_prediction(json_answers(spark, sf), "answer", CLASSES).select("row_id", *[C(n).alias(f"pred_{n}") for n in NAMES])
     return t.join(p, "row_id")
 
 

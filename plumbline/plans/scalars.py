@@ -186,7 +186,7 @@ JSON_PARSED = rf"""parsed AS (SELECT row_id, {_truth_sql('fire')}, {_truth_sql('
 
 @query("parse_json_prediction", f"WITH {JSON_ANSWERS}, {JSON_PARSED} SELECT * FROM parsed")
 def _(spark, sf):
-    return json_answers(spark, sf).select("row_id", text.parse_json_prediction(C("answer"), CLASSES).alias("p")).select("row_id", "p.*")
+    return text.parse_json_prediction(json_answers(spark, sf), "answer", CLASSES).drop("answer")
 
 
 def verdict_text():
