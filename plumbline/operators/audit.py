@@ -103,14 +103,15 @@ def confident_guess(df: DataFrame, thresholds: Sequence[float | None]) -> DataFr
 
 def confident_joint(df: DataFrame, k: int) -> DataFrame:
     """Counts of (given, guess), and the counts rescaled so that each row sums to the rows given that label."""
-    counts = confident_guess(df, class_thresholds(df, k)).where("guess is not null").groupBy(F.col("y").alias("given"), "guess").agg(F.count(F.lit(1)).alias("n"))
-    grid = df.sparkSession.createDataFrame([(a, b) for a in range(k) for b in range(k)], "given int, guess int")
-    full = grid.join(counts, ["given", "guess"], "left").select("given", "guess", F.coalesce("n", F.lit(0)).alias("n"))
-    full = full.withColumn("n", F.when(F.col("given") == F.col("guess"), F.greatest("n", F.lit(1))).otherwise(F.col("n")))
-    rows = full.groupBy("given").agg(F.sum("n").alias("t"))
-    sizes = df.groupBy(F.col("y").alias("given")).agg(F.count(F.lit(1)).alias("size"))
-    return (full.join(rows, "given").join(sizes, "given", "left")
-            .select("given", "guess", "n", rnd(ratio(F.col("n") * F.coalesce("size", F.lit(0)), F.col("t"))).alias("calibrated")))
+    cells = confident_guess(df, class_thresholds(df, k)).groupBy(F.col("y").alias("given"), "guess").agg(F.count(F.lit(1)).alias("n"))
+    # one pass gives both the joint (guess present) and the rows per given label; k * (k + 1) rows from here on
+    grid = df.sparkSession.createDataFrame([(a, b) for a in range(k) for b in [*range(k), None]], "given int, guess int")
+    full = grid.join(cells, grid["given"].eqNullSafe(cells["given"]) & grid["guess"].eqNullSafe(cells["guess"]), "left").select(
+        grid["given"], grid["guess"], F.coalesce("n", F.lit(0)).alias("seen"))
+    joint = F.when(F.col("given") == F.col("guess"), F.greatest("seen", F.lit(1))).when(F.col("guess").isNotNull(), F.col("seen"))
+    w = Window.partitionBy("given")
+    full = full.withColumn("n", joint).withColumns({"size": F.sum("seen").over(w), "t": F.sum("n").over(w)})
+    return full.where("guess is not null").select("given", "guess", "n", rnd(ratio(F.col("n") * F.col("size"), F.col("t"))).alias("calibrated"))
 
 
 def find_label_issues(df: DataFrame, k: int, rows_per_bucket: int | None = None) -> DataFrame:

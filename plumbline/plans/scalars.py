@@ -166,10 +166,12 @@ JSON_ANSWERS = f"""json_answers AS (SELECT row_id, CASE h
 def json_answers(spark, sf):
     p = table(spark, sf, "part").select(C("p_partkey").alias("row_id"))
     h = hash_bucket(6, F.lit("js"), "row_id")
-    a = (F.when(h == 0, '{"fire": true, "crash": "No", "component": " Brakes ", "make": " ford ", "year": "2010"}')
-         .when(h == 1, F.concat(F.lit('Sure: {"fire": "yes", "crash": 1, "component": "engine", "make": "", "year": "'), C("row_id").cast("string"), F.lit('"} ok')))
-         .when(h == 2, '<think>{"fire": true}</think>{"fire": false, "crash": null, "component": "sofa", "make": "bmw"}')
-         .when(h == 3, '{"fire": tru').when(h == 4, '{"fire": oops}').otherwise("no idea"))
+    options = [
+        F.lit('{"fire": true, "crash": "No", "component": " Brakes ", "make": " ford ", "year": "2010"}'),
+        F.concat(F.lit('Sure: {"fire": "yes", "crash": 1, "component": "engine", "make": "", "year": "'), C("row_id").cast("string"), F.lit('"} ok')),
+        F.lit('<think>{"fire": true}</think>{"fire": false, "crash": null, "component": "sofa", "make": "bmw"}'),
+        F.lit('{"fire": tru'), F.lit('{"fire": oops}'), F.lit("no idea")]
+    a = F.element_at(F.array(*options), h + 1)
     return p.select("row_id", a.alias("answer"))
 
 
