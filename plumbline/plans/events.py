@@ -12,7 +12,8 @@ C = F.col
 
 def messages(spark, sf):
     """events as checkout JSON: purchases are paid checkouts, three in a hundred are sent twice."""
-    e = table(spark, sf, "events")
+    copies = F.when(hash_bucket(33, F.lit("twice"), "event_id") == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    e = table(spark, sf, "events").withColumn("copy", F.explode(copies))
     h = hash_bucket(10, F.lit("rt"), "event_id")
     body = F.struct(
         F.when(C("event_type") == "purchase", ev.PAID).otherwise(C("event_type")).alias("type"),
@@ -22,8 +23,7 @@ def messages(spark, sf):
             F.struct(F.when(h != 1, F.concat(F.lit("u"), C("user_id").cast("string"), F.lit("@example.com"))).alias("email")).alias("customer_details"),
             F.struct(F.when(h == 0, "other").otherwise("shop").alias("platform"), F.when(h != 2, F.concat(F.lit("bundle-"), (C("user_id") % 4).cast("string"))).alias("bundle")).alias("metadata"),
         ).alias("object")).alias("data"))
-    copies = F.explode(F.when(hash_bucket(33, F.lit("twice"), "event_id") == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    return e.select(F.to_json(body).alias("value"), copies.alias("copy")).drop("copy")
+    return e.select(F.to_json(body).alias("value"))
 
 
 _H = H(key("'rt'", "event_id")) + " % 10"
