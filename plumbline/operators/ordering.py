@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from pyspark.sql.window import WindowSpec
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 8192
+BRACKET_ROWS = 5_000_000
+MAX_ACCURACY = 1_000_000
 
 
 def cut_points(df: DataFrame, key: str, rows_per_bucket: int | None = None) -> tuple[list[float], list[float]]:
@@ -159,73 +163,75 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    direct_rows: int = 5_000_000,
+    accuracy: int | None = None,
 ) -> dict[tuple, list[float | None]]:
     """Linear-interpolated quantiles, exact at any size: ``{(*group, column): [q per prob]}``.
 
-    ``by`` must have few groups (classes, epochs, tree leaves): the result is collected.
-    Up to ``direct_rows`` rows Spark's ``percentile`` is used, whose buffer is then bounded.  Beyond
-    that a sketch gives a narrow bracket around every wanted rank, only values inside the brackets are
-    grouped, and the rank is read off exactly; a bracket that missed is widened and tried again.
+    ``by`` must have few groups (classes, epochs, tree leaves): the result is collected.  Exact percentile
+    aggregates keep every distinct value of a column in one task, so two passes are used instead.  A sketch
+    gives a narrow bracket around every wanted rank; then each Arrow batch counts the values below each
+    bracket and keeps only those inside, repeated values once.  The rank is read off exactly, and a bracket
+    that missed is widened and tried again.  The sketch is made finer with the table, so that a bracket
+    holds about BRACKET_ROWS rows at most.
     """
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
-    counts = {c: F.count(F.col(c)).alias(f"n__{i}") for i, c in enumerate(columns)}
-    if df.count() <= direct_rows:
-        exprs = [F.percentile(F.col(c).cast("double"), probs).alias(f"q__{i}") for i, c in enumerate(columns)]
-        rows = df.groupBy(*by).agg(*exprs).collect()
-        return {(*[r[b] for b in by], c): list(r[f"q__{i}"] or [None] * len(probs))
-                for r in rows for i, c in enumerate(columns)}
-    eps = 0.0005
+    source = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    accuracy = accuracy or int(min(MAX_ACCURACY, max(1_000, 4 * source.count() // BRACKET_ROWS)))
+    eps = 2.0 / accuracy
+    levels = [min(1.0, max(0.0, p + s)) for p in probs for s in (-eps, eps)]
+    first = source.groupBy(*by).agg(
+        *[F.count(c).alias(f"n__{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(c, levels, accuracy).alias(f"s__{i}") for i, c in enumerate(columns)]).collect()
+    groups = [tuple(r[b] for b in by) for r in first]
     result: dict[tuple, list] = {}
-    todo: dict[tuple, dict] = {}
-    sketch = [F.percentile_approx(
-        F.col(c).cast("double"),
-        [min(1.0, max(0.0, p + s)) for p in probs for s in (-eps, eps)], 10_000).alias(f"s__{i}")
-        for i, c in enumerate(columns)]
-    for r in df.groupBy(*by).agg(*counts.values(), *sketch).collect():
-        group = tuple(r[b] for b in by)
+    todo: dict[tuple[int, int, int], dict] = {}
+    for g, r in enumerate(first):
         for i, c in enumerate(columns):
-            n, s = r[f"n__{i}"], r[f"s__{i}"]
-            result[(*group, c)] = [None] * len(probs)
-            if not n:
-                continue
-            for j, p in enumerate(probs):
+            n, sketch = r[f"n__{i}"], r[f"s__{i}"]
+            result[(*groups[g], c)] = [None] * len(probs)
+            for j, p in enumerate(probs if n else []):
                 rank = p * (n - 1)
-                todo[(*group, c, j)] = {"lo": s[2 * j], "hi": s[2 * j + 1], "k": int(rank), "f": rank - int(rank), "n": n}
-    long_cols = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("__col"), F.col(c).cast("double").alias("__v")) for c in columns]))
-    long = df.select(*by, long_cols).where(F.col("__v").isNotNull())
-    spark = df.sparkSession
-    fields = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*by).schema],
-                        "__col string, __j int, __lo double, __hi double, __k bigint, __k1 bigint"])
+                k = int(rank)
+                todo[(g, i, j)] = {"lo": sketch[2 * j], "hi": sketch[2 * j + 1], "k": k, "k1": min(k + 1, n - 1), "f": rank - k}
+    number = {g: i for i, g in enumerate(groups)}
     while todo:
-        brackets = spark.createDataFrame(
-            [(*key[:-1], key[-1], t["lo"], t["hi"], t["k"], min(t["k"] + 1, t["n"] - 1)) for key, t in todo.items()],
-            fields)
-        hit = (
-            long.join(F.broadcast(brackets), [*by, "__col"])  # groups x columns x probs rows, counted above
-            .where(F.col("__v") <= F.col("__hi"))
-            .groupBy(*by, "__col", "__j", "__k", "__k1",
-                     F.when(F.col("__v") >= F.col("__lo"), F.col("__v")).alias("__v"))
-            .agg(F.count(F.lit(1)).alias("__n"))
-        )
-        w = Window.partitionBy(*by, "__col", "__j").orderBy(F.col("__v").asc_nulls_first()).rowsBetween(
-            Window.unboundedPreceding, 0)
-        cum = hit.withColumn("__c", F.sum("__n").over(w))
-        first = F.col("__c") - F.col("__n")
-
-        def covers(k: str) -> Column:
-            return (first <= F.col(k)) & (F.col(k) < F.col("__c"))
-
-        found = cum.groupBy(*by, "__col", "__j").agg(
-            F.max(F.when(covers("__k"), F.col("__v"))).alias("a"),
-            F.max(F.when(covers("__k1"), F.col("__v"))).alias("b"))
-        for r in found.collect():
-            if r["a"] is None or r["b"] is None:
-                continue
-            key = (*[r[x] for x in by], r["__col"], r["__j"])
-            t = todo.pop(key)
-            result[key[:-1]][key[-1]] = r["a"] + (r["b"] - r["a"]) * t["f"]
+        brackets: dict[tuple[int, int], list] = {}
+        for (g, i, j), t in todo.items():
+            brackets.setdefault((g, i), []).append((j, t["lo"], t["hi"]))
+
+        def narrow(batches):
+            below: dict[tuple, int] = {}
+            for pdf in batches:
+                parts = [((), pdf)] if not by else pdf.groupby(by, dropna=False, sort=False)
+                rows = []
+                for name, part in parts:
+                    g = number[tuple(None if v != v else v for v in name)]
+                    for i, c in enumerate(columns):
+                        wanted = brackets.get((g, i))
+                        if not wanted:
+                            continue
+                        v = part[c].to_numpy(dtype=float)
+                        for j, lo, hi in wanted:
+                            below[(g, i, j)] = below.get((g, i, j), 0) + int((v < lo).sum())
+                            u, n = np.unique(v[(v >= lo) & (v <= hi)], return_counts=True)
+                            rows.append(pd.DataFrame({"g": g, "i": i, "j": j, "v": u, "n": n}))
+                if rows:
+                    yield pd.concat(rows)
+            if below:
+                yield pd.DataFrame([(*k, None, n) for k, n in below.items()], columns=["g", "i", "j", "v", "n"])
+
+        hits = source.mapInPandas(narrow, "g int, i int, j int, v double, n bigint").groupBy("g", "i", "j", "v").agg(F.sum("n").alias("n"))
+        wanted = source.sparkSession.createDataFrame([(*key, t["k"], t["k1"]) for key, t in todo.items()], "g int, i int, j int, k bigint, k1 bigint")
+        w = Window.partitionBy("g", "i", "j").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+        cum = hits.withColumn("c", F.sum("n").over(w)).join(F.broadcast(wanted), ["g", "i", "j"])  # groups x columns x probs rows
+
+        def at(k: str) -> Column:
+            return F.max(F.when((F.col("c") - F.col("n") <= F.col(k)) & (F.col(k) < F.col("c")), F.col("v")))
+
+        for r in cum.groupBy("g", "i", "j").agg(at("k").alias("a"), at("k1").alias("b")).collect():
+            if r["a"] is not None and r["b"] is not None:
+                t = todo.pop((r["g"], r["i"], r["j"]))
+                result[(*groups[r["g"]], columns[r["i"]])][r["j"]] = r["a"] + (r["b"] - r["a"]) * t["f"]
         for t in todo.values():
             t["lo"], t["hi"] = float("-inf"), float("inf")
     return result

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.core import mix_factors, unit
 from plumbline.operators.inject import ISSUE_HASHES, inject_issues, inject_label_noise
-from plumbline.plans.registry import H, U, key, table
+from plumbline.plans.registry import H, U, key, spread, table
+from plumbline.session import shared_folder
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
@@ -32,10 +33,17 @@ def z_sql(tag: str) -> str:
 
 def profiled(spark: SparkSession, sf: str) -> DataFrame:
     """lineitem with the 0/1 target ``is_returned`` and one planted column per issue."""
-    li = table(spark, sf, "lineitem").withColumn("is_returned", (F.col("l_returnflag") == "R").cast("int"))
+    li = spread(table(spark, sf, "lineitem")).withColumn("is_returned", (F.col("l_returnflag") == "R").cast("int"))
     return inject_issues(li, LINE_KEY, "is_returned", "l_quantity")
 
 
+def profiled_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as a written table, for plans that read it many times."""
+    path = shared_folder(spark, "profiled")
+    profiled(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 PROFILED = f"""profiled AS MATERIALIZED (SELECT * EXCLUDE (h0, h1),
   is_returned * 100.0::DOUBLE + {z_sql('leak')} AS leak_after_event,
   concat('user_', ({n_sql('user')} % 666)::VARCHAR) AS session_user,
@@ -59,7 +67,7 @@ PROFILED_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quant
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     """events as ``(row_id, y, score)``: y = purchase, score in steps of 0.001."""
-    e = table(spark, sf, "events")
+    e = spread(table(spark, sf, "events"))
     y = (F.col("event_type") == "purchase").cast("int")
     return e.select(F.col("event_id").alias("row_id"), y.alias("y"),
                     (F.floor(1000 * (0.3 * y + 0.7 * unit(F.lit("score"), "event_id"))).cast("double") / 1000.0).alias("score"))
@@ -72,7 +80,7 @@ SCORED = f"""scored AS (SELECT event_id AS row_id, y,
 
 def class_probs(spark: SparkSession, sf: str) -> DataFrame:
     """orders as ``(row_id, y, yhat, probs)`` over the classes F, O, P = 0, 1, 2."""
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders"))
     y = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
     base = o.select(F.col("o_orderkey").alias("row_id"), y.alias("y"))
     base = base.withColumns({f"w{c}": 0.05 + unit(F.lit(f"p{c}"), "row_id") + 0.6 * (F.col("y") == c).cast("double") for c in range(3)})
@@ -95,7 +103,7 @@ ML_LABELS = ["urgent", "open", "big"]
 
 def multilabel_wide(spark: SparkSession, sf: str) -> DataFrame:
     """orders as ``row_id, y_<label>, p_<label>`` for three labels."""
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders"))
     base = o.select(
         F.col("o_orderkey").alias("row_id"),
         F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("y_urgent"),
@@ -127,7 +135,7 @@ def multilabel(spark: SparkSession, sf: str) -> DataFrame:
 
 def predicted(spark: SparkSession, sf: str) -> DataFrame:
     """lineitem as ``(row_id, y, yhat, lo, hi)``: price in thousands with a triangular error."""
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"))
     k = F.concat_ws("|", *[F.col(c).cast("string") for c in [*LINE_KEY]], (F.round(F.col("l_extendedprice") * 100)).cast("long").cast("string"))
     base = li.select(F.md5(k.cast("binary")).alias("row_id"), (F.col("l_extendedprice") / 1000.0).alias("y"))
     err = 8.0 * (unit(F.lit("e1"), "row_id") + unit(F.lit("e2"), "row_id") - 1.0)
@@ -147,7 +155,7 @@ NOISE = {"off_by_one": 0.02, "random_flip": 0.03, "systematic": 0.04, "structura
 
 def noisy_docs(spark: SparkSession, sf: str) -> DataFrame:
     """documents labelled by language, with planted label errors."""
-    return inject_label_noise(table(spark, sf, "documents"), "doc_id", "text", "lang", LANGS, ("en", "fr"), NOISE)
+    return inject_label_noise(spread(table(spark, sf, "documents")), "doc_id", "text", "lang", LANGS, ("en", "fr"), NOISE)
 
 
 def _noise_sql() -> str:

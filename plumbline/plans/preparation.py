@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.core import hash_bucket, rnd
 from plumbline.operators import prep, profile
-from plumbline.plans.fixtures import NOISY, PROFILED, noisy_docs, profiled
+from plumbline.plans.fixtures import NOISY, PROFILED, noisy_docs, profiled, profiled_table
 from plumbline.plans.registry import H, R, U, key, query, table
 
 C = F.col
@@ -93,7 +93,7 @@ def _(spark, sf):
 
 @query("drop_flagged", f"{W} SELECT {IDS}, l_quantity, is_returned, session_user, round(latency_ms, 4) + 0.0 AS latency_ms FROM profiled")
 def _(spark, sf):
-    df = profiled(spark, sf)
+    df = profiled_table(spark, sf)
     out = prep.drop_flagged(df, profile.eda_findings(df, "is_returned"))
     gone = {"leak_after_event", "rare_flag", "feature_copy", "feature_missing"} & set(out.columns)
     if gone:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import inject, profile
 from plumbline.plans.fixtures import (
-    PROFILED, PROFILED_ALL, PROFILED_NUMERIC, PROFILED_TEXT, profiled,
+    PROFILED, PROFILED_ALL, PROFILED_NUMERIC, PROFILED_TEXT, profiled, profiled_table,
 )
 from plumbline.plans.registry import D, H, R, key, query, table
 
@@ -173,13 +173,13 @@ mi AS (SELECT feature, {R('greatest(sum(n / t * ln(n * t / (nb * ny))), 0)')} AS
 
 @query("mutual_information", f"{W}, {mi_sql()} SELECT feature, mi FROM mi")
 def _(spark, sf):
-    return profile.mutual_information(profiled(spark, sf), "is_returned")
+    return profile.mutual_information(profiled_table(spark, sf), "is_returned")
 
 
 @query("mi_vs_pearson_gap", f"""{W}, {mi_sql()}, p AS (SELECT feature, coalesce(abs(p), 0) AS p FROM ({LEAK_SQL}))
 SELECT feature, mi, {R('p')} AS abs_pearson, mi > 0.05 AND p < 0.1 AS gap FROM mi JOIN p USING (feature) ORDER BY mi DESC, feature LIMIT 5""")
 def _(spark, sf):
-    return profile.mi_vs_pearson_gap(profiled(spark, sf), "is_returned")
+    return profile.mi_vs_pearson_gap(profiled_table(spark, sf), "is_returned")
 
 
 FINDINGS = f"""{long_sql(FEATS)}, {fences_sql(FEATS)}, findings AS (
@@ -194,7 +194,7 @@ UNION ALL SELECT 'outliers', feature, 'outlier_pct', {R('n_outliers / n::DOUBLE'
 
 @query("eda_findings", f"{W}, {FINDINGS} SELECT * FROM findings")
 def _(spark, sf):
-    return profile.eda_findings(profiled(spark, sf), "is_returned")
+    return profile.eda_findings(profiled_table(spark, sf), "is_returned")
 
 
 @query("findings_diff", f"""{W}, {FINDINGS}, old AS (SELECT 'missing data' AS issue, c AS feature, v AS value FROM (VALUES ('l_tax', 0.5::DOUBLE), ('feature_missing', 0.1::DOUBLE)) t(c, v)
@@ -203,7 +203,7 @@ SELECT issue, feature, old.value AS old_value, f.value AS new_value,
  CASE WHEN old.value IS NULL THEN 'new' WHEN f.value IS NULL THEN 'gone' WHEN round(old.value, 4) = round(f.value, 4) THEN 'same' ELSE 'changed' END AS change
 FROM old FULL JOIN findings f USING (issue, feature)""")
 def _(spark, sf):
-    new = profile.eda_findings(profiled(spark, sf), "is_returned")
+    new = profile.eda_findings(profiled_table(spark, sf), "is_returned")
     old = new.where("issue = 'outliers'").unionByName(spark.createDataFrame(
         [("missing data", "l_tax", "missing_pct", 0.5), ("missing data", "feature_missing", "missing_pct", 0.1)], profile.FINDING_SCHEMA))
     return profile.findings_diff(old, new)
@@ -212,7 +212,7 @@ def _(spark, sf):
 @query("suggest_actions", f"""{W}, {FINDINGS} SELECT issue, feature, CASE issue WHEN 'target leakage' THEN 'drop' WHEN 'high cardinality' THEN 'encode' WHEN 'near constant' THEN 'drop'
  WHEN 'redundant pair' THEN 'drop one' WHEN 'missing data' THEN 'impute' WHEN 'skewed distribution' THEN 'log transform' WHEN 'outliers' THEN 'robust scale or winsorize' END AS action FROM findings""")
 def _(spark, sf):
-    return profile.suggest_actions(profile.eda_findings(profiled(spark, sf), "is_returned"))
+    return profile.suggest_actions(profile.eda_findings(profiled_table(spark, sf), "is_returned"))
 
 
 def _fp(cols):
@@ -256,6 +256,6 @@ def _(spark, sf):
  ('missing data','feature_missing'), ('skewed distribution','skewed_amount'), ('outliers','latency_ms'), ('redundant pair','l_quantity <-> feature_copy')) t(issue, feature))
 SELECT p.issue, p.feature, f.issue IS NOT NULL AS found FROM planted p LEFT JOIN findings f ON p.issue = f.issue AND p.feature = f.feature""")
 def _(spark, sf):
-    found = profile.eda_findings(profiled(spark, sf), "is_returned").select("issue", "feature", F.lit(True).alias("hit"))
+    found = profile.eda_findings(profiled_table(spark, sf), "is_returned").select("issue", "feature", F.lit(True).alias("hit"))
     return (inject.planted_issues(spark, "l_quantity").join(found, ["issue", "feature"], "left")
             .select("issue", "feature", F.coalesce("hit", F.lit(False)).alias("found")))

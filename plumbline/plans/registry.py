@@ -39,6 +39,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share rows among all cores when the input arrives in fewer pieces; a large input is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def H(expr: str, part: int = 0) -> str:
     """SQL twin of ``functions.core.h32`` over one ready-made string expression."""
     return f"(('0x' || substr(md5({expr}), {1 + 8 * part}, 8))::BIGINT)"
