@@ -235,10 +235,6 @@ def anomaly_precision_recall(df: DataFrame, flagged: str, truth: str) -> DataFra
 
 # --- density clusters in low dimension ---------------------------------------------------------------------------
 
-def _cells(df: DataFrame, cols: Sequence[str], eps: float) -> DataFrame:
-    return df.withColumns({f"__g{i}": F.floor(F.col(c) / eps).cast("long") for i, c in enumerate(cols)})
-
-
 def grid_points(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
     """Distinct positions with their multiplicity and lowest id: copies of a point are handled once."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("pid"))
@@ -247,10 +243,7 @@ def grid_points(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
 def neighbour_counts(df: DataFrame, id_col: str, cols: Sequence[str], eps: float) -> DataFrame:
     """Rows within ``eps`` of each distinct position, itself and its copies included: ``(pid, *cols, n, n_within)``.
 
-    Space is cut into cells of side eps / sqrt(dimensions), so all points of one cell are neighbours of each
-    other and only need counting.  Points of other cells are compared through an equi-join on the cell, and
-    only for cells that do not already hold enough points is the comparison needed by callers that ask
-    for core points.
+    Meant for sparse data or reports; :func:`dbscan` compares points only where a cell does not already decide.
     """
     return _dense_counts(df, id_col, cols, eps, None)
 
@@ -292,40 +285,81 @@ def _dense_counts(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, e
     return pts.join(outside, "pid", "left").withColumn("n_within", F.col("cell_n") + F.coalesce("out_n", F.lit(0)))
 
 
+def _link_cells(core: DataFrame, cols: Sequence[str], eps: float, max_levels: int = 60) -> DataFrame:
+    """Pairs of neighbouring core cells that hold points within ``eps`` of each other: ``(a, b)`` both ways.
+
+    Points are never paired.  Cells are compared by the bounding boxes of their points: boxes that lie wholly
+    within eps link the cells, boxes further apart than eps never do, and only undecided boxes are cut in half
+    along every axis and compared again.  A linked pair of cells drops out at once, so crowded cells settle
+    after a few cuts; a box that is a single position always decides.
+    """
+    side, dims = _cell_side(cols, eps), range(len(cols))
+
+    def boxes(level: int) -> DataFrame:
+        at = [F.floor(F.col(c) / side * float(2 ** level)).cast("long").alias(f"k{i}") for i, c in enumerate(cols)]
+        return core.groupBy("cell", *at).agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))])
+
+    def sided(b: DataFrame, x: str) -> DataFrame:
+        return b.select(F.col("cell").alias(f"cell_{x}"), *[F.col(f"{n}{i}").alias(f"{x}_{n}{i}") for i in dims for n in ("k", "lo", "hi")])
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        far, near = F.lit(0.0), F.lit(0.0)
+        for i in dims:
+            one, two = F.col(f"a_hi{i}") - F.col(f"b_lo{i}"), F.col(f"b_hi{i}") - F.col(f"a_lo{i}")
+            widest, gap = F.greatest(one, two), F.greatest(-one, -two, F.lit(0.0))
+            far, near = far + widest * widest, near + gap * gap
+        keep = ["cell_a", "cell_b", *[f"{x}_k{i}" for x in "ab" for i in dims]]
+        return pairs.where(near <= eps * eps).select(*keep, (far <= eps * eps).alias("sure")).checkpoint()
+
+    first = boxes(0)
+    moves = F.explode(F.array(*[F.struct(*[F.lit(o).alias(f"o{i}") for i, o in enumerate(off)]) for off in _offsets(cols) if any(off)]))
+    left = sided(first, "a").withColumn("m", moves).withColumns({f"b_k{i}": F.col(f"a_k{i}") + F.col(f"m.o{i}") for i in dims}).drop("m")
+    state = judged(left.join(sided(first, "b"), [f"b_k{i}" for i in dims]).where("cell_a < cell_b"))
+    edges = state.where("sure").select("cell_a", "cell_b").distinct()
+    for level in range(1, max_levels + 1):
+        open_pairs = state.where("not sure").join(edges, ["cell_a", "cell_b"], "left_anti")
+        if open_pairs.isEmpty():
+            both = edges.select(F.col("cell_a").alias("a"), F.col("cell_b").alias("b"))
+            return both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
+        parents = open_pairs.select("cell_a", "cell_b", *[F.col(f"{x}_k{i}").alias(f"{x}_p{i}") for x in "ab" for i in dims])
+        for x in "ab":
+            child = sided(boxes(level), x).withColumns({f"{x}_p{i}": F.floor(F.col(f"{x}_k{i}") / 2).cast("long") for i in dims})
+            parents = parents.join(child, [f"cell_{x}", *[f"{x}_p{i}" for i in dims]])
+        state = judged(parents)
+        edges = edges.unionByName(state.where("sure").select("cell_a", "cell_b")).distinct().checkpoint()
+    raise RuntimeError("some cells stayed undecided")
+
+
 def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_points: int, max_rounds: int = 50) -> DataFrame:
     """Density clusters for low-dimensional data: ``(id, cluster)`` with noise -1; cluster ids are the lowest row id in it.
 
     Core cells (cells of side eps / sqrt(d) holding a core point) are the nodes: all core points of a cell
-    belong together, so a crowded place is one node however many rows it holds.  Nodes with core points within
-    eps are linked, labels spread as minima with pointer jumping, and every second round is written to the
-    reliable checkpoint folder.  Border rows take the lowest label among the core points in reach.
+    belong together, so a crowded place is one node however many rows it holds.  A point is compared with other
+    points only when its own cell holds fewer than ``min_points`` rows.  Linked nodes share the lowest label by
+    repeated minima with pointer jumping, each round kept in the reliable checkpoint folder.  Border rows
+    take the lowest label among the core points in reach.
     """
     ensure_checkpoint_dir(df.sparkSession)
     g = [f"__g{i}" for i in range(len(cols))]
     counts = _dense_counts(df, id_col, cols, eps, min_points)
     pts = counts.withColumn("core", F.col("n_within") >= min_points).select("pid", "n", *cols, *g, "core").checkpoint()
     core = pts.where("core")
-    cells = core.groupBy(*g).agg(F.min("pid").alias("cell"))
+    cells = core.groupBy(*g).agg(F.min("pid").alias("cell")).checkpoint()
     core = core.join(cells, g)
-    pairs = _near(core, core, cols, eps).select("pid", "qid")
-    of = core.select("pid", "cell")
-    edges = (pairs.join(of, "pid").withColumnRenamed("cell", "a")
-             .join(of.select(F.col("pid").alias("qid"), F.col("cell").alias("b")), "qid")
-             .where("a <> b").select("a", "b").distinct().checkpoint())
-    labels = cells.select("cell", F.col("cell").alias("label")).checkpoint()
+    edges = _link_cells(core, cols, eps)
+    labels = cells.select("cell", F.col("cell").alias("label"))
     for _ in range(max_rounds):
-        near = edges.join(labels, edges["b"] == labels["cell"]).groupBy(F.col("a").alias("cell")).agg(F.min("label").alias("m"))
+        near = edges.join(labels.select(F.col("cell").alias("b"), "label"), "b").groupBy(F.col("a").alias("cell")).agg(F.min("label").alias("m"))
         step = labels.join(near, "cell", "left").select("cell", "label", F.least("label", F.coalesce("m", "label")).alias("new"))
         jump = step.select(F.col("cell").alias("new"), F.col("new").alias("further"))
         nxt = step.join(jump, "new", "left").select("cell", F.col("label").alias("old"), F.least("new", F.coalesce("further", "new")).alias("label")).checkpoint()
-        moved = nxt.where("old <> label").limit(1).count()
         labels = nxt.select("cell", "label")
-        if not moved:
+        if nxt.where("old <> label").isEmpty():
             break
     else:
         raise RuntimeError("labels did not settle: raise max_rounds")
     labelled = core.join(labels, "cell").select("pid", *cols, "n", *g, "label")
-    border = pts.where("not core")
+    border = pts.where("not core")  # such a cell holds fewer than min_points rows
     inner = border.join(labelled.groupBy(*g).agg(F.min("label").alias("label")), g).select("pid", "label")
     reach = _near(border, labelled.select("pid", "n", *cols, *g), cols, eps).join(
         labelled.select(F.col("pid").alias("qid"), "label"), "qid").select("pid", "label")
@@ -373,12 +407,14 @@ def isolation_forest(df: DataFrame, id_col: str, cols: Sequence[str], trees: int
     """
     n = df.count()
     x = [F.col(c).cast("double").alias(c) for c in cols]
-    # a row joins tree t with probability sample * 2 / n, then each tree keeps its `sample` lowest hashes
-    share = min(1.0, 2.0 * sample / max(n, 1))
-    drawn = None
-    key = F.concat_ws("|", F.lit("tree"), F.col("__t").cast("string"), F.col(id_col).cast("string"))
-    drawn = (df.select(id_col, *x, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("__t"))
-             .withColumn("__h", h32(key)).where(F.col("__h") < share * 4294967296.0))
+    wanted = 2 * trees * sample
+    if n > wanted:
+        # a pool of about `wanted` rows is picked by hash and dealt to the trees: no row is multiplied
+        pool = df.select(id_col, *x, h32(F.lit("pool"), id_col).alias("__h")).where(F.col("__h") < wanted / n * 4294967296.0)
+        drawn = pool.withColumn("__t", F.pmod(h32(F.lit("deal"), id_col), F.lit(trees)).cast("int"))
+    else:
+        each = df.select(id_col, *x, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("__t"))
+        drawn = each.withColumn("__h", h32(F.lit("tree"), "__t", id_col))
     w = Window.partitionBy("__t").orderBy("__h", id_col)
     bounded = drawn.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= sample)
     names, limit = list(cols), int(math.ceil(math.log2(max(2, min(sample, n)))))

@@ -101,7 +101,9 @@ def class_balance(df: DataFrame, target: str) -> DataFrame:
 
 
 def profile_skew(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    columns = columns or roles(df).numeric
+    columns = columns if columns is not None else roles(df).numeric
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, skew double, flagged boolean")
     out = unpivot_numbers(df, columns).groupBy("column").agg(sample_skew(F.col("x")).alias("skew"))
     return out.select("column", rnd(F.col("skew"), 4).alias("skew"),
                       F.coalesce(F.abs("skew") > SKEW_LIMIT, F.lit(False)).alias("flagged"))
@@ -152,6 +154,8 @@ def class_histograms(df: DataFrame, target: str, columns: Sequence[str], bins: i
 def profile_cardinality(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,
                         limit: int = CARDINALITY_LIMIT) -> DataFrame:
     columns = columns or roles(df).categorical
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, n_unique bigint, n_rows bigint, flagged boolean")
     distinct = (lambda c: F.count_distinct(F.col(c))) if exact else (lambda c: F.approx_count_distinct(c))
     out = agg_per_column(df, {c: {"n_unique": distinct(c), "n_rows": F.count(F.lit(1))} for c in columns})
     return out.withColumn("flagged", F.col("n_unique") > limit)
@@ -179,6 +183,8 @@ def find_near_constant(df: DataFrame, limit: float = NEAR_CONSTANT_LIMIT) -> Dat
         items = [x for x in (top[f"t{i}"] or []) if x["item"] is not None]
         if items:
             candidates[c] = items[0]["item"]
+    if not candidates:
+        return df.sparkSession.createDataFrame([], "feature string, top_value_freq double")
     out = agg_per_column(named, {
         c: {"n_top": F.count_if(F.col(c) == F.lit(v)), "n_valid": F.count(F.col(c))} for c, v in candidates.items()},
         key="feature")
@@ -188,8 +194,8 @@ def find_near_constant(df: DataFrame, limit: float = NEAR_CONSTANT_LIMIT) -> Dat
 
 def dup_rows(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row; NULL equals NULL."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def _pair_corrs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -249,6 +255,8 @@ def find_leakage(df: DataFrame, target: str, limit: float = LEAKAGE_LIMIT) -> Da
     if target not in roles(df).numeric:
         return df.sparkSession.createDataFrame([], "feature string, pearson double, certain boolean")
     hit = F.abs("pearson")
+    if not roles(df, target).features:
+        return df.sparkSession.createDataFrame([], "feature string, pearson double, certain boolean")
     return target_corr(df, target).where(hit > limit).select(
         "feature", rnd(F.col("pearson"), 4).alias("pearson"), (hit > LEAKAGE_CERTAIN).alias("certain"))
 
@@ -276,7 +284,10 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float,
 
 def find_outliers_iqr(df: DataFrame, columns: Sequence[str] | None = None, limit: float = OUTLIER_LIMIT) -> DataFrame:
     """Rows outside the IQR fences per column; the share is over non-null rows."""
-    bounds = iqr_bounds(df, columns or roles(df).numeric)
+    columns = columns if columns is not None else roles(df).numeric
+    bounds = iqr_bounds(df, columns) if columns else {}
+    if not bounds:
+        return df.sparkSession.createDataFrame([], "feature string, n_outliers bigint, outlier_pct double, flagged boolean")
     out = agg_per_column(df, {
         c: {"n_outliers": F.count_if((as_number(df, c) < lo) | (as_number(df, c) > hi)), "n_valid": F.count(as_number(df, c))}
         for c, (_, _, _, lo, hi) in bounds.items()}, key="feature")
@@ -323,13 +334,13 @@ def mutual_information(df: DataFrame, target: str, bins: int = 10) -> DataFrame:
     single-machine form, so the numbers differ; the ranking serves the same use.
     """
     feats = roles(df, target).features
-    clean = df.select(F.col(target).alias("y"), *[as_number(df, c).cast("double").alias(c) for c in feats])
+    clean = df.select(F.col(target).alias("__y"), *[as_number(df, c).cast("double").alias(c) for c in feats])
     levels = [i / bins for i in range(1, bins)]
     medians = exact_quantiles(clean, feats, [0.5])
-    filled = clean.select("y", *[F.coalesce(F.col(c), F.lit(medians[(c,)][0])).alias(c) for c in feats])
+    filled = clean.select("__y", *[F.coalesce(F.col(c), F.lit(medians[(c,)][0])).alias(c) for c in feats])
     edges = exact_quantiles(filled, feats, levels)
     cells = [F.struct(F.lit(c).alias("feature"), _quantile_bin(F.col(c), edges[(c,)]).alias("bin")) for c in feats]
-    cont = (filled.select("y", F.inline(F.array(*cells))).groupBy("feature", "bin", "y")
+    cont = (filled.select(F.col("__y").alias("y"), F.inline(F.array(*cells))).groupBy("feature", "bin", "y")
             .agg(F.count(F.lit(1)).alias("n")))
     # the contingency table has features x bins x classes rows
     tot = cont.groupBy("feature").agg(F.sum("n").alias("t"))
