@@ -143,6 +143,13 @@ def predicted(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({"lo": F.col("yhat") - 2.5 - unit(F.lit("w"), "row_id"), "hi": F.col("yhat") + 2.5 + unit(F.lit("w"), "row_id")})
 
 
+def predicted_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as a written table, for plans that read it many times."""
+    path = shared_folder(spark, "predicted")
+    predicted(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 PREDICTED = f"""predicted AS (SELECT *, yhat - 2.5::DOUBLE - w AS lo, yhat + 2.5::DOUBLE + w AS hi FROM (
   SELECT row_id, y, y + 8.0::DOUBLE * ({U(key("'e1'", 'row_id'))} + {U(key("'e2'", 'row_id'))} - 1.0::DOUBLE) AS yhat, {U(key("'w'", 'row_id'))} AS w
   FROM (SELECT md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_extendedprice * 100)::BIGINT)) AS row_id,

@@ -15,7 +15,7 @@ W = f"WITH {PROFILED}"
 
 @query("impute_median", f"{W} SELECT {IDS}, coalesce(feature_missing, (SELECT quantile_cont(feature_missing, 0.5) FROM profiled)) AS feature_missing FROM profiled")
 def _(spark, sf):
-    return prep.impute_median(profiled(spark, sf), ["feature_missing"]).select(*LID, "feature_missing")
+    return prep.impute_median(profiled_table(spark, sf), ["feature_missing"]).select(*LID, "feature_missing")
 
 
 GAPS = "gaps AS (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS kind, CASE WHEN event_id % 5 = 0 THEN NULL ELSE user_id END AS user_id FROM events)"
@@ -75,12 +75,12 @@ def _(spark, sf):
 
 @query("winsorize", f"{W} SELECT {IDS}, {R('least(greatest(latency_ms, (SELECT quantile_cont(latency_ms, 0.01) FROM profiled)), (SELECT quantile_cont(latency_ms, 0.99) FROM profiled))')} AS latency_ms FROM profiled")
 def _(spark, sf):
-    return prep.winsorize(profiled(spark, sf), ["latency_ms"]).select(*LID, rnd(C("latency_ms")).alias("latency_ms"))
+    return prep.winsorize(profiled_table(spark, sf), ["latency_ms"]).select(*LID, rnd(C("latency_ms")).alias("latency_ms"))
 
 
 @query("robust_scale", f"{W} SELECT {IDS}, {R('(latency_ms - (SELECT quantile_cont(latency_ms, 0.5) FROM profiled)) / ((SELECT quantile_cont(latency_ms, 0.75) FROM profiled) - (SELECT quantile_cont(latency_ms, 0.25) FROM profiled))')} AS latency_ms FROM profiled")
 def _(spark, sf):
-    return prep.robust_scale(profiled(spark, sf), ["latency_ms"]).select(*LID, rnd(C("latency_ms")).alias("latency_ms"))
+    return prep.robust_scale(profiled_table(spark, sf), ["latency_ms"]).select(*LID, rnd(C("latency_ms")).alias("latency_ms"))
 
 
 LAMBDAS = [-1.0, -0.5, 0.0, 0.25, 0.5, 1.0]

@@ -85,7 +85,7 @@ bins AS (SELECT feature, b, lo + (hi - lo) * b / 40 AS left_edge FROM rng, range
 cnt AS (SELECT feature, least(greatest(floor((x - lo) / (hi - lo) * 40)::INT, 0), 39) AS b, count(*) AS n FROM long JOIN rng USING (feature) GROUP BY 1, 2)
 SELECT bins.feature AS "column", bins.b::INT AS bin, {R('left_edge')} AS left_edge, coalesce(n, 0) AS n FROM bins LEFT JOIN cnt USING (feature, b)""")
 def _(spark, sf):
-    return profile.profile_histogram(profiled(spark, sf), HIST)
+    return profile.profile_histogram(profiled_table(spark, sf), HIST)
 
 
 @query("class_histograms", f"""{W}, long AS ({union(f"SELECT is_returned AS class, '{c}' AS feature, {c}::DOUBLE AS x FROM profiled WHERE {c} IS NOT NULL" for c in HIST)}),
@@ -93,7 +93,7 @@ rng AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM long GROUP BY 1), tot AS
 cnt AS (SELECT class, feature, least(greatest(floor((x - lo) / (hi - lo) * 30)::INT, 0), 29) AS b, count(*) AS n, any_value((hi - lo) / 30) AS width FROM long JOIN rng USING (feature) GROUP BY 1, 2, 3)
 SELECT class, feature AS "column", b AS bin, n, {R('n / (t * width)')} AS density FROM cnt JOIN tot USING (class, feature)""")
 def _(spark, sf):
-    return profile.class_histograms(profiled(spark, sf), "is_returned", HIST)
+    return profile.class_histograms(profiled_table(spark, sf), "is_returned", HIST)
 
 
 @query("profile_cardinality", f"{W} " + union(
@@ -108,13 +108,13 @@ NEAR_SQL = union(
 
 @query("find_near_constant", f"{W} SELECT feature, {R('f', 4)} AS top_value_freq FROM ({NEAR_SQL}) WHERE f > 0.98")
 def _(spark, sf):
-    return profile.find_near_constant(profiled(spark, sf))
+    return profile.find_near_constant(profiled_table(spark, sf))
 
 
 @query("corr_matrix", f"{W} " + union(
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, {R(corr_sql(a, b))} AS pearson FROM profiled" for a, b in combinations(NUM[4:], 2)))
 def _(spark, sf):
-    return profile.corr_matrix(profiled(spark, sf), NUM[4:])
+    return profile.corr_matrix(profiled_table(spark, sf), NUM[4:])
 
 
 LEAK_SQL = union(f"SELECT '{c}' AS feature, {corr_sql(c, 'is_returned')} AS p FROM profiled" for c in FEATS)
@@ -122,7 +122,7 @@ LEAK_SQL = union(f"SELECT '{c}' AS feature, {corr_sql(c, 'is_returned')} AS p FR
 
 @query("find_leakage", f"{W} SELECT feature, {R('p', 4)} AS pearson, abs(p) > 0.99 AS certain FROM ({LEAK_SQL}) WHERE abs(p) > 0.95")
 def _(spark, sf):
-    return profile.find_leakage(profiled(spark, sf), "is_returned")
+    return profile.find_leakage(profiled_table(spark, sf), "is_returned")
 
 
 PAIR_SQL = union(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {corr_sql(a, b)} AS p FROM profiled" for a, b in combinations(FEATS, 2))
@@ -130,7 +130,7 @@ PAIR_SQL = union(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {corr_sql(a, b)} AS p
 
 @query("find_redundant_pairs", f"{W} SELECT col_a, col_b, {R('abs(p)', 4)} AS pearson FROM ({PAIR_SQL}) WHERE abs(p) > 0.95")
 def _(spark, sf):
-    return profile.find_redundant_pairs(profiled(spark, sf), "is_returned")
+    return profile.find_redundant_pairs(profiled_table(spark, sf), "is_returned")
 
 
 OUT_SQL = """SELECT feature, count(*) FILTER (x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_outliers, count(*) AS n
@@ -140,7 +140,7 @@ FROM long JOIN fences USING (feature) GROUP BY feature"""
 @query("find_outliers_iqr", f"""{W}, {long_sql(NUM)}, {fences_sql(NUM)}
 SELECT feature, n_outliers, {R('n_outliers / n::DOUBLE', 4)} AS outlier_pct, n_outliers / n::DOUBLE > 0.01 AS flagged FROM ({OUT_SQL})""")
 def _(spark, sf):
-    return profile.find_outliers_iqr(profiled(spark, sf))
+    return profile.find_outliers_iqr(profiled_table(spark, sf))
 
 
 @query("box_stats", f"""{W}, {long_sql(NUM)}, {fences_sql(NUM)}
@@ -149,7 +149,7 @@ SELECT feature AS "column", {R('any_value(q1)')} AS q1, {R('any_value(q2)')} AS
  count(*) FILTER (x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_outliers
 FROM long JOIN fences USING (feature) GROUP BY feature""")
 def _(spark, sf):
-    return profile.box_stats(profiled(spark, sf))
+    return profile.box_stats(profiled_table(spark, sf))
 
 
 @query("find_scale_mismatch", f"""{W}, {long_sql(NUM)}, s AS (SELECT feature, stddev_samp(x) AS spread FROM long GROUP BY 1), m AS (SELECT median(spread) AS mid FROM s)

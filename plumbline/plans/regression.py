@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.core import rnd, unit
 from plumbline.operators import regression as ev
-from plumbline.plans.fixtures import PREDICTED, predicted
+from plumbline.plans.fixtures import PREDICTED, predicted, predicted_table
 from plumbline.plans.registry import R, U, key, query
 
 W = f"WITH {PREDICTED}"
@@ -43,12 +43,12 @@ def _(spark, sf):
 h AS (SELECT least(floor((y - yhat - rl) / (s.w * 40) * 40)::INT, 39) AS bin, count(*) AS n FROM predicted, s GROUP BY 1)
 SELECT b.i::INT AS bin, coalesce(n, 0) AS n, {R('coalesce(n, 0) / (t * s.w)')} AS density, {R('exp(-(((rl + (b.i + 0.5) * s.w - m) / s.s) ** 2) / 2) / (s.s * sqrt(2 * pi()))')} AS normal_density FROM range(40) b(i) CROSS JOIN s LEFT JOIN h ON h.bin = b.i""")
 def _(spark, sf):
-    return ev.residual_histogram(predicted(spark, sf))
+    return ev.residual_histogram(predicted_table(spark, sf))
 
 
 @query("qq_points", f"{W} " + " UNION ALL ".join(f"SELECT {R(f'{i / 100}')} AS level, {R(repr(NormalDist().inv_cdf(i / 100)))} AS normal, {R(f'quantile_cont(y - yhat, {i / 100})')} AS residual FROM predicted" for i in range(1, 100)))
 def _(spark, sf):
-    return ev.qq_points(predicted(spark, sf))
+    return ev.qq_points(predicted_table(spark, sf))
 
 
 @query("conformal_scores", f"{W} SELECT row_id, {R('greatest(lo - y, y - hi)')} AS conformity FROM predicted")
@@ -58,24 +58,24 @@ def _(spark, sf):
 
 @query("conformal_q", f"{W}, {CONF} SELECT n, {R('q')} AS q FROM nn, q")
 def _(spark, sf):
-    c = calib(predicted(spark, sf))
+    c = calib(predicted_table(spark, sf))
     return c.agg(F.count(F.lit(1)).alias("n")).withColumn("q", rnd(F.lit(ev.conformal_q(c, 0.9))))
 
 
 @query("conformal_intervals", f"{W}, {CONF} SELECT row_id, {R('lo - q')} AS lo_cal, {R('hi + q')} AS hi_cal FROM predicted, q WHERE NOT ({CAL})")
 def _(spark, sf):
-    p = predicted(spark, sf)
+    p = predicted_table(spark, sf)
     return ev.conformal_intervals(test(p), ev.conformal_q(calib(p), 0.9)).select("row_id", rnd(F.col("lo_cal")).alias("lo_cal"), rnd(F.col("hi_cal")).alias("hi_cal"))
 
 
 @query("interval_coverage", f"""{W}, {CONF}, c AS (SELECT avg((y >= lo AND y <= hi)::INT) AS raw, avg((y >= lo - q AND y <= hi + q)::INT) AS cal, avg(hi - lo) AS wr, avg(hi + q - lo + q) AS wc FROM predicted, q WHERE NOT ({CAL}))
 SELECT {R('raw')} AS coverage_raw, {R('cal')} AS coverage_conformal, {R('abs(raw - 0.9)')} AS coverage_error_raw, {R('abs(cal - 0.9)')} AS coverage_error_conformal, {R('wr', 4)} AS interval_width_raw, {R('wc', 4)} AS interval_width_conformal FROM c""")
 def _(spark, sf):
-    p = predicted(spark, sf)
+    p = predicted_table(spark, sf)
     return ev.interval_coverage(test(p), ev.conformal_q(calib(p), 0.9), 0.9)
 
 
 @query("interval_rows", f"{W}, {CONF} SELECT row_id, {R('yhat', 4)} AS point, {R('lo - q', 4)} AS low, {R('hi + q', 4)} AS high, y >= lo - q AND y <= hi + q AS inside FROM predicted, q WHERE NOT ({CAL})")
 def _(spark, sf):
-    p = predicted(spark, sf)
+    p = predicted_table(spark, sf)
     return ev.interval_rows(test(p), ev.conformal_q(calib(p), 0.9))
