@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,9 +33,8 @@ def get_spark(app: str = "plumbline", cores: int | str = "*", shuffle_partitions
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local session
-    without one gets a temporary folder; a cluster session without one is an
-    error, because a machine-local folder would not survive a lost executor.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a folder inside the session's
+    warehouse is used, which all executors share as well; never a machine-local temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,15 +42,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="plumbline-ckpt-")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     sc.setCheckpointDir(named)
-    return named
+    return sc.getCheckpointDir()
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, for tables written on the way."""
-    import uuid
-
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`shared_folder`, through the file system that Spark uses for it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
