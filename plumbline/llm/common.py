@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def text_bytes(docs: DataFrame, column: str = "text") -> tuple[int, int]:
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``most`` bytes of ``column``; one longer value stays whole."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, s in enumerate(sizes.tolist()):
             if held and held + s > most:
