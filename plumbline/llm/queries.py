@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, packing
+from plumbline.llm import bpe, packing, warc
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,22 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query(
+    "op1_warc_zstd",
+    """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+    d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS top FROM p)
+    SELECT page_id, payload_bytes,
+      list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER + 1, 1)), 'string_agg', '') AS payload_digest,
+      CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+    FROM d""",
+)
+def warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op2_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), TOKENIZER)
