@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, packing, warc
+from plumbline.llm import bpe, packing, simhash, warc
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,14 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(slim)
 
 
+@query("op5_simhash_popcount_grid")
+def simhash_popcount_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = simhash.near_classes(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.hex("fp"))  # the lowest byte comes first
+    name = F.concat(*[F.substring(digits, i, 2) for i in range(15, 0, -2)])
+    return got.select("doc_id", name.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 @query("op8_bpe_round_trip")
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER), TOKENIZER)
