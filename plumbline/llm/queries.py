@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, packing, simhash, warc
+from plumbline.llm import bpe, forest, packing, sharding, simhash, warc
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,12 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(slim)
 
 
+@query("op3_kd_sharding")
+def kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op5_simhash_popcount_grid")
 def simhash_popcount_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_classes(table(spark, sf_dir, "documents"))
@@ -67,3 +73,8 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op10_prefix_forest")
+def prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), "id % 50 = 0")
