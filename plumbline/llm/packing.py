@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -37,7 +36,31 @@ TOKENS = 2048
 GROUP = 16_384
 MEMORY = 600_000
 
-_MEMO: dict[str, tuple[Any, dict[bytes, bytes]]] = {}
+_MEMO: dict[str, tuple[Tokenizer, tuple[str, int] | None, dict[bytes, bytes]]] = {}
+
+
+def _mark(tokenizer: Tokenizer) -> tuple[str, int] | None:
+    """A punctuation sign that is one token when it stands alone, to keep chunks apart in one call; None if there is none."""
+    for sign in "~^|#@":
+        ids = tokenizer.encode(sign, add_special_tokens=False).ids
+        if len(ids) == 1:
+            return sign, ids[0]
+    return None
+
+
+def _learn(tokenizer: Tokenizer, mark: tuple[str, int] | None, chunks: list[bytes], seen: dict[bytes, bytes]) -> None:
+    """Encode new chunks, many to a call: a chunk without the mark ends where the mark's token stands."""
+    texts = [(c, c.decode()) for c in chunks]
+    alone = [x for x in texts if mark is None or mark[0] in x[1]]
+    joined = [x for x in texts if mark is not None and mark[0] not in x[1]]
+    for c, t in alone:
+        seen[c] = np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    for i in range(0, len(joined), 1000):
+        part = joined[i : i + 1000]
+        ids = np.array(tokenizer.encode("".join(f"{t} {mark[0]} " for _, t in part), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(ids == mark[1])
+        raw = ids.tobytes()
+        seen.update((c, raw[x:y]) for (c, _), x, y in zip(part, [0, *(4 * ends[:-1] + 4).tolist()], (4 * ends).tolist(), strict=True))
 
 
 def _chunk_ids(spec: Broadcast, texts: list[str | None]) -> list[bytes]:
@@ -46,18 +69,15 @@ def _chunk_ids(spec: Broadcast, texts: list[str | None]) -> list[bytes]:
     if spec.value not in _MEMO:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _MEMO.clear()
-        _MEMO[spec.value] = (Tokenizer.from_str(spec.value), {})
-    tokenizer, seen = _MEMO[spec.value]
+        tokenizer = Tokenizer.from_str(spec.value)
+        _MEMO[spec.value] = (tokenizer, _mark(tokenizer), {})
+    tokenizer, mark, seen = _MEMO[spec.value]
     cut = [(t or "").encode().split() for t in texts]
     fresh = {c for chunks in cut for c in chunks if c not in seen}
     if len(seen) + len(fresh) > MEMORY:
         seen.clear()
         fresh = {c for chunks in cut for c in chunks}
-    todo = list(fresh)
-    for i in range(0, len(todo), 20_000):
-        part = todo[i : i + 20_000]
-        for c, e in zip(part, tokenizer.encode_batch([c.decode() for c in part], add_special_tokens=False)):
-            seen[c] = np.array(e.ids, "<u4").tobytes()
+    _learn(tokenizer, mark, list(fresh), seen)
     return [b"".join(map(seen.__getitem__, chunks)) for chunks in cut]
 
 

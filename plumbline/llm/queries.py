@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, forest, packing, sharding, simhash, warc
+from plumbline.llm import bpe, forest, packing, sharding, simhash, sketch, warc
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,19 @@ def simhash_popcount_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", name.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query("op7_threshold_sketch")
+def threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.edited_sketches(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        sketch.as_text(F.col("sketch")).alias("fingerprint"),
+        sketch.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        sketch.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        sketch.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 @query("op8_bpe_round_trip")
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER), TOKENIZER)
