@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, forest, packing, sharding, simhash, sketch, warc
+from plumbline.llm import bpe, forest, licenses, packing, sharding, simhash, sketch, warc
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def simhash_popcount_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", name.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query("op6_rare_token_licenses")
+def rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 @query("op7_threshold_sketch")
 def threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edited_sketches(table(spark, sf_dir, "documents")).select(
