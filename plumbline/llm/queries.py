@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, forest, licenses, packing, sharding, simhash, sketch, warc
+from plumbline.llm import bpe, forest, licenses, packing, sharding, simhash, sketch, toxicity, warc
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,14 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_toxicity_chain")
+def toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.corpus_categories())
+    scored = chain.score(docs.select("doc_id", "text"))
+    return scored.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
 @query("op10_prefix_forest")
 def prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"), "id % 50 = 0")
