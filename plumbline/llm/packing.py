@@ -19,6 +19,7 @@ longer than ``tokens`` is cut, and only such a document.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,8 +64,20 @@ def _learn(tokenizer: Tokenizer, mark: tuple[str, int] | None, chunks: list[byte
         seen.update((c, raw[x:y]) for (c, _), x, y in zip(part, [0, *(4 * ends[:-1] + 4).tolist()], (4 * ends).tolist(), strict=True))
 
 
+_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=\s)")
+
+
+def _chunks(text: str | None) -> list[bytes]:
+    """A text cut where the tokenizer cuts it in any case: at ASCII white space, and before a stop that ends a word.
+
+    A-Z are lower-cased, as the tokenizer does, so that fewer chunks differ; not where a special token may stand.
+    """
+    raw = (text or "").encode()
+    return raw.split() if b"<|" in raw else _STOP.sub(rb" \1", raw.lower()).split()
+
+
 def _chunk_ids(spec: Broadcast, texts: list[str | None]) -> list[bytes]:
-    """Ids of each text by the tokenizers library.  Its ids are those of the chunks between ASCII white space, so each new chunk is
+    """Ids of each text by the tokenizers library.  Its ids are those of the text's chunks one after the other, so each new chunk is
     encoded once; the memory of chunks is emptied when full."""
     if spec.value not in _MEMO:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,7 +85,7 @@ def _chunk_ids(spec: Broadcast, texts: list[str | None]) -> list[bytes]:
         tokenizer = Tokenizer.from_str(spec.value)
         _MEMO[spec.value] = (tokenizer, _mark(tokenizer), {})
     tokenizer, mark, seen = _MEMO[spec.value]
-    cut = [(t or "").encode().split() for t in texts]
+    cut = [_chunks(t) for t in texts]
     fresh = {c for chunks in cut for c in chunks if c not in seen}
     if len(seen) + len(fresh) > MEMORY:
         seen.clear()

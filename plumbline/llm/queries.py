@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, forest, licenses, packing, sharding, simhash, sketch, toxicity, warc
-from plumbline.llm.common import table
+from plumbline.llm import bpe, forest, licenses, packing, sharding, simhash, sketch, substrings, toxicity, warc
+from plumbline.llm.common import WORD_BREAK, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +56,25 @@ def kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query(
+    "op4_suffix_tree_dedup",
+    r"""
+    WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    g AS (SELECT doc_id, p, array_to_string(ws[p:p + 12], ' ') AS k FROM w, unnest(range(1, len(ws) - 11)) AS t(p)),
+    m AS (SELECT k, min(doc_id) AS first FROM g GROUP BY k HAVING min(doc_id) < max(doc_id)),
+    r AS (SELECT doc_id, p FROM g JOIN m USING (k) WHERE first < doc_id),
+    c AS (SELECT DISTINCT doc_id, q FROM r, unnest(range(p, p + 13)) AS t(q)),
+    k AS (SELECT doc_id, list(q) AS gone FROM c GROUP BY doc_id)
+    SELECT w.doc_id, len(ws) AS n_words, coalesce(len(gone), 0) AS n_removed,
+      sha256(array_to_string(list_filter(ws, lambda x, i: gone IS NULL OR NOT list_contains(gone, i)), ' ')) AS kept_sha256
+    FROM w LEFT JOIN k ON w.doc_id = k.doc_id""",
+)
+def suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), WORD_BREAK, " "))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(words.cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op5_simhash_popcount_grid")
 def simhash_popcount_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_classes(table(spark, sf_dir, "documents"))
