@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,3 +124,8 @@ def toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_prefix_forest")
 def prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"), "id % 50 = 0")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
