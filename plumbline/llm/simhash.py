@@ -34,6 +34,7 @@ from plumbline.llm.common import Scratch, sliced
 from plumbline.llm.components import components
 
 MOST = 2048
+FEW = 32
 Layout = list[tuple[list[list[int]], bool]]
 """Blocks: (segments as lists of bit numbers, whether to look one step up)."""
 
@@ -97,13 +98,17 @@ def fingerprints(docs: DataFrame, words: int, bits: int = 64, id_col: str = "doc
 
 
 def span(home: np.ndarray, looks: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
-    """Links that span the graph of homes with each other and with looks at a distance of at most ``radius``.
+    """Links that span the graph of homes with each other and with looks at a distance of at most ``radius``; all links of a few.
 
     Numbers below len(home) are homes, the others looks.
     """
     every = np.concatenate([home, looks])
     n = len(home)
     near = np.bitwise_count(every[:, None, :] ^ home[None, :, :]).sum(axis=2) <= radius
+    if len(every) <= FEW:
+        i, j = np.nonzero(near)
+        i, j = i[i > j], j[i > j]
+        return j.tolist(), i.tolist()
     a: list[int] = []
     b: list[int] = []
     fresh = np.ones(len(every), bool)
@@ -241,31 +246,64 @@ def links(fps: DataFrame, radius: int, layout: Layout, bits: int = 64, most: int
 
 
 def near_classes(
-    docs: DataFrame, words: int = 3, radius: int = 3, layout: Layout | None = None, bits: int = 64, id_col: str = "doc_id", text_col: str = "text", most: int = MOST
+    docs: DataFrame,
+    words: int = 3,
+    radius: int = 3,
+    layout: Layout | None = None,
+    bits: int = 64,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most: int = MOST,
+    similarity: float | None = None,
 ) -> DataFrame:
-    """(id, fp, component): component is the smallest id among the documents reachable over links."""
+    """(id, fp, component): component is the smallest id among the documents reachable over links.
+
+    With ``similarity`` a link also needs that Jaccard similarity of the two shingle sets, computed exactly.
+    """
     work = Scratch(docs.sparkSession, "simhash")
     held = work.write(fingerprints(docs, words, bits, id_col, text_col), "fingerprints")
-    roots = components(links(held, radius, layout or halves_layout(), bits, most), "simhash-components")
     first = held.groupBy("fp").agg(F.min(id_col).alias("least"))
+    pairs = links(held, radius, layout or halves_layout(), bits, most)
+    if similarity is not None:
+        pairs = work.write(pairs, "pairs")
+        pairs = _similar(docs, first, pairs, words, similarity, id_col, text_col, work)
+    roots = components(pairs, "simhash-components")
     rooted = first.join(roots, first["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     whole = rooted.groupBy("root").agg(F.min("least").alias("component"))
     named = rooted.join(whole, "root").select("fp", "component")
     return held.join(named, "fp").select(id_col, "fp", "component")
 
 
+def _similar(docs: DataFrame, first: DataFrame, pairs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, work: Scratch) -> DataFrame:
+    """The pairs whose documents' shingle sets reach the similarity.  A fingerprint stands for the document with its smallest id."""
+    nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    wanted = first.join(nodes, "fp", "left_semi").select("fp", F.col("least").alias("__least"))
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(wanted, F.col("id") == F.col("__least")).select("fp", "text")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text"):
+            got = [np.unique(shingle_hashes(t, words)).astype(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(got, pa.list_(pa.int64()))], ["fp", "hashes"])
+
+    held = work.write(texts.mapInArrow(sets, "fp binary, hashes array<long>").dropDuplicates(["fp"]), "sets")
+    both = pairs.join(held.select(F.col("fp").alias("a"), F.col("hashes").alias("x")), "a").join(held.select(F.col("fp").alias("b"), F.col("hashes").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
+
+
 def blocks_for(share: float, width: int, recall: float) -> int:
     """Blocks that find a pair differing in ``share`` of its bits with probability ``recall``."""
     return math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** width))
 
 
-# five-word shingles on 256 bits: Jaccard similarity 0.8 is a cosine of 0.89, hence 37 differing bits on average, with a deviation of 6
-CORPUS_WORDS, CORPUS_BITS, CORPUS_RADIUS, CORPUS_WIDTH, CORPUS_BLOCKS = 5, 256, 46, 22, 64
+# five-word shingles on 128 bits: Jaccard similarity 0.8 is a cosine of 0.89, hence 19 differing bits on average, with a deviation of 4
+CORPUS_WORDS, CORPUS_SIMILARITY, CORPUS_BITS, CORPUS_RADIUS, CORPUS_WIDTH, CORPUS_BLOCKS = 5, 0.8, 128, 27, 22, 64
 
 
 def keep_one(
     docs: DataFrame,
     words: int = CORPUS_WORDS,
+    similarity: float = CORPUS_SIMILARITY,
     bits: int = CORPUS_BITS,
     radius: int = CORPUS_RADIUS,
     layout: Layout | None = None,
@@ -274,13 +312,13 @@ def keep_one(
 ) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id (null ids last), then the smallest hash of its text.
 
-    The default finds pairs of Jaccard similarity 0.8 or more on five-word shingles: of two texts at just 0.8 with probability 0.87 for the meeting in a block
-    times 0.94 for the distance, rising to 0.99 and more from 0.87 on; exact copies always.
+    Near copies have a Jaccard similarity of at least ``similarity`` on shingles of ``words`` words.  Exact copies are always found; a pair of
+    just 0.8 meets in one of the sampled blocks with probability 0.87, one of 0.9 with 0.998.
     """
     layout = layout or sampled_layout(bits, CORPUS_WIDTH, CORPUS_BLOCKS)
     unknown, known, hashed = F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
     keyed = docs.select(F.struct(unknown.alias("unknown"), known.alias("id"), hashed.alias("hash")).alias("__key"), F.col(f"`{text_col}`").alias("__text"))
-    classes = near_classes(keyed, words, radius, layout, bits, "__key", "__text")
+    classes = near_classes(keyed, words, radius, layout, bits, "__key", "__text", similarity=similarity)
     kept = classes.where(F.col("__key") == F.col("component")).select(F.col("__key.id").alias("__id"), F.col("__key.hash").alias("__hash")).distinct()
     rows = docs.withColumn("__h", hashed)
     rows = rows.join(kept, known.eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash")), "left_semi")
