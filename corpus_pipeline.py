@@ -16,13 +16,12 @@ from plumbline.llm import packing, simhash, substrings, toxicity
 from plumbline.llm.common import Scratch, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-REJECT = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not hold for toxic."""
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.corpus_categories())
-    return chain.score(docs).where(F.col("p_toxic") < REJECT).select(*docs.columns)
+    return chain.score(docs).where(F.col("p_toxic") < toxicity.REJECT).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ def toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.corpus_categories())
     scored = chain.score(docs.select("doc_id", "text"))
-    return scored.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+    return scored.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= toxicity.REJECT).alias("toxic"))
 
 
 @query("op10_prefix_forest")

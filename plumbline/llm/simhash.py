@@ -297,7 +297,14 @@ def blocks_for(share: float, width: int, recall: float) -> int:
 
 
 # five-word shingles on 128 bits: Jaccard similarity 0.8 is a cosine of 0.89, hence 19 differing bits on average, with a deviation of 4
-CORPUS_WORDS, CORPUS_SIMILARITY, CORPUS_BITS, CORPUS_RADIUS, CORPUS_WIDTH, CORPUS_BLOCKS = 5, 0.8, 128, 27, 22, 64
+CORPUS_WORDS, CORPUS_SIMILARITY, CORPUS_BITS, CORPUS_RADIUS, CORPUS_SHARE, CORPUS_RECALL = 5, 0.8, 128, 27, 0.145, 0.95
+
+
+def corpus_layout(rows: int, bits: int = CORPUS_BITS, share: float = CORPUS_SHARE, recall: float = CORPUS_RECALL) -> Layout:
+    """Sampled blocks for a number of rows: blocks two bits wider than its logarithm, so that chance meetings stay in proportion to
+    the rows, and as many of them as the recall needs for a pair that differs in ``share`` of its bits."""
+    width = min(bits // 2, 2 + max(14, rows.bit_length()))
+    return sampled_layout(bits, width, blocks_for(share, width, recall))
 
 
 def keep_one(
@@ -313,9 +320,9 @@ def keep_one(
     """One document of each group of near copies: the one with the smallest id (null ids last), then the smallest hash of its text.
 
     Near copies have a Jaccard similarity of at least ``similarity`` on shingles of ``words`` words.  Exact copies are always found; a pair of
-    just 0.8 meets in one of the sampled blocks with probability 0.87, one of 0.9 with 0.998.
+    just 0.8 meets in one of the sampled blocks with probability 0.95, one of 0.9 with over 0.99.
     """
-    layout = layout or sampled_layout(bits, CORPUS_WIDTH, CORPUS_BLOCKS)
+    layout = layout or corpus_layout(docs.count(), bits)
     unknown, known, hashed = F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
     keyed = docs.select(F.struct(unknown.alias("unknown"), known.alias("id"), hashed.alias("hash")).alias("__key"), F.col(f"`{text_col}`").alias("__text"))
     classes = near_classes(keyed, words, radius, layout, bits, "__key", "__text", similarity=similarity)
