@@ -105,12 +105,12 @@ def check_mask_tokens(df: DataFrame, text: str, markers: Sequence[str]) -> DataF
     return df.withColumn("missing_markers", F.array_join(lost, ",")).where("missing_markers <> ''")
 
 
-def conversations_to_turns(df: DataFrame, max_turns: int = 1000) -> DataFrame:
-    """Ordered messages per conversation.
+def conversations_to_turns(df: DataFrame, max_turns: int | None = None) -> DataFrame:
+    """Ordered messages, one row per conversation (chunk 0); turns without a number come first.
 
-    A conversation longer than ``max_turns`` continues in further chunks, so no row grows without bound.
+    A caller that wants rows of bounded size gives ``max_turns``: turn numbers are then cut at its multiples.
     """
-    chunk = F.floor(F.col("turn") / max_turns).cast("int").alias("chunk")
+    chunk = (F.lit(0) if max_turns is None else F.coalesce(F.floor(F.col("turn") / max_turns), F.lit(0)).cast("int")).alias("chunk")
     g = df.groupBy("conv_id", chunk).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("__m"))
     messages = F.transform("__m", lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content")))
     return g.select("conv_id", "chunk", messages.alias("messages"), F.size("__m").alias("n_turns"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 from itertools import combinations
@@ -167,7 +168,24 @@ def davies_bouldin(df: DataFrame, array_col: str, cluster: str) -> DataFrame:
     return df.sparkSession.createDataFrame([(sum(worst.values()) / len(worst),)], "v double").select(rnd(F.col("v")).alias("davies_bouldin"))
 
 
-def silhouette_sample(df: DataFrame, array_col: str, cluster: str, id_col: str, n: int = 300) -> DataFrame:
+def silhouette_full(df: DataFrame, array_col: str, cluster: str) -> DataFrame:
+    """Mean silhouette of all rows on squared distances: the moments of each cluster replace the pairs, so cost is rows times clusters."""
+    x = F.transform(array_col, lambda v: v.cast("double"))
+    rows = df.select(F.col(cluster).alias("c"), x.alias("x"), F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v).alias("q"))
+    sums = rows.select("c", "q", F.posexplode("x").alias("i", "v")).groupBy("c", "i").agg(F.sum("v").alias("s")).groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda z: z["s"]).alias("s"))
+    sizes = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("q").alias("sq"))
+    each = F.collect_list(F.struct(F.col("c").alias("k"), "n", "s", "sq"))
+    table = sums.join(sizes, "c").agg(each.alias("t"))  # one row, clusters x columns numbers
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda p, q: p + q)
+    total = lambda k: k["n"] * F.col("q") + k["sq"] - 2 * dot(F.col("x"), k["s"])
+    scored = rows.withColumn("__one", F.lit(1)).join(F.broadcast(table.withColumn("__one", F.lit(1))), "__one").select(
+        F.aggregate(F.filter("t", lambda k: k["k"] == F.col("c")), F.lit(None).cast("double"), lambda a, k: F.when(k["n"] > 1, total(k) / (k["n"] - 1))).alias("a"),
+        F.array_min(F.transform(F.filter("t", lambda k: k["k"] != F.col("c")), lambda k: total(k) / k["n"])).alias("b"))
+    value = F.when(F.col("a").isNull() | F.col("b").isNull() | (F.greatest("a", "b") <= 0), 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return scored.agg(F.count(F.lit(1)).alias("n"), rnd(F.avg(value)).alias("silhouette"))
+
+
+def silhouette_sample(df: DataFrame, array_col: str, cluster: str, id_col: str, n: int) -> DataFrame:
     """Exact pairwise silhouette of a hash sample of ``n`` rows (the sample size is the feature: cost is n squared).
 
     The sample is collected to the driver as literals of bounded size and compared inside Arrow batches.
@@ -285,7 +303,7 @@ def _dense_counts(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, e
     return pts.join(outside, "pid", "left").withColumn("n_within", F.col("cell_n") + F.coalesce("out_n", F.lit(0)))
 
 
-def _link_cells(core: DataFrame, cols: Sequence[str], eps: float, max_levels: int = 60) -> DataFrame:
+def _link_cells(core: DataFrame, cols: Sequence[str], eps: float) -> DataFrame:
     """Pairs of neighbouring core cells that hold points within ``eps`` of each other: ``(a, b)`` both ways.
 
     Points are never paired.  Cells are compared by the bounding boxes of their points: boxes that lie wholly
@@ -316,7 +334,7 @@ def _link_cells(core: DataFrame, cols: Sequence[str], eps: float, max_levels: in
     left = sided(first, "a").withColumn("m", moves).withColumns({f"b_k{i}": F.col(f"a_k{i}") + F.col(f"m.o{i}") for i in dims}).drop("m")
     state = judged(left.join(sided(first, "b"), [f"b_k{i}" for i in dims]).where("cell_a < cell_b"))
     edges = state.where("sure").select("cell_a", "cell_b").distinct()
-    for level in range(1, max_levels + 1):
+    for level in itertools.count(1):
         open_pairs = state.where("not sure").join(edges, ["cell_a", "cell_b"], "left_anti")
         if open_pairs.isEmpty():
             both = edges.select(F.col("cell_a").alias("a"), F.col("cell_b").alias("b"))
@@ -327,10 +345,9 @@ def _link_cells(core: DataFrame, cols: Sequence[str], eps: float, max_levels: in
             parents = parents.join(child, [f"cell_{x}", *[f"{x}_p{i}" for i in dims]])
         state = judged(parents)
         edges = edges.unionByName(state.where("sure").select("cell_a", "cell_b")).distinct().checkpoint()
-    raise RuntimeError("some cells stayed undecided")
 
 
-def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_points: int, max_rounds: int = 50) -> DataFrame:
+def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_points: int) -> DataFrame:
     """Density clusters for low-dimensional data: ``(id, cluster)`` with noise -1; cluster ids are the lowest row id in it.
 
     Core cells (cells of side eps / sqrt(d) holding a core point) are the nodes: all core points of a cell
@@ -348,7 +365,7 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_poin
     core = core.join(cells, g)
     edges = _link_cells(core, cols, eps)
     labels = cells.select("cell", F.col("cell").alias("label"))
-    for _ in range(max_rounds):
+    while True:  # labels only fall, so this ends
         near = edges.join(labels.select(F.col("cell").alias("b"), "label"), "b").groupBy(F.col("a").alias("cell")).agg(F.min("label").alias("m"))
         step = labels.join(near, "cell", "left").select("cell", "label", F.least("label", F.coalesce("m", "label")).alias("new"))
         jump = step.select(F.col("cell").alias("new"), F.col("new").alias("further"))
@@ -356,8 +373,6 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_poin
         labels = nxt.select("cell", "label")
         if nxt.where("old <> label").isEmpty():
             break
-    else:
-        raise RuntimeError("labels did not settle: raise max_rounds")
     labelled = core.join(labels, "cell").select("pid", *cols, "n", *g, "label")
     border = pts.where("not core")  # such a cell holds fewer than min_points rows
     inner = border.join(labelled.groupBy(*g).agg(F.min("label").alias("label")), g).select("pid", "label")
@@ -407,14 +422,10 @@ def isolation_forest(df: DataFrame, id_col: str, cols: Sequence[str], trees: int
     """
     n = df.count()
     x = [F.col(c).cast("double").alias(c) for c in cols]
-    wanted = 2 * trees * sample
-    if n > wanted:
-        # a pool of about `wanted` rows is picked by hash and dealt to the trees: no row is multiplied
-        pool = df.select(id_col, *x, h32(F.lit("pool"), id_col).alias("__h")).where(F.col("__h") < wanted / n * 4294967296.0)
-        drawn = pool.withColumn("__t", F.pmod(h32(F.lit("deal"), id_col), F.lit(trees)).cast("int"))
-    else:
-        each = df.select(id_col, *x, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("__t"))
-        drawn = each.withColumn("__h", h32(F.lit("tree"), "__t", id_col))
+    # each tree draws rows whose own hash for it lies below one threshold, twice as many as it keeps, in the same way at every size
+    part = min(1.0, 2.0 * sample / max(n, 1))
+    tries = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("__t"), F.pmod(F.xxhash64(F.lit("tree"), t, F.col(id_col)), F.lit(1 << 32)).alias("__h")))
+    drawn = df.select(id_col, *x, F.inline(F.filter(tries, lambda v: v["__h"] < part * (1 << 32))))
     w = Window.partitionBy("__t").orderBy("__h", id_col)
     bounded = drawn.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= sample)
     names, limit = list(cols), int(math.ceil(math.log2(max(2, min(sample, n)))))

@@ -80,7 +80,7 @@ def inject_label_noise(
     swap: tuple[str, str],
     rates: dict[str, float],
     unknown: str = "MISC",
-    copy_cells: int = 64,
+    copy_cells: int | None = None,
 ) -> DataFrame:
     """Corrupt labels and text on disjoint hash ranges of rows; the truth is kept.
 
@@ -88,6 +88,8 @@ def inject_label_noise(
     swapped, empty text, text copied from another row with a different label, a label outside the list.
     Returns ``(row_id, data, untrustworthy_label, label_true, corruption)``.
     """
+    # as many source texts as the planted copies call for, 64 at least
+    copy_cells = copy_cells or max(64, int(df.count() * rates.get("structural_dup", 0.0) / 16))
     n = len(labels)
     names = F.array(*[F.lit(x) for x in labels])
     u = unit(F.lit("noise"), row_id)
@@ -117,9 +119,9 @@ def inject_label_noise(
         F.pmod(h32(F.lit("cell"), "row_id"), F.lit(copy_cells)).alias("cell"))
     # One source row per hash cell: an equi-join finds the copied text, no global sort is needed.
     source = (base.where((c == "clean") & (F.length("data") > 0)).groupBy("cell")
-              .agg(F.min_by(F.struct("data", "noisy"), "row_id").alias("src")))
+              .agg(F.min_by(F.struct("data", "noisy"), "row_id").alias("src")).withColumnRenamed("cell", "__cell"))
     copied = (c == "structural_dup") & F.col("src").isNotNull()
-    return base.join(source, "cell", "left").select(
+    return base.join(source, F.when(c == "structural_dup", F.col("cell")).eqNullSafe(F.col("__cell")), "left").select(
         "row_id",
         F.when(copied, F.col("src.data")).otherwise(F.col("data")).alias("data"),
         F.when(copied & (F.col("noisy") == F.col("src.noisy")), shifted(F.col("src.noisy"), 1))

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 import math
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,16 +52,23 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns(out)
 
 
-def one_hot(df: DataFrame, column: str, categories: Sequence[str] | None = None, limit: int = 1000) -> DataFrame:
-    """One 0/1 column per category of the fit; an unseen or missing value is all zeros."""
+def one_hot(df: DataFrame, column: str, categories: Sequence[str] | None = None) -> DataFrame:
+    """One 0/1 column per category of the fit; an unseen or missing value is all zeros.
+
+    Without ``categories`` the column's own values are listed, as each becomes a column; ``one_hot_sparse`` has one vector column instead.
+    """
     if categories is None:
-        got = df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()
-        if len(got) > limit:
-            raise ValueError(f"{column} has more than {limit} categories: use encode_hash or encode_target")
-        categories = sorted(r[column] for r in got)
+        categories = sorted(r[column] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
     return df.withColumns({f"{column}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in categories})
 
 
+def one_hot_sparse(df: DataFrame, column: str) -> DataFrame:
+    """``<column>_onehot``: a sparse vector with one place per category, all zeros for a missing value; for any number of categories."""
+    index = StringIndexer(inputCol=column, outputCol="__i", handleInvalid="keep", stringOrderType="alphabetAsc").fit(df.where(F.col(column).isNotNull()))
+    coded = index.transform(df)
+    return OneHotEncoder(inputCol="__i", outputCol=f"{column}_onehot", dropLast=True).fit(coded).transform(coded).drop("__i")
+
+
 def encode_frequency(df: DataFrame, column: str) -> DataFrame:
     """Share of rows holding the same value."""
     total = df.agg(F.count(column)).scalar()
@@ -88,19 +96,19 @@ def encode_hash(df: DataFrame, column: str, buckets: int) -> DataFrame:
 
 def transform_log(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """log(1 + x) for x > -1, else NULL."""
-    return df.withColumns({c: F.log1p(F.when(F.col(c) > -1, F.col(c).cast("double"))) for c in columns})
+    return df.withColumns({c: F.log1p(F.when(as_number(df, c) > -1, as_number(df, c).cast("double"))) for c in columns})
 
 
 def winsorize(df: DataFrame, columns: Sequence[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
     q = exact_quantiles(_doubles(df, columns), columns, [low, high])
-    return df.withColumns({c: F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c).cast("double"), F.lit(q[(c,)][0])), F.lit(q[(c,)][1])))
+    return df.withColumns({c: F.when(as_number(df, c).isNotNull(), F.least(F.greatest(as_number(df, c).cast("double"), F.lit(q[(c,)][0])), F.lit(q[(c,)][1])))
                            for c in columns})
 
 
 def robust_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(x - median) / IQR; a zero IQR divides by 1."""
     q = exact_quantiles(_doubles(df, columns), columns, [0.25, 0.5, 0.75])
-    return df.withColumns({c: (F.col(c).cast("double") - F.lit(q[(c,)][1])) / F.lit((q[(c,)][2] - q[(c,)][0]) or 1.0) for c in columns})
+    return df.withColumns({c: (as_number(df, c).cast("double") - F.lit(q[(c,)][1])) / F.lit((q[(c,)][2] - q[(c,)][0]) or 1.0) if q[(c,)][1] is not None else F.lit(None).cast("double") for c in columns})
 
 
 def box_cox_grid(df: DataFrame, column: str, lambdas: Sequence[float]) -> DataFrame:

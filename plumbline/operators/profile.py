@@ -164,8 +164,8 @@ def profile_cardinality(df: DataFrame, columns: Sequence[str] | None = None, exa
 def find_near_constant(df: DataFrame, limit: float = NEAR_CONSTANT_LIMIT) -> DataFrame:
     """Columns whose most frequent value covers more than ``limit`` (at least one half) of the non-null rows.
 
-    A value that frequent is always the top entry of a frequent-items sketch, so the sketch only proposes
-    one candidate per column and a second pass counts it exactly; values are never shuffled.
+    A value that frequent among the non-null rows is one of the two top entries of a frequent-items sketch, which counts NULL as
+    an item too.  So the sketch only proposes one candidate per column and a second pass counts it exactly; values are never shuffled.
     """
     if limit < 0.5:
         raise ValueError("a candidate is only certain for shares of at least one half")
@@ -177,7 +177,7 @@ def find_near_constant(df: DataFrame, limit: float = NEAR_CONSTANT_LIMIT) -> Dat
         return x.cast("string") if isinstance(dtype, (T.TimestampNTZType, T.DecimalType)) else x
 
     named = df.select(*[plain(c).alias(c) for c in usable])
-    top = named.agg(*[F.expr(f"approx_top_k(`{c}`, 1, 1000)").alias(f"t{i}") for i, c in enumerate(usable)]).first()
+    top = named.agg(*[F.expr(f"approx_top_k(`{c}`, 2, 1000)").alias(f"t{i}") for i, c in enumerate(usable)]).first()
     candidates = {}
     for i, c in enumerate(usable):
         items = [x for x in (top[f"t{i}"] or []) if x["item"] is not None]
@@ -330,12 +330,16 @@ def _quantile_bin(x: Column, edges: Sequence[float]) -> Column:
 def mutual_information(df: DataFrame, target: str, bins: int = 10) -> DataFrame:
     """MI (nats) of each numeric feature, cut at its quantiles, with a discrete target.
 
-    Missing values take the median.  A contingency table replaces the nearest-neighbour estimator of the
+    Missing values take the median; a feature without any value and rows without a target take no part.  A contingency table replaces the nearest-neighbour estimator of the
     single-machine form, so the numbers differ; the ranking serves the same use.
     """
     feats = roles(df, target).features
-    clean = df.select(F.col(target).alias("__y"), *[as_number(df, c).cast("double").alias(c) for c in feats])
+    clean = df.where(F.col(target).isNotNull()).select(F.col(target).alias("__y"), *[as_number(df, c).cast("double").alias(c) for c in feats])
     levels = [i / bins for i in range(1, bins)]
+    held = clean.agg(*[F.count(c).alias(c) for c in feats]).first()
+    feats = [c for c in feats if held[c]]
+    if not feats:
+        return df.sparkSession.createDataFrame([], "feature string, mi double")
     medians = exact_quantiles(clean, feats, [0.5])
     filled = clean.select("__y", *[F.coalesce(F.col(c), F.lit(medians[(c,)][0])).alias(c) for c in feats])
     edges = exact_quantiles(filled, feats, levels)

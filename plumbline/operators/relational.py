@@ -121,8 +121,12 @@ def rank_in_group(df: DataFrame, by: Sequence[str], order: str, name: str = "ran
     and repeated values are counted once.
     """
     cum = running_totals(df, order, {"__n": F.lit(1)}, by=by, descending=True, rows_per_bucket=rows_per_bucket)
-    ranks = cum.select(*by, order, (F.col("cum___n") - F.col("__n") + 1).cast("long").alias(name))
-    return df.join(ranks, [*by, order], "inner")
+    keys = [*by, order]
+    ranks = cum.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], (F.col("cum___n") - F.col("__n") + 1).cast("long").alias(name))
+    same = F.lit(True)
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    return df.join(ranks, same, "inner").select(*keys, *[c for c in df.columns if c not in keys], name)
 
 
 def running_median(df: DataFrame, by: Sequence[str], order: str, tie: str, value: str, width: int = 5) -> DataFrame:

@@ -76,7 +76,7 @@ def _(spark, sf):
     return chat.check_mask_tokens(d, "t", ["<|user|>", "<|assistant|>"]).select("conv_id", "turn", "missing_markers")
 
 
-@query("conversations_to_turns", "SELECT conv_id, (turn // 1000)::INT AS chunk, count(*)::INT AS n_turns, md5(string_agg(role || ': ' || text, '|' ORDER BY turn, role, text)) AS digest FROM conversations GROUP BY 1, 2")
+@query("conversations_to_turns", "SELECT conv_id, 0 AS chunk, count(*)::INT AS n_turns, md5(string_agg(role || ': ' || text, '|' ORDER BY turn, role, text)) AS digest FROM conversations GROUP BY 1, 2")
 def _(spark, sf):
     d = chat.conversations_to_turns(table(spark, sf, "conversations"))
     flat = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "|")

@@ -79,7 +79,14 @@ d AS (SELECT a.vec_id, a.label AS la, b.label AS lb, sqrt(list_sum(list_transfor
 g AS (SELECT vec_id, la, lb, sum(d) AS s, count(*) AS n FROM d GROUP BY 1, 2, 3), f AS (SELECT vec_id, max(CASE WHEN la = lb AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN la <> lb THEN s / n END) AS b FROM g GROUP BY 1)
 SELECT count(*) AS n_sample, {R('avg(coalesce((b - a) / greatest(a, b), 0))')} AS silhouette FROM f""")
 def _(spark, sf):
-    return cl.silhouette_sample(emb(spark, sf), "embedding", "label", "vec_id")
+    return cl.silhouette_sample(emb(spark, sf), "embedding", "label", "vec_id", 300)
+
+
+@query("silhouette_full", f"""WITH d AS (SELECT a.vec_id, a.label AS la, b.label AS lb, list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) ** 2)) AS d FROM embeddings a, embeddings b),
+g AS (SELECT vec_id, la, lb, sum(d) AS s, count(*) AS n FROM d GROUP BY 1, 2, 3), f AS (SELECT vec_id, max(CASE WHEN la = lb AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN la <> lb THEN s / n END) AS b FROM g GROUP BY 1)
+SELECT count(*) AS n, {R('avg(coalesce((b - a) / greatest(a, b), 0))')} AS silhouette FROM f""")
+def _(spark, sf):
+    return cl.silhouette_full(emb(spark, sf), "embedding", "label")
 
 
 @query("kmeans_fit")

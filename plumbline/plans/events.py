@@ -48,11 +48,11 @@ def _(spark, sf):
     return ev.dedupe_receipts(ev.receipts(routed(spark, sf))).drop("delivered_at")
 
 
-def streamed(spark, sf, dedupe):
+def streamed(spark, sf, dedupe, files_per_batch=3):
     src, out, ck = (shared_folder(spark, n) for n in ("events-in", "receipts", "receipts-ck"))
-    messages(spark, sf).write.text(src)
-    r = ev.receipts(ev.route_events(ev.read_event_stream(spark, src), "shop"))
-    ev.run_to_files(ev.dedupe_stream(r) if dedupe else r, out, ck)
+    messages(spark, sf).repartition(8).write.text(src)  # several files, in no order of time
+    r = ev.receipts(ev.route_events(ev.read_event_stream(spark, src, files_per_batch), "shop"))
+    (ev.run_deduped if dedupe else ev.run_to_files)(r, out, ck)
     return spark.read.parquet(out).select("session_id", "email", "bundle", "amount_cents")
 
 
