@@ -45,11 +45,11 @@ def _(spark, sf):
     return _tsv(spark, sf)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("scan_json_events", "SELECT event_id, event_type AS type, value FROM events WHERE event_type <> 'view'")
+@query("scan_json_events", "SELECT event_id, event_type AS type, value FROM events")
 def _(spark, sf):
     path = shared_folder(spark, "json")
     table(spark, sf, "events").select("event_id", C("event_type").alias("type"), "value").write.json(path)
-    return readers.scan_json_events(spark, path, "event_id bigint, type string, value double").where("type <> 'view'")
+    return readers.scan_json_events(spark, path, "event_id bigint, type string, value double")
 
 
 @query("from_rows", "SELECT l_returnflag, meaning, count(*) AS n FROM lineitem JOIN (VALUES ('A', 'accepted'), ('N', 'none'), ('R', 'returned')) t(f, meaning) ON f = l_returnflag GROUP BY 1, 2")

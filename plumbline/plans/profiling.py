@@ -220,12 +220,14 @@ def _fp(cols):
     return H(k)
 
 
-FP_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+FP_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"]
+FP_CENTS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]  # engines print doubles differently, whole hundredths alike
 
 
-@query("dataset_fingerprint", f"SELECT count(*) AS n_rows, sum(h)::BIGINT AS hash_sum, bit_xor(h)::BIGINT AS hash_xor FROM (SELECT {_fp(FP_COLS)} AS h FROM lineitem)")
+@query("dataset_fingerprint", f"SELECT count(*) AS n_rows, sum(h)::BIGINT AS hash_sum, bit_xor(h)::BIGINT AS hash_xor FROM (SELECT {_fp(FP_COLS + [f'round({c} * 100)::BIGINT' for c in FP_CENTS])} AS h FROM lineitem)")
 def _(spark, sf):
-    return profile.dataset_fingerprint(table(spark, sf, "lineitem"), FP_COLS)
+    df = table(spark, sf, "lineitem").withColumns({c: F.round(F.col(c) * 100).cast("long") for c in FP_CENTS})
+    return profile.dataset_fingerprint(df, FP_COLS + FP_CENTS)
 
 
 @query("feature_target_grid", f"""WITH r AS (SELECT min(l_quantity) AS xl, max(l_quantity) AS xh, min(l_extendedprice) AS yl, max(l_extendedprice) AS yh FROM lineitem)

@@ -65,7 +65,10 @@ def _(spark, sf):
         v.isNull().alias("is_missing"), F.coalesce(v, F.lit(0.0)).alias("filled"))
 
 
-@query("schema_of")
+TYPES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
+
+
+@query("schema_of", " UNION ALL ".join(f"""SELECT '{c}' AS "column", '{t}' AS type, count({c}) AS n_valid FROM lineitem""" for c, t in TYPES.items()))
 def _(spark, sf):
     return rel.schema_of(table(spark, sf, "lineitem"))
 
@@ -90,12 +93,15 @@ def _(spark, sf):
     return table(spark, sf, "orders").orderBy(C("o_totalprice").desc(), "o_orderkey").limit(50).select("o_orderkey", "o_totalprice")
 
 
-JOIN = "SELECT o_orderkey, c_custkey, c_name, o_totalprice FROM (SELECT * FROM orders WHERE o_totalprice > 100000) {how} JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey"
+# one order in seven and one customer in five get a key that nothing matches
+JOIN = """SELECT o_orderkey, c_custkey, c_name, o_totalprice FROM (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 7 = 0 THEN -1 - o_custkey ELSE o_custkey END AS k FROM orders) {how} JOIN
+ (SELECT CASE WHEN c_custkey % 5 = 0 THEN 1000000000 + c_custkey ELSE c_custkey END AS c_custkey, c_name FROM customer) ON k = c_custkey"""
 for _how, _sql in (("left", "LEFT"), ("inner", "INNER"), ("right", "RIGHT"), ("full_outer", "FULL OUTER")):
     def _join(spark, sf, how=_how):
-        o = table(spark, sf, "orders").where("o_totalprice > 100000").select("o_orderkey", "o_custkey", "o_totalprice")
-        c = table(spark, sf, "customer").where("c_acctbal > 0").select("c_custkey", "c_name")
-        return o.join(c, o.o_custkey == c.c_custkey, how).select("o_orderkey", "c_custkey", "c_name", "o_totalprice")
+        key = F.when(C("o_orderkey") % 7 == 0, -1 - C("o_custkey")).otherwise(C("o_custkey"))
+        o = table(spark, sf, "orders").select("o_orderkey", key.alias("k"), "o_totalprice")
+        c = table(spark, sf, "customer").select(F.when(C("c_custkey") % 5 == 0, 1000000000 + C("c_custkey")).otherwise(C("c_custkey")).alias("c_custkey"), "c_name")
+        return o.join(c, o.k == c.c_custkey, how).select("o_orderkey", "c_custkey", "c_name", "o_totalprice")
 
     query(f"join_{'outer' if _how == 'full_outer' else _how}", JOIN.format(how=_sql))(_join)
 
@@ -112,9 +118,9 @@ def _(spark, sf):
 
 
 @query("join_full_fill0", """SELECT k AS user_id, coalesce(a.n_buy, 0) AS n_buy, coalesce(b.n_error, 0) AS n_error FROM
- (SELECT user_id AS k, count(*) AS n_buy FROM events WHERE event_type = 'purchase' AND value > 20 GROUP BY 1) a FULL JOIN (SELECT user_id AS k, count(*) AS n_error FROM events WHERE event_type = 'error' AND value > 20 GROUP BY 1) b USING (k)""")
+ (SELECT user_id AS k, count(*) AS n_buy FROM events WHERE event_type = 'purchase' GROUP BY 1) a FULL JOIN (SELECT user_id AS k, count(*) AS n_error FROM events WHERE event_type = 'error' GROUP BY 1) b USING (k)""")
 def _(spark, sf):
-    e = table(spark, sf, "events").where("value > 20")
+    e = table(spark, sf, "events")
     a = e.where("event_type = 'purchase'").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_buy"))
     b = e.where("event_type = 'error'").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_error"))
     return rel.join_full_fill0(a, b, ["user_id"])
@@ -139,11 +145,11 @@ def _(spark, sf):
     return rel.lookup_longest_prefix_table(table(spark, sf, "part"), "p_name", keys).select("p_partkey", "mapped")
 
 
-@query("pending_judge_calls", f"""WITH f AS (SELECT doc_id AS row_id, sha256('check: ' || text) AS prompt_hash FROM documents WHERE lang = 'en'),
+@query("pending_judge_calls", f"""WITH f AS (SELECT doc_id AS row_id, sha256('check: ' || text) AS prompt_hash FROM documents),
 cache AS (SELECT row_id, CASE WHEN row_id % 5 = 0 THEN 'stale' ELSE prompt_hash END AS prompt_hash FROM f WHERE {H(key("'c'", 'row_id'))} % 3 = 0)
 SELECT f.row_id, f.prompt_hash FROM f ANTI JOIN cache USING (row_id, prompt_hash)""")
 def _(spark, sf):
-    f = table(spark, sf, "documents").where("lang = 'en'").select(C("doc_id").alias("row_id"), F.concat(F.lit("check: "), "text").alias("prompt"))
+    f = table(spark, sf, "documents").select(C("doc_id").alias("row_id"), F.concat(F.lit("check: "), "text").alias("prompt"))
     cache = f.where(hash_bucket(3, F.lit("c"), "row_id") == 0).select("row_id", F.when(C("row_id") % 5 == 0, "stale").otherwise(F.sha2("prompt", 256)).alias("prompt_hash"))
     return rel.pending_judge_calls(f, cache).select("row_id", "prompt_hash")
 
@@ -245,9 +251,9 @@ def _(spark, sf):
     return rank_rows(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey").select("o_orderkey", "rank")
 
 
-@query("sort_rows", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_quantity > 45 ORDER BY l_extendedprice DESC, l_orderkey, l_partkey, l_suppkey")
+@query("sort_rows", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_partkey, l_suppkey")
 def _(spark, sf):
-    return (table(spark, sf, "lineitem").where("l_quantity > 45").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+    return (table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
             .orderBy(C("l_extendedprice").desc(), "l_orderkey", "l_partkey", "l_suppkey"))
 
 

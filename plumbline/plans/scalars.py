@@ -217,11 +217,13 @@ def _(spark, sf):
     return verdicts(spark, sf)
 
 
-@query("register_functions")
+@query("register_functions", f"""SELECT p_partkey, trim(regexp_replace(p_name, '\\s+', ' ', 'g')) AS name,
+ {R("1 - levenshtein(lower(p_name), lower(p_type))::DOUBLE / greatest(length(p_name), length(p_type))")} AS score,
+ regexp_matches(p_name, '\\b\\d{{3}}-\\d{{2}}-\\d{{4}}\\b')::INT AS ssn, {R("1 / (1 + exp(-(p_size / 50.0::DOUBLE)))")} AS p FROM part""")
 def _(spark, sf):
     library.register_functions(spark)
     table(spark, sf, "part").createOrReplaceTempView("__plumbline_part")
-    return spark.sql("SELECT p_partkey, normalize_ws(p_name) AS name, similarity(p_name, p_type) AS score, contains_ssn(p_name) AS ssn, expit(p_size / 50.0D) AS p FROM __plumbline_part")
+    return spark.sql("SELECT p_partkey, normalize_ws(p_name) AS name, round(similarity(p_name, p_type), 6) AS score, contains_ssn(p_name) AS ssn, round(expit(p_size / 50.0D), 6) AS p FROM __plumbline_part")
 
 
 @query("scalar_udf", "SELECT e.event_id, (e.value * 2 + e.event_id % 3)::DOUBLE AS v FROM events e")
@@ -248,7 +250,7 @@ def _(spark, sf):
     return rolling(e, ["user_id"], "event_id", "event_id", 5, lambda w: {"m": library.window_median(C("value")).over(w)}).select("user_id", "event_id", rnd(C("m")).alias("m"))
 
 
-@query("udf_determinism")
+@query("udf_determinism", "SELECT o_orderkey, o_orderkey * o_orderkey AS sq, true AS stamped FROM orders")
 def _(spark, sf):
     @F.pandas_udf("long")
     def pure(v: pd.Series) -> pd.Series:
@@ -262,14 +264,19 @@ def _(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", pure(C("o_orderkey")).alias("sq"), (impure(C("o_orderkey")) > 0).alias("stamped"))
 
 
-@query("udf_null_rules", "SELECT count(*) AS n, 0::BIGINT AS n_violations FROM orders")
+@query("udf_null_rules", "SELECT o_orderkey, o_orderkey % 3 = 0 AS missing, CASE WHEN o_orderkey % 3 = 0 THEN 14 ELSE 0 END AS n_null FROM orders")
 def _(spark, sf):
     from plumbline.operators.relational import similarity
-    s, n = F.when(C("o_orderkey") < 0, "x"), F.when(C("o_orderkey") < 0, 1.0)
-    outs = [text.normalize_ws(s), text.json_dig(s, "k"), text.safe_multiply(s, F.lit("2")), text.lead_score(n, F.lit(1), F.lit(1)), text.epoch_to_iso(n.cast("long")),
-            text.iso_to_epoch(s), text.contains_ssn(s), text.yn_to_bool(s), text.strip_thinking(s), text.parse_label(s, ["a"]), text.parse_verdict(s),
-            text.logit(n), text.expit(n), similarity(s, F.lit("a"))]
-    bad = F.lit(0)
+    # every third row is missing; the others hold a value that each function has an answer for
+
+    def given(value):
+        return F.when(C("o_orderkey") % 3 != 0, F.lit(value))
+
+    s, n, number = given("VERDICT: YES a"), given(0.25), C("o_orderkey").cast("string")
+    outs = [text.normalize_ws(s), text.json_dig(given('{"k": 1}'), "k"), text.safe_multiply(F.when(s.isNotNull(), number), F.lit("2")), text.lead_score(n, F.lit(1), F.lit(1)),
+            text.epoch_to_iso(n.cast("long")), text.iso_to_epoch(given("2024-01-01T00:00:00+00:00")), text.contains_ssn(s), text.yn_to_bool(s), text.strip_thinking(s),
+            text.parse_label(s, ["a"]), text.parse_verdict(s), text.logit(n), text.expit(n), similarity(s, F.lit("a"))]
+    nulls = F.lit(0)
     for o in outs:
-        bad = bad + o.isNotNull().cast("int")
-    return table(spark, sf, "orders").agg(F.count(F.lit(1)).alias("n"), F.sum(bad).alias("n_violations"))
+        nulls = nulls + o.isNull().cast("int")
+    return table(spark, sf, "orders").select("o_orderkey", (C("o_orderkey") % 3 == 0).alias("missing"), nulls.alias("n_null"))
