@@ -43,10 +43,6 @@ def mixed(h0: Column, h1: Column, k: int) -> Column:
     return F.pmod(h0 * F.lit(a) + h1 * F.lit(b), F.lit(PRIME))
 
 
-def mixed_unit(h0: Column, h1: Column, k: int) -> Column:
-    return mixed(h0, h1, k) / F.lit(float(PRIME))
-
-
 def hash_bucket(k: int, *cols: str | Column) -> Column:
     return F.pmod(h32(*cols), F.lit(k)).cast("int")
 

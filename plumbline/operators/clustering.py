@@ -49,8 +49,8 @@ def gmm_fit(df: DataFrame, array_col: str, k: int, seed: int = 1):
     return GaussianMixture(k=k, seed=seed).fit(with_vector(df, array_col).select("features"))
 
 
-def select_k(df: DataFrame, array_col: str, ks: Sequence[int] = tuple(range(2, 11)), seed: int = 1) -> DataFrame:
-    """Silhouette (Spark's squared-Euclidean form) and inertia per K; ``chosen`` marks the first best silhouette."""
+def select_k(df: DataFrame, array_col: str, ks: Sequence[int] = tuple(range(2, 11)), seed: int = 1, starts: int = 3) -> DataFrame:
+    """Silhouette (Spark's squared-Euclidean form) and inertia per K, of the best of ``starts`` runs by inertia; ``chosen`` marks the first best silhouette."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
 
@@ -58,7 +58,7 @@ def select_k(df: DataFrame, array_col: str, ks: Sequence[int] = tuple(range(2, 1
     try:
         rows = []
         for k in ks:
-            model = KMeans(k=k, seed=seed).fit(data)
+            model = min((KMeans(k=k, seed=seed + i).fit(data) for i in range(starts)), key=lambda m: m.summary.trainingCost)
             rows.append((k, float(ClusteringEvaluator().evaluate(model.transform(data))), float(model.summary.trainingCost)))
     finally:
         data.unpersist()

@@ -93,14 +93,19 @@ def inject_label_noise(
     n = len(labels)
     names = F.array(*[F.lit(x) for x in labels])
     u = unit(F.lit("noise"), row_id)
-    kind, low = F.lit("clean"), 0.0
-    for name in NOISE_KINDS:
-        high = low + rates.get(name, 0.0)
-        hit = (u >= low) & (u < high)
-        if name == "systematic":
-            hit = hit & F.col(label).isin(*swap)
-        kind = F.when(hit, F.lit(name)).otherwise(kind)
-        low = high
+
+    def kind_at(v: Column) -> Column:
+        kind, low = F.lit("clean"), 0.0
+        for name in NOISE_KINDS:
+            high = low + rates.get(name, 0.0)
+            hit = (v >= low) & (v < high)
+            if name == "systematic":
+                hit = hit & F.col(label).isin(*swap)
+            kind = F.when(hit, F.lit(name)).otherwise(kind)
+            low = high
+        return kind
+
+    kind = F.get(F.transform(F.array(u), kind_at), 0)  # the hash is computed once and bound, not once for each comparison
 
     def shifted(start: Column, by: Column | int) -> Column:
         pos = F.array_position(names, start)  # counts from 1

@@ -10,7 +10,7 @@ import random
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
@@ -50,19 +50,32 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> tuple[Pipe
     return model, df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
 
 
-def fit_boosted_binary(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
+def _early(validation: str | None) -> dict[str, str]:
+    return {"validationIndicatorCol": validation} if validation else {}
+
+
+def fit_boosted_binary(df: DataFrame, features: Sequence[str], label: str, validation: str | None = None, **kw) -> PipelineModel:
+    """Boosted trees with balanced weights; boosting ends early when the rows marked by the boolean ``validation`` stop improving."""
     data = class_weights_balanced(df, label)
-    return Pipeline(stages=[*_assemble(features, False), GBTClassifier(labelCol=label, weightCol="weight", seed=1, **kw)]).fit(data)
+    return Pipeline(stages=[*_assemble(features, False), GBTClassifier(labelCol=label, weightCol="weight", seed=1, **_early(validation), **kw)]).fit(data)
 
 
 def fit_boosted_multiclass(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
-    """Random forest with balanced weights (Spark's boosting is binary only)."""
+    """One boosted binary learner for each class against the rest, with balanced weights; the surest class wins."""
+    data = class_weights_balanced(df, label)
+    each = GBTClassifier(seed=1, **kw)
+    return Pipeline(stages=[*_assemble(features, False), OneVsRest(classifier=each, labelCol=label, weightCol="weight")]).fit(data)
+
+
+def fit_forest_multiclass(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
+    """Random forest with balanced weights."""
     data = class_weights_balanced(df, label)
     return Pipeline(stages=[*_assemble(features, False), RandomForestClassifier(labelCol=label, weightCol="weight", seed=1, **kw)]).fit(data)
 
 
-def fit_boosted_regression(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
-    return Pipeline(stages=[*_assemble(features, False), GBTRegressor(labelCol=label, seed=1, **kw)]).fit(df)
+def fit_boosted_regression(df: DataFrame, features: Sequence[str], label: str, validation: str | None = None, **kw) -> PipelineModel:
+    """Boosted trees; ``lossType='absolute'`` fits the median, ``validation`` ends boosting early."""
+    return Pipeline(stages=[*_assemble(features, False), GBTRegressor(labelCol=label, seed=1, **_early(validation), **kw)]).fit(df)
 
 
 def fit_quantile_bounds(train: DataFrame, df: DataFrame, features: Sequence[str], label: str, low: float = 0.05, high: float = 0.95, depth: int = 5) -> DataFrame:
@@ -175,13 +188,15 @@ def batch_predict(path: str, df: DataFrame, threshold: float = 0.5) -> DataFrame
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
-def tfidf_features(df: DataFrame, id_col: str, text: str, min_df: int = 2, max_features: int = 15_000) -> DataFrame:
+def tfidf_features(df: DataFrame, id_col: str, text: str, min_df: int = 2, max_features: int = 15_000, stop_words: Sequence[str] = ()) -> DataFrame:
     """Sparse rows ``(id, term, weight)`` of 1- and 2-grams with smooth idf ln((1 + n) / (1 + df)) + 1 and unit length.
 
     Terms in fewer than ``min_df`` documents are dropped, then the ``max_features`` most frequent are kept
-    (ties by term).
+    (ties by term).  ``stop_words`` go before 2-grams are formed.
     """
     tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), F.lit(0))
+    if stop_words:
+        tokens = F.filter(tokens, lambda w: ~w.isin(list(stop_words)))
     words = df.select(id_col, tokens.alias("__w"))
     bigrams = F.zip_with(F.slice("__w", 1, F.greatest(F.size("__w") - 1, F.lit(0))), F.slice("__w", 2, F.greatest(F.size("__w") - 1, F.lit(1))),
                          lambda a, b: F.concat(a, F.lit(" "), b))

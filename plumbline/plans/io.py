@@ -6,7 +6,6 @@ from plumbline.functions.core import hash_bucket, rnd
 from plumbline.plans.registry import H, R, key, query, table
 from plumbline.session import shared_folder
 from plumbline.sources import readers, writers
-from plumbline.streaming.events import EVENT_SCHEMA
 
 C = F.col
 

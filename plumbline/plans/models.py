@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.core import hash_bucket, rnd, unit
 from plumbline.operators import models as md
 from plumbline.plans.fixtures import ML_LABELS, multilabel_wide, scored
-from plumbline.plans.registry import R, query, spread, table
+from plumbline.plans.registry import H, R, key, query, spread, table
 from plumbline.session import shared_folder
 
 C = F.col
@@ -44,23 +44,27 @@ def _(spark, sf):
     return table(spark, sf, "lineitem").agg(rnd(F.regr_slope("l_extendedprice", "l_quantity"), 4).alias("slope"), rnd(F.regr_intercept("l_extendedprice", "l_quantity"), 2).alias("intercept"))
 
 
-@query("fit_boosted_binary")
+# fold 0 fits, fold 1 decides when to stop, fold 2 is scored
+@query("fit_boosted_binary", f"SELECT event_id, (event_type = 'purchase')::INT AS y, true AS scored FROM events WHERE {H(key(chr(39) + 'fold' + chr(39), 'event_id'))} % 3 = 2")
 def _(spark, sf):
-    d = events_xy(spark, sf)
-    return md.probability(md.fit_boosted_binary(d, FEATS, "y", maxIter=5, maxDepth=3).transform(d)).select("event_id", "y", "score")
+    d = events_xy(spark, sf).withColumn("valid", C("fold") == 1)
+    model = md.fit_boosted_binary(d.where("fold < 2"), FEATS, "y", "valid", maxIter=5, maxDepth=3)
+    return md.probability(model.transform(d.where("fold = 2"))).select("event_id", "y", C("score").between(0, 1).alias("scored"))
 
 
 @query("fit_boosted_multiclass")
 def _(spark, sf):
     d = lines_xy(spark, sf)
-    return md.fit_boosted_multiclass(d, LINE_FEATS, "flag", numTrees=10, maxDepth=4).transform(d).groupBy("flag", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    return md.fit_boosted_multiclass(d, LINE_FEATS, "flag", maxIter=3, maxDepth=3).transform(d).groupBy("flag", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("fit_boosted_regression")
 def _(spark, sf):
     from plumbline.operators.regression import regression_metrics
     d = lines_xy(spark, sf)
-    p = md.fit_boosted_regression(d, LINE_FEATS, "price", maxIter=5, maxDepth=3).transform(d)
+    d = d.withColumn("fold", F.pmod(F.xxhash64(*LINE_FEATS, "price"), F.lit(5)))
+    model = md.fit_boosted_regression(d.where("fold < 4").withColumn("valid", C("fold") == 3), LINE_FEATS, "price", "valid", maxIter=5, maxDepth=3, lossType="absolute")
+    p = model.transform(d.where("fold = 4"))
     return regression_metrics(p.select(C("price").alias("y"), C("prediction").alias("yhat")))
 
 

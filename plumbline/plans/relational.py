@@ -227,6 +227,12 @@ def _(spark, sf):
     return rel.rank_in_group(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), ["o_orderpriority"], "o_totalprice")
 
 
+@query("rank_in_group_bucketed", "SELECT o_orderkey, o_orderpriority, o_totalprice, rank() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC) AS rank FROM orders")
+def _(spark, sf):
+    cols = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return rel.rank_in_group(cols, ["o_orderpriority"], "o_totalprice", rows_per_bucket=700)  # the way large tables take
+
+
 @query("running_median", f"SELECT user_id, event_id, {R('median(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)')} AS running_median FROM events")
 def _(spark, sf):
     return rel.running_median(table(spark, sf, "events").select("user_id", "event_id", "value"), ["user_id"], "event_id", "event_id", "value").select(

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.core import nan_to_null
+
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A parquet table; NaN in its floating columns means missing and is read as NULL."""
+    return nan_to_null(spark.read.parquet(path))
 
 
 def scan_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
