@@ -169,7 +169,7 @@ def judge_consensus(verdicts: DataFrame) -> DataFrame:
 
 
 def trust_score() -> Column:
-    """Trust in the given label from the audit flag, the self-confidence and the verdict."""
+    """Trust in the given label from the audit flag, the self-confidence and the verdict (the numbers are fixed values)."""
     v = F.coalesce("verdict", F.lit(""))
     return (F.when(~F.col("flagged"), 0.8 + 0.2 * F.col("self_confidence")).when(v == "NO", 0.05).when(v == "YES", 0.6).otherwise(0.3))
 

@@ -40,6 +40,7 @@ def inject_issues(df: DataFrame, key: Sequence[str], target: str, feature: str,
         u1 = (number(f"{tag}_a") + F.lit(1.0)) / F.lit(float(PRIME))
         return F.sqrt(-2.0 * F.ln(u1)) * F.cos(F.lit(2 * math.pi) * u(f"{tag}_b"))
 
+    # fixed values: the shares and scales below define the planted truth
     return base.withColumns({
         "leak_after_event": F.col(target) * 100.0 + normal("leak"),
         "session_user": F.concat(F.lit("user_"), F.pmod(number("user"), F.lit(n_ids)).cast("string")),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +24,22 @@ def label_positive_rate(df: DataFrame) -> DataFrame:
 
 def label_cooccurrence(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """P(j on | i on) for wide 0/1 columns; 0 where i is never on."""
-    exprs = {f"{i}|{j}": {"both": F.count_if((F.col(a) == 1) & (F.col(b) == 1)), "n_i": F.count_if(F.col(a) == 1)}
-             for i, a in enumerate(columns) for j, b in enumerate(columns)}
-    out = agg_per_column(df, exprs, key="__k")
-    names = F.array(*[F.lit(c) for c in columns])
-
-    def part(k: int) -> Column:
-        return F.element_at(names, F.split("__k", r"\|")[k].cast("int") + 1)
-
-    return out.select(part(0).alias("label_i"), part(1).alias("label_j"), rnd(ratio(F.col("both"), F.col("n_i"))).alias("p_j_given_i"))
+    names = list(columns)
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The 0/1 columns' matrix product counts every pair of a task's rows at once."""
+        both = np.zeros((len(names), len(names)))
+        for pdf in batches:
+            x = (pdf[names].to_numpy(dtype=float) == 1).astype(float)
+            both += x.T @ x
+        i, j = np.indices(both.shape).reshape(2, -1)
+        yield pd.DataFrame({"i": i, "j": j, "n": both.ravel().astype("int64")})
+
+    pairs = df.select(*names).mapInPandas(products, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("both"))
+    single = pairs.where("i = j").select("i", F.col("both").alias("n_i"))
+    label = F.array(*[F.lit(c) for c in names])
+    return pairs.join(single, "i").select(
+        F.get(label, F.col("i")).alias("label_i"), F.get(label, F.col("j")).alias("label_j"), rnd(ratio(F.col("both"), F.col("n_i"))).alias("p_j_given_i"))
 
 
 def cooccurrence_lift(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ once and used as literals, so a recomputed task sees the same buckets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -233,7 +234,8 @@ def exact_quantiles(
                 t = todo.pop((r["g"], r["i"], r["j"]))
                 result[(*groups[r["g"]], columns[r["i"]])][r["j"]] = r["a"] + (r["b"] - r["a"]) * t["f"]
         for t in todo.values():
-            t["lo"], t["hi"] = float("-inf"), float("inf")
+            wider = 8 * max(t["hi"] - t["lo"], 1e-6 * max(abs(t["lo"]), abs(t["hi"])), 1e-300)
+            t["lo"], t["hi"] = (t["lo"] - wider, t["hi"] + wider) if math.isfinite(wider) else (float("-inf"), float("inf"))
     return result
 
 
