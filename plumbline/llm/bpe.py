@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 
 from plumbline.llm.common import arrow_map
 
-MEMORY = 600_000
+MEMORY = 200_000
 NONE = np.int64(1) << 62
 
 
