@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from plumbline.functions.core import nan_to_null
 
 
-def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table; NaN in its floating columns means missing and is read as NULL."""
-    return nan_to_null(spark.read.parquet(path))
+def scan_parquet(spark: SparkSession, path: str, nan_is_null: bool = False) -> DataFrame:
+    """A parquet table; with ``nan_is_null`` NaN in floating columns is read as missing, at the price of filters on them reaching the file."""
+    df = spark.read.parquet(path)
+    return nan_to_null(df) if nan_is_null else df
 
 
 def scan_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:

@@ -87,3 +87,10 @@ def test_full_silhouette(spark):
         a, b = d[i][same].sum() / (same.sum() - 1), min(d[i][np.array(c) == o].mean() for o in {0, 1, 2} - {k})
         want.append((b - a) / max(a, b))
     assert clustering.silhouette_full(df, "x", "c").first()["silhouette"] == pytest.approx(np.mean(want), abs=1e-5)
+
+
+def test_nan_becomes_null_at_scan(spark, tmp_path):
+    from plumbline.sources import readers
+
+    spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double").write.parquet(str(tmp_path / "t"))
+    assert readers.scan_parquet(spark, str(tmp_path / "t"), nan_is_null=True).where("x is null").count() == 2
