@@ -34,7 +34,7 @@ from plumbline.llm.common import Scratch, sliced
 from plumbline.llm.components import components
 
 MOST = 2048
-FEW = 32
+FEW = 4
 Layout = list[tuple[list[list[int]], bool]]
 """Blocks: (segments as lists of bit numbers, whether to look one step up)."""
 

@@ -36,9 +36,9 @@ from plumbline.llm.common import Scratch, parts, sliced, text_bytes
 WIDTH = 13
 ANCHOR = 6
 EDGE = 4
-GROUP = 1_000_000
-FLUSH = 2_000_000
-BLOCK = 1 << 20
+GROUP = 500_000
+FLUSH = 1_000_000
+BLOCK = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 LOW40 = np.uint64((1 << 40) - 1)
 _RNG = np.random.default_rng(2025)
