@@ -35,6 +35,7 @@ from plumbline.llm.components import components
 
 MOST = 2048
 FEW = 4
+HASHES = 2 << 20
 Layout = list[tuple[list[list[int]], bool]]
 """Blocks: (segments as lists of bit numbers, whether to look one step up)."""
 
@@ -258,37 +259,96 @@ def near_classes(
 ) -> DataFrame:
     """(id, fp, component): component is the smallest id among the documents reachable over links.
 
-    With ``similarity`` a link also needs that Jaccard similarity of the two shingle sets, computed exactly.
+    With ``similarity`` these links only make families; inside a family a link is that Jaccard similarity of two shingle sets, computed exactly
+    for every pair that verified links do not connect already.
     """
     work = Scratch(docs.sparkSession, "simhash")
     held = work.write(fingerprints(docs, words, bits, id_col, text_col), "fingerprints")
-    first = held.groupBy("fp").agg(F.min(id_col).alias("least"))
-    pairs = links(held, radius, layout or halves_layout(), bits, most)
-    if similarity is not None:
-        pairs = work.write(pairs, "pairs")
-        pairs = _similar(docs, first, pairs, words, similarity, id_col, text_col, work)
-    roots = components(pairs, "simhash-components")
-    rooted = first.join(roots, first["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    near = components(links(held, radius, layout or halves_layout(), bits, most), "simhash-components")
+    if similarity is None:
+        key, roots = "fp", near
+    else:
+        key = "fp"
+        roots = components(_similar(docs, held, near, key, words, similarity, id_col, text_col, work), "simhash-verified")
+    first = held.groupBy(key).agg(F.min(id_col).alias("least"))
+    rooted = first.join(roots, first[key] == roots["node"], "left").select(first[key].alias("__node"), "least", F.coalesce("root", first[key]).alias("root"))
     whole = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = rooted.join(whole, "root").select("fp", "component")
-    return held.join(named, "fp").select(id_col, "fp", "component")
+    named = rooted.join(whole, "root").select("__node", "component")
+    return held.join(named, F.col(key) == F.col("__node")).select(id_col, "fp", "component")
+
+
+def alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> tuple[list[int], list[int]]:
+    """Links that span the graph of sets in ``left`` with sets in ``right`` (places in ``sets``) at a Jaccard similarity of at least
+    ``similarity``.  A pair stays uncompared only if links already connect it.  The same places on both sides mean all pairs of them."""
+    total = sum(map(len, sets))
+    dense = np.unique(np.concatenate([*sets, np.empty(0, np.int64)]), return_inverse=True)[1]
+    size = np.array([len(x) for x in sets], np.int64)
+    part = np.split(dense, np.cumsum(size)[:-1])
+    seen = np.zeros(total, bool)
+    within = len(left) == len(right) and bool((left == right).all())
+    is_left = np.zeros(len(sets), bool)
+    is_left[left] = True
+    fresh = np.ones(len(sets), bool)
+    a: list[int] = []
+    b: list[int] = []
+    for start in left.tolist():
+        if not fresh[start]:
+            continue
+        fresh[start] = False
+        front = [start]
+        while front:
+            x = front.pop()
+            other = right if within or is_left[x] else left
+            least, most = np.minimum(size[other], size[x]), np.maximum(size[other], size[x])
+            other = other[fresh[other] & (least > 0) & (least >= similarity * most)]
+            if not len(other):
+                continue
+            seen[part[x]] = True
+            starts = np.concatenate([[0], np.cumsum(size[other])[:-1]])
+            common = np.add.reduceat(seen[np.concatenate([part[k] for k in other.tolist()])], starts, dtype=np.int64)
+            seen[part[x]] = False
+            got = other[common >= similarity * (size[other] + size[x] - common)].tolist()
+            fresh[got] = False
+            a.extend([x] * len(got))
+            b.extend(got)
+            front.extend(got)
+    return a, b
+
 
+def _similar(docs: DataFrame, held: DataFrame, near: DataFrame, key: str, words: int, similarity: float, id_col: str, text_col: str, work: Scratch) -> DataFrame:
+    """(a, b): pairs of nodes that connect whatever is linked by the similarity inside a family, that is, among the nodes whose
+    fingerprints are connected by ``near`` (node, root).
 
-def _similar(docs: DataFrame, first: DataFrame, pairs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, work: Scratch) -> DataFrame:
-    """The pairs whose documents' shingle sets reach the similarity.  A fingerprint stands for the document with its smallest id."""
-    nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    wanted = first.join(nodes, "fp", "left_semi").select("fp", F.col("least").alias("__least"))
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(wanted, F.col("id") == F.col("__least")).select("fp", "text")
+    Every pair of a family is compared exactly unless verified links already connect it.  A family is dealt into runs, and pairs of runs
+    are compared by separate tasks: up to 16 runs of at least 64 members for the spread, more so that a run has about ``MOST`` members
+    and ``HASHES`` hashes.  A node stands for the document with its smallest id."""
+    nodes = held.groupBy("fp", *({key} - {"fp"})).agg(F.min(id_col).alias("least")).select("fp", F.col(key).alias("key"), "least")
+    nodes = nodes.join(near.select(F.col("node").alias("fp"), "root"), "fp", "left").select("key", "least", F.coalesce("root", "fp").alias("family"))
+    several = nodes.groupBy("family").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    wanted = nodes.join(several, "family").select("family", "key", F.col("least").alias("__least"))
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(wanted, F.col("id") == F.col("__least")).select("family", "key", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
             got = [np.unique(shingle_hashes(t, words)).astype(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(got, pa.list_(pa.int64()))], ["fp", "hashes"])
+            yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("key"), pa.array(got, pa.list_(pa.int64()))], ["family", "key", "hashes"])
+
+    ready = work.write(texts.mapInArrow(sets, "family binary, key binary, hashes array<long>").dropDuplicates(["key"]), "sets")
+    n = F.count(F.lit(1))
+    runs = F.greatest(F.least(F.ceil(n / 64), F.lit(16)), F.ceil(n / MOST), F.ceil(F.sum(F.size("hashes")) / HASHES)).cast("int")
+    dealt = ready.join(ready.groupBy("family").agg(runs.alias("runs")), "family")
+    dealt = dealt.withColumn("run", F.pmod(F.xxhash64("key"), F.col("runs")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)))
+    dealt = dealt.select("family", F.least("run", "other").alias("i"), F.greatest("run", "other").alias("j"), "run", "key", "hashes")
+
+    def pair(pdf):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        got, run = pdf["key"].tolist(), pdf["run"].to_numpy()
+        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
+        a, b = alike(pdf["hashes"].tolist(), np.flatnonzero(run == i), np.flatnonzero(run == j), similarity)
+        return pd.DataFrame({"a": [got[k] for k in a], "b": [got[k] for k in b]}, columns=["a", "b"])
 
-    held = work.write(texts.mapInArrow(sets, "fp binary, hashes array<long>").dropDuplicates(["fp"]), "sets")
-    both = pairs.join(held.select(F.col("fp").alias("a"), F.col("hashes").alias("x")), "a").join(held.select(F.col("fp").alias("b"), F.col("hashes").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return dealt.groupBy("family", "i", "j").applyInPandas(pair, "a binary, b binary")
 
 
 def blocks_for(share: float, width: int, recall: float) -> int:

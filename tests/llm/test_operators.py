@@ -229,6 +229,36 @@ def test_keep_one(odd, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def test_alike_spans_what_is_similar():
+    r = np.random.default_rng(2)
+    base = r.integers(0, 1 << 40, 200)
+    sets = [np.unique(np.where(r.random(200) < r.choice([0.03, 0.1, 0.2]), r.integers(0, 1 << 40, 200), base)) for _ in range(60)] + [np.empty(0, np.int64)]
+    near = [(i, j) for i in range(61) for j in range(i) if len(sets[i]) and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+
+    def groups(pairs):
+        root = list(range(61))
+        for a, b in pairs:
+            root = [root[a] if x == root[b] else x for x in root]
+        return {frozenset(k for k in range(61) if root[k] == x) for x in root}
+
+    every, one, two = np.arange(61), np.arange(30), np.arange(30, 61)
+    assert 0 < len(near) < 1770
+    assert groups(zip(*simhash.alike(sets, every, every, 0.8))) == groups(near)
+    assert groups(p for x, y in [(one, one), (one, two), (two, two)] for p in zip(*simhash.alike(sets, x, y, 0.8))) == groups(near)
+
+
+def test_copies_in_a_family_of_templates(spark):
+    """Variants at 0.7 of one text that each have a copy at 0.9: fourteen related documents, of which seven stay."""
+    base, data = words(900, 300), []
+    for v in range(7):
+        w = list(base)
+        for k in range(10):
+            w[7 + 29 * k + v] = f"variant{v}x{k}"
+        data += [(v, " ".join(w)), (100 + v, " ".join([*w[:150], "edited", *w[151:]]))]
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert kept == set(range(7))
+
+
 # -- licences
 
 def test_licences(odd, none):
