@@ -11,7 +11,7 @@ The home layout for radius 3 is two halves of 16 two-bit segments: 2 homes and a
 3^16.  Nothing within the radius is missed.  For a radius that no exact layout can serve, ``sampled_layout`` draws many blocks of
 single-bit segments and finds a pair in one of them with a stated probability.
 
-Equal fingerprints are one class from the start, and a cell yields links that span what it connects, not all pairs.  A cell
+Equal fingerprints are one class from the start (with a similarity, equal sets of shingles are), and a cell yields links that span what it connects, not all pairs.  A cell
 with more than ``most`` members is cut into runs, and pairs of runs are compared by separate tasks.
 
 Null text counts as empty: no words, fingerprint zero.  Repeated rows share their class.  A null id is carried along; it is never the smallest
@@ -83,19 +83,21 @@ def votes(h: np.ndarray, bits: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words: int, bits: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp binary): bit i of the fingerprint, the lowest first, is one where over half of the shingle hashes have it."""
+    """(id, fp binary, node binary): bit i of the fingerprint, the lowest first, is one where over half of the shingle hashes have it;
+    node is 128 bits of hash of the set of shingle hashes."""
     slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            fps = []
+            fps, nodes = [], []
             for text in batch.column("text").to_pylist():
                 h = shingle_hashes(text, words)
                 fps.append(np.packbits(2 * votes(h, bits) > len(h), bitorder="little").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps, pa.binary())], ["id", "fp"])
+                nodes.append(xxhash.xxh3_128_digest(np.unique(h).tobytes()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps, pa.binary()), pa.array(nodes, pa.binary())], ["id", "fp", "node"])
 
-    return slim.mapInArrow(run, f"id {kind}, fp binary").withColumnRenamed("id", id_col)
+    return slim.mapInArrow(run, f"id {kind}, fp binary, node binary").withColumnRenamed("id", id_col)
 
 
 def span(home: np.ndarray, looks: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
@@ -265,11 +267,9 @@ def near_classes(
     work = Scratch(docs.sparkSession, "simhash")
     held = work.write(fingerprints(docs, words, bits, id_col, text_col), "fingerprints")
     near = components(links(held, radius, layout or halves_layout(), bits, most), "simhash-components")
-    if similarity is None:
-        key, roots = "fp", near
-    else:
-        key = "fp"
-        roots = components(_similar(docs, held, near, key, words, similarity, id_col, text_col, work), "simhash-verified")
+    key, roots = "fp", near
+    if similarity is not None:
+        key, roots = "node", components(_similar(docs, held, near, words, similarity, id_col, text_col, work), "simhash-verified")
     first = held.groupBy(key).agg(F.min(id_col).alias("least"))
     rooted = first.join(roots, first[key] == roots["node"], "left").select(first[key].alias("__node"), "least", F.coalesce("root", first[key]).alias("root"))
     whole = rooted.groupBy("root").agg(F.min("least").alias("component"))
@@ -315,14 +315,14 @@ def alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarit
     return a, b
 
 
-def _similar(docs: DataFrame, held: DataFrame, near: DataFrame, key: str, words: int, similarity: float, id_col: str, text_col: str, work: Scratch) -> DataFrame:
-    """(a, b): pairs of nodes that connect whatever is linked by the similarity inside a family, that is, among the nodes whose
+def _similar(docs: DataFrame, held: DataFrame, near: DataFrame, words: int, similarity: float, id_col: str, text_col: str, work: Scratch) -> DataFrame:
+    """(a, b): pairs of nodes (sets of shingles) that connect whatever is linked by the similarity inside a family, that is, among the nodes whose
     fingerprints are connected by ``near`` (node, root).
 
     Every pair of a family is compared exactly unless verified links already connect it.  A family is dealt into runs, and pairs of runs
     are compared by separate tasks: up to 16 runs of at least 64 members for the spread, more so that a run has about ``MOST`` members
-    and ``HASHES`` hashes.  A node stands for the document with its smallest id."""
-    nodes = held.groupBy("fp", *({key} - {"fp"})).agg(F.min(id_col).alias("least")).select("fp", F.col(key).alias("key"), "least")
+    and ``HASHES`` hashes.  Documents with equal sets are one node; equal fingerprints of different sets are one family, compared like any other."""
+    nodes = held.groupBy("fp", F.col("node").alias("key")).agg(F.min(id_col).alias("least"))
     nodes = nodes.join(near.select(F.col("node").alias("fp"), "root"), "fp", "left").select("key", "least", F.coalesce("root", "fp").alias("family"))
     several = nodes.groupBy("family").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     wanted = nodes.join(several, "family").select("family", "key", F.col("least").alias("__least"))

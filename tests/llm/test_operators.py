@@ -259,6 +259,19 @@ def test_copies_in_a_family_of_templates(spark):
     assert kept == set(range(7))
 
 
+def test_equal_fingerprints_are_verified(spark):
+    """A line repeated 200 times decides every vote of two documents that share nothing else; each has a near copy of its own."""
+    line = words(910, 13)
+    data = []
+    for v in range(2):
+        own = words(911 + v, 100)
+        data += [(v, " ".join(line * 200 + own)), (10 + v, " ".join(line * 200 + [*own, "edited"]))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    layout = simhash.sampled_layout(128, 16, 20)
+    got = {r["doc_id"]: r["component"] for r in simhash.near_classes(df, 5, 27, layout, 128, similarity=0.8).collect()}
+    assert got == {0: 0, 1: 1, 10: 0, 11: 1}
+
+
 # -- licences
 
 def test_licences(odd, none):
