@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Scratch, sliced
+from plumbline.llm.common import Scratch, parts, sliced, text_bytes
 from plumbline.llm.components import components
 
 MOST = 2048
@@ -82,22 +82,42 @@ def votes(h: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
+def node_of(h: np.ndarray) -> bytes:
+    """128 bits of hash of a set of shingle hashes, sorted and distinct."""
+    return xxhash.xxh3_128_digest(h.tobytes())
+
+
+def ticket_of(node: bytes) -> int:
+    return int.from_bytes(node[:8], "little", signed=True)
+
+
+def prefix_keys(h: np.ndarray) -> np.ndarray:
+    """The upper 38 bits of sorted shingle hashes, without repeats."""
+    k = h >> np.uint64(26)
+    return k[np.concatenate([[True], k[1:] != k[:-1]])] if len(k) else k
+
+
 def fingerprints(docs: DataFrame, words: int, bits: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp binary, node binary): bit i of the fingerprint, the lowest first, is one where over half of the shingle hashes have it;
-    node is 128 bits of hash of the set of shingle hashes."""
+    """(id, fp binary, node binary, ticket, size, keys): bit i of the fingerprint, the lowest first, is one where over half of the shingle
+    hashes have it; node is 128 bits of hash of the set of shingle hashes and ticket 64 of them; the set has so many hashes and prefix keys."""
     slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            fps, nodes = [], []
+            fps, nodes, sizes, keys = [], [], [], []
             for text in batch.column("text").to_pylist():
                 h = shingle_hashes(text, words)
                 fps.append(np.packbits(2 * votes(h, bits) > len(h), bitorder="little").tobytes())
-                nodes.append(xxhash.xxh3_128_digest(np.unique(h).tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps, pa.binary()), pa.array(nodes, pa.binary())], ["id", "fp", "node"])
+                h = np.unique(h)
+                nodes.append(node_of(h))
+                sizes.append(len(h))
+                keys.append(len(prefix_keys(h)))
+            tickets = [ticket_of(x) for x in nodes]
+            columns = [pa.array(x, k) for x, k in [(fps, pa.binary()), (nodes, pa.binary()), (tickets, pa.int64()), (sizes, pa.int64()), (keys, pa.int64())]]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "fp", "node", "ticket", "size", "keys"])
 
-    return slim.mapInArrow(run, f"id {kind}, fp binary, node binary").withColumnRenamed("id", id_col)
+    return slim.mapInArrow(run, f"id {kind}, fp binary, node binary, ticket long, size long, keys long").withColumnRenamed("id", id_col)
 
 
 def span(home: np.ndarray, looks: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
@@ -266,10 +286,11 @@ def near_classes(
     """
     work = Scratch(docs.sparkSession, "simhash")
     held = work.write(fingerprints(docs, words, bits, id_col, text_col), "fingerprints")
-    near = components(links(held, radius, layout or halves_layout(), bits, most), "simhash-components")
-    key, roots = "fp", near
-    if similarity is not None:
-        key, roots = "node", components(_similar(docs, held, near, words, similarity, id_col, text_col, work), "simhash-verified")
+    pairs = links(held, radius, layout or halves_layout(), bits, most)
+    if similarity is None:
+        key, roots = "fp", components(pairs, "simhash-components")
+    else:
+        key, roots = "node", components(_similar(docs, held, pairs, words, similarity, id_col, text_col, work), "simhash-verified")
     first = held.groupBy(key).agg(F.min(id_col).alias("least"))
     rooted = first.join(roots, first[key] == roots["node"], "left").select(first[key].alias("__node"), "least", F.coalesce("root", first[key]).alias("root"))
     whole = rooted.groupBy("root").agg(F.min("least").alias("component"))
@@ -315,17 +336,73 @@ def alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarit
     return a, b
 
 
-def _similar(docs: DataFrame, held: DataFrame, near: DataFrame, words: int, similarity: float, id_col: str, text_col: str, work: Scratch) -> DataFrame:
-    """(a, b): pairs of nodes (sets of shingles) that connect whatever is linked by the similarity inside a family, that is, among the nodes whose
-    fingerprints are connected by ``near`` (node, root).
+def prefix_links(docs: DataFrame, held: DataFrame, words: int, similarity: float, text_col: str, work: Scratch) -> DataFrame:
+    """(a, b): pairs of nodes that connect any two whose sets have a Jaccard similarity of at least ``similarity``, and others.
+
+    With keys ordered from the rarest, two such sets share a key among the first ``size - ceil(similarity * size) + 1`` of each.  Keys that
+    one set alone has come first and link nothing, so a set with enough of them links nothing at all.  Keys are dealt by value, packed
+    as 4 bytes and a ticket of 8; sets that share a key of their prefixes are linked to the smallest of them.
+    """
+    spark = docs.sparkSession
+    count = max(64, parts(spark, 2 * text_bytes(docs, text_col)[1], 16 << 20))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text"):
+            got = [np.unique(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
+            keys = [prefix_keys(h) for h in got]
+            who = np.repeat(np.array([ticket_of(node_of(h)) for h in got], "<i8"), [len(k) for k in keys])
+            every = np.concatenate(keys)
+            part, rest = (every % np.uint64(count)).astype(np.int32), (every // np.uint64(count)).astype("<u4")
+            order = np.argsort(part, kind="stable")
+            part, rest, who = part[order], rest[order], who[order]
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)] if len(part) else []
+            spans = list(zip(cuts, cuts[1:]))
+            columns = [pa.array([part[i] for i, _ in spans], pa.int32()), *(pa.array([x[i:j].tobytes() for i, j in spans], pa.binary()) for x in (rest, who))]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "rest", "who"])
+
+    def shared(pdf):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        rest, who = np.frombuffer(b"".join(pdf["rest"]), "<u4"), np.frombuffer(b"".join(pdf["who"]), "<i8")
+        order = np.lexsort((who, rest))
+        rest, who = rest[order], who[order]
+        keep = np.concatenate([[True], (rest[1:] != rest[:-1]) | (who[1:] != who[:-1])])
+        rest, who = rest[keep], who[keep]
+        starts = np.flatnonzero(np.concatenate([[True], rest[1:] != rest[:-1]]))
+        n = np.diff(np.append(starts, len(rest)))
+        n = np.repeat(n, n)
+        some = n > 1
+        return pd.DataFrame({"ticket": who[some], "n": n[some], "key": rest[some].astype(np.int64) * count + int(pdf["part"].iloc[0])})
+
+    slim = docs.select(docs[text_col].alias("text"))
+    packed = slim.mapInArrow(pack, "part int, rest binary, who binary")
+    common = packed.groupBy("part").applyInPandas(shared, "ticket long, n long, key long")
+    common = common.groupBy("ticket").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("common"))
+    sizes = held.groupBy("node").agg(F.first("ticket").alias("ticket"), F.first("size").alias("size"), F.first("keys").alias("keys"))
+    # what the keys of this set alone leave of the prefix
+    left = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-6) + 1 - (F.col("keys") - F.size("common"))
+    first = common.join(sizes, "ticket").withColumn("left", left.cast("int")).where("left > 0").select("node", F.explode(F.slice("common", F.lit(1), F.col("left"))["key"]).alias("key"))
+    first = work.write(first, "prefixes")
+    least = first.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return first.join(least, "key").where("node != a").select("a", F.col("node").alias("b")).distinct()
+
+
+def _similar(docs: DataFrame, held: DataFrame, pairs: DataFrame, words: int, similarity: float, id_col: str, text_col: str, work: Scratch) -> DataFrame:
+    """(a, b): pairs of nodes (sets of shingles) that connect whatever is linked by the similarity.  They are looked for inside families:
+    nodes that are connected by equal fingerprints, by the ``pairs`` of fingerprints or by prefixes of their sets.
 
     Every pair of a family is compared exactly unless verified links already connect it.  A family is dealt into runs, and pairs of runs
     are compared by separate tasks: up to 16 runs of at least 64 members for the spread, more so that a run has about ``MOST`` members
-    and ``HASHES`` hashes.  Documents with equal sets are one node; equal fingerprints of different sets are one family, compared like any other."""
-    nodes = held.groupBy("fp", F.col("node").alias("key")).agg(F.min(id_col).alias("least"))
-    nodes = nodes.join(near.select(F.col("node").alias("fp"), "root"), "fp", "left").select("key", "least", F.coalesce("root", "fp").alias("family"))
-    several = nodes.groupBy("family").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    wanted = nodes.join(several, "family").select("family", "key", F.col("least").alias("__least"))
+    and ``HASHES`` hashes.  Documents with equal sets are one node, which stands for the one with the smallest id."""
+    nodes = work.write(held.groupBy("fp", "node").agg(F.min(id_col).alias("least")), "nodes")
+    head = nodes.groupBy("fp").agg(F.min("node").alias("head"))
+    equal = nodes.join(head, "fp").where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    grid = pairs.join(head.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(head.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
+    every = equal.unionByName(grid.select(F.col("x").alias("a"), F.col("y").alias("b"))).unionByName(prefix_links(docs, held, words, similarity, text_col, work))
+    near = components(every, "simhash-families")
+    # one set can have several fingerprints, as those count repeats
+    least = nodes.groupBy("node").agg(F.min("least").alias("__least"))
+    wanted = near.join(least, "node").select(F.col("root").alias("family"), F.col("node").alias("key"), "__least")
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(wanted, F.col("id") == F.col("__least")).select("family", "key", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,8 +456,8 @@ def keep_one(
 ) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id (null ids last), then the smallest hash of its text.
 
-    Near copies have a Jaccard similarity of at least ``similarity`` on shingles of ``words`` words.  Exact copies are always found; a pair of
-    just 0.8 meets in one of the sampled blocks with probability 0.95, one of 0.9 with over 0.99.
+    Near copies have a Jaccard similarity of at least ``similarity`` on shingles of ``words`` words.  None is missed but
+    for chance collisions of 64-bit hashes: the sampled blocks alone would find about 0.7 to 0.9 of the pairs of just 0.8, the prefixes find all.
     """
     layout = layout or corpus_layout(docs.count(), bits)
     unknown, known, hashed = F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))

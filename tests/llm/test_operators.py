@@ -272,6 +272,21 @@ def test_equal_fingerprints_are_verified(spark):
     assert got == {0: 0, 1: 1, 10: 0, 11: 1}
 
 
+def test_near_copies_by_sets_are_all_found(spark):
+    """Pairs of just over 0.8, and a pair of sets over 0.95 whose repeats put the fingerprints far apart."""
+    data = []
+    for v in range(120):
+        w = words(1000 + v, 240)
+        e = list(w)
+        for k in (20, 70, 120, 170, 220):
+            e[k] = f"edited{v}x{k}"
+        data += [(v, " ".join(w)), (1000 + v, " ".join(e))]
+    line, own = words(990, 12), words(991, 300)
+    data += [(500, " ".join([*own, *line])), (1500, " ".join([*own, *line * 60]))]
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert kept == {*range(120), 500}
+
+
 # -- licences
 
 def test_licences(odd, none):
