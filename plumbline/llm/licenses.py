@@ -1,7 +1,8 @@
 """Licence scan by a positional index of rare words.
 
 The words of the licence templates form a small vocabulary.  One pass over all documents counts in how many each of them occurs,
-which gives its inverse document frequency.  Each file then looks up only its ``RARE`` highest-IDF licence words.  Their postings
+which gives its inverse document frequency.  For each template whose mandatory phrases a file contains, the file looks up the ``RARE``
+highest-IDF words of that template that it holds, so several notices in one file do not compete.  Their postings
 (template, position), shifted by the places of the words in the file, meet at one relative position where a template stands in
 the file; a relative position needs ``VOTES`` of them, and every mandatory phrase of the template at its own relative place.
 
@@ -19,6 +20,8 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,8 +115,14 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: dic
     words = F.col("words")
     rows = norms.withColumn("words", words_of(F.col("norm")))
     places = [_all_places(words, phrase.split()) for phrase in base]
-    # the file's rarest licence words: the first of the ranked vocabulary that it holds
-    picked = F.slice(F.array_intersect(F.array(*[F.lit(w) for w in ranked]), words), 1, rare)
+    # the rarest words of each template: the first of its ranked words that the file holds; without its mandatory phrases none stands there
+
+    def anchors(x: Template) -> Column:
+        own = F.array(*[F.lit(w) for w in ranked if w in x.words])
+        phrases = [F.contains("norm", F.lit(f" {' '.join(phrase)} ")) for _, phrase in x.places()]
+        return F.when(reduce(and_, phrases, F.lit(True)), F.slice(F.array_intersect(own, words), 1, rare)).otherwise(F.array().cast("array<string>"))
+
+    picked = F.array_distinct(F.flatten(F.array(*[anchors(x) for x in templates])))
     rows = rows.select("id", "norm", "words", F.size(words).cast("long").alias("n_words"), *[c.alias(f"b{i}") for i, c in enumerate(places)], picked.alias("rare"))
     looked = F.transform("rare", lambda w: F.element_at(posted, w))
     rows = rows.withColumn("posts", F.when(F.size("rare") >= need, looked).otherwise(F.array().cast("array<array<bigint>>")))

@@ -255,7 +255,8 @@ def test_copies_in_a_family_of_templates(spark):
         for k in range(10):
             w[7 + 29 * k + v] = f"variant{v}x{k}"
         data += [(v, " ".join(w)), (100 + v, " ".join([*w[:150], "edited", *w[151:]]))]
-    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    layout = simhash.sampled_layout(128, 2, 4)  # cells of more than four members
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string"), layout=layout).collect()}
     assert kept == set(range(7))
 
 
@@ -306,6 +307,16 @@ def test_licence_notice_without_base_phrase(spark):
     assert "gpl-3" in got[1]["labels"].split(",") and got[1]["n_base"] == 0 and got[1]["score"] == 1.0 and got[2]["labels"] == ""
 
 
+def test_every_notice_of_a_file(spark):
+    notices = [t for t in licenses.TEMPLATES if t.label in ("bsd", "gpl", "mpl-2", "cc-by", "gpl-3")]
+    scattered = "foundation attribution mozilla redistribution creative permission obtaining commons software binary"
+    data = [(1, " filler words between. ".join(t.text for t in notices)), (2, f"{notices[0].text} and {notices[1].text}"), (3, f"{scattered} {notices[0].text} {scattered}")]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert {t.label for t in notices} <= set(got[1]["labels"].split(",")) and got[1]["score"] == 1.0
+    assert {notices[0].label, notices[1].label} <= set(got[2]["labels"].split(","))
+    assert notices[0].label in got[3]["labels"].split(",")
+
+
 # -- sketches
 
 def brute_sketch(text):
