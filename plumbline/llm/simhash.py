@@ -9,7 +9,8 @@ in a cell is verified by its exact Hamming distance.
 
 The home layout for radius 3 is two halves of 16 two-bit segments: 2 homes and about 24 looks for each fingerprint, and a cell is one of
 3^16.  Nothing within the radius is missed.  For a radius that no exact layout can serve, ``sampled_layout`` draws many blocks of
-single-bit segments and finds a pair in one of them with a stated probability.
+single-bit segments and finds a pair in one of them with a stated probability.  For a similarity of word shingles ``near_classes`` takes the grid's pairs as
+candidates beside those of a prefix filter, which is exact, and verifies all of them on the sets.
 
 Equal fingerprints are one class from the start (with a similarity, equal sets of shingles are), and a cell yields links that span what it connects, not all pairs.  A cell
 with more than ``most`` members is cut into runs, and pairs of runs are compared by separate tasks.
@@ -20,7 +21,6 @@ id of a component unless the component has no other.  Very long texts are hashed
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -298,41 +298,34 @@ def near_classes(
     return held.join(named, F.col(key) == F.col("__node")).select(id_col, "fp", "component")
 
 
-def alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> tuple[list[int], list[int]]:
-    """Links that span the graph of sets in ``left`` with sets in ``right`` (places in ``sets``) at a Jaccard similarity of at least
-    ``similarity``.  A pair stays uncompared only if links already connect it.  The same places on both sides mean all pairs of them."""
+def alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float, known: np.ndarray | None = None) -> tuple[list[int], list[int]]:
+    """Links between sets in ``left`` and sets in ``right`` (places in ``sets``) at a Jaccard similarity of at least ``similarity`` that span
+    what such links connect.  A pair stays uncompared only if links already connect it; places of one number in ``known`` are connected from
+    the start, so that each link joins two groups.  The same places on both sides mean all pairs of them."""
     total = sum(map(len, sets))
     dense = np.unique(np.concatenate([*sets, np.empty(0, np.int64)]), return_inverse=True)[1]
     size = np.array([len(x) for x in sets], np.int64)
     part = np.split(dense, np.cumsum(size)[:-1])
     seen = np.zeros(total, bool)
     within = len(left) == len(right) and bool((left == right).all())
-    is_left = np.zeros(len(sets), bool)
-    is_left[left] = True
-    fresh = np.ones(len(sets), bool)
+    group = np.arange(len(sets)) if known is None else known.copy()
     a: list[int] = []
     b: list[int] = []
-    for start in left.tolist():
-        if not fresh[start]:
+    for at, x in enumerate(left.tolist()):
+        other = right[at + 1 :] if within else right
+        least, most = np.minimum(size[other], size[x]), np.maximum(size[other], size[x])
+        other = other[(group[other] != group[x]) & (least > 0) & (least >= similarity * most)]
+        if not len(other):
             continue
-        fresh[start] = False
-        front = [start]
-        while front:
-            x = front.pop()
-            other = right if within or is_left[x] else left
-            least, most = np.minimum(size[other], size[x]), np.maximum(size[other], size[x])
-            other = other[fresh[other] & (least > 0) & (least >= similarity * most)]
-            if not len(other):
-                continue
-            seen[part[x]] = True
-            starts = np.concatenate([[0], np.cumsum(size[other])[:-1]])
-            common = np.add.reduceat(seen[np.concatenate([part[k] for k in other.tolist()])], starts, dtype=np.int64)
-            seen[part[x]] = False
-            got = other[common >= similarity * (size[other] + size[x] - common)].tolist()
-            fresh[got] = False
-            a.extend([x] * len(got))
-            b.extend(got)
-            front.extend(got)
+        seen[part[x]] = True
+        starts = np.concatenate([[0], np.cumsum(size[other])[:-1]])
+        common = np.add.reduceat(seen[np.concatenate([part[k] for k in other.tolist()])], starts, dtype=np.int64)
+        seen[part[x]] = False
+        for y in other[common >= similarity * (size[other] + size[x] - common)].tolist():
+            if group[y] != group[x]:
+                group[group == group[y]] = group[x]
+                a.append(x)
+                b.append(y)
     return a, b
 
 
@@ -391,64 +384,71 @@ def _similar(docs: DataFrame, held: DataFrame, pairs: DataFrame, words: int, sim
     """(a, b): pairs of nodes (sets of shingles) that connect whatever is linked by the similarity.  They are looked for inside families:
     nodes that are connected by equal fingerprints, by the ``pairs`` of fingerprints or by prefixes of their sets.
 
-    Every pair of a family is compared exactly unless verified links already connect it.  A family is dealt into runs, and pairs of runs
-    are compared by separate tasks: up to 16 runs of at least 64 members for the spread, more so that a run has about ``MOST`` members
-    and ``HASHES`` hashes.  Documents with equal sets are one node, which stands for the one with the smallest id."""
-    nodes = work.write(held.groupBy("fp", "node").agg(F.min(id_col).alias("least")), "nodes")
+    Every pair of a family is compared exactly unless verified links already connect it.  A family is dealt into runs: up to 16 runs of at least
+    64 members for the spread, more so that a run has about ``MOST`` members and ``HASHES`` hashes.  Each run is grouped first; then pairs of runs are
+    compared by separate tasks, which link groups that are still apart.  So m near copies yield fewer than m links, and one more for each pair of runs.
+    Documents with equal sets are one node, which stands for the one with the smallest id."""
+    nodes = work.write(held.groupBy("fp", "node").agg(F.min(id_col).alias("least"), F.first("size").alias("size")), "nodes")
     head = nodes.groupBy("fp").agg(F.min("node").alias("head"))
     equal = nodes.join(head, "fp").where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
     grid = pairs.join(head.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(head.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
     every = equal.unionByName(grid.select(F.col("x").alias("a"), F.col("y").alias("b"))).unionByName(prefix_links(docs, held, words, similarity, text_col, work))
     near = components(every, "simhash-families")
     # one set can have several fingerprints, as those count repeats
-    least = nodes.groupBy("node").agg(F.min("least").alias("__least"))
-    wanted = near.join(least, "node").select(F.col("root").alias("family"), F.col("node").alias("key"), "__least")
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(wanted, F.col("id") == F.col("__least")).select("family", "key", "text")
+    least = nodes.groupBy("node").agg(F.min("least").alias("__least"), F.first("size").alias("size"))
+    wanted = work.write(near.join(least, "node").select(F.col("root").alias("family"), F.col("node").alias("key"), "__least", "size"), "wanted")
+    n = F.count(F.lit(1))
+    runs = F.greatest(F.least(F.ceil(n / 64), F.lit(16)), F.ceil(n / MOST), F.ceil(F.sum("size") / HASHES)).cast("int")
+    dealt = wanted.join(wanted.groupBy("family").agg(runs.alias("runs")), "family").withColumn("run", F.pmod(F.xxhash64("key"), F.col("runs")).cast("int"))
+    names = ["family", "run", "runs", "key"]
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(dealt, F.col("id") == F.col("__least")).select(*names, "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
             got = [np.unique(shingle_hashes(t, words)).astype(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("key"), pa.array(got, pa.list_(pa.int64()))], ["family", "key", "hashes"])
-
-    ready = work.write(texts.mapInArrow(sets, "family binary, key binary, hashes array<long>").dropDuplicates(["key"]), "sets")
-    n = F.count(F.lit(1))
-    runs = F.greatest(F.least(F.ceil(n / 64), F.lit(16)), F.ceil(n / MOST), F.ceil(F.sum(F.size("hashes")) / HASHES)).cast("int")
-    dealt = ready.join(ready.groupBy("family").agg(runs.alias("runs")), "family")
-    dealt = dealt.withColumn("run", F.pmod(F.xxhash64("key"), F.col("runs")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)))
-    dealt = dealt.select("family", F.least("run", "other").alias("i"), F.greatest("run", "other").alias("j"), "run", "key", "hashes")
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(got, pa.list_(pa.int64()))], [*names, "hashes"])
+
+    shape = "family binary, run int, runs int, key binary"
+    ready = texts.mapInArrow(sets, f"{shape}, hashes array<long>").dropDuplicates(["key"])
+
+    def grouped(pdf):  # noqa: ANN001, ANN202
+        """Each member of a run with the smallest key that it is connected with inside the run."""
+        pdf = pdf.sort_values("key", ignore_index=True)
+        got, every = pdf["key"].tolist(), np.arange(len(pdf))
+        group = every.copy()
+        for x, y in zip(*alike(pdf["hashes"].tolist(), every, every, similarity)):
+            group[group == max(group[x], group[y])] = min(group[x], group[y])
+        pdf["root"] = [got[k] for k in group.tolist()]
+        if pdf["runs"].iloc[0] == 1:
+            pdf["hashes"] = None  # nothing is left to compare
+        return pdf
+
+    local = work.write(ready.groupBy("family", "run").applyInPandas(grouped, f"{shape}, hashes array<long>, root binary"), "local")
+    inside = local.where("key != root").select(F.col("root").alias("a"), F.col("key").alias("b"))
+    others = F.filter(F.sequence(F.lit(0), F.col("runs") - 1), lambda k: k != F.col("run"))
+    meeting = local.where("runs > 1").withColumn("other", F.explode(others))
+    meeting = meeting.select("family", F.least("run", "other").alias("i"), F.greatest("run", "other").alias("j"), "run", "key", "root", "hashes")
 
     def pair(pdf):  # noqa: ANN001, ANN202
         import pandas as pd
 
-        got, run = pdf["key"].tolist(), pdf["run"].to_numpy()
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        a, b = alike(pdf["hashes"].tolist(), np.flatnonzero(run == i), np.flatnonzero(run == j), similarity)
+        got, run = pdf["root"].tolist(), pdf["run"].to_numpy()
+        names = {v: k for k, v in enumerate(dict.fromkeys(got))}
+        known = np.array([names[v] for v in got])
+        i, j = np.flatnonzero(run == pdf["i"].iloc[0]), np.flatnonzero(run == pdf["j"].iloc[0])
+        a, b = alike(pdf["hashes"].tolist(), i, j, similarity, known)
         return pd.DataFrame({"a": [got[k] for k in a], "b": [got[k] for k in b]}, columns=["a", "b"])
 
-    return dealt.groupBy("family", "i", "j").applyInPandas(pair, "a binary, b binary")
-
-
-def blocks_for(share: float, width: int, recall: float) -> int:
-    """Blocks that find a pair differing in ``share`` of its bits with probability ``recall``."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** width))
-
-
-# five-word shingles on 128 bits: Jaccard similarity 0.8 is a cosine of 0.89, hence 19 differing bits on average, with a deviation of 4
-CORPUS_WORDS, CORPUS_SIMILARITY, CORPUS_BITS, CORPUS_RADIUS, CORPUS_SHARE, CORPUS_RECALL = 5, 0.8, 128, 27, 0.145, 0.95
+    return inside.unionByName(meeting.groupBy("family", "i", "j").applyInPandas(pair, "a binary, b binary"))
 
 
-def corpus_layout(rows: int, bits: int = CORPUS_BITS, share: float = CORPUS_SHARE, recall: float = CORPUS_RECALL) -> Layout:
-    """Sampled blocks for a number of rows: blocks two bits wider than its logarithm, so that chance meetings stay in proportion to
-    the rows, and as many of them as the recall needs for a pair that differs in ``share`` of its bits."""
-    width = min(bits // 2, 2 + max(14, rows.bit_length()))
-    return sampled_layout(bits, width, blocks_for(share, width, recall))
+CORPUS_WORDS, CORPUS_SIMILARITY, CORPUS_RADIUS = 5, 0.8, 3
 
 
 def keep_one(
     docs: DataFrame,
     words: int = CORPUS_WORDS,
     similarity: float = CORPUS_SIMILARITY,
-    bits: int = CORPUS_BITS,
     radius: int = CORPUS_RADIUS,
     layout: Layout | None = None,
     id_col: str = "doc_id",
@@ -456,10 +456,11 @@ def keep_one(
 ) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id (null ids last), then the smallest hash of its text.
 
-    Near copies have a Jaccard similarity of at least ``similarity`` on shingles of ``words`` words.  None is missed but
-    for chance collisions of 64-bit hashes: the sampled blocks alone would find about 0.7 to 0.9 of the pairs of just 0.8, the prefixes find all.
+    Near copies have a Jaccard similarity of at least ``similarity`` on shingles of ``words`` words.  None is missed but for chance collisions of
+    64-bit hashes: the popcount grid finds all fingerprints within ``radius`` bits, the prefixes of the sets bring every other pair.
     """
-    layout = layout or corpus_layout(docs.count(), bits)
+    layout = layout or halves_layout()
+    bits = 64 * (max(b for segments, _ in layout for s in segments for b in s) // 64 + 1)
     unknown, known, hashed = F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
     keyed = docs.select(F.struct(unknown.alias("unknown"), known.alias("id"), hashed.alias("hash")).alias("__key"), F.col(f"`{text_col}`").alias("__text"))
     classes = near_classes(keyed, words, radius, layout, bits, "__key", "__text", similarity=similarity)

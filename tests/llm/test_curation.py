@@ -216,3 +216,29 @@ def test_prices_are_dual_optimal():
             for state, here in enumerate(repair.arcs_of(code)):
                 slack = [cost + ((further + ahead[to]) if into else (base + price[to])) - base - price[state] for _, cost, into, to in here if (ahead if into else price)[to] is not None]
                 assert min(slack) == 0
+
+
+# -- near copies: links of one group
+
+def test_links_grow_in_proportion_to_a_group(spark, monkeypatch):
+    """Groups of 250, 500 and 1,000 near copies: fewer verified links than members and one more for each pair of runs."""
+    from plumbline.llm import simhash
+
+    from .conftest import words
+
+    counted = []
+    whole = simhash.components
+
+    def components(links, name):
+        counted.append((name, links.count()))
+        return whole(links, name)
+
+    monkeypatch.setattr(simhash, "components", components)
+    base = words(70, 120)
+    for m in (250, 500, 1000):
+        data = [(i, " ".join([*base[: 1 + i % 119], f"edit{i}", *base[1 + i % 119 :]])) for i in range(m)]
+        kept = simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string")).collect()
+        assert [r["doc_id"] for r in kept] == [0]
+        got = dict(counted)
+        assert got["simhash-verified"] <= m + 120 and got["simhash-families"] <= 8 * m
+        counted.clear()

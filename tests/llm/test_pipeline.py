@@ -79,11 +79,11 @@ def test_stages_on_an_empty_table(spark, corpus):
 
 def test_registered_names():
     numbers = {n.split("_")[0] for n in queries.QUERIES if n.startswith("op")}
-    assert numbers == {f"op{k}" for k in range(1, 11)} and "pipeline" in queries.QUERIES
+    assert numbers == {f"op{k}" for k in range(1, 14)} and "pipeline" in queries.QUERIES
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "substrings", "packing"]
 
 
-@pytest.mark.parametrize("name", ["op1_warc_zstd", "op4_suffix_tree_dedup"])
+@pytest.mark.parametrize("name", ["op1_warc_zstd", "op4_suffix_tree_dedup", "op11_threshold_negatives", "op12_auction_repair", "op13_line_bitmaps"])
 def test_sql_twin(spark, name):
     sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
     import check_queries
