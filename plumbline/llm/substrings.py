@@ -221,8 +221,8 @@ def dedup(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, group: int
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     _, nbytes = text_bytes(slim)
     buckets = parts(spark, nbytes, 64 << 20)
-    found = repeated_anchors(slim, buckets, width, anchor).groupBy("doc").agg(F.collect_list("key").alias("__keys"))
-    wide = docs.withColumns({"__id": F.col(f"`{id_col}`").cast("long"), "__text": F.col(f"`{text_col}`").cast("string")}).join(found, F.col("__id") == F.col("doc"), "left").drop("doc")
+    found = repeated_anchors(slim, buckets, width, anchor).groupBy(F.col("doc").alias("__doc")).agg(F.collect_list("key").alias("__keys"))
+    wide = docs.withColumns({"__id": F.col(f"`{id_col}`").cast("long"), "__text": F.col(f"`{text_col}`").cast("string")}).join(found, F.col("__id") == F.col("__doc"), "left").drop("__doc")
     kept = wide.drop("__keys", "__id", "__text")
     head = kept.schema.simpleString()[len("struct<") : -1]
 

@@ -109,8 +109,9 @@ class Chain:
     features: int
 
     def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
-        """Every row with ``p_<category>`` for each category."""
+        """Every row with ``p_<category>`` for each category; columns of these names are replaced."""
         names, features = self.categories, self.features
+        docs = docs.drop(*[f"p_{c}" for c in names])
         sent = docs.sparkSession.sparkContext.broadcast(self.weights)
         kept = docs.schema.simpleString()[len("struct<") : -1]
 
