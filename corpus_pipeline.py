@@ -21,7 +21,8 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not hold for toxic."""
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.corpus_categories())
-    return chain.score(docs).where(F.col("p_toxic") < toxicity.REJECT).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")  # whatever names the columns have
+    return chain.score(rows).where(F.col("p_toxic") < toxicity.REJECT).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
