@@ -19,12 +19,12 @@ longer than ``tokens`` is cut, and only such a document.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,61 +37,94 @@ TOKENS = 2048
 GROUP = 16_384
 MEMORY = 600_000
 
-_MEMO: dict[str, tuple[Tokenizer, tuple[str, int] | None, dict[bytes, bytes]]] = {}
+_MEMO: dict[str, Chunks] = {}
+_WORD_END = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")  # not the empty string
 
 
-def _mark(tokenizer: Tokenizer) -> tuple[str, int] | None:
-    """A punctuation sign that is one token when it stands alone, to keep chunks apart in one call; None if there is none."""
-    for sign in "~^|#@":
-        ids = tokenizer.encode(sign, add_special_tokens=False).ids
-        if len(ids) == 1:
-            return sign, ids[0]
-    return None
+class Chunks:
+    """The ids of chunks seen before: their texts as one array, their ids as another, so that a batch is looked up in one call."""
 
+    def __init__(self, spec: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_str(spec)
+        self.mark = next(((sign, ids[0]) for sign in "~^|#@" if len(ids := self._encode(sign)) == 1), None)
+        self.clear()
+
+    def clear(self) -> None:
+        self.texts = pa.array([], pa.string())
+        self.ids, self.first, self.size = np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(chunks in another order, their ids one after the other, number of ids of each), many chunks to a call: a chunk without the mark (a sign
+        that is one token when it stands alone) ends where the mark's token stands."""
+        alone = [c for c in chunks if not self.mark or self.mark[0] in c]
+        joined = [c for c in chunks if self.mark and self.mark[0] not in c]
+        got = [np.array(self._encode(c), "<u4") for c in alone]
+        size = [len(x) for x in got]
+        for i in range(0, len(joined), 4000):
+            sign, token = self.mark
+            ids = np.array(self._encode(f" {sign} ".join([*joined[i : i + 4000], ""])), "<u4")
+            ends = np.flatnonzero(ids == token)
+            size.extend((np.diff(ends, prepend=-1) - 1).tolist())
+            got.append(ids[ids != token])
+        return alone + joined, np.concatenate([np.empty(0, "<u4"), *got]), np.array(size, np.int64)
+
+    def add(self, texts: pa.Array) -> None:
+        """Learn new chunks.  A stop behind a letter or digit at the end of a chunk is cut off, as the tokenizer does in any case."""
+        parts = [[c[:-1], c[-1]] if c[-1:] in (".", ",") and c[-2:-1] in _WORD_END else [c] for c in texts.to_pylist()]
+        every = [x for p in parts for x in p]
+        order, ids, size = self._learn(list(dict.fromkeys(every)))
+        place = dict(zip(order, range(len(order))))
+        which = np.array([place[x] for x in every], np.int64)
+        length, count = size[which], np.array([len(p) for p in parts], np.int64)
+        upto = np.cumsum(length)
+        flat = ids[np.arange(upto[-1] if len(upto) else 0) + np.repeat((np.cumsum(size) - size)[which] - (upto - length), length)]
+        ends = upto[np.cumsum(count) - 1]
+        self.texts = pa.concat_arrays([self.texts, texts])
+        self.first = np.concatenate([self.first, len(self.ids) + np.append(0, ends[:-1])])
+        self.size = np.concatenate([self.size, np.diff(ends, prepend=0)])
+        self.ids = np.concatenate([self.ids, flat])
+
+    def numbers(self, texts: pa.Array) -> np.ndarray:
+        """The place of each chunk in the memory, which is emptied when full."""
+        for last in (False, True):
+            got = pc.index_in(texts, value_set=self.texts)
+            if not got.null_count:
+                break
+            fresh = pc.unique(texts.filter(pc.is_null(got)))
+            if not last and len(self.texts) + len(fresh) > MEMORY:
+                self.clear()
+                fresh = pc.unique(texts)
+            self.add(fresh)
+        else:
+            got = pc.index_in(texts, value_set=self.texts)
+        return got.to_numpy().astype(np.int64)
 
-def _learn(tokenizer: Tokenizer, mark: tuple[str, int] | None, chunks: list[bytes], seen: dict[bytes, bytes]) -> None:
-    """Encode new chunks, many to a call: a chunk without the mark ends where the mark's token stands."""
-    texts = [(c, c.decode()) for c in chunks]
-    alone = [x for x in texts if mark is None or mark[0] in x[1]]
-    joined = [x for x in texts if mark is not None and mark[0] not in x[1]]
-    for c, t in alone:
-        seen[c] = np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-    for i in range(0, len(joined), 1000):
-        part = joined[i : i + 1000]
-        ids = np.array(tokenizer.encode("".join(f"{t} {mark[0]} " for _, t in part), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(ids == mark[1])
-        raw = ids.tobytes()
-        seen.update((c, raw[x:y]) for (c, _), x, y in zip(part, [0, *(4 * ends[:-1] + 4).tolist()], (4 * ends).tolist(), strict=True))
-
-
-_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=\s)")
-
-
-def _chunks(text: str | None) -> list[bytes]:
-    """A text cut where the tokenizer cuts it in any case: at ASCII white space, and before a stop that ends a word.
-
-    A-Z are lower-cased, as the tokenizer does, so that fewer chunks differ; not where a special token may stand.
-    """
-    raw = (text or "").encode()
-    return raw.split() if b"<|" in raw else _STOP.sub(rb" \1", raw.lower()).split()
 
+def _batch_ids(spec: Broadcast, text: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts one after the other, number of ids up to the end of each text), an end mark behind each text.
 
-def _chunk_ids(spec: Broadcast, texts: list[str | None]) -> list[bytes]:
-    """Ids of each text by the tokenizers library.  Its ids are those of the text's chunks one after the other, so each new chunk is
-    encoded once; the memory of chunks is emptied when full."""
+    Ids are those of the tokenizers library: of a text's chunks one after the other, as the tokenizer cuts at ASCII white space in any case.
+    Texts are lower-cased (A-Z, as the tokenizer does; not where a special token may stand), split and looked up in one go for the batch."""
     if spec.value not in _MEMO:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _MEMO.clear()
-        tokenizer = Tokenizer.from_str(spec.value)
-        _MEMO[spec.value] = (tokenizer, _mark(tokenizer), {})
-    tokenizer, mark, seen = _MEMO[spec.value]
-    cut = [_chunks(t) for t in texts]
-    fresh = {c for chunks in cut for c in chunks if c not in seen}
-    if len(seen) + len(fresh) > MEMORY:
-        seen.clear()
-        fresh = {c for chunks in cut for c in chunks}
-    _learn(tokenizer, mark, list(fresh), seen)
-    return [b"".join(map(seen.__getitem__, chunks)) for chunks in cut]
+        _MEMO[spec.value] = Chunks(spec.value)
+    known = _MEMO[spec.value]
+    text = pc.fill_null(text, "")
+    split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(text, "<|"), text, pc.ascii_lower(text)))
+    number = known.numbers(split.flatten())
+    last = split.offsets.to_numpy()[1:].astype(np.int64) - split.offsets[0].as_py()
+    # the end mark is one more chunk behind the known ones
+    which = np.insert(number, last, len(known.size))
+    length = np.append(known.size, 1)[which]
+    upto = np.cumsum(length)
+    first = np.append(known.first, len(known.ids))[which]
+    flat = np.append(known.ids, np.array([end], "<u4"))
+    ids = flat[np.arange(upto[-1] if len(upto) else 0) + np.repeat(first - (upto - length), length)]
+    return ids, upto[last + np.arange(len(last))]
 
 
 def token_pieces(docs: DataFrame, path: str, tokens: int = TOKENS, id_col: str = "doc_id", text_col: str = "text", end: int = 0) -> DataFrame:
@@ -102,20 +135,19 @@ def token_pieces(docs: DataFrame, path: str, tokens: int = TOKENS, id_col: str =
     spec = load_spec(docs.sparkSession, path)
     slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
-    mark = end.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
             row, piece, start, length, ids = [], [], [], [], []
-            for r, got in enumerate(_chunk_ids(spec, batch.column("text").to_pylist())):
-                got += mark
-                for k, at in enumerate(range(0, len(got) // 4, tokens)):
-                    cut = got[4 * at : 4 * (at + tokens)]
+            every, upto = _batch_ids(spec, batch.column("text"), end)
+            for r, (i, j) in enumerate(zip([0, *upto[:-1].tolist()], upto.tolist())):
+                for k, at in enumerate(range(i, j, tokens)):
+                    cut = every[at : min(j, at + tokens)]
                     row.append(r)
                     piece.append(k)
-                    start.append(at)
-                    length.append(len(cut) // 4)
-                    ids.append(cut)
+                    start.append(at - i)
+                    length.append(len(cut))
+                    ids.append(cut.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())],
                 ["id", "piece", "start", "length", "ids"],
@@ -169,7 +201,7 @@ def pack(
     weights: tuple[float, float, float] = (1.0, 0.001, 0.001),
     group: int = GROUP,
 ) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` of at most ``tokens``; other columns pass through.
+    """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` of at most ``tokens``; they replace columns of these names, others pass through.
 
     The pieces are written to the work folder once, so that row numbers and their number hold for every retry.
     ``attention`` is ``tokens`` squared where not given.
@@ -179,6 +211,7 @@ def pack(
     cost = float(attention or tokens * tokens)
     if cost < tokens * tokens:
         raise ValueError("attention must allow one piece of full length")
+    pieces = pieces.drop("sequence_id", "offset")
     held = Scratch(pieces.sparkSession, "packing").write(pieces, "pieces")
     wide = held.schema.simpleString()[len("struct<") : -1]
     rows = held.withColumn("__row", F.monotonically_increasing_id())

@@ -77,6 +77,20 @@ def test_stages_on_an_empty_table(spark, corpus):
         assert stage(spark, docs, at).count() == 0
 
 
+def test_stages_with_clashing_columns(spark, corpus):
+    """Columns named as those that operators use inside or add."""
+    at, _, _ = corpus
+    docs = spark.read.parquet(f"{at}/documents.parquet").where("doc_id % 5 = 1 or doc_id % 5 = 4").limit(60)
+    names = "doc p_toxic p_low_quality sequence_id offset piece start length ids id row key fp node size ticket root least text_hash h1 pos label family run other a b n_words n_removed n place".split()
+    docs = docs.withColumns({c: F.lit(7) for c in names if c not in ("n_words", "n_removed")})
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, docs, at)
+        assert out.columns == docs.columns and out.where(" or ".join(f"`{c}` <> 7" for c in docs.columns[5:])).count() == 0, name
+        assert 0 < out.count() <= 60
+    packed = corpus_pipeline.pack(spark, docs, at)
+    assert packed.where("offset + length > 2048").count() == 0
+
+
 def test_registered_names():
     numbers = {n.split("_")[0] for n in queries.QUERIES if n.startswith("op")}
     assert numbers == {f"op{k}" for k in range(1, 14)} and "pipeline" in queries.QUERIES
