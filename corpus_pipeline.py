@@ -21,8 +21,9 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not hold for toxic."""
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.corpus_categories())
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")  # whatever names the columns have
-    return chain.score(rows).where(F.col("p_toxic") < toxicity.REJECT).select("row.*")
+    names = {c: f"column{k}" for k, c in enumerate(docs.columns)}  # so that no name clashes with a score
+    scored = chain.score(docs.toDF(*names.values()), names["text"])
+    return scored.where(F.col("p_toxic") < toxicity.REJECT).select(*[F.col(new).alias(old) for old, new in names.items()])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
