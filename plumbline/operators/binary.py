@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.core import bin_index, f1_of, ratio, rnd
-from plumbline.operators.ordering import exact_quantiles, running_totals
+from plumbline.operators.ordering import cut_points, exact_quantiles, running_totals, with_bucket
 from plumbline.operators.relational import argmax_first
+from plumbline.session import ensure_checkpoint_dir
 
 # The 99 thresholds of the sweep.
 THRESHOLDS = [float(t) for t in np.linspace(0.01, 0.99, 99)]
@@ -180,19 +182,76 @@ def compare_models(df: DataFrame, models: Sequence[str], baseline: str) -> DataF
     return wide.select("metric", *models, *deltas)
 
 
-def recalibrate_isotonic(train: DataFrame, df: DataFrame) -> DataFrame:
-    """Isotonic map of score to probability, fitted on ``train``, applied to ``df``."""
-    from pyspark.ml.regression import IsotonicRegression
+def pool_adjacent(lo: np.ndarray, hi: np.ndarray, total: np.ndarray, weight: np.ndarray) -> list[tuple[float, float, float, float]]:
+    """Blocks (lo, hi, total, weight) in rising order pooled until their means rise strictly.
 
-    from pyspark.ml.functions import array_to_vector
+    Pooling is the same whatever was pooled before, so blocks of neighbouring ranges can be pooled again together.
+    """
+    out: list[tuple[float, float, float, float]] = []
+    for block in zip(lo.tolist(), hi.tolist(), total.tolist(), weight.tolist()):
+        while out and out[-1][2] * block[3] >= block[2] * out[-1][3]:
+            first = out.pop()
+            block = (first[0], block[1], first[2] + block[2], first[3] + block[3])
+        out.append(block)
+    return out
 
-    def vec(d: DataFrame) -> DataFrame:
-        return d.withColumn("__f", array_to_vector(F.array(F.col("score").cast("double")))).withColumn("__y", F.col("y").cast("double"))
 
-    # rows are averaged per distinct score first, so the fit sees each score once
-    grouped = train.groupBy("score").agg(F.avg("y").alias("y"), F.count(F.lit(1)).cast("double").alias("__w"))
-    model = IsotonicRegression(featuresCol="__f", labelCol="__y", weightCol="__w", predictionCol="calibrated").fit(vec(grouped))
-    return model.transform(vec(df)).drop("__f", "__y")
+def isotonic_blocks(train: DataFrame, rows_per_bucket: int | None = None, fan_in: int = 8) -> DataFrame:
+    """(lo, hi, total, weight): the blocks of the isotonic least-squares fit of ``y`` on ``score``; rows without either take no part.
+
+    Rows are summed per distinct score and cut into score ranges, whose blocks are pooled in parallel; then the blocks of ``fan_in`` neighbouring
+    ranges are pooled together, level by level.  Only blocks move between levels, and a pooled range shrinks to about the cube root of its scores.
+    """
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    known = train.select(F.col("score").cast("double").alias("score"), F.col("y").cast("double").alias("y")).where("score is not null and y is not null and not isnan(score)")
+    cuts, hot = cut_points(known, "score", rows_per_bucket)
+    sums = known.groupBy("score").agg(F.sum("y").alias("total"), F.count(F.lit(1)).cast("double").alias("weight"))
+    shape = "lo double, hi double, total double, weight double"
+    rows = with_bucket(sums, "score", cuts, hot, "part").select(F.col("score").alias("lo"), F.col("score").alias("hi"), "total", "weight", "part")
+
+    def pooled(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("lo")
+        return pd.DataFrame(pool_adjacent(*(pdf[c].to_numpy(float) for c in ("lo", "hi", "total", "weight"))), columns=["lo", "hi", "total", "weight"]).assign(part=int(pdf["part"].iloc[0]))
+
+    blocks = rows.groupBy("part").applyInPandas(pooled, shape + ", part int").checkpoint()
+    ranges = 2 * len(cuts) + 2 if cuts else 1
+    while ranges > 1:
+        ranges = -(-ranges // fan_in)
+        blocks = blocks.withColumn("part", F.floor(F.col("part") / fan_in).cast("int")).groupBy("part").applyInPandas(pooled, shape + ", part int").checkpoint()
+    return blocks.drop("part")
+
+
+def recalibrate_isotonic(train: DataFrame, df: DataFrame, rows_per_bucket: int | None = None) -> DataFrame:
+    """``df`` with ``calibrated``: the isotonic map of score to probability fitted on ``train``.
+
+    Between two blocks the map is linear, outside it is constant; a NULL or NaN score, or an empty ``train``, gives NULL.  Each distinct score is looked up once,
+    in the range of scores that it lies in; a range holds its own ends of blocks and the nearest one on either side, so nothing is collected or sent to all tasks.
+    """
+    blocks = isotonic_blocks(train, rows_per_bucket)
+    value = (F.col("total") / F.col("weight")).alias("v")
+    ends = blocks.select(F.explode(F.array("lo", "hi")).alias("x"), value).distinct()
+    # NaN and infinite scores compare with no cut point
+    asked = df.select(F.col("score").cast("double").alias("x")).where("x is not null and not isnan(x)").distinct()
+    cuts, hot = cut_points(ends, "x", rows_per_bucket)
+    ends, asked = with_bucket(ends, "x", cuts, hot, "part"), with_bucket(asked, "x", cuts, hot, "part")
+    every = df.sparkSession.range(2 * len(cuts) + 2).select(F.col("id").cast("int").alias("part"))
+    own = ends.groupBy("part").agg(F.min(F.struct("x", "v")).alias("first"), F.max(F.struct("x", "v")).alias("last"))
+    order = Window.partitionBy(F.lit(0)).orderBy("part")  # one row for each range, of which there are a bounded number
+    sides = every.join(own, "part", "left").select(
+        "part", F.last("last", True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("below"), F.first("first", True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("above")
+    )
+    ghosts = sides.select("part", F.explode(F.array("below", "above")).alias("e")).where("e is not null").select("e.x", "e.v", "part")
+
+    def look_up(key: tuple, scores: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(scores) or not len(known):
+            return pd.DataFrame({"x": scores["x"], "calibrated": np.nan})
+        known = known.sort_values("x")
+        return pd.DataFrame({"x": scores["x"], "calibrated": np.interp(scores["x"], known["x"], known["v"])})
+
+    found = asked.groupBy("part").cogroup(ends.unionByName(ghosts).groupBy("part")).applyInPandas(look_up, "x double, calibrated double")
+    found = found.select(F.col("x").alias("__x"), F.nanvl("calibrated", F.lit(None).cast("double")).alias("__c"))
+    return df.join(found, F.col("score").cast("double") == F.col("__x"), "left").select(*[df[c] for c in df.columns if c != "calibrated"], F.col("__c").alias("calibrated"))
 
 
 def recalibrate_sigmoid(train: DataFrame, df: DataFrame) -> DataFrame:

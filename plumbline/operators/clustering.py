@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Sequence
@@ -263,29 +264,50 @@ def neighbour_counts(df: DataFrame, id_col: str, cols: Sequence[str], eps: float
 
     Meant for sparse data or reports; :func:`dbscan` compares points only where a cell does not already decide.
     """
-    return _dense_counts(df, id_col, cols, eps, None)
+    return _dense_counts(df, id_col, cols, eps, None, _axes(df, cols, eps))
 
 
 def _cell_side(cols: Sequence[str], eps: float) -> float:
     return eps / math.sqrt(len(cols)) * (1 - 1e-9)
 
 
-def _offsets(cols: Sequence[str]) -> list[tuple[int, ...]]:
+def _axes(df: DataFrame, cols: Sequence[str], eps: float) -> list[int]:
+    """The columns that deal cells to neighbourhoods: those of the widest spread, as many as make looks and candidates of a point fewest.
+
+    Points within eps differ by at most eps in every column, so any choice finds all of them; the choice is about cost.
+    """
+    got = df.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    spread = [got[f"s{i}"] or 0.0 for i in range(len(cols))]
+    order = sorted(range(len(cols)), key=lambda i: -spread[i])
+    met, best, least = float(got["n"]), 1, math.inf
+    for k, i in enumerate(order[:8], 1):
+        met *= min(1.0, 3 * (eps + _cell_side(cols, eps)) / max(3.5 * spread[i], 1e-300))
+        if 3**k + met < least:
+            best, least = k, 3**k + met
+    return sorted(order[:best])
+
+
+def _lanes(df: DataFrame, cols: Sequence[str], eps: float, axes: Sequence[int], prefix: str) -> DataFrame:
+    """Add the lane ``<prefix>0..`` of each cell: its lower corner along the axes in steps of eps and a cell side, so that neighbours are at most one step apart."""
+    side = _cell_side(cols, eps)
+    return df.withColumns({f"{prefix}{k}": F.floor(F.col(f"__g{i}") * F.lit(side) / F.lit((eps + side) * (1 + 1e-9))).cast("long") for k, i in enumerate(axes)})
+
+
+def _steps(axes: Sequence[int]) -> Column:
     from itertools import product
 
-    reach = int(math.ceil(math.sqrt(len(cols)))) + 1
-    return list(product(range(-reach, reach + 1), repeat=len(cols)))
+    return F.explode(F.array(*[F.struct(*[F.lit(x).alias(f"o{k}") for k, x in enumerate(move)]) for move in product((-1, 0, 1), repeat=len(axes))]))
 
 
-def _near(points: DataFrame, others: DataFrame, cols: Sequence[str], eps: float) -> DataFrame:
-    """Pairs (p, q) of positions in different cells within ``eps``: an equi-join on neighbouring cells."""
-    g = [f"__g{i}" for i in range(len(cols))]
-    moves = F.explode(F.array(*[F.struct(*[F.lit(o).alias(f"o{i}") for i, o in enumerate(off)]) for off in _offsets(cols) if any(off)]))
-    left = points.select("pid", *[F.col(c).alias(f"p_{c}") for c in cols], *g, moves.alias("m"))
-    left = left.select("pid", *[f"p_{c}" for c in cols], *[(F.col(x) + F.col(f"m.o{i}")).alias(x) for i, x in enumerate(g)])
-    right = others.select(F.col("pid").alias("qid"), F.col("n").alias("q_n"), *[F.col(c).alias(f"q_{c}") for c in cols], *g)
+def _near(points: DataFrame, others: DataFrame, cols: Sequence[str], eps: float, axes: Sequence[int]) -> DataFrame:
+    """Pairs (p, q) of positions in different cells within ``eps``: an equi-join on neighbouring lanes, then the exact distance."""
+    g, lane = [f"__g{i}" for i in range(len(cols))], [f"__l{k}" for k in range(len(axes))]
+    left = _lanes(points, cols, eps, axes, "__l").select("pid", *[F.col(c).alias(f"p_{c}") for c in cols], *[F.col(x).alias(f"p{x}") for x in g], *lane, _steps(axes).alias("m"))
+    left = left.withColumns({x: F.col(x) + F.col(f"m.o{k}") for k, x in enumerate(lane)}).drop("m")
+    right = _lanes(others, cols, eps, axes, "__l").select(F.col("pid").alias("qid"), F.col("n").alias("q_n"), *[F.col(c).alias(f"q_{c}") for c in cols], *[F.col(x).alias(f"q{x}") for x in g], *lane)
     gap = sum(((F.col(f"p_{c}") - F.col(f"q_{c}")) * (F.col(f"p_{c}") - F.col(f"q_{c}")) for c in cols), F.lit(0.0))
-    return left.join(right, g).where(gap <= eps * eps)
+    apart = functools.reduce(lambda x, y: x | y, [F.col(f"p{x}") != F.col(f"q{x}") for x in g])
+    return left.join(right, lane).where(apart & (gap <= eps * eps))
 
 
 def _grid(df: DataFrame, id_col: str, cols: Sequence[str], eps: float) -> DataFrame:
@@ -293,17 +315,17 @@ def _grid(df: DataFrame, id_col: str, cols: Sequence[str], eps: float) -> DataFr
     return grid_points(df, id_col, cols).withColumns({f"__g{i}": F.floor(F.col(c) / side).cast("long") for i, c in enumerate(cols)})
 
 
-def _dense_counts(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, enough: int | None) -> DataFrame:
+def _dense_counts(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, enough: int | None, axes: Sequence[int]) -> DataFrame:
     g = [f"__g{i}" for i in range(len(cols))]
     pts = _grid(df, id_col, cols, eps)
     full = pts.groupBy(*g).agg(F.sum("n").alias("cell_n"))
     pts = pts.join(full, g)
     todo = pts if enough is None else pts.where(F.col("cell_n") < enough)
-    outside = _near(todo, pts, cols, eps).groupBy("pid").agg(F.sum("q_n").alias("out_n"))
+    outside = _near(todo, pts, cols, eps, axes).groupBy("pid").agg(F.sum("q_n").alias("out_n"))
     return pts.join(outside, "pid", "left").withColumn("n_within", F.col("cell_n") + F.coalesce("out_n", F.lit(0)))
 
 
-def _link_cells(core: DataFrame, cols: Sequence[str], eps: float) -> DataFrame:
+def _link_cells(core: DataFrame, cols: Sequence[str], eps: float, axes: Sequence[int]) -> DataFrame:
     """Pairs of neighbouring core cells that hold points within ``eps`` of each other: ``(a, b)`` both ways.
 
     Points are never paired.  Cells are compared by the bounding boxes of their points: boxes that lie wholly
@@ -330,9 +352,14 @@ def _link_cells(core: DataFrame, cols: Sequence[str], eps: float) -> DataFrame:
         return pairs.where(near <= eps * eps).select(*keep, (far <= eps * eps).alias("sure")).checkpoint()
 
     first = boxes(0)
-    moves = F.explode(F.array(*[F.struct(*[F.lit(o).alias(f"o{i}") for i, o in enumerate(off)]) for off in _offsets(cols) if any(off)]))
-    left = sided(first, "a").withColumn("m", moves).withColumns({f"b_k{i}": F.col(f"a_k{i}") + F.col(f"m.o{i}") for i in dims}).drop("m")
-    state = judged(left.join(sided(first, "b"), [f"b_k{i}" for i in dims]).where("cell_a < cell_b"))
+    lane = [f"lane{k}" for k in range(len(axes))]
+
+    def laned(x: str) -> DataFrame:
+        named = _lanes(first.select("*", *[F.col(f"k{i}").alias(f"__g{i}") for i in dims]), cols, eps, axes, "lane")
+        return sided(first, x).join(named.select(F.col("cell").alias(f"cell_{x}"), *lane), f"cell_{x}")
+
+    left = laned("a").withColumn("m", _steps(axes)).withColumns({x: F.col(x) + F.col(f"m.o{k}") for k, x in enumerate(lane)}).drop("m")
+    state = judged(left.join(laned("b"), lane).where("cell_a < cell_b"))
     edges = state.where("sure").select("cell_a", "cell_b").distinct()
     for level in itertools.count(1):
         open_pairs = state.where("not sure").join(edges, ["cell_a", "cell_b"], "left_anti")
@@ -348,7 +375,7 @@ def _link_cells(core: DataFrame, cols: Sequence[str], eps: float) -> DataFrame:
 
 
 def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_points: int) -> DataFrame:
-    """Density clusters for low-dimensional data: ``(id, cluster)`` with noise -1; cluster ids are the lowest row id in it.
+    """Density clusters: ``(id, cluster)`` with noise -1; cluster ids are the lowest id of a core row in it.  Rows with a NULL or NaN coordinate are noise.
 
     Core cells (cells of side eps / sqrt(d) holding a core point) are the nodes: all core points of a cell
     belong together, so a crowded place is one node however many rows it holds.  A point is compared with other
@@ -358,12 +385,15 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_poin
     """
     ensure_checkpoint_dir(df.sparkSession)
     g = [f"__g{i}" for i in range(len(cols))]
-    counts = _dense_counts(df, id_col, cols, eps, min_points)
+    fit = functools.reduce(lambda x, y: x & y, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in cols])
+    whole = df.where(fit)
+    axes = _axes(whole, cols, eps)
+    counts = _dense_counts(whole, id_col, cols, eps, min_points, axes)
     pts = counts.withColumn("core", F.col("n_within") >= min_points).select("pid", "n", *cols, *g, "core").checkpoint()
     core = pts.where("core")
     cells = core.groupBy(*g).agg(F.min("pid").alias("cell")).checkpoint()
     core = core.join(cells, g)
-    edges = _link_cells(core, cols, eps)
+    edges = _link_cells(core, cols, eps, axes)
     labels = cells.select("cell", F.col("cell").alias("label"))
     while True:  # labels only fall, so this ends
         near = edges.join(labels.select(F.col("cell").alias("b"), "label"), "b").groupBy(F.col("a").alias("cell")).agg(F.min("label").alias("m"))
@@ -376,12 +406,12 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_poin
     labelled = core.join(labels, "cell").select("pid", *cols, "n", *g, "label")
     border = pts.where("not core")  # such a cell holds fewer than min_points rows
     inner = border.join(labelled.groupBy(*g).agg(F.min("label").alias("label")), g).select("pid", "label")
-    reach = _near(border, labelled.select("pid", "n", *cols, *g), cols, eps).join(
+    reach = _near(border, labelled.select("pid", "n", *cols, *g), cols, eps, axes).join(
         labelled.select(F.col("pid").alias("qid"), "label"), "qid").select("pid", "label")
     edge = inner.unionByName(reach).groupBy("pid").agg(F.min("label").alias("label"))
     final = labelled.select("pid", "label").unionByName(edge)
-    return (df.join(pts.select("pid", *cols), list(cols)).join(final, "pid", "left")
-            .select(id_col, F.coalesce("label", F.lit(-1)).cast("long").alias("cluster")))
+    named = whole.join(pts.select("pid", *cols), list(cols)).join(final, "pid", "left").select(id_col, F.coalesce("label", F.lit(-1)).cast("long").alias("cluster"))
+    return named.unionByName(df.where(~fit).select(id_col, F.lit(-1).cast("long").alias("cluster")))
 
 
 # --- isolation forest --------------------------------------------------------------------------------------------

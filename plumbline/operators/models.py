@@ -1,19 +1,20 @@
 """Baselines and tuning as Spark ML jobs.
 
-Boosted libraries of the single-machine form are replaced by Spark's trees, attribution by permutation, and
-quantile boosting by leaf percentiles of one tree.
+Boosted libraries of the single-machine form are replaced by Spark's trees, and attribution by permutation; quantile boosting is built here on
+Spark's trees.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from plumbline.functions.core import h32, ratio, rnd
 from plumbline.operators.binary import curve_areas
 from plumbline.operators.ordering import exact_quantiles, rank_rows
 from plumbline.operators.prep import class_weights_balanced
+from plumbline.session import ensure_checkpoint_dir
 
 
 def _assemble(features: Sequence[str], scale: bool) -> list:
@@ -78,13 +80,66 @@ def fit_boosted_regression(df: DataFrame, features: Sequence[str], label: str, v
     return Pipeline(stages=[*_assemble(features, False), GBTRegressor(labelCol=label, seed=1, **_early(validation), **kw)]).fit(df)
 
 
-def fit_quantile_bounds(train: DataFrame, df: DataFrame, features: Sequence[str], label: str, low: float = 0.05, high: float = 0.95, depth: int = 5) -> DataFrame:
-    """Add ``lo`` and ``hi``: the label percentiles of the row's leaf in a tree fitted on ``train``."""
-    tree = DecisionTreeRegressor(labelCol=label, maxDepth=depth, leafCol="leaf", seed=1)
-    model = Pipeline(stages=[*_assemble(features, False), tree]).fit(train)
-    leaves = exact_quantiles(model.transform(train).select("leaf", label), [label], [low, high], by=["leaf"])
-    bounds = df.sparkSession.createDataFrame([(k[0], v[0], v[1]) for k, v in leaves.items()], "leaf double, lo double, hi double")
-    return model.transform(df).join(F.broadcast(bounds), "leaf", "left").drop("features", "prediction")  # at most 2^depth leaves
+@dataclass
+class QuantileBoost:
+    """Boosted trees for one quantile of the label: a constant, then one tree a round with a shift for each of its leaves."""
+
+    level: float
+    start: float
+    rate: float
+    trees: list[tuple[DecisionTreeRegressionModel, list[float]]]
+
+    def predict(self, assembled: DataFrame, name: str, since: int = 0, onto: str | None = None) -> DataFrame:
+        """Add column ``name`` to rows with ``features``: the sum from round ``since`` on, above column ``onto`` or the constant."""
+        out = assembled.withColumn(name, F.col(onto) if onto else F.lit(self.start))
+        for tree, shifts in self.trees[since:]:
+            leaves = F.array(*[F.lit(self.rate * v) for v in shifts])  # at most 2^depth of them
+            out = tree.transform(out).withColumn(name, F.col(name) + F.get(leaves, F.col("__leaf").cast("int"))).drop("__leaf", "__sign_hat")
+        return out
+
+
+def fit_quantile_boost(assembled: DataFrame, label: str, levels: Sequence[float], rounds: int = 20, rate: float = 0.3, depth: int = 4, keep_every: int = 5, least_rows: int = 20) -> list[QuantileBoost]:
+    """Gradient boosting of the pinball loss, one model for each level, on rows with ``features`` and ``label``.
+
+    The loss falls by ``level`` where the label lies above the prediction and by ``1 - level`` where it lies below, so a round fits a regression tree to that sign and then moves each
+    leaf by its rows' quantile of label minus prediction, times ``rate``.  A round costs a tree and one aggregate with a sketch for each leaf.  The predictions so far
+    are kept in the checkpoint folder every ``keep_every`` rounds, so a round applies few trees and a lost executor repeats few.
+    """
+    ensure_checkpoint_dir(assembled.sparkSession)
+    names = [f"__m{k}" for k in range(len(levels))]
+    y = F.col(label).cast("double")
+    rows = assembled.where(y.isNotNull() & ~F.isnan(y)).select("features", y.alias("__y"))
+    start = exact_quantiles(rows, ["__y"], levels)
+    models = [QuantileBoost(p, v, rate, []) for p, v in zip(levels, start[("__y",)] if ("__y",) in start else [0.0] * len(levels)) if v is not None]
+    if not models:
+        raise ValueError("no row has a label")
+    rows = rows.withColumns({n: F.lit(m.start) for n, m in zip(names, models)}).checkpoint()
+    kept = 0
+    for number in range(1, rounds + 1):
+        now = rows
+        for name, m in zip(names, models):
+            now = m.predict(now, name, kept, name)
+        if number > 1 and (number - 1) % keep_every == 0:
+            rows, kept = now.checkpoint(), number - 1
+            now = rows
+        for name, m in zip(names, models):
+            signed = now.withColumn("__sign", F.when(F.col("__y") > F.col(name), m.level).otherwise(m.level - 1.0))
+            tree = DecisionTreeRegressor(labelCol="__sign", predictionCol="__sign_hat", leafCol="__leaf", maxDepth=depth, minInstancesPerNode=least_rows, seed=number).fit(signed)
+            shift = F.percentile_approx(F.col("__y") - F.col(name), m.level, 10_000)
+            got = {int(r["__leaf"]): r["v"] for r in tree.transform(now).groupBy("__leaf").agg(shift.alias("v")).collect()}  # at most 2^depth rows
+            m.trees.append((tree, [got.get(k, 0.0) for k in range(2**depth)]))
+    return models
+
+
+def fit_quantile_bounds(train: DataFrame, df: DataFrame, features: Sequence[str], label: str, low: float = 0.05, high: float = 0.95, **kw) -> DataFrame:
+    """Add ``lo`` and ``hi`` to ``df``: boosted estimates of two quantiles of the label, fitted on ``train``; where they cross, the lower one is ``lo``.
+
+    Rows with a NULL or NaN feature are left out, as in the other fits.
+    """
+    assembler = _assemble(features, False)[0]
+    first, second = fit_quantile_boost(assembler.transform(train), label, [low, high], **kw)
+    out = second.predict(first.predict(assembler.transform(df), "__lo"), "__hi").drop("lo", "hi", "features")
+    return out.withColumns({"lo": F.least("__lo", "__hi"), "hi": F.greatest("__lo", "__hi")}).drop("__lo", "__hi")
 
 
 def probability(df: DataFrame, name: str = "score") -> DataFrame:

@@ -120,10 +120,19 @@ def halves(spark, sf):
     return s.where(h), s.where(~h)
 
 
-@query("recalibrate_isotonic")
+HALF = f"{U(key(chr(39) + 'half' + chr(39), 'row_id'))} < 0.5"
+# the fit by its formula: at a score the largest, over starts at or below it, of the smallest mean of the ranges from there to an end at or above it
+FIT = f"""tr AS (SELECT score, sum(y)::DOUBLE AS s, count(*)::DOUBLE AS n FROM scored WHERE {HALF} GROUP BY 1), ps AS (SELECT score, s, n, sum(s) OVER w AS cs, sum(n) OVER w AS cn FROM tr WINDOW w AS (ORDER BY score)),
+means AS (SELECT a.score AS a, b.score AS b, (b.cs - a.cs + a.s) / (b.cn - a.cn + a.n) AS m FROM ps a JOIN ps b ON a.score <= b.score),
+fit AS (SELECT b AS score, max(m) AS v FROM (SELECT a, b, min(m) OVER (PARTITION BY a ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS m FROM means) GROUP BY 1)"""
+
+
+@query("recalibrate_isotonic", f"""{W}, {FIT}, te AS (SELECT row_id, y, score FROM scored WHERE NOT {HALF}),
+lo AS (SELECT te.*, f.score AS x0, f.v AS v0 FROM te ASOF LEFT JOIN fit f ON te.score >= f.score), both_ AS (SELECT lo.*, f.score AS x1, f.v AS v1 FROM lo ASOF LEFT JOIN fit f ON lo.score <= f.score)
+SELECT row_id, y, score, {R('CASE WHEN x0 IS NULL THEN v1 WHEN x1 IS NULL OR x1 = x0 THEN v0 ELSE v0 + (v1 - v0) * (score - x0) / (x1 - x0) END')} AS calibrated FROM both_""")
 def _(spark, sf):
     a, b = halves(spark, sf)
-    return ev.recalibrate_isotonic(a, b)
+    return ev.recalibrate_isotonic(a, b).select("row_id", "y", "score", rnd(F.col("calibrated")).alias("calibrated"))
 
 
 @query("recalibrate_sigmoid")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.core import h32, rnd
 from plumbline.operators import clustering as cl
+from plumbline.operators import prep
 from plumbline.plans.registry import H, R, key, query, table
 
 C = F.col
@@ -129,11 +130,29 @@ def _(spark, sf):
     return cl.neighbour_counts(plane(spark, sf), "id", ["x", "y"], 0.8).select("pid", "n_within")
 
 
-@query("dbscan")
+def density_sql(points, near, enough):
+    """Density clusters of ``points`` (id, ...): the core rows each core row reaches, the least of them as label."""
+    return f"""WITH RECURSIVE {points}, nb AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON {near}), core AS (SELECT a AS id FROM nb GROUP BY a HAVING count(*) >= {enough}),
+ e AS (SELECT a, b FROM nb WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)), reach AS (SELECT id, id AS root FROM core UNION SELECT e.b, r.root FROM reach r JOIN e ON e.a = r.id),
+ lab AS (SELECT id, min(root) AS label FROM reach GROUP BY id), edge AS (SELECT nb.a AS id, min(label) AS label FROM nb JOIN lab ON lab.id = nb.b GROUP BY 1)
+ SELECT id, coalesce(lab.label, edge.label, -1)::BIGINT AS cluster FROM pts LEFT JOIN lab USING (id) LEFT JOIN edge USING (id)"""
+
+
+@query("dbscan", density_sql(f"{PLANE}, pts AS (SELECT * FROM plane)", "(a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 0.8::DOUBLE * 0.8::DOUBLE", 4))
 def _(spark, sf):
     return cl.dbscan(plane(spark, sf), "id", ["x", "y"], 0.8, 4)
 
 
+EIGHT = [f"f{i}" for i in range(8)]
+EIGHT_SQL = ", ".join(f"(embedding[{i + 1}]::DOUBLE - avg(embedding[{i + 1}]::DOUBLE) OVER ()) / stddev_pop(embedding[{i + 1}]::DOUBLE) OVER () AS f{i}" for i in range(8))
+
+
+@query("dbscan_8_columns", density_sql(f"pts AS (SELECT vec_id AS id, {EIGHT_SQL} FROM embeddings)", " + ".join(f"(a.f{i} - b.f{i}) ** 2" for i in range(8)) + " <= 1.7::DOUBLE * 1.7::DOUBLE", 4))
+def _(spark, sf):
+    e = emb(spark, sf).select(C("vec_id").alias("id"), *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(EIGHT)])
+    return cl.dbscan(prep.standardize(e, EIGHT), "id", EIGHT, 1.7, 4)
+
+
 @query("isolation_forest")
 def _(spark, sf):
     li = table(spark, sf, "events").select("event_id", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))

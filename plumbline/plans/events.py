@@ -48,7 +48,7 @@ def _(spark, sf):
     return ev.dedupe_receipts(ev.receipts(routed(spark, sf))).drop("delivered_at")
 
 
-def streamed(spark, sf, dedupe, files_per_batch=3):
+def streamed(spark, sf, dedupe, files_per_batch=1):
     src, out, ck = (shared_folder(spark, n) for n in ("events-in", "receipts", "receipts-ck"))
     messages(spark, sf).repartition(8).write.text(src)  # several files, in no order of time
     r = ev.receipts(ev.route_events(ev.read_event_stream(spark, src, files_per_batch), "shop"))

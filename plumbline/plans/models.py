@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.core import hash_bucket, rnd, unit
 from plumbline.operators import models as md
+from plumbline.operators.ordering import quantile_table
 from plumbline.plans.fixtures import ML_LABELS, multilabel_wide, scored
 from plumbline.plans.registry import H, R, key, query, spread, table
 from plumbline.session import shared_folder
@@ -68,11 +69,21 @@ def _(spark, sf):
     return regression_metrics(p.select(C("price").alias("y"), C("prediction").alias("yhat")))
 
 
-@query("fit_quantile_bounds")
+# two thirds of the lines fit, the rest is scored: counts are exact, the band must hold about nine in ten and be narrower than the constant one
+LINE = key("'band'", "l_orderkey", "l_linenumber")
+
+
+@query("fit_quantile_bounds", f"SELECT count(*) AS n, true AS covered, true AS below_level, true AS above_level, true AS narrower, 0::BIGINT AS crossed FROM lineitem WHERE {H(LINE)} % 3 = 2")
 def _(spark, sf):
-    d = lines_xy(spark, sf)
-    b = md.fit_quantile_bounds(d, d, LINE_FEATS, "price")
-    return b.groupBy("leaf", "lo", "hi").agg(F.count(F.lit(1)).alias("n"), rnd(F.avg(C("price").between(C("lo"), C("hi")).cast("int"))).alias("coverage"))
+    fold = hash_bucket(3, F.lit("band"), "l_orderkey", "l_linenumber")
+    d = table(spark, sf, "lineitem").select(*LINE_FEATS, (C("l_extendedprice") / 1000 + 2 * C("l_quantity")).alias("price"), fold.alias("fold"))
+    train, held = d.where("fold < 2"), d.where("fold = 2")
+    b = md.fit_quantile_bounds(train, held, LINE_FEATS, "price", rounds=6, rate=0.5)
+    flat = quantile_table(train, ["price"], [0.05, 0.95]).agg((F.max("value") - F.min("value")).alias("flat"))
+    inside, below, above = (F.avg(x.cast("int")) for x in (C("price").between(C("lo"), C("hi")), C("price") < C("lo"), C("price") > C("hi")))
+    got = b.agg(F.count(F.lit(1)).alias("n"), inside.between(0.87, 0.93).alias("covered"), below.between(0.03, 0.07).alias("below_level"), above.between(0.03, 0.07).alias("above_level"),
+                F.avg(C("hi") - C("lo")).alias("width"), F.count_if(C("lo") > C("hi")).alias("crossed"))
+    return got.join(flat).select("n", "covered", "below_level", "above_level", (C("width") < 0.9 * C("flat")).alias("narrower"), "crossed")
 
 
 def orders_xy(spark, sf):

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The event type that means a paid checkout, and the payment fee (2.9 % and 30 cents).
 PAID = "checkout.session.completed"
 FEE_PER_MILLE = 29
 FEE_FIXED_CENTS = 30
 
+STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 EVENT_SCHEMA = (
     "type string, created string, data struct<object: struct<id: string, amount_total: bigint, "
     "customer_details: struct<email: string>, metadata: struct<platform: string, bundle: string>>>"
@@ -52,21 +56,31 @@ def dedupe_receipts(r: DataFrame) -> DataFrame:
     return r.groupBy("session_id").agg(first).select("session_id", "r.email", "r.bundle", "r.amount_cents", "r.delivered_at")
 
 
-def run_deduped(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Stream form: append the receipt of each session seen for the first time, whatever its age, and stop when all input is read.
+def first_seen(stream: DataFrame, by: str = "session_id") -> DataFrame:
+    """Stream form: the first receipt of each session to arrive, whatever its age; a NULL session is one session.
 
-    Every micro-batch is reduced to one receipt a session and compared with the receipts of earlier batches, so no watermark
-    drops anything.  A batch owns its folder: when it is repeated after a failure it replaces what it wrote.
+    The sessions seen are keys of a state store, dealt by hash over the shuffle partitions, so a micro-batch looks up its own sessions and reads no earlier
+    receipt.  There is no watermark: nothing is dropped for being late, and the state grows by one key a session.  Of the receipts of one session in
+    its first micro-batch one is kept, which one is not defined.
     """
-    def step(batch: DataFrame, number: int) -> None:
-        fresh = dedupe_receipts(batch)
-        if number:
-            seen = batch.sparkSession.read.schema(T.StructType([*fresh.schema.fields, T.StructField("batch", T.LongType())])).parquet(out).where(F.col("batch") < number)
-            fresh = fresh.join(seen.select(F.col("session_id").alias("__seen")), F.col("session_id").eqNullSafe(F.col("__seen")), "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
-
-    q = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
+    return stream.dropDuplicates([by])
+
+
+def run_deduped(stream: DataFrame, out: str, checkpoint: str) -> list[dict]:
+    """Append the receipt of each session seen for the first time and stop when all input is read; the progress of each micro-batch.
+
+    The state lives on RocksDB, off the heap, with its changes in the checkpoint folder; a run that starts from the same folder goes on where
+    the last one ended.
+    """
+    conf = stream.sparkSession.conf
+    kept = {k: conf.get(k, None) for k in STATE_ON_DISK}
+    for k, v in STATE_ON_DISK.items():
+        conf.set(k, v)
+    try:
+        return run_to_files(first_seen(stream), out, checkpoint)
+    finally:
+        for k, v in kept.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def read_event_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
@@ -74,11 +88,12 @@ def read_event_stream(spark: SparkSession, path: str, files_per_batch: int = 100
     return parse_events(spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(path))
 
 
-def run_to_files(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Append everything that is available to a folder, once each, and stop."""
+def run_to_files(stream: DataFrame, out: str, checkpoint: str) -> list[dict]:
+    """Append everything that is available to a folder, once each, and stop; the progress of each micro-batch."""
     q = (stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return list(q.recentProgress)
 
 
 def undelivered_sessions(routed: DataFrame, written: DataFrame) -> DataFrame:
