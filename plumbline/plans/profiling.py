@@ -4,7 +4,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import inject, profile
+from plumbline.operators import information, inject, profile
 from plumbline.plans.fixtures import (
     PROFILED, PROFILED_ALL, PROFILED_NUMERIC, PROFILED_TEXT, profiled, profiled_table,
 )
@@ -176,6 +176,30 @@ def _(spark, sf):
     return profile.mutual_information(profiled_table(spark, sf), "is_returned")
 
 
+def neighbour_mi_sql():
+    med = ", ".join(f"coalesce({c}::DOUBLE, (SELECT quantile_cont({c}::DOUBLE, 0.5) FROM profiled)) AS {c}" for c in FEATS)
+    cells = union(f"SELECT is_returned AS y, '{c}' AS feature, {c} + 0.0::DOUBLE AS x FROM filled" for c in FEATS)
+    near = ", ".join(f"{{'d': abs(x - {f}(x, {j}) OVER w), 's': {s}, 'v': {f}(x, {j}) OVER w}}" for j in (1, 2, 3) for f, s in (("lag", -1), ("lead", 1)))
+
+    def psi(n):
+        z = f"({n} + 6.0::DOUBLE)"
+        steps = " + ".join(f"1.0::DOUBLE / ({n} + {i})" for i in range(6))
+        return f"(ln({z}) - 0.5::DOUBLE / {z} - 1.0::DOUBLE / (12 * {z} ** 2) + 1.0::DOUBLE / (120 * {z} ** 4) - 1.0::DOUBLE / (252 * {z} ** 6) + 1.0::DOUBLE / (240 * {z} ** 8) - ({steps}))"
+
+    return f"""filled AS MATERIALIZED (SELECT is_returned, {med} FROM profiled), cells AS ({cells}), ny AS (SELECT is_returned AS y, count(*) AS n FROM filled GROUP BY 1 HAVING count(*) > 1),
+nb AS (SELECT feature, x, n, least(3, n - 1) AS k, list_sort(list_filter([{near}], lambda e: e.d IS NOT NULL))[least(3, n - 1)] AS e FROM cells JOIN ny USING (y) WINDOW w AS (PARTITION BY feature, y ORDER BY x)),
+iv AS MATERIALIZED (SELECT feature, x, n, k, e.d AS r, CASE WHEN e.s = -1 THEN e.v ELSE x - e.d END AS lo, CASE WHEN e.s = 1 THEN e.v ELSE x + e.d END AS hi FROM nb),
+vals AS MATERIALIZED (SELECT feature, x, c, sum(c) OVER (PARTITION BY feature ORDER BY x) AS cum FROM (SELECT feature, x, count(*) AS c FROM iv GROUP BY 1, 2)),
+met AS (SELECT iv.feature, iv.n, iv.k, CASE WHEN iv.r = 0 THEN s.c ELSE greatest(coalesce(h.cum, 0) - coalesce(l.cum, 0), 1) END AS m FROM iv JOIN vals s ON s.feature = iv.feature AND s.x = iv.x
+ ASOF LEFT JOIN vals h ON h.feature = iv.feature AND iv.hi > h.x ASOF LEFT JOIN vals l ON l.feature = iv.feature AND iv.lo >= l.x)
+SELECT feature, {R(f"greatest({psi('count(*)')} + avg({psi('k')}) - avg({psi('n')}) - avg({psi('m')}), 0)")} AS mi FROM met GROUP BY feature"""
+
+
+@query("mutual_information_neighbours", f"{W}, {neighbour_mi_sql()}")
+def _(spark, sf):
+    return information.neighbour_information(profiled_table(spark, sf), "is_returned")
+
+
 @query("mi_vs_pearson_gap", f"""{W}, {mi_sql()}, p AS (SELECT feature, coalesce(abs(p), 0) AS p FROM ({LEAK_SQL}))
 SELECT feature, mi, {R('p')} AS abs_pearson, mi > 0.05 AND p < 0.1 AS gap FROM mi JOIN p USING (feature) ORDER BY mi DESC, feature LIMIT 5""")
 def _(spark, sf):

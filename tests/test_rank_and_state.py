@@ -107,3 +107,31 @@ def test_quantile_boosting_follows_the_spread(spark):
         part = (got.x >= low) & (got.x < low + 1)
         assert 0.8 < inside[part].mean() < 0.98
     assert width[got.x > 3].mean() > 2.5 * width[got.x < 1].mean()
+
+
+@pytest.mark.parametrize(("chunk", "rows"), [(50_000, None), (7, 40)])
+def test_neighbour_information_equals_brute_force(spark, chunk, rows):
+    """All distances by numpy, over chunks and ranges of any size; planted signals are ranked before noise."""
+    from plumbline.operators import information
+
+    rng = np.random.default_rng(8)
+    y = rng.integers(0, 3, 260)
+    x = {"linear": y + rng.normal(0, 0.5, 260), "noise": rng.normal(0, 1, 260), "ring": np.where(y == 1, 1, -1) * rng.uniform(0.5, 1, 260) * rng.choice([-1, 1], 260), "steps": np.round(y + rng.normal(0, 1, 260))}
+    data = [(*(float(v[i]) for v in x.values()), int(y[i])) for i in range(260)]
+    df = spark.createDataFrame([*data, (None, 0.1, 0.2, 1.0, 1), (0.3, None, 0.2, 1.0, 2), (0.0, 0.0, 0.0, 0.0, None), (0.0, 0.0, 0.0, 0.0, 7)], ", ".join(f"{c} double" for c in x) + ", y int")
+    got = {r["feature"]: r["mi"] for r in information.neighbour_information(df, "y", chunk=chunk, rows_per_bucket=rows).collect()}
+    whole = df.where("y is not null").toPandas()
+    harmonic = np.append(0, np.cumsum(1 / np.arange(1, 400)))
+    psi = lambda n: harmonic[np.asarray(n) - 1] - 0.5772156649015329
+    for c in x:
+        v, t = whole[c].fillna(whole[c].median()).to_numpy(), whole["y"].to_numpy()
+        size = np.array([(t == k).sum() for k in t])
+        v, t, size = v[size > 1], t[size > 1], size[size > 1]
+        gap = np.abs(v[:, None] - v[None])
+        own = np.where((t[:, None] == t[None]) & ~np.eye(len(v), dtype=bool), gap, np.inf)
+        k = np.minimum(3, size - 1)
+        r = np.sort(own, axis=1)[np.arange(len(v)), k - 1]
+        m = np.where(r == 0, (gap == 0).sum(axis=1), (gap < r[:, None]).sum(axis=1))
+        assert got[c] == pytest.approx(max(0, psi(len(v)) + psi(k).mean() - psi(size).mean() - psi(m).mean()), abs=2e-6), c
+    assert got["linear"] > 5 * got["noise"] + 0.1
+    assert information.neighbour_information(df.where("y is null"), "y").count() == 0
