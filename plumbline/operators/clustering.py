@@ -6,7 +6,6 @@ import functools
 import itertools
 import math
 from collections.abc import Sequence
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -15,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.core import h32, ratio, rnd
+from plumbline.operators.lloyd import Run, best_of, labelled, lloyd, pair_counts, silhouettes
 from plumbline.operators.ordering import exact_quantiles
 from plumbline.session import ensure_checkpoint_dir
 
@@ -32,16 +32,14 @@ def sq_distance(x: Column, centre: Sequence[float]) -> Column:
 
 # --- fits ------------------------------------------------------------------------------------------------------
 
-def kmeans_fit(df: DataFrame, array_col: str, k: int, seeds: Sequence[int] = (1, 2, 3)):
-    """Best model of several seeds by training cost."""
-    from pyspark.ml.clustering import KMeans
+def kmeans_fit(df: DataFrame, array_col: str, id_col: str, k: int, starts: int = 10, rounds: int = 20) -> Run:
+    """The run of least inertia of ``starts`` runs, which share every scan."""
+    return best_of(lloyd(df, array_col, id_col, [(k, s) for s in range(starts)], rounds))
 
-    data = with_vector(df, array_col).select("features").persist()
-    try:
-        models = [KMeans(k=k, seed=s).fit(data) for s in seeds]
-    finally:
-        data.unpersist()
-    return min(models, key=lambda m: m.summary.trainingCost)
+
+def kmeans_assign(df: DataFrame, array_col: str, run: Run, keep: Sequence[str]) -> DataFrame:
+    """(keep..., cluster, sq_dist) of each row with a vector."""
+    return labelled(df, array_col, keep, [run]).select(*keep, F.get("clusters", F.lit(0)).alias("cluster"), F.get("sq_dists", F.lit(0)).alias("sq_dist"))
 
 
 def gmm_fit(df: DataFrame, array_col: str, k: int, seed: int = 1):
@@ -50,21 +48,16 @@ def gmm_fit(df: DataFrame, array_col: str, k: int, seed: int = 1):
     return GaussianMixture(k=k, seed=seed).fit(with_vector(df, array_col).select("features"))
 
 
-def select_k(df: DataFrame, array_col: str, ks: Sequence[int] = tuple(range(2, 11)), seed: int = 1, starts: int = 3) -> DataFrame:
-    """Silhouette (Spark's squared-Euclidean form) and inertia per K, of the best of ``starts`` runs by inertia; ``chosen`` marks the first best silhouette."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.evaluation import ClusteringEvaluator
+def select_k(df: DataFrame, array_col: str, id_col: str, ks: Sequence[int] = tuple(range(2, 11)), starts: int = 10, rounds: int = 20) -> DataFrame:
+    """Silhouette (simplified, squared distances) and inertia per K, of the best of ``starts`` runs by inertia; ``chosen`` marks the first best silhouette.
 
-    data = with_vector(df, array_col).select("features").persist()
-    try:
-        rows = []
-        for k in ks:
-            model = min((KMeans(k=k, seed=seed + i).fit(data) for i in range(starts)), key=lambda m: m.summary.trainingCost)
-            rows.append((k, float(ClusteringEvaluator().evaluate(model.transform(data))), float(model.summary.trainingCost)))
-    finally:
-        data.unpersist()
-    best = max(rows, key=lambda r: (r[1], -r[0]))[0]
-    return df.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows], "k int, silhouette double, inertia double, chosen boolean")
+    All runs of all K move in the same scans, and one more scan scores the best of each K.
+    """
+    runs = lloyd(df, array_col, id_col, [(k, s) for k in ks for s in range(starts)], rounds)
+    best = [best_of([r for r in runs if r.k == k]) for k in ks]
+    rows = [(r.k, float(v), r.inertia) for r, v in zip(best, silhouettes(df, array_col, best))]
+    chosen = max(rows, key=lambda r: (r[1], -r[0]))[0]
+    return df.sparkSession.createDataFrame([(*r, r[0] == chosen) for r in rows], "k int, silhouette double, inertia double, chosen boolean")
 
 
 def pca_reduce(df: DataFrame, array_col: str, id_col: str, variance: float = 0.9) -> DataFrame:
@@ -215,35 +208,20 @@ def silhouette_sample(df: DataFrame, array_col: str, cluster: str, id_col: str,
     return got.agg(F.count(F.lit(1)).alias("n_sample"), rnd(F.avg("s")).alias("silhouette"))
 
 
-def cluster_stability(df: DataFrame, array_col: str, id_col: str, k: int, seeds: Sequence[int] = tuple(range(8))) -> DataFrame:
-    """Mean ARI between K-means runs with different seeds; below 0.7 the clustering is unstable.
+def cluster_stability(df: DataFrame, array_col: str, id_col: str, k: int, starts: int = 8, rounds: int = 20) -> DataFrame:
+    """Mean ARI between K-means runs with different starts; below 0.7 the clustering is unstable.
 
-    All runs label the same rows, so every pair is a count table of two columns of one frame.
+    All runs share their scans and label the same rows, so every pair is a count table of k x k cells.
     """
-    from pyspark.ml.clustering import KMeans
-
-    data = with_vector(df, array_col).select(id_col, "features").persist()
-    try:
-        out = data
-        for s in seeds:
-            out = KMeans(k=k, seed=int(s), predictionCol=f"c{s}").fit(data).transform(out)
-        pairs = list(combinations(seeds, 2))
-        cells = out.select(F.inline(F.array(*[F.struct(F.lit(f"{a}-{b}").alias("pair"), F.col(f"c{a}").alias("a"), F.col(f"c{b}").alias("b")) for a, b in pairs])))
-        counts = cells.groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("n")).collect()  # pairs x k x k rows
-    finally:
-        data.unpersist()
-    score = {}
-    for pair in {r["pair"] for r in counts}:
-        m = np.zeros((k, k))
-        for r in counts:
-            if r["pair"] == pair:
-                m[r["a"], r["b"]] = r["n"]
-        two = lambda v: (v * (v - 1) / 2).sum()
-        both, ra, cb, total = two(m), two(m.sum(1)), two(m.sum(0)), m.sum() * (m.sum() - 1) / 2
-        exp = ra * cb / total if total else 0.0
-        score[pair] = (both - exp) / ((ra + cb) / 2 - exp) if (ra + cb) / 2 != exp else 1.0
-    mean = float(np.mean(list(score.values())))
-    return df.sparkSession.createDataFrame([(len(seeds), len(score), mean, mean < 0.7)], "n_runs int, n_pairs int, mean_ari double, unstable boolean")
+    runs = lloyd(df, array_col, id_col, [(k, s) for s in range(starts)], rounds)
+    cells = pair_counts(labelled(df, array_col, [id_col], runs), starts)
+    two = lambda c: F.col(c).cast("double") * (F.col(c) - 1) / 2
+    both = cells.groupBy("pair").agg(F.sum(two("n")).alias("both"), (F.sum("n").cast("double") * (F.sum("n") - 1) / 2).alias("total"))
+    sides = [cells.groupBy("pair", c).agg(F.sum("n").alias("n")).groupBy("pair").agg(F.sum(two("n")).alias(f"s_{c}")) for c in "ab"]
+    each = both.join(sides[0], "pair").join(sides[1], "pair")
+    expected, most = ratio(F.col("s_a") * F.col("s_b"), F.col("total")), (F.col("s_a") + F.col("s_b")) / 2
+    got = each.agg(F.count(F.lit(1)).cast("int").alias("n_pairs"), F.avg(ratio(F.col("both") - expected, most - expected, default=1.0)).alias("mean_ari"))
+    return got.select(F.lit(starts).alias("n_runs"), "n_pairs", "mean_ari", (F.col("mean_ari") < 0.7).alias("unstable"))
 
 
 def anomaly_precision_recall(df: DataFrame, flagged: str, truth: str) -> DataFrame:

@@ -90,11 +90,29 @@ def _(spark, sf):
     return cl.silhouette_full(emb(spark, sf), "embedding", "label")
 
 
-@query("kmeans_fit")
+ROUNDS = 5
+
+
+def lloyd_sql(runs):
+    """Lloyd's algorithm written out: ``fin`` has the cluster and squared distance of each row in every run (k, s) after ROUNDS moves."""
+    pairs = ", ".join(f"({k}, {s})" for k, s in runs)
+    gap = "list_sum(list_transform(list_zip(e.v, c.m), lambda z: (z[1] - z[2]) ** 2))"
+    steps = []
+    for i in range(ROUNDS + 1):
+        steps.append(f"n{i} AS MATERIALIZED (SELECT k, s, vec_id, c, d FROM (SELECT c.k, c.s, e.vec_id, c.c, {gap} AS d, row_number() OVER (PARTITION BY c.k, c.s, e.vec_id ORDER BY {gap}, c.c) AS r FROM pts e, c{i} c) WHERE r = 1)")
+        if i < ROUNDS:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT o.k, o.s, o.c, coalesce(w.m, o.m) AS m FROM c{i} o LEFT JOIN (SELECT k, s, c, list(m ORDER BY i) AS m FROM
+ (SELECT n.k, n.s, n.c, u.i, avg(u.x) AS m FROM n{i} n JOIN (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM pts) u USING (vec_id) GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3) w USING (k, s, c))""")
+    return f"""pts AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), runs AS (SELECT * FROM (VALUES {pairs}) t(k, s)),
+c0 AS MATERIALIZED (SELECT k, s, c, v AS m FROM (SELECT k, s, v, row_number() OVER (PARTITION BY k, s ORDER BY {H(key(chr(39) + 'start' + chr(39), 's', 'vec_id'))}, vec_id) - 1 AS c FROM pts, runs) WHERE c < k),
+{', '.join(steps)}, fin AS (SELECT * FROM n{ROUNDS}), cost AS (SELECT k, s, sum(d) AS inertia FROM fin GROUP BY 1, 2), won AS (SELECT k, arg_min(s, (inertia, s)) AS s, min(inertia) AS inertia FROM cost GROUP BY 1)"""
+
+
+@query("kmeans_fit", f"WITH {lloyd_sql([(10, s) for s in range(4)])} SELECT vec_id, label, c::INT AS cluster, {R('d', 4)} AS sq_dist FROM fin JOIN won USING (k, s) JOIN embeddings USING (vec_id)")
 def _(spark, sf):
     e = emb(spark, sf)
-    model = cl.kmeans_fit(e, "embedding", 10)
-    return model.transform(cl.with_vector(e, "embedding")).select("vec_id", "label", C("prediction").alias("cluster"))
+    run = cl.kmeans_fit(e, "embedding", "vec_id", 10, starts=4, rounds=ROUNDS)
+    return cl.kmeans_assign(e, "embedding", run, ["vec_id", "label"]).withColumn("sq_dist", rnd(C("sq_dist"), 4))
 
 
 @query("gmm_fit")
@@ -103,14 +121,24 @@ def _(spark, sf):
     return cl.gmm_fit(e, "components", 5).transform(cl.with_vector(e, "components")).select("vec_id", C("prediction").alias("cluster"))
 
 
-@query("select_k")
+# squared distances to the members of a cluster from its sums, as in the simplified silhouette
+SIL = """mem AS (SELECT f.k, f.vec_id, f.c, p.v FROM fin f JOIN won USING (k, s) JOIN pts p USING (vec_id)), cs AS (SELECT k, c, count(*)::DOUBLE AS n, sum(list_sum(list_transform(v, lambda x: x * x))) AS q FROM mem GROUP BY 1, 2),
+cv AS (SELECT k, c, list(m ORDER BY i) AS m FROM (SELECT k, c, i, avg(x) AS m FROM (SELECT k, c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM mem) GROUP BY 1, 2, 3) GROUP BY 1, 2),
+far AS (SELECT mem.k, mem.vec_id, mem.c = cs.c AS own, cs.n, list_sum(list_transform(mem.v, lambda x: x * x)) + cs.q / cs.n - 2 * list_inner_product(mem.v, cv.m) AS d FROM mem JOIN cs ON cs.k = mem.k JOIN cv ON cv.k = cs.k AND cv.c = cs.c),
+ab AS (SELECT k, vec_id, max(CASE WHEN own AND n > 1 THEN d * n / (n - 1) END) AS a, min(CASE WHEN NOT own THEN d END) AS b FROM far GROUP BY 1, 2), sil AS (SELECT k, avg(coalesce((b - a) / greatest(a, b), 0)) AS v FROM ab GROUP BY 1)"""
+
+
+@query("select_k", f"WITH {lloyd_sql([(k, s) for k in range(2, 9) for s in range(3)])}, {SIL} SELECT k, {R('v')} AS silhouette, {R('inertia', 4)} AS inertia, k = (SELECT arg_max(k, (v, -k)) FROM sil) AS chosen FROM won JOIN sil USING (k)")
 def _(spark, sf):
-    return cl.select_k(emb(spark, sf), "embedding")
+    got = cl.select_k(emb(spark, sf), "embedding", "vec_id", range(2, 9), starts=3, rounds=ROUNDS)
+    return got.select("k", rnd(C("silhouette")).alias("silhouette"), rnd(C("inertia"), 4).alias("inertia"), "chosen")
 
 
-@query("cluster_stability")
+@query("cluster_stability", f"""WITH {lloyd_sql([(10, s) for s in range(8)])}, ct AS (SELECT x.s AS p, y.s AS q, x.c AS a, y.c AS b, count(*)::DOUBLE AS n FROM fin x JOIN fin y USING (vec_id) WHERE x.s < y.s GROUP BY 1, 2, 3, 4),
+ag AS (SELECT p, q, sum(n * (n - 1) / 2) AS both_, sum(n) * (sum(n) - 1) / 2 AS t FROM ct GROUP BY 1, 2), ra AS (SELECT p, q, sum(n * (n - 1) / 2) AS x FROM (SELECT p, q, a, sum(n) AS n FROM ct GROUP BY 1, 2, 3) GROUP BY 1, 2), rb AS (SELECT p, q, sum(n * (n - 1) / 2) AS y FROM (SELECT p, q, b, sum(n) AS n FROM ct GROUP BY 1, 2, 3) GROUP BY 1, 2),
+ari AS (SELECT (both_ - x * y / t) / ((x + y) / 2 - x * y / t) AS v FROM ag JOIN ra USING (p, q) JOIN rb USING (p, q)) SELECT 8 AS n_runs, count(*)::INT AS n_pairs, {R('avg(v)')} AS mean_ari, avg(v) < 0.7 AS unstable FROM ari""")
 def _(spark, sf):
-    return cl.cluster_stability(emb(spark, sf), "embedding", "vec_id", 10)
+    return cl.cluster_stability(emb(spark, sf), "embedding", "vec_id", 10, rounds=ROUNDS).withColumn("mean_ari", rnd(C("mean_ari")))
 
 
 @query("pca_reduce")

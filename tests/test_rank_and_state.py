@@ -135,3 +135,34 @@ def test_neighbour_information_equals_brute_force(spark, chunk, rows):
         assert got[c] == pytest.approx(max(0, psi(len(v)) + psi(k).mean() - psi(size).mean() - psi(m).mean()), abs=2e-6), c
     assert got["linear"] > 5 * got["noise"] + 0.1
     assert information.neighbour_information(df.where("y is null"), "y").count() == 0
+
+
+def test_many_k_means_runs_share_their_scans(spark, monkeypatch):
+    """As many scans for twelve runs as for the slowest of them alone; planted blobs are found; odd vectors take no part."""
+    from plumbline.operators import clustering, lloyd
+
+    rng = np.random.default_rng(9)
+    centres = np.array([[0, 0, 0], [5, 5, 0], [0, 5, 5], [5, 0, 5]], float)
+    x = np.concatenate([c + rng.normal(0, 0.2, (50, 3)) for c in centres])
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)] + [(900, None), (901, []), (902, [1.0, None, 2.0]), (903, [1.0, float("nan"), 2.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>").withColumn("x", F.lit("clash"))
+    scans = []
+    whole = lloyd.measured
+    monkeypatch.setattr(lloyd, "measured", lambda r, runs: scans.append(len(runs)) or whole(r, runs))
+    many = lloyd.lloyd(df, "v", "id", [(k, s) for k in (2, 3, 4) for s in range(4)])
+    together, alone = len(scans), []
+    for r in [r for r in many if r.start == 0]:
+        scans.clear()
+        one = lloyd.lloyd(df, "v", "id", [(r.k, 0)])[0]
+        alone.append(len(scans))
+        assert np.allclose(one.centres, r.centres) and one.inertia == pytest.approx(r.inertia)
+    assert max(alone) <= together <= 21
+    best = lloyd.best_of([r for r in many if r.k == 4])
+    got = {r["id"]: r["cluster"] for r in clustering.kmeans_assign(df, "v", best, ["id"]).collect()}
+    assert set(got) == set(range(200)) and len({frozenset(i for i in got if got[i] == c) for c in range(4)} & {frozenset(range(50 * b, 50 * b + 50)) for b in range(4)}) == 4
+    assert best.inertia == pytest.approx(sum(((x[50 * b : 50 * b + 50] - x[50 * b : 50 * b + 50].mean(axis=0)) ** 2).sum() for b in range(4)))
+    picked = [r["k"] for r in clustering.select_k(df, "v", "id", range(2, 7), starts=6).collect() if r["chosen"]]
+    assert picked == [4]
+    assert clustering.cluster_stability(df, "v", "id", 1, 3).first()["mean_ari"] == 1.0
+    with pytest.raises(ValueError):
+        lloyd.lloyd(df.where("id >= 198"), "v", "id", [(4, 0)])
