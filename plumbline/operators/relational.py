@@ -106,12 +106,30 @@ def weighted_avg(value: Column, weight: Column) -> Column:
     return F.try_divide(F.sum(F.when(both, value * weight)).cast("double"), F.sum(F.when(both, weight)).cast("double"))
 
 
+def sketch_parts(df: DataFrame, by: Sequence[str], value: str, part: Column) -> DataFrame:
+    """``(by, part, n, distinct_sketch, quantile_sketch)``: sketches as binary columns, one row per group and part, to be stored and merged later.
+
+    ``part`` is what arrives together (a day, a file); NULL and NaN values are not counted.
+    """
+    v = F.col(value).cast("double")
+    known = df.withColumn("__v", F.when(~F.isnan(v), v)).withColumn("part", part).where(F.col("__v").isNotNull())
+    return known.groupBy(*by, "part").agg(
+        F.count("__v").alias("n"), F.hll_sketch_agg(F.col("__v").cast("string"), 14).alias("distinct_sketch"), F.kll_sketch_agg_double("__v", 400).alias("quantile_sketch"))
+
+
+def merged_stats(parts: DataFrame, by: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """``(by, n, approx_distinct, approx_quantiles)`` from any parts: sketches of parts merge into those of the whole, whatever the cut.
+
+    With sketches of these sizes a distinct count is off by about 0.8 per cent, and the rank of a quantile by less than 1 per cent (one deviation and 99 of 100 cases).
+    """
+    whole = parts.groupBy(*by).agg(F.sum("n").alias("n"), F.hll_union_agg("distinct_sketch").alias("__h"), F.kll_merge_agg_double("quantile_sketch").alias("__k"))
+    quantiles = F.array(*[F.kll_sketch_get_quantile_double("__k", F.lit(float(p))) for p in probs])
+    return whole.select(*by, "n", F.hll_sketch_estimate("__h").alias("approx_distinct"), quantiles.alias("approx_quantiles"))
+
+
 def running_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Mergeable sketches per group: approximate distinct count and approximate quartiles."""
-    sk = df.groupBy(*by).agg(F.count(value).alias("n"), F.hll_sketch_agg(F.col(value).cast("string")).alias("__h"),
-                             F.expr(f"kll_sketch_agg_double(cast(`{value}` as double))").alias("__k"))
-    return sk.select(*by, "n", F.hll_sketch_estimate("__h").alias("approx_distinct"),
-                     F.expr("kll_sketch_get_quantile_double(__k, 0.5D)").alias("approx_median"))
+    """Approximate distinct count and quartiles per group in one pass."""
+    return merged_stats(sketch_parts(df, by, value, F.lit(0)), by)
 
 
 def rank_in_group(df: DataFrame, by: Sequence[str], order: str, name: str = "rank", rows_per_bucket: int | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.core import hash_bucket, rnd, unit
 from plumbline.operators import models as md
+from plumbline.operators import tfidf
 from plumbline.operators.ordering import quantile_table
 from plumbline.plans.fixtures import ML_LABELS, multilabel_wide, scored
 from plumbline.plans.registry import H, R, key, query, spread, table
@@ -135,7 +136,7 @@ g AS (SELECT doc_id, t AS term FROM u UNION ALL SELECT a.doc_id, a.t || ' ' || b
 v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + count(*))) + 1 AS idf, sum(tf) AS total FROM tf GROUP BY 1 HAVING count(*) >= 2 ORDER BY total DESC, term LIMIT 15000),
 r AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN v USING (term)) SELECT doc_id, term, {R('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))')} AS weight FROM r""")
 def _(spark, sf):
-    return md.tfidf_features(spread(table(spark, sf, "documents")), "doc_id", "text").select("doc_id", "term", rnd(C("weight")).alias("weight"))
+    return tfidf.tfidf_features(spread(table(spark, sf, "documents")), "doc_id", "text").select("doc_id", "term", rnd(C("weight")).alias("weight"))
 
 
 @query("permutation_importance")

@@ -1,5 +1,6 @@
 """Relational queries over the business tables."""
 
+import functools
 from itertools import combinations
 
 from pyspark.sql import Window
@@ -12,6 +13,7 @@ from plumbline.operators import relational as rel
 from plumbline.operators.ordering import rank_rows
 from plumbline.plans.fixtures import CLASS_PROBS, SCORED, class_probs, scored
 from plumbline.plans.registry import H, R, U, key, query, table
+from plumbline.session import shared_folder
 
 C = F.col
 
@@ -212,9 +214,21 @@ def _(spark, sf):
     return table(spark, sf, "events").groupBy("event_type").agg(rnd(rel.weighted_avg(C("value"), w)).alias("wavg"))
 
 
-@query("running_stats")
-def _(spark, sf):
-    return rel.running_stats(table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice")
+# sketches of every ship month are stored, read again and merged; the exact numbers say whether the estimates keep their bounds
+@query("running_stats", "SELECT l_returnflag, count(*) AS n, true AS distinct_within, true AS quartiles_within, true AS parts_agree FROM lineitem GROUP BY 1")
+def _(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_returnflag", C("l_extendedprice").alias("x"), F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+    stored = f"{shared_folder(spark, 'sketches')}/lineitem"
+    rel.sketch_parts(li, ["l_returnflag"], "x", C("month")).write.parquet(stored)
+    merged = rel.merged_stats(spark.read.parquet(stored), ["l_returnflag"])
+    at_once = rel.running_stats(li, ["l_returnflag"], "x").select(C("l_returnflag").alias("g"), C("approx_quantiles").alias("once"))
+    both = merged.join(at_once, C("l_returnflag") == C("g"))
+    rows = li.join(both.select(C("l_returnflag").alias("h"), "approx_quantiles", "once"), C("l_returnflag") == C("h"))
+    share = lambda q, i: F.avg((C("x") <= F.get(q, F.lit(i))).cast("int"))
+    near = functools.reduce(lambda a, b: a & b, [F.abs(share("approx_quantiles", i) - p) < 0.02 for i, p in enumerate((0.25, 0.5, 0.75))])
+    agree = functools.reduce(lambda a, b: a & b, [F.abs(share("approx_quantiles", i) - share("once", i)) < 0.02 for i in range(3)])
+    exact = rows.groupBy("h").agg(F.count_distinct("x").alias("d"), near.alias("quartiles_within"), agree.alias("parts_agree"))
+    return both.join(exact, C("l_returnflag") == C("h")).select("l_returnflag", "n", (F.abs(C("approx_distinct") / C("d") - 1) < 0.04).alias("distinct_within"), "quartiles_within", "parts_agree")
 
 
 @query("dup_rows", "SELECT (sum(n) - count(*))::BIGINT AS duplicate_rows FROM (SELECT count(*) AS n FROM events GROUP BY user_id, event_type, value)")

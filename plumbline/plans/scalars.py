@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import library, text
 from plumbline.functions.core import hash_bucket, rnd
+from plumbline.operators import sliding
 from plumbline.operators.ordering import rank_rows
 from plumbline.operators.relational import weighted_avg
 from plumbline.plans.fixtures import SCORED, scored
@@ -245,9 +246,17 @@ def _(spark, sf):
 
 @query("window_udf", f"SELECT user_id, event_id, {R('median(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)')} AS m FROM events")
 def _(spark, sf):
-    from plumbline.operators.ordering import rolling
     e = table(spark, sf, "events").select("user_id", "event_id", "value")
-    return rolling(e, ["user_id"], "event_id", "event_id", 5, lambda w: {"m": library.window_median(C("value")).over(w)}).select("user_id", "event_id", rnd(C("m")).alias("m"))
+    out = sliding.sliding(e, ["user_id"], "event_id", "event_id", "value", 5, sliding.RunningMedian, "double", "m")
+    return out.select("user_id", "event_id", rnd(C("m")).alias("m"))
+
+
+@query("window_udf_long_frame", f"SELECT event_id, {R('median(value) OVER w')} AS m, max(value) OVER w AS top FROM events WINDOW w AS (ORDER BY event_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)")
+def _(spark, sf):
+    e = table(spark, sf, "events").select("event_id", "value")
+    mid = sliding.sliding(e, [], "event_id", "event_id", "value", 1000, sliding.RunningMedian, "double", "m", chunk=20_000)
+    top = sliding.sliding(mid, [], "event_id", "event_id", "value", 1000, lambda: sliding.TwoStacks(lambda v: v, max), "double", "top", chunk=20_000)
+    return top.select("event_id", rnd(C("m")).alias("m"), "top")
 
 
 @query("udf_determinism", "SELECT o_orderkey, o_orderkey * o_orderkey AS sq, true AS stamped FROM orders")

@@ -166,3 +166,91 @@ def test_many_k_means_runs_share_their_scans(spark, monkeypatch):
     assert clustering.cluster_stability(df, "v", "id", 1, 3).first()["mean_ari"] == 1.0
     with pytest.raises(ValueError):
         lloyd.lloyd(df.where("id >= 198"), "v", "id", [(4, 0)])
+
+
+def test_sliding_frames_cost_the_same_at_any_length(spark):
+    """A frame of 10,000 rows: each row enters once and leaves once, and user functions without an inverse merge each row a few times."""
+    from plumbline.operators import sliding
+
+    class Counting(sliding.RunningMedian):
+        calls = 0
+
+        def step(self, value):
+            Counting.calls += 1
+            super().step(value)
+
+        def inverse(self, value):
+            Counting.calls += 1
+            super().inverse(value)
+
+    r = random.Random(7)
+    values = [None if r.random() < 0.05 else float(r.randint(0, 400)) for _ in range(30_000)]
+    frame, merges = Counting(), 0
+
+    def merge(a, b):
+        nonlocal merges
+        merges += 1
+        return max(a, b)
+
+    stacks, last = sliding.TwoStacks(lambda v: -1.0 if v is None else v, merge), 0
+    for i, v in enumerate(values):
+        frame.step(v), stacks.step(v)
+        if i >= 10_000:
+            frame.inverse(values[i - 10_000]), stacks.inverse(values[i - 10_000])
+        if i % 2500 == 0:
+            part = [x for x in values[max(0, i - 9999) : i + 1] if x is not None]
+            assert frame.value() == np.median(part) and stacks.value() == max(part)
+    assert Counting.calls <= 2 * len(values) and merges <= 3 * len(values)
+
+    rows = [(i % 3 if i % 7 else None, i, values[i]) for i in range(600)]
+    df = spark.createDataFrame(rows, "who int, at long, v double")
+    for width, chunk in ((1, 10), (5, 7), (50, 60), (50, 1000)):
+        got = {x["at"]: x["m"] for x in sliding.sliding(df, ["who"], "at", "at", "v", width, sliding.RunningMedian, "double", "m", chunk).collect()}
+        for who in (0, 1, 2, None):
+            own = [(a, v) for w, a, v in rows if w == who]
+            for i, (a, _) in enumerate(own):
+                part = [v for _, v in own[max(0, i - width + 1) : i + 1] if v is not None]
+                assert got[a] == (np.median(part) if part else None)
+    assert sliding.sliding(df.limit(0), ["who"], "at", "at", "v", 3, sliding.RunningMedian, "double").count() == 0
+
+
+def test_tfidf_shuffles_terms_only(spark, capsys):
+    from plumbline.operators import tfidf
+
+    texts = ["The cat sat", "the cat ran; the dog", None, "", "dog", "the cat sat", "x " * 50, "a dog dog dog the"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {(r["id"], r["term"]): r["weight"] for r in tfidf.tfidf_features(df, "id", "text", stop_words=["sat"]).collect()}
+    docs = [[w for w in (t or "").lower().replace(";", "").split() if len(w) > 1 and w != "sat"] for t in texts]
+    grams = [w + [f"{a} {b}" for a, b in zip(w, w[1:])] for w in docs]
+    held = {t: sum(t in g for g in grams) for g in grams for t in g}
+    want = {}
+    for i, g in enumerate(grams):
+        w = {t: g.count(t) * (math.log(9 / (1 + held[t])) + 1) for t in set(g) if held[t] >= 2}
+        norm = math.sqrt(sum(v * v for v in w.values()))
+        want |= {(i, t): v / norm for t, v in w.items()}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+    counted = tfidf.term_counts(tfidf.token_rows(df, "id", "text", ()))
+    counted.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning(term") == 1 and plan.count("Exchange") == 1
+    out = tfidf.tfidf_features(df, "id", "text")
+    out.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    assert tfidf.tfidf_features(df.limit(0), "id", "text").count() == 0
+
+
+def test_stored_sketches_merge_to_the_whole(spark, tmp_path):
+    from plumbline.operators import relational
+
+    r = random.Random(2)
+    rows = [("a" if i % 2 else None, r.randint(0, 4000) / 4, i % 13) for i in range(40_000)] + [("a", None, 1), ("a", float("nan"), 2)]
+    df = spark.createDataFrame(rows, "g string, x double, day int")
+    path = str(tmp_path / "parts")
+    relational.sketch_parts(df.where("day < 7"), ["g"], "x", F.col("day")).write.parquet(path)
+    relational.sketch_parts(df.where("day >= 7"), ["g"], "x", F.col("day")).write.mode("append").parquet(path)
+    got = {x["g"]: x for x in relational.merged_stats(spark.read.parquet(path), ["g"]).collect()}
+    for g in ("a", None):
+        own = sorted(x for h, x, _ in rows if h == g and x is not None and x == x)
+        assert got[g]["n"] == len(own) and abs(got[g]["approx_distinct"] / len(set(own)) - 1) < 0.04
+        for q, p in zip(got[g]["approx_quantiles"], (0.25, 0.5, 0.75)):
+            assert abs(sum(v <= q for v in own) / len(own) - p) < 0.02
