@@ -6,8 +6,9 @@ given, under names never used twice, and returns their paths; only the paths of
 lost attempt leaves at worst an unread file.
 
 Reading: the dictionary is taken from the leading skippable frame (plain, or itself a Zstandard frame), each further frame is decoded
-alone and must be one whole record: version line, well-formed headers, the mandatory ones, a ``Content-Length`` equal to the block's,
-the closing line breaks and nothing after them, block and payload digests, and the HTTP length.  Frames are streamed; one record
+alone and must be one whole record: version line, well-formed headers, the mandatory ones once each, a ``Content-Length`` equal to the block's,
+the closing line breaks and nothing after them, and block digest.  Records of other types (``warcinfo``, ``request``, ``metadata`` and unknown ones) are
+checked so far and passed over; of responses and revisits the HTTP head, its length and the payload digest are checked as well.  Frames are streamed; one record
 is in memory at a time.
 
 A null ``html`` is the empty payload.  A null ``page_id`` counts as smaller than any other.  Repeated rows are written each; rows that share a
@@ -33,7 +34,6 @@ DICTIONARY_FRAME = 0x184D2A5D
 FRAME = 0xFD2FB528
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANDATORY = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
-TYPES = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
 RECORDS = (
     "archive string, record_id string, record_type string, page_id long, url string, payload_bytes long, payload_digest string, refers_to long"
 )
@@ -48,7 +48,8 @@ def record_id(page_id: int | None) -> str:
 
 
 def page_of(name: str) -> int | None:
-    return int(name[len("<urn:page:") : -1]) if name.startswith("<urn:page:") else None
+    number = name.removeprefix("<urn:page:").removesuffix(">")
+    return int(number) if name == f"<urn:page:{number}>" and number.lstrip("-").isdigit() and number.isascii() else None
 
 
 def build(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
@@ -179,49 +180,98 @@ def frames(read: Callable[[int], bytes], chunk: int = 64 << 10) -> Iterator[byte
         leading = False
 
 
+def _fields(lines: list[str]) -> list[tuple[str, str]]:
+    """(name in lower case, value) of header lines; a line that begins with white space goes on with the one before."""
+    out: list[tuple[str, str]] = []
+    for line in lines:
+        if line[:1] in (" ", "\t") and out:
+            out[-1] = out[-1][0], f"{out[-1][1]} {line.strip()}".strip()
+            continue
+        name, colon, value = line.partition(":")
+        if not colon or not name or name != name.strip():
+            raise ValueError(f"bad header line {line[:80]!r}")
+        out.append((name.lower(), value.strip()))
+    return out
+
+
+def _length(value: str) -> int:
+    if not value.isascii() or not value.isdigit():
+        raise ValueError("Content-Length is no number")
+    return int(value)
+
+
+def _differs(named: str, data: bytes) -> bool:
+    """Whether a digest ``algorithm:value`` (base 32 or 16) is of other data; one of an unknown algorithm says nothing."""
+    algorithm, _, value = named.partition(":")
+    if algorithm.lower() not in ("md5", "sha1", "sha256", "sha512"):
+        return False
+    raw = hashlib.new(algorithm.lower(), data).digest()
+    return value.upper().rstrip("=") not in (base64.b32encode(raw).decode().rstrip("="), raw.hex().upper())
+
+
 def parse(record: bytes) -> tuple[dict[str, str], bytes]:
-    """(headers, block) of one record; ValueError says what is wrong with it."""
+    """(headers by lower-case name, block) of one record of any type; ValueError says what is wrong with it.
+
+    Names ignore case.  A header may stand once, but for ``WARC-Concurrent-To``, of which the last is kept.
+    """
     head, gap, rest = record.partition(b"\r\n\r\n")
     lines = head.decode("utf-8").split("\r\n")
     if not gap or lines[0] not in ("WARC/1.0", "WARC/1.1"):
         raise ValueError("no WARC version line or no end of headers")
-    headers: dict[str, str] = {}
-    for line in lines[1:]:
-        name, colon, value = line.partition(":")
-        if not colon or not name or name != name.strip():
-            raise ValueError(f"bad header line {line[:80]!r}")
-        headers[name] = value.strip()
-    lost = [x for x in MANDATORY if x not in headers]
+    fields = _fields(lines[1:])
+    headers = dict(fields)
+    again = {n for n in headers if n != "warc-concurrent-to" and sum(x == n for x, _ in fields) > 1}
+    if again:
+        raise ValueError(f"headers repeated: {', '.join(sorted(again))}")
+    lost = [x for x in MANDATORY if x.lower() not in headers]
     if lost:
         raise ValueError(f"headers missing: {', '.join(lost)}")
-    if headers["WARC-Type"] not in TYPES:
-        raise ValueError(f"unknown type {headers['WARC-Type']!r}")
-    if not headers["Content-Length"].isascii() or not headers["Content-Length"].isdigit():
-        raise ValueError("Content-Length is no number")
-    n = int(headers["Content-Length"])
+    n = _length(headers["content-length"])
     if len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
         raise ValueError(f"the block has {len(rest) - 4} bytes, Content-Length says {n}")
     block = rest[:n]
-    if "WARC-Block-Digest" in headers and headers["WARC-Block-Digest"] != f"sha1:{digest(block)}":
+    if _differs(headers.get("warc-block-digest", ""), block):
         raise ValueError("block digest differs")
     return headers, block
 
 
-def page_record(record: bytes) -> tuple:
-    """(record id, type, page id, url, full payload's length, its digest, page referred to) of a response or revisit."""
-    headers, block = parse(record)
-    kind = headers["WARC-Type"]
+def _payload(headers: dict[str, str], block: bytes) -> tuple[bytes, int | None]:
+    """(payload, length that its HTTP head states) of a block; without an HTTP head the block is the payload."""
+    if not headers.get("content-type", "").lower().startswith("application/http"):
+        return block, None
     http, gap, payload = block.partition(b"\r\n\r\n")
-    sizes = [x.split(":", 1)[1].strip() for x in http.decode("latin-1").split("\r\n")[1:] if x.lower().startswith("content-length:")]
-    if not gap or not http.startswith(b"HTTP/") or len(sizes) != 1 or not sizes[0].isdigit():
-        raise ValueError("the block has no HTTP head with one length")
-    named = headers.get("WARC-Payload-Digest", "").removeprefix("sha1:")
-    if kind == "response" and (int(sizes[0]) != len(payload) or named != digest(payload)):
+    lines = http.decode("latin-1").split("\r\n")
+    if not gap or not lines[0].startswith("HTTP/"):
+        raise ValueError("the block has no HTTP head")
+    fields = _fields(lines[1:])
+    sizes = {v for n, v in fields if n == "content-length"}
+    if len(sizes) > 1:
+        raise ValueError("the HTTP head has several lengths")
+    if not sizes or any(n == "transfer-encoding" for n, _ in fields):
+        return payload, None  # the stored bytes are the payload as it was sent
+    return payload, _length(sizes.pop())
+
+
+def page_record(record: bytes) -> tuple | None:
+    """(record id, type, page id, url, full payload's length, its digest, page referred to) of a response or revisit, None of any other type.
+
+    The HTTP length and the payload digest are optional and must be right where they stand (but for a record marked as truncated); a missing digest is computed.
+    The length of a revisit's payload is null where its HTTP head does not state it.
+    """
+    headers, block = parse(record)
+    kind, name = headers["warc-type"].lower(), headers["warc-record-id"]
+    if kind not in ("response", "revisit"):
+        return None
+    payload, stated = _payload(headers, block)
+    named, whole = headers.get("warc-payload-digest"), "warc-truncated" not in headers
+    if kind == "revisit":
+        if payload or named is None:
+            raise ValueError("a revisit needs a digest and holds no payload")
+        refers = page_of(headers.get("warc-refers-to", ""))
+        return name, kind, page_of(name), headers.get("warc-target-uri"), stated, named.removeprefix("sha1:"), refers
+    if whole and (stated not in (None, len(payload)) or (named is not None and _differs(named, payload))):
         raise ValueError("the payload's length or digest differs")
-    if kind == "revisit" and (payload or "WARC-Refers-To" not in headers or not named):
-        raise ValueError("a revisit needs a target and a digest, and holds no payload")
-    refers = page_of(headers["WARC-Refers-To"]) if kind == "revisit" else None
-    return headers["WARC-Record-ID"], kind, page_of(headers["WARC-Record-ID"]), headers.get("WARC-Target-URI"), int(sizes[0]), named, refers
+    return name, kind, page_of(name), headers.get("warc-target-uri"), len(payload), digest(payload) if named is None else named.removeprefix("sha1:"), None
 
 
 def read_archives(archives: DataFrame, strict: bool = True) -> DataFrame:
@@ -233,7 +283,7 @@ def read_archives(archives: DataFrame, strict: bool = True) -> DataFrame:
 
     def of(name: str) -> Iterator[tuple]:
         store, path = fs.FileSystem.from_uri(name)
-        with store.open_input_stream(path) as stream:
+        with store.open_input_stream(path, compression=None) as stream:
             found = frames(stream.read)
             while True:
                 try:
@@ -252,7 +302,7 @@ def read_archives(archives: DataFrame, strict: bool = True) -> DataFrame:
                         raise ValueError(f"{name}: {wrong}") from wrong
                     yield (name, *[None] * 7, str(wrong))
                     continue
-                if row[1] in ("response", "revisit"):
+                if row is not None:
                     yield (name, *row, None)
 
     kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string()]

@@ -218,6 +218,43 @@ def test_prices_are_dual_optimal():
                 assert min(slack) == 0
 
 
+# -- archives of other writers
+
+def foreign(kind: str, block: bytes, *more: str, version: str = "WARC/1.0") -> bytes:
+    lines = [version, f"warc-type: {kind}", "WARC-Date: 2024-01-01T00:00:00Z", f"content-length: {len(block)}", "WARC-Record-ID: <urn:uuid:0>", *more]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_reader_takes_ordinary_archives(spark, tmp_path):
+    """An archive as crawlers write it, without a dictionary: other types, headers in any case and folded, no HTTP length, no digest, hex digests."""
+    import zstandard
+
+    from plumbline.llm import warc
+
+    http = "Content-Type: application/http; msgtype=response"
+    body = b"5\r\nhello\r\n0\r\n\r\n"
+    good = [
+        foreign("warcinfo", b"software: x\r\n"), foreign("request", b"GET / HTTP/1.1\r\n\r\n", "Content-Type: application/http; msgtype=request"), foreign("metadata", b"a: b"), foreign("of-tomorrow", b""),
+        foreign("response", b"HTTP/1.1 200 OK\r\ntransfer-encoding: chunked\r\n\r\n" + body, http, "WARC-Target-URI: http://a/", "WARC-Concurrent-To: <urn:1>", "WARC-Concurrent-To: <urn:2>"),
+        foreign("response", b"HTTP/1.0 200 OK\r\ncontent-LENGTH: 2\r\nX-Long: a\r\n b\r\n\r\nhi", http, "WARC-Payload-Digest: sha256:" + hashlib.sha256(b"hi").hexdigest(), "X-Note: one", "\ttwo"),
+        foreign("response", b"20240101 a. 60 IN A 1.2.3.4", "Content-Type: text/dns"),
+        foreign("response", b"HTTP/1.1 200 OK\r\nContent-Length: 900\r\n\r\ncut", http, "WARC-Truncated: length"),
+        foreign("revisit", b"HTTP/1.1 304 Not Modified\r\n\r\n", http, "WARC-Payload-Digest: sha1:ABC", "WARC-Refers-To-Target-URI: http://a/", version="WARC/1.1"),
+    ]
+    path = tmp_path / "crawl.warc.zst"
+    path.write_bytes(b"".join(zstandard.ZstdCompressor().compress(r) for r in good))
+    got = warc.read_archives(spark.createDataFrame([(f"file://{path}",)], "archive string")).collect()
+    assert [(r["record_type"], r["payload_bytes"], r["url"]) for r in got] == [("response", len(body), "http://a/"), ("response", 2, None), ("response", 27, None), ("response", 3, None), ("revisit", None, None)]
+    assert got[0]["payload_digest"] == warc.digest(body) and got[4]["payload_digest"] == "ABC" and got[4]["refers_to"] is None
+    head = b"HTTP/1.1 200 OK\r\nContent-Length: 2\r\n"
+    for bad in (
+        foreign("warcinfo", b"x", "Content-Length: 1"), foreign("response", head + b"\r\nhi", http, "WARC-Type: response"), foreign("response", head + b"Content-Length: 3\r\n\r\nhi", http),
+        foreign("response", head + b"\r\nhis", http), foreign("response", head + b"\r\nhi", http, "WARC-Payload-Digest: md5:00"), foreign("response", b"no head", http), foreign("metadata", b"x", "WARC-Block-Digest: sha1:AAAA"),
+    ):
+        with pytest.raises(ValueError):
+            warc.page_record(bad)
+
+
 # -- near copies: links of one group
 
 def test_links_grow_in_proportion_to_a_group(spark, monkeypatch):
