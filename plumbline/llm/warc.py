@@ -121,7 +121,7 @@ def write_archives(
         for r in rest():
             if out is None:
                 name, n, size = f"{top}/{uuid.uuid4().hex}.warc.zst", 0, len(lead)
-                out = store.open_output_stream(name)
+                out = store.open_output_stream(name, compression=None)
                 out.write(lead)
             frame = packer.compress(r)
             out.write(frame)
