@@ -414,6 +414,27 @@ def test_forest_recall(spark):
     assert hit / total >= 0.9
 
 
+def test_forest_with_many_blocks_and_a_hot_string(spark):
+    """A third of the vectors have one string in every tree; blocks are far smaller than that, and than most stretches."""
+    r = np.random.default_rng(12)
+    hot = r.standard_normal(16)
+    x = np.concatenate([hot + 1e-7 * r.standard_normal((500, 16)), r.standard_normal((1000, 16))])
+    big = 1 << 61  # ids beyond the whole numbers that a double holds
+    df = spark.createDataFrame([(big + i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for q, v, s in rows(forest.nearest(df, "id % 25 = 0", block=50).orderBy("query_id", "rank"), "query_id", "vec_id", "score"):
+        got[q - big].append((v - big, s))
+    asked = [i for i in range(len(x)) if (big + i) % 25 == 0]
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    hit = 0
+    for q in asked:
+        far = unit @ unit[q]
+        far[q] = -2
+        assert len(got[q]) == 5
+        hit += sum(s >= np.sort(far)[-5] - 1e-15 for _, s in got[q])
+    assert set(got) == set(asked) and hit / (5 * len(asked)) >= 0.9
+
+
 def test_digest_is_base32():
     import base64
 
