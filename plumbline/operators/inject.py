@@ -126,10 +126,12 @@ def inject_label_noise(
     # One source row per hash cell: an equi-join finds the copied text, no global sort is needed.
     source = (base.where((c == "clean") & (F.length("data") > 0)).groupBy("cell")
               .agg(F.min_by(F.struct("data", "noisy"), "row_id").alias("src")).withColumnRenamed("cell", "__cell"))
-    copied = (c == "structural_dup") & F.col("src").isNotNull()
-    return base.join(source, F.when(c == "structural_dup", F.col("cell")).eqNullSafe(F.col("__cell")), "left").select(
-        "row_id",
-        F.when(copied, F.col("src.data")).otherwise(F.col("data")).alias("data"),
-        F.when(copied & (F.col("noisy") == F.col("src.noisy")), shifted(F.col("src.noisy"), 1))
-        .otherwise(F.col("noisy")).alias("untrustworthy_label"),
+    # only the rows that copy are joined; all others keep what they have
+    copying = c.eqNullSafe("structural_dup")
+    found = F.col("src").isNotNull()
+    copies = base.where(copying).join(source, F.col("cell") == F.col("__cell"), "left").select(
+        "row_id", F.when(found, F.col("src.data")).otherwise(F.col("data")).alias("data"),
+        F.when(found & (F.col("noisy") == F.col("src.noisy")), shifted(F.col("src.noisy"), 1)).otherwise(F.col("noisy")).alias("untrustworthy_label"),
         "label_true", "corruption")
+    others = base.where(~copying).select("row_id", "data", F.col("noisy").alias("untrustworthy_label"), "label_true", "corruption")
+    return others.unionByName(copies)
