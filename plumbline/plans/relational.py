@@ -75,7 +75,7 @@ def _(spark, sf):
     return rel.schema_of(table(spark, sf, "lineitem"))
 
 
-DESC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+DESC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]  # all numeric columns
 
 
 @query("describe_table", "\nUNION ALL ".join(

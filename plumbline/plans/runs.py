@@ -20,7 +20,13 @@ def logged(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("log_run")
+MODELS = f"""{SCORED}, models AS (SELECT 'tuned' AS model, row_id, y, score FROM scored UNION ALL SELECT 'base', row_id, y, floor(1000::DOUBLE * (0.5::DOUBLE * score + 0.5::DOUBLE * {U(key("'other'", 'row_id'))})) / 1000.0::DOUBLE FROM scored)"""
+LOGGED = " UNION ALL ".join(
+    f"SELECT '{r}' AS run_id, 'metric' AS kind, metric AS key, v AS value, NULL::VARCHAR AS text FROM m_{r} UNION ALL SELECT '{r}', 'param', 'threshold', 0.5::DOUBLE, '0.5' UNION ALL SELECT '{r}', 'tag', 'stage', NULL, 'test'"
+    for r in ("base", "tuned"))
+
+
+@query("log_run", f"WITH {MODELS}, {_metrics_sql()} {LOGGED}")
 def _(spark, sf):
     return logged(spark, sf).select("run_id", "kind", "key", "value", "text")
 
