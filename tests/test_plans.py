@@ -14,7 +14,8 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 SAMPLE = ["eda_findings", "profile_missing", "join_left", "rank_in_group", "running_median", "threshold_sweep", "roc_auc", "roc_ovr", "ml_f1_averages",
-          "interval_coverage", "find_label_issues", "audit_eval", "parse_json_prediction", "encode_target", "hdi_interval", "adjusted_rand", "dedupe_events_stream", "scan_tsv_lenient"]
+          "interval_coverage", "find_label_issues", "audit_eval", "parse_json_prediction", "encode_target", "hdi_interval", "adjusted_rand", "dedupe_events_stream", "scan_tsv_lenient",
+          "recalibrate_isotonic", "dbscan_8_columns", "kmeans_fit", "window_udf_long_frame", "log_run"]
 
 
 @pytest.fixture(scope="module")
