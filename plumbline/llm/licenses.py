@@ -1,10 +1,10 @@
 """Licence scan by a positional index of rare words.
 
 The words of the licence templates form a small vocabulary.  One pass over all documents counts in how many each of them occurs,
-which gives its inverse document frequency.  For each template whose mandatory phrases a file contains, the file looks up the ``RARE``
-highest-IDF words of that template that it holds, so several notices in one file do not compete.  Their postings
+which gives its inverse document frequency.  For each template a file looks up the ``RARE`` highest-IDF words of that template that it holds, so several
+notices in one file do not compete; a template is left out only where the file lacks one of its mandatory words altogether.  Their postings
 (template, position), shifted by the places of the words in the file, meet at one relative position where a template stands in
-the file; a relative position needs ``VOTES`` of them, and every mandatory phrase of the template at its own relative place.
+the file; a relative position needs ``VOTES`` of them.  Only there are the mandatory phrases of the template looked at, each at its own relative place.
 
 Base labels are the places where a base phrase's words stand consecutively.  Both kinds are reported together.
 
@@ -12,7 +12,7 @@ All of it is DataFrame expressions inside the row; only the vocabulary counts ar
 driver.  Words are runs of digits, ASCII letters and non-ASCII characters after lower-casing A-Z.
 
 Null text counts as empty: no words, no labels, score 0.  Repeated rows get the same answer each.  A text of any length is scanned whole.
-Ties between equally rare words take the smaller word.
+Ties between equally rare words take the smaller word.  An empty table gives an empty result.  Extra columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -20,8 +20,6 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +52,47 @@ class Template:
         return out
 
 
-# fixed values: sentences that public licences and their notices consist of
+# fixed values: whole texts of short licences and notices
+MIT = """
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN
+THE SOFTWARE.
+"""
+ISC = """
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright
+notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.
+"""
+BSD = """
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+"""
+APACHE = """
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of
+the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.
+"""
+GPL = """
+This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software
+Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS
+FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+"""
+
+# fixed values: public licences, their notices and sentences of them
 TEMPLATES = (
     Template("mit", "Released under the MIT License", ("mit license",)),
     Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted free of charge",)),
@@ -66,6 +104,11 @@ TEMPLATES = (
     Template("cc-by-nc", "Licensed under CC BY-NC 4.0", ("cc by nc",)),
     Template("cc-by-sa", "Licensed under CC BY-SA 4.0", ("cc by sa",)),
     Template("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License", ("creative commons attribution 4 0",)),
+    Template("mit", MIT, ("permission is hereby granted free of charge", "the above copyright notice and this permission notice shall be included", "without warranty of any kind")),
+    Template("isc", ISC, ("permission to use copy modify and or distribute this software", "the author disclaims all warranties")),
+    Template("bsd", BSD, ("redistribution and use in source and binary forms", "this software is provided by the copyright holders and contributors as is")),
+    Template("apache-2", APACHE, ("licensed under the apache license version 2 0", "limitations under the license")),
+    Template("gpl-3", GPL, ("gnu general public license", "either version 3 of the license", "without any warranty")),
 )
 
 
@@ -93,11 +136,14 @@ def _all_places(words: Column, phrase: list[str]) -> Column:
     return F.when(F.contains("norm", F.lit(f" {' '.join(phrase)} ")), some).otherwise(F.array().cast("array<int>"))
 
 
+def _strings(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
 def idf(norms: DataFrame, vocabulary: list[str]) -> dict[str, float]:
     """Inverse document frequency of each licence word over all rows of column ``norm``."""
-    at = F.array(*[F.lit(w) for w in vocabulary])
     n = norms.count()
-    held = norms.select(F.explode(F.array_intersect(at, words_of(F.col("norm")))).alias("w")).groupBy("w").count().collect()
+    held = norms.select(F.explode(F.array_intersect(_strings(vocabulary), words_of(F.col("norm")))).alias("w")).groupBy("w").count().collect()
     df = {r["w"]: r["count"] for r in held}
     return {w: math.log((n + 1) / (df.get(w, 0) + 1)) for w in vocabulary}
 
@@ -115,15 +161,17 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: dic
     words = F.col("words")
     rows = norms.withColumn("words", words_of(F.col("norm")))
     places = [_all_places(words, phrase.split()) for phrase in base]
-    # the rarest words of each template: the first of its ranked words that the file holds; without its mandatory phrases none stands there
+    # the rarest words of each template: the first of its ranked words that the file holds
+    held = F.array_intersect(_strings(ranked), words)
 
     def anchors(x: Template) -> Column:
-        own = F.array(*[F.lit(w) for w in ranked if w in x.words])
-        phrases = [F.contains("norm", F.lit(f" {' '.join(phrase)} ")) for _, phrase in x.places()]
-        return F.when(reduce(and_, phrases, F.lit(True)), F.slice(F.array_intersect(own, words), 1, rare)).otherwise(F.array().cast("array<string>"))
+        must = _strings(sorted({w for _, phrase in x.places() for w in phrase}))
+        own = F.slice(F.array_intersect(F.col("held"), _strings(x.words)), 1, rare)
+        return F.when(F.size(F.array_except(must, F.col("held"))) == 0, own).otherwise(F.array().cast("array<string>"))
 
     picked = F.array_distinct(F.flatten(F.array(*[anchors(x) for x in templates])))
-    rows = rows.select("id", "norm", "words", F.size(words).cast("long").alias("n_words"), *[c.alias(f"b{i}") for i, c in enumerate(places)], picked.alias("rare"))
+    rows = rows.select("id", "norm", "words", F.size(words).cast("long").alias("n_words"), *[c.alias(f"b{i}") for i, c in enumerate(places)], held.alias("held"))
+    rows = rows.withColumn("rare", picked)
     looked = F.transform("rare", lambda w: F.element_at(posted, w))
     rows = rows.withColumn("posts", F.when(F.size("rare") >= need, looked).otherwise(F.array().cast("array<array<bigint>>")))
     marked = F.transform(words, lambda w, i: F.struct(F.array_position(F.col("rare"), w).cast("int").alias("k"), i.alias("i")))
@@ -142,7 +190,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: dic
             ok = F.lit(True)
             for q, phrase in x.places():
                 ok = ok & stands(words, at + q, phrase)
-            share = sum((F.coalesce(F.get(words, at + q) == w, F.lit(False)).cast("int") for q, w in enumerate(x.words)), F.lit(0)) / len(x.words)
+            share = F.size(F.filter(F.transform(_strings(x.words), lambda w, q: F.get(words, at + q) == w), lambda same: same)) / len(x.words)
             out = F.when((t == k) & ok, F.struct(F.lit(x.label).alias("label"), at.alias("place"), share.alias("share"))).otherwise(out)
         return out
 

@@ -6,17 +6,22 @@ is odd, and its halves are cut again until a node is one shard of the target siz
 
 The median is found without sorting: all nodes of a level are cut together.  A pass adds up the bytes in at most ``bins`` equal
 intervals of each node, the next pass looks only into the interval that holds the median, and so on until that interval
-weighs less than ``slack`` of a shard.  Where a single coordinate is heavier, the search goes on inside it by the hash of the text, then by row number.  So
-equal texts with equal metadata stay together unless balance needs a cut among them.  Only sums (at most ``bins`` for each node) reach the driver.
+weighs less than ``slack`` of a shard.  Where a single coordinate is heavier, the search goes on inside it by the hash of the text, then by row number.
+Copies of a text count with the smallest metadata among them, so equal texts stay together unless a cut falls into a text whose copies weigh more than
+``slack`` of a shard.  Only sums (at most ``bins`` for each node) reach the driver.
 
 Everything on the rows is a DataFrame expression.  Strings become numbers by their first six bytes.  Null metadata sorts before
-everything.  Null text has size 1.  Repeated rows are placed each, as row numbers tell them apart.  An empty table gives an empty result.
+everything.  Null text has size 1 and counts as equal to the empty text.  A text of any length is one row of its size and is never cut.  Ties in a coordinate
+are settled by the hash of the text, then the row number.  Repeated rows are placed each, as row numbers tell them apart.  An empty table gives an empty
+result.  Extra columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +31,7 @@ from plumbline.llm.common import Scratch
 
 BINS = 2048
 SLACK = 0.0005
+HEAVY = 1000  # a text with more than this part of the rows is looked up by broadcast: so many texts at most
 
 
 def coordinate(df: DataFrame, name: str) -> Column:
@@ -75,8 +81,10 @@ def shard(
         F.xxhash64(text).cast("double").alias("h"),
         *[coordinate(docs, d).alias(f"c{i}") for i, d in enumerate(dims)],
     )
-    rows = work.write(rows, "rows").withColumn("r", F.monotonically_increasing_id())
     names = [f"c{i}" for i in range(len(dims))]
+    rows = work.write(_together(work, work.write(rows, "slim"), names), "rows").withColumn("r", F.monotonically_increasing_id())
+    work.drop("slim", "copies")
+    last = "rows"
     known = F.lit(0)
     whole = rows.agg(F.sum("size").alias("b"), *[F.min(c).alias(f"{c}l") for c in names], *[F.max(c).alias(f"{c}h") for c in names]).first()
     total = float(whole["b"] or 0)
@@ -93,12 +101,30 @@ def shard(
         left, known_now = {c.node: (c.shards + 1) // 2 for c in cuts}, known
         rows_now = rows.withColumn("node", known_now).withColumn("node", F.col("node") + moved)
         rows = work.write(rows_now, f"level{len(want)}")
-        known = F.col("node")
+        work.drop(last)
+        last, known = f"level{len(want)}", F.col("node")
         want = {n: left.get(n, k) for n, k in want.items()} | {c.node + (c.shards + 1) // 2: c.shards // 2 for c in cuts}
     placed = rows.withColumn("shard", known.cast("int")).select("id", "size", "text_crc32", "shard", "r")
     return _slots(placed).withColumnRenamed("id", id_col)
 
 
+def _together(work: Scratch, rows: DataFrame, names: list[str]) -> DataFrame:
+    """The rows with the smallest metadata among the copies of their text.
+
+    Copies are counted before the shuffle, and only texts whose copies differ in metadata are joined.  Those with more than 1 / ``HEAVY`` of
+    all rows are fewer than ``HEAVY`` and are broadcast, so that no task receives the copies of a hot text.
+    """
+    key = ["h", "size", "text_crc32"]
+    least = [f"l_{c}" for c in names]
+    copies = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(x) for c, x in zip(names, least)], *[F.max(c).alias(f"m_{c}") for c in names])
+    differ = reduce(or_, [F.col(f"l_{c}") < F.col(f"m_{c}") for c in names], F.lit(False))
+    copies = work.write(copies.where(differ).select(*key, "n", *least), "copies")
+    many = F.col("n") * HEAVY > rows.count()
+    hot, some = F.broadcast(copies.where(many).drop("n")), copies.where(~many).drop("n")
+    joined = rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(some, key, "left"))
+    return joined.select("id", *key, *[F.coalesce(x, c).alias(c) for c, x in zip(names, least)])
+
+
 def _key(cut: Cut, names: list[str]) -> Column:
     return F.col([names[cut.dim], "h", "r"][cut.stage]).cast("double")
 

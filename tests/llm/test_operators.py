@@ -135,6 +135,54 @@ def test_shards(odd, none, docs):
     assert sharding.shard(none, 8).count() == 0
 
 
+def six_bytes(x):
+    return -1.0 if x is None else float(int.from_bytes(x.encode()[:6].ljust(6, b"\0"), "big"))
+
+
+def test_shards_are_nodes_of_a_tree(docs):
+    """Every cut is along the widest dimension of its node, in the order of the keys, near the weighted median; copies share a shard."""
+    got = sharding.shard(docs.where("doc_id is not null"), 8).toPandas().merge(docs.toPandas(), on="doc_id")
+    got["text"] = got["text"].fillna("")
+    got["c0"], got["c1"], got["c2"] = got["n_chars"].astype(float), got["source"].map(six_bytes), got["lang"].map(six_bytes)
+    for c in ("c0", "c1", "c2"):
+        got[c] = got.groupby("text")[c].transform("min")
+    unit = {c: max(got[c].max() - got[c].min(), 1e-300) for c in ("c0", "c1", "c2")}
+    weight = got.groupby("text")["size"].sum()
+    nodes, torn = [(0, 8)], 0
+    while nodes:
+        first, k = nodes.pop()
+        if k == 1:
+            continue
+        half = (k + 1) // 2
+        node = got[(got["shard"] >= first) & (got["shard"] < first + k)]
+        left, right = node[node["shard"] < first + half], node[node["shard"] >= first + half]
+        wide = max(unit, key=lambda c: (node[c].max() - node[c].min()) / unit[c])
+        assert left[wide].max() <= right[wide].min()
+        heaviest = weight[list(set(left["text"]) | set(right["text"]))].max()
+        assert abs(left["size"].sum() - node["size"].sum() * half / k) <= heaviest
+        cut = set(left["text"]) & set(right["text"])
+        torn += len(cut)
+        assert len(cut) <= 1 and all(weight[t] > sharding.SLACK * got["size"].sum() / 8 for t in cut)
+        nodes += [(first, half), (first + half, k - half)]
+    assert (got.groupby("text")["shard"].nunique() > 1).sum() <= torn
+
+
+def test_copies_with_other_metadata_share_a_shard(spark):
+    data = [(i, " ".join(words(i % 500, 30)), ["en", "fr", "de", "es"][i % 4], f"s{i % 7}", i * 3 % 1000) for i in range(2000)]
+    got = sharding.shard(spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long"), 4, slack=0.05).toPandas()
+    assert (got.groupby("text_crc32")["shard"].nunique() == 1).all()
+    sizes = got.groupby("shard")["size"].sum()
+    assert len(sizes) == 4 and sizes.max() <= 1.1 * sizes.min()
+
+
+def test_hot_text_with_other_metadata(spark):
+    """A third of all rows is one text: looked up by broadcast and cut by row number where balance asks for it."""
+    data = [(i, "hot" if i % 3 == 0 else f"text {i % 400}", ["en", "fr"][i % 2], f"s{i % 5}", i % 90) for i in range(3000)]
+    got = sharding.shard(spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long"), 4).toPandas()
+    sizes = got.groupby("shard")["size"].sum()
+    assert len(got) == 3000 and sorted(got["doc_id"]) == list(range(3000)) and sizes.max() <= 1.05 * sizes.min()
+
+
 def test_shards_split_a_hot_text(spark):
     df = spark.createDataFrame([(1, "same text", "en", "s", 9)] * 90, "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r["count"] for r in sharding.shard(df, 3).groupBy("shard").count().collect()) == [30, 30, 30]
@@ -317,6 +365,59 @@ def test_every_notice_of_a_file(spark):
     assert notices[0].label in got[3]["labels"].split(",")
 
 
+def brute_licences(texts, templates=licenses.TEMPLATES, rare=licenses.RARE, need=licenses.VOTES):
+    """Per text: base places by label, and (label, place, share) of every template at every place."""
+    rows = [[w for w in re.split(licenses.BREAK, re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w] for t in texts]
+    vocabulary = {w for t in templates for w in t.words}
+    df = {w: sum(w in set(r) for r in rows) for w in vocabulary}
+    ranked = sorted(vocabulary, key=lambda w: (-math.log((len(rows) + 1) / (df[w] + 1)), w))
+    out = []
+    for r in rows:
+        has = set(r)
+        base = {label: [i for i in range(len(r)) if r[i : i + len(p.split())] == p.split()] for p, label in licenses.BASE.items()}
+        picked = {w for t in templates if all(w in has for _, p in t.places() for w in p) for w in [w for w in ranked if w in has and w in t.words][:rare]}
+        found = []
+        for t in templates:
+            for at in range(-len(t.words), len(r)):
+                same = [0 <= at + q < len(r) and r[at + q] == w for q, w in enumerate(t.words)]
+                votes = sum(s and w in picked for s, w in zip(same, t.words))
+                if votes >= need and all(all(same[q + k] for k in range(len(p))) for q, p in t.places()):
+                    found.append((t.label, at, sum(same) / len(same)))
+        out.append((len(r), base, found))
+    return out
+
+
+def licence_texts():
+    r, full = random.Random(11), [t.text for t in licenses.TEMPLATES]
+    filler = words(21, 40) + ["the", "of", "software", "license", "public", "gnu", "copyright", "notice", "permission", "version", "by", "nc", "cc"]
+    texts = [None, "", " \n ", *full, *list(licenses.BASE), "UNDER the MIT-License, cc by\u00e9 nc cc.by.nc"]
+    for k in range(40):
+        parts = [" ".join(r.choices(filler, k=r.randint(0, 60))) for _ in range(4)]
+        notice = r.choice(full).split()
+        if k % 2:
+            notice[r.randrange(len(notice))] = r.choice(filler)
+        if k % 5 == 0:
+            notice = notice[r.randint(0, 5) : len(notice) - r.randint(0, 5)]
+        texts.append(" ".join([parts[0], *notice, parts[1], r.choice(full), parts[2], r.choice(list(licenses.BASE)), parts[3]]))
+    return texts + texts[:4]
+
+
+def test_licences_equal_brute_force(spark):
+    texts = licence_texts()
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    partial = 0
+    for i, (n, base, found) in enumerate(brute_licences(texts)):
+        r, places = got[i], [p for at in base.values() for p in at]
+        assert (r["n_words"], r["n_base"]) == (n, len(places))
+        assert (r["first_word"], r["last_word"]) == ((min(places), max(places)) if places else (None, None))
+        assert r["base_labels"] == ",".join(sorted(k for k, at in base.items() if at))
+        assert sorted(map(tuple, r["found"])) == sorted((label, at) for label, at, _ in found)
+        assert r["labels"] == ",".join(sorted({k for k, at in base.items() if at} | {x[0] for x in found}))
+        assert r["score"] == pytest.approx(max((x[2] for x in found), default=0.0))
+        partial += any(x[2] < 1 for x in found)
+    assert partial > 10
+
+
 # -- sketches
 
 def brute_sketch(text):
