@@ -124,10 +124,8 @@ def words_of(norm: Column) -> Column:
 
 
 def stands(words: Column, at: Column, phrase: list[str]) -> Column:
-    out = F.get(words, at) == phrase[0]
-    for k, w in enumerate(phrase[1:], 1):
-        out = out & (F.get(words, at + k) == w)
-    return F.coalesce(out, F.lit(False))
+    out = (F.get(words, at) == phrase[0]) & (F.slice(words, at + 1, len(phrase)) == _strings(phrase))
+    return F.coalesce(F.when(at >= 0, out), F.lit(False))
 
 
 def _all_places(words: Column, phrase: list[str]) -> Column:
@@ -137,7 +135,8 @@ def _all_places(words: Column, phrase: list[str]) -> Column:
 
 
 def _strings(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    """Literal array of words (no word holds a quote), made in one call."""
+    return F.expr("array(" + ", ".join(f"'{v}'" for v in values) + ")")
 
 
 def idf(norms: DataFrame, vocabulary: list[str]) -> dict[str, float]:
@@ -156,7 +155,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: dic
     ranked = sorted(vocabulary, key=lambda w: (-weight[w], w))
     shift = 1 << 20  # keeps relative positions positive
     postings = {w: [t * (1 << 44) + shift - q for t, x in enumerate(templates) for q, y in enumerate(x.words) if y == w] for w in vocabulary}
-    posted = F.create_map(*[x for w in ranked for x in (F.lit(w), F.array(*[F.lit(p) for p in postings[w]]).cast("array<bigint>"))])
+    posted = F.expr("map(" + ", ".join(f"'{w}', array({', '.join(f'{p}L' for p in postings[w])})" for w in ranked) + ")")
 
     words = F.col("words")
     rows = norms.withColumn("words", words_of(F.col("norm")))
