@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -159,12 +159,26 @@ def running_totals(
         *[(F.col(f"__c_{n}") + F.col(f"__o_{n}")).alias(f"cum_{n}") for n in measures])
 
 
+def bracket_accuracy(n: int) -> int:
+    """Accuracy of the sketch that keeps a bracket of ``n`` rows near BRACKET_ROWS."""
+    return int(min(MAX_ACCURACY, max(1_000, 4 * n // BRACKET_ROWS)))
+
+
+def bracket_aggregates(columns: Sequence[Column], probs: Sequence[float], accuracy: int) -> list[Column]:
+    """Aggregates of the first pass of :func:`exact_quantiles`: values and rank brackets of each column."""
+    eps = 2.0 / accuracy
+    levels = [min(1.0, max(0.0, p + s)) for p in probs for s in (-eps, eps)]
+    return [F.count(c).alias(f"n__{i}") for i, c in enumerate(columns)] + [
+        F.percentile_approx(c, levels, accuracy).alias(f"s__{i}") for i, c in enumerate(columns)]
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int | None = None,
+    first: Sequence[Row] | None = None,
 ) -> dict[tuple, list[float | None]]:
     """Linear-interpolated quantiles, exact at any size: ``{(*group, column): [q per prob]}``.
 
@@ -173,16 +187,14 @@ def exact_quantiles(
     gives a narrow bracket around every wanted rank; then each Arrow batch counts the values below each
     bracket and keeps only those inside, repeated values once.  The rank is read off exactly, and a bracket
     that missed is widened and tried again.  The sketch is made finer with the table, so that a bracket
-    holds about BRACKET_ROWS rows at most.
+    holds about BRACKET_ROWS rows at most.  ``first`` passes rows of :func:`bracket_aggregates` that the caller
+    has from a scan of its own.
     """
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
     source = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    accuracy = accuracy or int(min(MAX_ACCURACY, max(1_000, 4 * source.count() // BRACKET_ROWS)))
-    eps = 2.0 / accuracy
-    levels = [min(1.0, max(0.0, p + s)) for p in probs for s in (-eps, eps)]
-    first = source.groupBy(*by).agg(
-        *[F.count(c).alias(f"n__{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(c, levels, accuracy).alias(f"s__{i}") for i, c in enumerate(columns)]).collect()
+    if first is None:
+        accuracy = accuracy or bracket_accuracy(source.count())
+        first = source.groupBy(*by).agg(*bracket_aggregates([F.col(c) for c in columns], probs, accuracy)).collect()
     groups = [tuple(r[b] for b in by) for r in first]
     result: dict[tuple, list] = {}
     todo: dict[tuple[int, int, int], dict] = {}

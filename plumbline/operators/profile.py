@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.core import (
     NUMERIC, agg_per_column, as_number, bin_index, h32, ratio, rnd, sample_skew, unpivot_numbers,
 )
-from plumbline.operators.ordering import exact_quantiles
+from plumbline.operators.ordering import bracket_accuracy, bracket_aggregates, exact_quantiles
 
 # Limits of the findings report.
 LEAKAGE_LIMIT = 0.95
@@ -26,6 +27,7 @@ CARDINALITY_LIMIT = 50
 SKEW_LIMIT = 1.0
 OUTLIER_LIMIT = 0.01
 MAX_CLASSES = 20
+QUARTILES = (0.25, 0.5, 0.75)
 
 FINDING_SCHEMA = "issue string, feature string, metric string, value double"
 
@@ -161,6 +163,37 @@ def profile_cardinality(df: DataFrame, columns: Sequence[str] | None = None, exa
     return out.withColumn("flagged", F.col("n_unique") > limit)
 
 
+def _plain_columns(df: DataFrame) -> list[Column]:
+    """The columns that can be near constant, as values that compare and travel to the driver; NaN is missing."""
+    usable = [f for f in df.schema if isinstance(f.dataType, (*NUMERIC, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))]
+
+    def plain(f: T.StructField) -> Column:
+        x = as_number(df, f.name) if isinstance(f.dataType, NUMERIC) else F.col(f.name)
+        x = x.cast("string") if isinstance(f.dataType, (T.TimestampNTZType, T.DecimalType)) else x
+        return x.alias(f.name)
+
+    return [plain(f) for f in usable]
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    return df.select(*_plain_columns(df))
+
+
+def _top_values(columns: Sequence[str]) -> list[Column]:
+    """A frequent-items sketch of each column."""
+    return [F.expr(f"approx_top_k(`{c}`, 2, 1000)").alias(f"t{i}") for i, c in enumerate(columns)]
+
+
+def _candidates(top: Row, columns: Sequence[str]) -> dict[str, object]:
+    """The most frequent non-null item of each column by its sketch."""
+    out = {}
+    for i, c in enumerate(columns):
+        items = [x for x in (top[f"t{i}"] or []) if x["item"] is not None]
+        if items:
+            out[c] = items[0]["item"]
+    return out
+
+
 def find_near_constant(df: DataFrame, limit: float = NEAR_CONSTANT_LIMIT) -> DataFrame:
     """Columns whose most frequent value covers more than ``limit`` (at least one half) of the non-null rows.
 
@@ -169,20 +202,8 @@ def find_near_constant(df: DataFrame, limit: float = NEAR_CONSTANT_LIMIT) -> Dat
     """
     if limit < 0.5:
         raise ValueError("a candidate is only certain for shares of at least one half")
-    usable = [f.name for f in df.schema if isinstance(f.dataType, (*NUMERIC, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))]
-
-    def plain(c: str) -> Column:
-        x = as_number(df, c) if isinstance(df.schema[c].dataType, NUMERIC) else F.col(c)
-        dtype = df.schema[c].dataType
-        return x.cast("string") if isinstance(dtype, (T.TimestampNTZType, T.DecimalType)) else x
-
-    named = df.select(*[plain(c).alias(c) for c in usable])
-    top = named.agg(*[F.expr(f"approx_top_k(`{c}`, 2, 1000)").alias(f"t{i}") for i, c in enumerate(usable)]).first()
-    candidates = {}
-    for i, c in enumerate(usable):
-        items = [x for x in (top[f"t{i}"] or []) if x["item"] is not None]
-        if items:
-            candidates[c] = items[0]["item"]
+    named = _plain(df)
+    candidates = _candidates(named.agg(*_top_values(named.columns)).first(), named.columns)
     if not candidates:
         return df.sparkSession.createDataFrame([], "feature string, top_value_freq double")
     out = agg_per_column(named, {
@@ -198,17 +219,17 @@ def dup_rows(df: DataFrame) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
-def _pair_corrs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+def _pair_corrs(df: DataFrame, pairs: Sequence[tuple[str, str]], middle: dict[str, float | None] | None = None) -> DataFrame:
     """(a, b, pearson) for each pair over pairwise-complete rows; NULL when a side is constant.
 
     Hundreds of pair aggregates in one ``agg`` overflow the generated code, and unpivoting pairs multiplies
     the rows, so every Arrow batch adds to six moment matrices by matrix products and each task emits one
     small row per pair.  Values are shifted by an actual value near the median, which keeps the sums
-    precise and makes a constant column exactly zero.
+    precise and makes a constant column exactly zero; ``middle`` passes such values where the caller has them.
     """
     cols = sorted({c for pair in pairs for c in pair})
     numbers = df.select(*[as_number(df, c).cast("double").alias(c) for c in cols])
-    mid = numbers.agg(*[F.percentile_approx(c, 0.5, 100).alias(c) for c in cols]).first()
+    mid = middle or numbers.agg(*[F.percentile_approx(c, 0.5, 100).alias(c) for c in cols]).first()
     shift = np.array([mid[c] if mid[c] is not None else 0.0 for c in cols])
     pos = {c: i for i, c in enumerate(cols)}
     left = np.array([pos[a] for a, _ in pairs])
@@ -273,7 +294,10 @@ def find_redundant_pairs(df: DataFrame, target: str | None = None, limit: float
 def iqr_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float, float, float, float]]:
     """q1, median, q3 and the two 1.5 IQR fences per column (five numbers per column on the driver)."""
     clean = df.select(*[as_number(df, c).cast("double").alias(c) for c in columns])
-    got = exact_quantiles(clean, columns, [0.25, 0.5, 0.75])
+    return _fences(exact_quantiles(clean, columns, QUARTILES), columns)
+
+
+def _fences(got: dict[tuple, list[float | None]], columns: Sequence[str]) -> dict[str, tuple[float, float, float, float, float]]:
     out = {}
     for c in columns:
         q1, q2, q3 = got.get((c,), [None] * 3)
@@ -365,29 +389,66 @@ def mi_vs_pearson_gap(df: DataFrame, target: str, top: int = 5) -> DataFrame:
 
 
 def eda_findings(df: DataFrame, target: str) -> DataFrame:
-    """All detectors as one table ``(issue, feature, metric, value)``."""
-    feats = roles(df, target).features
+    """All detectors as one table ``(issue, feature, metric, value)``.
 
-    def finding(part: DataFrame, issue: str, feature: Column, metric: str, value: str) -> DataFrame:
-        return part.select(F.lit(issue).alias("issue"), feature.alias("feature"), F.lit(metric).alias("metric"),
-                           F.col(value).cast("double").alias("value"))
-
-    f = F.col("feature")
-    parts = [
-        finding(find_leakage(df, target), "target leakage", f, "pearson", "pearson"),
-        finding(profile_cardinality(df).where("flagged"), "high cardinality", F.col("column"), "n_unique", "n_unique"),
-        finding(find_near_constant(df), "near constant", f, "top_value_freq", "top_value_freq"),
-        finding(find_redundant_pairs(df, target), "redundant pair",
-                F.concat_ws(" <-> ", "col_a", "col_b"), "pearson", "pearson"),
-        finding(profile_missing(df).where("n_missing > 0").withColumn("m", rnd(F.col("missing_share"), 4)),
-                "missing data", F.col("column"), "missing_pct", "m"),
-        finding(profile_skew(df, feats).where("flagged"), "skewed distribution", F.col("column"), "skew", "skew"),
-        finding(find_outliers_iqr(df, feats).where("flagged"), "outliers", f, "outlier_pct", "outlier_pct"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    The detectors share their passes: one aggregate holds missing cells, skew, frequent items and quartile brackets; one Arrow pass the moments
+    of all pairs; one the values inside the brackets; one aggregate the counts of candidates and outliers; one the distinct strings.  Only
+    a few numbers per column reach the driver.
+    """
+    spark, columns = df.sparkSession, df.columns
+    numeric, feats = roles(df, target).numeric, roles(df, target).features
+    plain = _plain(df)
+    # one row with every form of a cell that a detector needs: is it missing, its number, its plain value
+    number = {c: f"x{i}" for i, c in enumerate(numeric)}
+    value = {c: f"v{i}" for i, c in enumerate(plain.columns)}
+    cells = df.select(
+        *[_missing(df, c).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[as_number(df, c).cast("double").alias(x) for c, x in number.items()],
+        *[e.alias(v) for e, v in zip(_plain_columns(df), value.values())])
+    own = [number[c] for c in feats]
+    state = cells.agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(f"m{i}").alias(f"m{i}") for i in range(len(columns))],
+        *_top_values(list(value.values())),
+        *[sample_skew(F.col(x)).alias(f"skew_{x}") for x in own],
+        *[F.percentile_approx(x, 0.5, 100).alias(f"mid_{x}") for x in number.values()],
+        *bracket_aggregates([F.col(x) for x in own], QUARTILES, bracket_accuracy(df.count()))).first()
+
+    rows = [("missing data", c, "missing_pct", state[f"m{i}"] / state["n"]) for i, c in enumerate(columns) if state[f"m{i}"]]
+    skews = [(c, state[f"skew_{number[c]}"]) for c in feats]
+    rows += [("skewed distribution", c, "skew", s) for c, s in skews if s is not None]
+    known = spark.createDataFrame(rows, FINDING_SCHEMA).withColumn("value", rnd(F.col("value"), 4)).where(
+        (F.col("issue") != "skewed distribution") | (F.abs("value") > SKEW_LIMIT))
+
+    candidates = _candidates(state, list(value.values()))
+    quartiles = exact_quantiles(cells, own, QUARTILES, first=[state]) if own else {}
+    fences = _fences(quartiles, own)
+    counts = {}
+    for v, top in candidates.items():
+        counts["near constant", v] = {"k": F.count_if(F.col(v) == F.lit(top)), "n": F.count(v)}
+    for x, (_, _, _, lo, hi) in fences.items():
+        counts["outliers", x] = {"k": F.count_if((F.col(x) < lo) | (F.col(x) > hi)), "n": F.count(x)}
+    parts = [known]
+    if counts:
+        back = {v: c for c, v in (*number.items(), *value.items())}
+        long = agg_per_column(cells, {f"{issue}|{x}": e for (issue, x), e in counts.items()}, key="at")
+        names = spark.createDataFrame(
+            [(f"{issue}|{x}", issue, back[x], *{"near constant": ("top_value_freq", NEAR_CONSTANT_LIMIT), "outliers": ("outlier_pct", OUTLIER_LIMIT)}[issue])
+             for issue, x in counts], "at string, issue string, feature string, metric string, most double")
+        share = ratio(F.col("k"), F.col("n"))
+        parts.append(long.join(F.broadcast(names), "at").where(share > F.col("most")).select("issue", "feature", "metric", rnd(share, 4).alias("value")))
+
+    pairs = [(c, target) for c in feats if target in numeric] + list(combinations(feats, 2))
+    if pairs:
+        leak, size = F.col("b") == target, F.abs("pearson")
+        corr = _pair_corrs(df, pairs, {c: state[f"mid_{x}"] for c, x in number.items()})
+        corr = corr.where(size > F.when(leak, LEAKAGE_LIMIT).otherwise(REDUNDANT_LIMIT))
+        parts.append(corr.select(
+            F.when(leak, "target leakage").otherwise("redundant pair").alias("issue"),
+            F.when(leak, F.col("a")).otherwise(F.concat_ws(" <-> ", "a", "b")).alias("feature"),
+            F.lit("pearson").alias("metric"), rnd(F.when(leak, F.col("pearson")).otherwise(size), 4).alias("value")))
+    parts.append(profile_cardinality(df).where("flagged").select(
+        F.lit("high cardinality").alias("issue"), F.col("column").alias("feature"), F.lit("n_unique").alias("metric"), F.col("n_unique").cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def findings_diff(old: DataFrame, new: DataFrame, digits: int = 4) -> DataFrame:
