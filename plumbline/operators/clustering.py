@@ -148,18 +148,24 @@ def calinski_harabasz(df: DataFrame, array_col: str, cluster: str) -> DataFrame:
 
 
 def davies_bouldin(df: DataFrame, array_col: str, cluster: str) -> DataFrame:
-    """Mean over clusters of the worst (spread_i + spread_j) / centre distance; spread is the mean distance to the centre."""
-    centres = class_centres(df, array_col, cluster)
-    own = F.lit(None).cast("double")
-    for k, c in centres.items():
-        own = F.when(F.col(cluster) == k, F.sqrt(sq_distance(F.col(array_col), c))).otherwise(own)
-    spread = {r[cluster]: r["s"] for r in df.groupBy(cluster).agg(F.avg(own).alias("s")).collect()}  # one number per cluster
-    worst = {k: 0.0 for k in centres}
-    for a, b in combinations(centres, 2):
-        d = math.dist(centres[a], centres[b])
-        r = (spread[a] + spread[b]) / d if d else 0.0
-        worst[a], worst[b] = max(worst[a], r), max(worst[b], r)
-    return df.sparkSession.createDataFrame([(sum(worst.values()) / len(worst),)], "v double").select(rnd(F.col("v")).alias("davies_bouldin"))
+    """Mean over clusters of the worst (spread_i + spread_j) / centre distance; spread is the mean distance to the centre.
+
+    Centres that coincide, and a cluster without others, count as zero.  Rows without a cluster and missing components take no part.
+    """
+
+    def gap(a: Column | str, b: Column | str) -> Column:
+        met = F.filter(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), lambda z: z.isNotNull())
+        return F.when(F.size(met) > 0, F.sqrt(F.aggregate(met, F.lit(0.0), lambda s, z: s + z)))
+
+    rows = df.where(F.col(cluster).isNotNull()).select(F.col(cluster).alias("c"), F.transform(array_col, lambda v: v.cast("double")).alias("x"))
+    means = rows.select("c", F.posexplode("x").alias("i", "v")).groupBy("c", "i").agg(F.avg("v").alias("v"))
+    centres = means.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda z: z["v"]).alias("m"))
+    spread = rows.join(centres, "c").groupBy("c").agg(F.avg(gap("x", "m")).alias("s"))
+    a = centres.join(spread, "c")  # one row per cluster
+    b = a.select(F.col("c").alias("d"), F.col("m").alias("other"), F.col("s").alias("t"))
+    met = a.join(b, F.col("c") != F.col("d"), "left").select("c", F.try_divide(F.col("s") + F.col("t"), gap("m", "other")).alias("r"))
+    worst = met.groupBy("c").agg(F.coalesce(F.max("r"), F.lit(0.0)).alias("w"))
+    return worst.agg(rnd(F.avg("w")).alias("davies_bouldin"))
 
 
 def silhouette_full(df: DataFrame, array_col: str, cluster: str) -> DataFrame:

@@ -175,6 +175,16 @@ def test_cluster_scores(spark):
     assert one(clustering.nmi(df, "a", "b"))["nmi"] == 1.0
 
 
+def test_davies_bouldin(spark):
+    """Spreads 1, 1 and 0 around centres (0, 0), (10, 0) and (0, 4); a row without a cluster takes no part."""
+    rows = [(1, [-1.0, 0.0]), (1, [1.0, 0.0]), (2, [9.0, 0.0]), (2, [11.0, 0.0]), (3, [0.0, 4.0]), (None, [50.0, 50.0])]
+    df = spark.createDataFrame(rows, "c int, v array<double>")
+    assert one(clustering.davies_bouldin(df, "v", "c"))["davies_bouldin"] == pytest.approx((0.25 + 0.2 + 0.25) / 3, abs=1e-6)
+    assert one(clustering.davies_bouldin(df.where("c = 1"), "v", "c"))["davies_bouldin"] == 0.0
+    gaps = spark.createDataFrame([(1, [0.0, None]), (1, [2.0, 3.0]), (2, [1.0, 13.0]), (2, None)], "c int, v array<float>")
+    assert one(clustering.davies_bouldin(gaps, "v", "c"))["davies_bouldin"] == pytest.approx(0.1)
+
+
 def test_dbscan_against_brute_force(spark):
     import numpy as np
     rng = np.random.default_rng(2)
