@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.core import h32, ratio, rnd
 from plumbline.operators.lloyd import Run, best_of, labelled, lloyd, pair_counts, silhouettes
 from plumbline.operators.ordering import exact_quantiles
-from plumbline.session import ensure_checkpoint_dir
+from plumbline.session import ensure_checkpoint_dir, remove_folder, written
 
 
 def with_vector(df: DataFrame, array_col: str, name: str = "features") -> DataFrame:
@@ -333,7 +333,7 @@ def _link_cells(core: DataFrame, cols: Sequence[str], eps: float, axes: Sequence
             widest, gap = F.greatest(one, two), F.greatest(-one, -two, F.lit(0.0))
             far, near = far + widest * widest, near + gap * gap
         keep = ["cell_a", "cell_b", *[f"{x}_k{i}" for x in "ab" for i in dims]]
-        return pairs.where(near <= eps * eps).select(*keep, (far <= eps * eps).alias("sure")).checkpoint()
+        return pairs.where(near <= eps * eps).select(*keep, (far <= eps * eps).alias("sure"))
 
     first = boxes(0)
     lane = [f"lane{k}" for k in range(len(axes))]
@@ -343,7 +343,7 @@ def _link_cells(core: DataFrame, cols: Sequence[str], eps: float, axes: Sequence
         return sided(first, x).join(named.select(F.col("cell").alias(f"cell_{x}"), *lane), f"cell_{x}")
 
     left = laned("a").withColumn("m", _steps(axes)).withColumns({x: F.col(x) + F.col(f"m.o{k}") for k, x in enumerate(lane)}).drop("m")
-    state = judged(left.join(laned("b"), lane).where("cell_a < cell_b"))
+    state, _ = written(judged(left.join(laned("b"), lane).where("cell_a < cell_b")), "boxes")
     edges = state.where("sure").select("cell_a", "cell_b").distinct()
     for level in itertools.count(1):
         open_pairs = state.where("not sure").join(edges, ["cell_a", "cell_b"], "left_anti")
@@ -354,8 +354,8 @@ def _link_cells(core: DataFrame, cols: Sequence[str], eps: float, axes: Sequence
         for x in "ab":
             child = sided(boxes(level), x).withColumns({f"{x}_p{i}": F.floor(F.col(f"{x}_k{i}") / 2).cast("long") for i in dims})
             parents = parents.join(child, [f"cell_{x}", *[f"{x}_p{i}" for i in dims]])
-        state = judged(parents)
-        edges = edges.unionByName(state.where("sure").select("cell_a", "cell_b")).distinct().checkpoint()
+        state, _ = written(judged(parents), "boxes")
+        edges, _ = written(edges.unionByName(state.where("sure").select("cell_a", "cell_b")).distinct(), "edges")
 
 
 def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_points: int) -> DataFrame:
@@ -364,7 +364,7 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_poin
     Core cells (cells of side eps / sqrt(d) holding a core point) are the nodes: all core points of a cell
     belong together, so a crowded place is one node however many rows it holds.  A point is compared with other
     points only when its own cell holds fewer than ``min_points`` rows.  Linked nodes share the lowest label by
-    repeated minima with pointer jumping, each round kept in the reliable checkpoint folder.  Border rows
+    repeated minima with hooks and pointer jumping (rounds grow with the logarithm of the cells), each round written to the reliable checkpoint folder.  Border rows
     take the lowest label among the core points in reach.
     """
     ensure_checkpoint_dir(df.sparkSession)
@@ -378,13 +378,16 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_poin
     cells = core.groupBy(*g).agg(F.min("pid").alias("cell")).checkpoint()
     core = core.join(cells, g)
     edges = _link_cells(core, cols, eps, axes)
-    labels = cells.select("cell", F.col("cell").alias("label"))
+    labels, last = written(cells.select("cell", F.col("cell").alias("label")), "labels")
     while True:  # labels only fall, so this ends
         near = edges.join(labels.select(F.col("cell").alias("b"), "label"), "b").groupBy(F.col("a").alias("cell")).agg(F.min("label").alias("m"))
-        step = labels.join(near, "cell", "left").select("cell", "label", F.least("label", F.coalesce("m", "label")).alias("new"))
+        met = labels.join(near, "cell", "left").select("cell", "label", F.least("label", F.coalesce("m", "label")).alias("new"))
+        hook = met.groupBy(F.col("label").alias("cell")).agg(F.min("new").alias("h"))  # what any of its cells met moves the label itself
+        step = met.join(hook, "cell", "left").select("cell", "label", F.least("new", F.coalesce("h", "new")).alias("new"))
         jump = step.select(F.col("cell").alias("new"), F.col("new").alias("further"))
-        nxt = step.join(jump, "new", "left").select("cell", F.col("label").alias("old"), F.least("new", F.coalesce("further", "new")).alias("label")).checkpoint()
-        labels = nxt.select("cell", "label")
+        nxt, folder = written(step.join(jump, "new", "left").select("cell", F.col("label").alias("old"), F.least("new", F.coalesce("further", "new")).alias("label")), "labels")
+        remove_folder(df.sparkSession, last)
+        labels, last = nxt.select("cell", "label"), folder
         if nxt.where("old <> label").isEmpty():
             break
     labelled = core.join(labels, "cell").select("pid", *cols, "n", *g, "label")

@@ -185,6 +185,19 @@ def test_davies_bouldin(spark):
     assert one(clustering.davies_bouldin(gaps, "v", "c"))["davies_bouldin"] == pytest.approx(0.1)
 
 
+def test_dbscan_long_chain_takes_few_rounds(spark, monkeypatch):
+    """Ids in random order along two chains of 300 cells: rounds follow the logarithm of the length, and their plans stay small."""
+    import random
+    ids = list(range(600))
+    random.Random(3).shuffle(ids)
+    df = spark.createDataFrame([(ids[i], 0.5 * (i % 300), 9.0 * (i // 300)) for i in range(600)], "id long, x double, y double")
+    rounds, drop = [], clustering.remove_folder
+    monkeypatch.setattr(clustering, "remove_folder", lambda spark, path: (rounds.append(path), drop(spark, path)))
+    got = {r["id"]: r["cluster"] for r in clustering.dbscan(df, "id", ["x", "y"], 0.6, 2).collect()}
+    assert got == {i: min(half) for half in (ids[:300], ids[300:]) for i in half}
+    assert 1 < len(rounds) <= 16
+
+
 def test_dbscan_against_brute_force(spark):
     import numpy as np
     rng = np.random.default_rng(2)
