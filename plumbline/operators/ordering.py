@@ -165,11 +165,15 @@ def bracket_accuracy(n: int) -> int:
 
 
 def bracket_aggregates(columns: Sequence[Column], probs: Sequence[float], accuracy: int) -> list[Column]:
-    """Aggregates of the first pass of :func:`exact_quantiles`: values and rank brackets of each column."""
-    eps = 2.0 / accuracy
-    levels = [min(1.0, max(0.0, p + s)) for p in probs for s in (-eps, eps)]
+    """Aggregates of the first pass of :func:`exact_quantiles`: values and rank brackets of each column.
+
+    KLL sketches take a value in a fraction of the time of ``percentile_approx``; at four times the accuracy their ranks are off by less than half a bracket.
+    """
+    k = min(65_535, max(8, 4 * accuracy))
+    eps = 8.0 / k
+    levels = F.array(*[F.lit(min(1.0, max(0.0, p + s))) for p in probs for s in (-eps, eps)])
     return [F.count(c).alias(f"n__{i}") for i, c in enumerate(columns)] + [
-        F.percentile_approx(c, levels, accuracy).alias(f"s__{i}") for i, c in enumerate(columns)]
+        F.when(F.count(c) > 0, F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(c, k), levels)).alias(f"s__{i}") for i, c in enumerate(columns)]
 
 
 def exact_quantiles(
@@ -226,10 +230,13 @@ def exact_quantiles(
                         v = part[c].to_numpy(dtype=float)
                         for j, lo, hi in wanted:
                             below[(g, i, j)] = below.get((g, i, j), 0) + int((v < lo).sum())
-                            u, n = np.unique(v[(v >= lo) & (v <= hi)], return_counts=True)
-                            rows.append(pd.DataFrame({"g": g, "i": i, "j": j, "v": u, "n": n}))
+                            if lo == hi:  # a value so frequent that it fills its bracket
+                                u, n = np.array([lo]), np.array([(v == lo).sum()])
+                            else:
+                                u, n = np.unique(v[(v >= lo) & (v <= hi)], return_counts=True)
+                            rows.append((np.full(len(u), g), np.full(len(u), i), np.full(len(u), j), u, n))
                 if rows:
-                    yield pd.concat(rows)
+                    yield pd.DataFrame(dict(zip("gijvn", map(np.concatenate, zip(*rows)))))
             if below:
                 yield pd.DataFrame([(*k, None, n) for k, n in below.items()], columns=["g", "i", "j", "v", "n"])
 

@@ -391,7 +391,7 @@ def mi_vs_pearson_gap(df: DataFrame, target: str, top: int = 5) -> DataFrame:
 def eda_findings(df: DataFrame, target: str) -> DataFrame:
     """All detectors as one table ``(issue, feature, metric, value)``.
 
-    The detectors share their passes: one aggregate holds missing cells, skew, frequent items and quartile brackets; one Arrow pass the moments
+    The detectors share their passes: one aggregate holds missing cells, one in blocks the skew, one frequent items and quartile brackets; one Arrow pass the moments
     of all pairs; one the values inside the brackets; one aggregate the counts of candidates and outliers; one the distinct strings.  Only
     a few numbers per column reach the driver.
     """
@@ -406,15 +406,16 @@ def eda_findings(df: DataFrame, target: str) -> DataFrame:
         *[as_number(df, c).cast("double").alias(x) for c, x in number.items()],
         *[e.alias(v) for e, v in zip(_plain_columns(df), value.values())])
     own = [number[c] for c in feats]
+    # plain counts, moments and sketches are aggregates of their own: in one aggregate their code is too large to be compiled
+    holes = cells.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(f"m{i}").alias(f"m{i}") for i in range(len(columns))]).first()
+    skew = {r["column"]: r["skew"] for r in agg_per_column(cells, {x: {"skew": sample_skew(F.col(x))} for x in own}, block=5).collect()} if own else {}
+    sketched = own + [x for x in number.values() if x not in own]
     state = cells.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(f"m{i}").alias(f"m{i}") for i in range(len(columns))],
-        *_top_values(list(value.values())),
-        *[sample_skew(F.col(x)).alias(f"skew_{x}") for x in own],
-        *[F.percentile_approx(x, 0.5, 100).alias(f"mid_{x}") for x in number.values()],
-        *bracket_aggregates([F.col(x) for x in own], QUARTILES, bracket_accuracy(df.count()))).first()
-
-    rows = [("missing data", c, "missing_pct", state[f"m{i}"] / state["n"]) for i, c in enumerate(columns) if state[f"m{i}"]]
-    skews = [(c, state[f"skew_{number[c]}"]) for c in feats]
+        F.count(F.lit(1)).alias("n"), *_top_values(list(value.values())),
+        *bracket_aggregates([F.col(x) for x in sketched], QUARTILES, bracket_accuracy(holes["n"]))).first()
+
+    rows = [("missing data", c, "missing_pct", holes[f"m{i}"] / holes["n"]) for i, c in enumerate(columns) if holes[f"m{i}"]]
+    skews = [(c, skew[number[c]]) for c in feats]
     rows += [("skewed distribution", c, "skew", s) for c, s in skews if s is not None]
     known = spark.createDataFrame(rows, FINDING_SCHEMA).withColumn("value", rnd(F.col("value"), 4)).where(
         (F.col("issue") != "skewed distribution") | (F.abs("value") > SKEW_LIMIT))
@@ -440,7 +441,8 @@ def eda_findings(df: DataFrame, target: str) -> DataFrame:
     pairs = [(c, target) for c in feats if target in numeric] + list(combinations(feats, 2))
     if pairs:
         leak, size = F.col("b") == target, F.abs("pearson")
-        corr = _pair_corrs(df, pairs, {c: state[f"mid_{x}"] for c, x in number.items()})
+        near = {x: state[f"s__{i}"] for i, x in enumerate(sketched)}
+        corr = _pair_corrs(df, pairs, {c: near[x][len(near[x]) // 2] if near[x] else None for c, x in number.items()})
         corr = corr.where(size > F.when(leak, LEAKAGE_LIMIT).otherwise(REDUNDANT_LIMIT))
         parts.append(corr.select(
             F.when(leak, "target leakage").otherwise("redundant pair").alias("issue"),
