@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.core import ratio, rnd
 from plumbline.functions.text import strip_ws, yn_to_bool
-from plumbline.operators.multiclass import confusion_matrix, f1_averages
+from plumbline.operators.multiclass import f1_averages
 from plumbline.operators.relational import lookup_longest_prefix
 
 # Component descriptions and their classes.
@@ -137,9 +137,14 @@ def eval_parsed(df: DataFrame, targets: Sequence[str]) -> DataFrame:
 
 
 def confusion_active(df: DataFrame) -> DataFrame:
-    """Confusion counts over the classes that occur in the truth; other predictions are left out."""
-    labels = sorted(r["y"] for r in df.where(F.col("yhat").isNotNull() & F.col("y").isNotNull()).select("y").distinct().collect())  # one per class
-    return confusion_matrix(df.where(F.col("y").isin(labels) & F.col("yhat").isin(labels)), labels)
+    """Confusion counts over the classes that occur in the truth; other predictions are left out.
+
+    One pass: only the counts per pair of classes reach the driver.
+    """
+    cells = {(r["y"], r["yhat"]): r["n"] for r in df.groupBy("y", "yhat").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labels = sorted({y for y, yhat in cells if y is not None and yhat is not None})
+    kind = df.schema["y"].dataType.simpleString()
+    return df.sparkSession.createDataFrame([(a, b, cells.get((a, b), 0)) for a in labels for b in labels], f"y {kind}, yhat {kind}, n bigint")
 
 
 def _bucket(ok_a: str, ok_b: str) -> Column:
