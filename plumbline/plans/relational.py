@@ -223,7 +223,8 @@ def _(spark, sf):
     merged = rel.merged_stats(spark.read.parquet(stored), ["l_returnflag"])
     at_once = rel.running_stats(li, ["l_returnflag"], "x").select(C("l_returnflag").alias("g"), C("approx_quantiles").alias("once"))
     both = merged.join(at_once, C("l_returnflag") == C("g"))
-    rows = li.join(both.select(C("l_returnflag").alias("h"), "approx_quantiles", "once"), C("l_returnflag") == C("h"))
+    # one row per group travels, the lines stay where they are: joined by their few flags, all lines of a flag would meet in one task
+    rows = li.join(F.broadcast(both.select(C("l_returnflag").alias("h"), "approx_quantiles", "once")), C("l_returnflag") == C("h"))
     share = lambda q, i: F.avg((C("x") <= F.get(q, F.lit(i))).cast("int"))
     near = functools.reduce(lambda a, b: a & b, [F.abs(share("approx_quantiles", i) - p) < 0.02 for i, p in enumerate((0.25, 0.5, 0.75))])
     agree = functools.reduce(lambda a, b: a & b, [F.abs(share("approx_quantiles", i) - share("once", i)) < 0.02 for i in range(3)])

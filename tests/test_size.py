@@ -55,3 +55,19 @@ def test_trees_get_parts_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(models, "ROWS_PER_TASK", 100)
     assert models._fine(spark.range(0, 950, 1, 1).toDF("x")).rdd.getNumPartitions() == 10
     assert models._fine(spark.range(0, 950, 1, 12).toDF("x")).rdd.getNumPartitions() == 12
+
+
+def test_running_stats_leaves_lines_in_place(spark, tmp_path):
+    """The groups' few rows are sent to the lines; the lines are neither broadcast nor dealt by their few flags."""
+    from plumbline.plans import registry
+
+    registry.load_all()
+    day = F.expr("timestamp'1995-01-01' + make_interval(0, 0, 0, cast(id % 700 as int))")
+    lines = spark.range(4000).select(F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("id") % 3 + 1).cast("int")).alias("l_returnflag"),
+                                     (F.col("id") * 37 % 2003).cast("double").alias("l_extendedprice"), day.alias("l_shipdate"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = registry.QUERIES["running_stats"](spark, str(tmp_path))
+    assert "strategy=broadcast" in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = {r["l_returnflag"]: r for r in got.collect()}
+    assert {k: r["n"] for k, r in rows.items()} == {"A": 1334, "N": 1333, "R": 1333}
+    assert all(r["distinct_within"] and r["quartiles_within"] and r["parts_agree"] for r in rows.values())
