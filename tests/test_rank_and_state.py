@@ -254,3 +254,29 @@ def test_stored_sketches_merge_to_the_whole(spark, tmp_path):
         assert got[g]["n"] == len(own) and abs(got[g]["approx_distinct"] / len(set(own)) - 1) < 0.04
         for q, p in zip(got[g]["approx_quantiles"], (0.25, 0.5, 0.75)):
             assert abs(sum(v <= q for v in own) / len(own) - p) < 0.02
+
+
+def test_neighbour_information_reads_its_input_a_few_times(spark):
+    """Rows pass a counter: ranges of positions are dealt once, not again for each rank and total; rare classes reach over many ranges."""
+    from plumbline.operators import information
+
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(0, 1, 399), np.where(np.arange(399) < 390, rng.integers(0, 2, 399), 2 + np.arange(399) // 3)
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, y)], "x double, y int").mapInArrow(passed, "x double, y int")
+    got = {r["feature"]: r["mi"] for r in information.neighbour_information(rows, "y", chunk=11, rows_per_bucket=20).collect()}
+    assert seen.value <= 6 * 399
+    gap, n = np.abs(x[:, None] - x[None]), np.array([(y == k).sum() for k in y])
+    assert n.min() > 1
+    own = np.where((y[:, None] == y[None]) & ~np.eye(399, dtype=bool), gap, np.inf)
+    k = np.minimum(3, n - 1)
+    r = np.sort(own, axis=1)[np.arange(399), k - 1]
+    psi = information.digammas
+    want = psi(399) + psi(k).mean() - psi(n).mean() - psi((gap < r[:, None]).sum(axis=1)).mean()
+    assert got["x"] == pytest.approx(max(0, want), abs=2e-6)
