@@ -17,6 +17,7 @@ from plumbline.functions.core import (
     NUMERIC, agg_per_column, as_number, bin_index, h32, ratio, rnd, sample_skew, unpivot_numbers,
 )
 from plumbline.operators.ordering import bracket_accuracy, bracket_aggregates, exact_quantiles
+from plumbline.session import written
 
 # Limits of the findings report.
 LEAKAGE_LIMIT = 0.95
@@ -344,11 +345,24 @@ def find_scale_mismatch(df: DataFrame, columns: Sequence[str] | None = None, ord
                          F.coalesce(F.abs(F.log10(F.when(r > 0, r))) >= orders, F.lit(True)).alias("flagged"))
 
 
-def _quantile_bin(x: Column, edges: Sequence[float]) -> Column:
-    b = F.lit(0)
-    for e in edges:
-        b = b + (x > F.lit(float(e))).cast("int")
-    return b
+def _bin_counts(filled: DataFrame, target: str, feats: Sequence[str], edges: dict[tuple, list[float]]) -> DataFrame:
+    """(feature, bin, y, n): rows of each class by the number of edges below the feature's value; each Arrow batch counts its own."""
+    cuts = [np.array(edges[(c,)], dtype=float) for c in feats]
+
+    def count(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            named = batch.column(target).dictionary_encode()
+            code, size = named.indices.to_numpy().astype(np.int64), len(named.dictionary)
+            for name, cut in zip(feats, cuts):
+                n = np.bincount(np.searchsorted(cut, batch.column(name).to_numpy()) * size + code)
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(some)), pa.array(some // size, pa.int32()), named.dictionary.take(pa.array(some % size)), pa.array(n[some])], ["feature", "bin", "y", "n"])
+
+    kind = T.StructType([T.StructField("feature", T.StringType()), T.StructField("bin", T.IntegerType()), T.StructField("y", filled.schema[target].dataType), T.StructField("n", T.LongType())])
+    return filled.mapInArrow(count, kind).groupBy("feature", "bin", "y").agg(F.sum("n").alias("n"))
 
 
 def mutual_information(df: DataFrame, target: str, bins: int = 10) -> DataFrame:
@@ -360,16 +374,16 @@ def mutual_information(df: DataFrame, target: str, bins: int = 10) -> DataFrame:
     feats = roles(df, target).features
     clean = df.where(F.col(target).isNotNull()).select(F.col(target).alias("__y"), *[as_number(df, c).cast("double").alias(c) for c in feats])
     levels = [i / bins for i in range(1, bins)]
-    held = clean.agg(*[F.count(c).alias(c) for c in feats]).first()
+    n, *held = clean.agg(F.count(F.lit(1)), *[F.count(c) for c in feats]).first()
+    held = dict(zip(feats, held))
     feats = [c for c in feats if held[c]]
     if not feats:
         return df.sparkSession.createDataFrame([], "feature string, mi double")
-    medians = exact_quantiles(clean, feats, [0.5])
-    filled = clean.select("__y", *[F.coalesce(F.col(c), F.lit(medians[(c,)][0])).alias(c) for c in feats])
+    holes = [c for c in feats if held[c] < n]  # only these need their median, and edges of their filled values
+    medians = exact_quantiles(clean, holes, [0.5]) if holes else {}
+    filled = clean.select("__y", *[F.coalesce(F.col(c), F.lit(medians[(c,)][0])).alias(c) if c in holes else F.col(c) for c in feats])
     edges = exact_quantiles(filled, feats, levels)
-    cells = [F.struct(F.lit(c).alias("feature"), _quantile_bin(F.col(c), edges[(c,)]).alias("bin")) for c in feats]
-    cont = (filled.select(F.col("__y").alias("y"), F.inline(F.array(*cells))).groupBy("feature", "bin", "y")
-            .agg(F.count(F.lit(1)).alias("n")))
+    cont, _ = written(_bin_counts(filled, "__y", feats, edges), "counts")  # read four times
     # the contingency table has features x bins x classes rows
     tot = cont.groupBy("feature").agg(F.sum("n").alias("t"))
     fb = cont.groupBy("feature", "bin").agg(F.sum("n").alias("nb"))

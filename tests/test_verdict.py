@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -94,3 +95,28 @@ def test_nan_becomes_null_at_scan(spark, tmp_path):
 
     spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double").write.parquet(str(tmp_path / "t"))
     assert readers.scan_parquet(spark, str(tmp_path / "t"), nan_is_null=True).where("x is null").count() == 2
+
+
+def test_mutual_information_reads_its_input_a_few_times(spark):
+    """Rows pass a counter: the counts of bins and classes are made once, not again for each of their totals."""
+    rows = [(float(i % 17), None if i % 5 == 0 else float(i % 7), f"c{i * i % 3}") for i in range(340)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, "a double, b double, y string")
+    got = {r["feature"]: r["mi"] for r in profile.mutual_information(df.mapInArrow(passed, df.schema), "y", bins=4).collect()}
+    assert seen.value <= 8 * 340
+    y = [r[2] for r in rows]
+    middle = sorted(r[1] for r in rows if r[1] is not None)
+    middle = (middle[len(middle) // 2] + middle[(len(middle) - 1) // 2]) / 2
+    for k, name in enumerate("ab"):
+        x = np.array([middle if r[k] is None else r[k] for r in rows])
+        cell = Counter(zip((x[:, None] > np.quantile(x, [0.25, 0.5, 0.75])).sum(axis=1).tolist(), y))
+        bins, classes = Counter(), Counter(y)
+        for (b, _), n in cell.items():
+            bins[b] += n
+        assert got[name] == pytest.approx(sum(n / 340 * math.log(n * 340 / bins[b] / classes[c]) for (b, c), n in cell.items()), abs=2e-6)
