@@ -89,19 +89,18 @@ class Chunks:
         self.ids = np.concatenate([self.ids, flat])
 
     def numbers(self, texts: pa.Array) -> np.ndarray:
-        """The place of each chunk in the memory, which is emptied when full."""
-        for last in (False, True):
-            got = pc.index_in(texts, value_set=self.texts)
-            if not got.null_count:
-                break
-            fresh = pc.unique(texts.filter(pc.is_null(got)))
-            if not last and len(self.texts) + len(fresh) > MEMORY:
-                self.clear()
-                fresh = pc.unique(texts)
-            self.add(fresh)
-        else:
-            got = pc.index_in(texts, value_set=self.texts)
-        return got.to_numpy().astype(np.int64)
+        """The place of each chunk in the memory, which is emptied when full.  Equal chunks are looked up once."""
+        coded = texts.dictionary_encode()
+        each = coded.dictionary
+        got = pc.index_in(each, value_set=self.texts)
+        if len(self.texts) + got.null_count > MEMORY and len(self.texts):
+            self.clear()
+            got = pa.nulls(len(each), pa.int32())
+        fresh, place = got.is_null(), got.fill_null(0).to_numpy().astype(np.int64)
+        if got.null_count:
+            place[fresh.to_numpy(zero_copy_only=False)] = len(self.texts) + np.arange(got.null_count)
+            self.add(each.filter(fresh))
+        return place[coded.indices.to_numpy()]
 
 
 def _batch_ids(spec: Broadcast, text: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -213,17 +212,18 @@ def pack(
         raise ValueError("attention must allow one piece of full length")
     pieces = pieces.drop("sequence_id", "offset")
     held = Scratch(pieces.sparkSession, "packing").write(pieces, "pieces")
-    wide = held.schema.simpleString()[len("struct<") : -1]
     rows = held.withColumn("__row", F.monotonically_increasing_id())
     alone = rows.where(F.col("length") >= tokens).select(*pieces.columns, (-1 - F.col("__row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     n = held.where(F.col("length") < tokens).count()
     groups = max(1, -(-n // group))
-    dealt = rows.where(F.col("length") < tokens).withColumn("__group", F.pmod(F.xxhash64("__row"), F.lit(groups)))
+    short = rows.where(F.col("length") < tokens)
+    dealt = short.select("__row", "length", F.pmod(F.xxhash64("__row"), F.lit(groups)).alias("__group"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__row", ignore_index=True)
         sequence, offset = best_fit(pdf["length"].to_numpy(), tokens, docs, cost, by, weights)
-        pdf["sequence_id"], pdf["offset"] = pdf["__group"] * (1 << 32) + sequence, offset
-        return pdf.drop(columns=["__group", "__row"])
+        return pd.DataFrame({"__row": pdf["__row"], "sequence_id": pdf["__group"] * (1 << 32) + sequence, "offset": offset})
 
-    return alone.unionByName(dealt.groupBy("__group").applyInPandas(run, wide + ", sequence_id bigint, offset bigint"))
+    # lengths alone go to the groups; the other columns meet their places by row
+    placed = dealt.groupBy("__group").applyInPandas(run, "__row bigint, sequence_id bigint, offset bigint")
+    return alone.unionByName(short.join(placed, "__row").select(*pieces.columns, "sequence_id", "offset"))

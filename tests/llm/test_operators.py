@@ -68,6 +68,23 @@ def test_pieces_and_sequences(odd, none):
     assert packing.pack(packing.token_pieces(none, PATH)).count() == 0
 
 
+def test_packing_moves_lengths_only_and_looks_chunks_up_once(spark, monkeypatch):
+    """Token ids stay out of the groups, and a batch asks the memory for each of its chunks once."""
+    docs = spark.createDataFrame([(i, "aa bb cc " * 50) for i in range(30)], "doc_id long, text string")
+    grouped = packing.pack(packing.token_pieces(docs, PATH), group=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("ids" not in line for line in grouped.splitlines() if "FlatMapGroupsInPandas" in line)
+    asked, look = [], packing.pc.index_in
+    monkeypatch.setattr(packing.pc, "index_in", lambda texts, **kw: (asked.append(len(texts)), look(texts, **kw))[1])
+    chunks = packing.Chunks(open(PATH).read())
+    monkeypatch.setattr(packing, "MEMORY", 4)
+    for words in (["aa", "bb", "aa"] * 20, ["cc", "aa"] * 20, ["dd", "ee", "ff", "ff"], []):  # the third empties the memory
+        texts = packing.pa.array(words, packing.pa.string())
+        at = chunks.numbers(texts)
+        got = [chunks.ids[chunks.first[k] : chunks.first[k] + chunks.size[k]].tolist() for k in at]
+        assert got == [chunks._encode(w) for w in words]
+    assert asked == [2, 2, 3, 0]
+
+
 @pytest.mark.parametrize("by", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(by):
     r = random.Random(1)
