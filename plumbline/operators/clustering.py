@@ -283,6 +283,24 @@ def _steps(axes: Sequence[int]) -> Column:
     return F.explode(F.array(*[F.struct(*[F.lit(x).alias(f"o{k}") for k, x in enumerate(move)]) for move in product((-1, 0, 1), repeat=len(axes))]))
 
 
+CROWD = 4096
+
+
+def _meet(left: DataFrame, right: DataFrame, lane: Sequence[str], who: str) -> DataFrame:
+    """Rows of ``left`` and ``right`` in equal lanes.  Wide neighbourhoods leave a few lanes only: the left rows of a lane with more than ``CROWD`` right rows are dealt
+    by a hash of ``who`` to as many parts as make about ``CROWD`` squared pairs of each, and its right rows are copied to all of them."""
+    held = right.groupBy(*lane).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD)
+    crowded, folder = written(held.select(*lane, F.ceil(F.col("n") * F.col("n") / (CROWD * CROWD)).cast("int").alias("__parts")), "crowded")
+    if crowded.isEmpty():
+        remove_folder(left.sparkSession, folder)
+        return left.join(right, list(lane))
+    shares, parts = F.coalesce("__parts", F.lit(1)), int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = left.join(crowded, list(lane), "left").withColumn("__part", F.pmod(F.xxhash64(who), shares).cast("int"))
+    right = right.join(crowded, list(lane), "left").withColumn("__part", F.explode(F.sequence(F.lit(0), shares - 1)))
+    left, right = (d.drop("__parts").repartition(parts, *lane, "__part") for d in (left, right))
+    return left.join(right.hint("shuffle_hash"), [*lane, "__part"]).drop("__part")
+
+
 def _near(points: DataFrame, others: DataFrame, cols: Sequence[str], eps: float, axes: Sequence[int]) -> DataFrame:
     """Pairs (p, q) of positions in different cells within ``eps``: an equi-join on neighbouring lanes, then the exact distance."""
     g, lane = [f"__g{i}" for i in range(len(cols))], [f"__l{k}" for k in range(len(axes))]
@@ -291,7 +309,7 @@ def _near(points: DataFrame, others: DataFrame, cols: Sequence[str], eps: float,
     right = _lanes(others, cols, eps, axes, "__l").select(F.col("pid").alias("qid"), F.col("n").alias("q_n"), *[F.col(c).alias(f"q_{c}") for c in cols], *[F.col(x).alias(f"q{x}") for x in g], *lane)
     gap = sum(((F.col(f"p_{c}") - F.col(f"q_{c}")) * (F.col(f"p_{c}") - F.col(f"q_{c}")) for c in cols), F.lit(0.0))
     apart = functools.reduce(lambda x, y: x | y, [F.col(f"p{x}") != F.col(f"q{x}") for x in g])
-    return left.join(right, lane).where(apart & (gap <= eps * eps))
+    return _meet(left, right, lane, "pid").where(apart & (gap <= eps * eps))
 
 
 def _grid(df: DataFrame, id_col: str, cols: Sequence[str], eps: float) -> DataFrame:
@@ -343,7 +361,7 @@ def _link_cells(core: DataFrame, cols: Sequence[str], eps: float, axes: Sequence
         return sided(first, x).join(named.select(F.col("cell").alias(f"cell_{x}"), *lane), f"cell_{x}")
 
     left = laned("a").withColumn("m", _steps(axes)).withColumns({x: F.col(x) + F.col(f"m.o{k}") for k, x in enumerate(lane)}).drop("m")
-    state, _ = written(judged(left.join(laned("b"), lane).where("cell_a < cell_b")), "boxes")
+    state, _ = written(judged(_meet(left, laned("b"), lane, "cell_a").where("cell_a < cell_b")), "boxes")
     edges = state.where("sure").select("cell_a", "cell_b").distinct()
     for level in itertools.count(1):
         open_pairs = state.where("not sure").join(edges, ["cell_a", "cell_b"], "left_anti")

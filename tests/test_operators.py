@@ -262,3 +262,20 @@ def test_long_conversations_continue_in_chunks(spark):
     df = spark.range(25).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
     got = chat.conversations_to_turns(df, max_turns=10).orderBy("chunk").collect()
     assert [r["n_turns"] for r in got] == [10, 10, 5] and got[1]["messages"][0]["content"] == "10"
+
+
+def test_crowded_lanes_are_dealt_to_many_tasks(spark, monkeypatch):
+    """Wide neighbourhoods leave a few lanes: each is dealt in parts, and no pair is lost or met twice."""
+    import numpy as np
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(0, 1, (150, 3)), np.zeros((6, 3)), rng.normal(9, 0.2, (20, 3))])
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id long, x double, y double, z double")
+    monkeypatch.setattr(clustering, "CROWD", 10)
+    counts = clustering.neighbour_counts(df, "id", ["x", "y", "z"], 1.5)
+    assert "__part" in counts._jdf.queryExecution().optimizedPlan().toString()
+    near = ((x[:, None] - x[None]) ** 2).sum(axis=2) <= 1.5 * 1.5
+    first = [i for i in range(len(x)) if not 150 < i < 156]
+    assert {r["pid"]: r["n_within"] for r in counts.collect()} == {i: int(near[i].sum()) for i in first}
+    got = {r["id"]: r["cluster"] for r in clustering.dbscan(df, "id", ["x", "y", "z"], 0.9, 5).collect()}
+    monkeypatch.setattr(clustering, "CROWD", 10**6)
+    assert got == {r["id"]: r["cluster"] for r in clustering.dbscan(df, "id", ["x", "y", "z"], 0.9, 5).collect()}
