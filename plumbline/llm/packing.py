@@ -225,5 +225,7 @@ def pack(
         return pd.DataFrame({"__row": pdf["__row"], "sequence_id": pdf["__group"] * (1 << 32) + sequence, "offset": offset})
 
     # lengths alone go to the groups; the other columns meet their places by row
+    # groups are few bytes but much work, so small partitions are not put together
+    dealt = dealt.repartition(int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__group")
     placed = dealt.groupBy("__group").applyInPandas(run, "__row bigint, sequence_id bigint, offset bigint")
     return alone.unionByName(short.join(placed, "__row").select(*pieces.columns, "sequence_id", "offset"))
