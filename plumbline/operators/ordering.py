@@ -132,14 +132,17 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
     rows_per_bucket: int | None = None,
+    keys: str | None = None,
 ) -> DataFrame:
     """One row per distinct key with each measure and its running total ``cum_<measure>`` up to and including the key.
 
-    Rows are summed per key before any ordering, so repeated keys cost nothing.
+    Rows are summed per key before any ordering, so repeated keys cost nothing.  ``keys`` names a further measure that counts the keys.
     """
     by = list(by)
     cuts, hot = cut_points(df, key, rows_per_bucket)
     grouped = df.groupBy(*by, key).agg(*[F.sum(m).alias(n) for n, m in measures.items()])
+    if keys:
+        grouped, measures = grouped.withColumn(keys, F.lit(1)), measures | {keys: F.lit(1)}
     order = F.col(key).desc() if descending else F.col(key).asc()
     if not cuts:
         # the whole table is below one bucket, so this window is bounded

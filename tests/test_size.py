@@ -71,3 +71,30 @@ def test_running_stats_leaves_lines_in_place(spark, tmp_path):
     rows = {r["l_returnflag"]: r for r in got.collect()}
     assert {k: r["n"] for k, r in rows.items()} == {"A": 1334, "N": 1333, "R": 1333}
     assert all(r["distinct_within"] and r["quartiles_within"] and r["parts_agree"] for r in rows.values())
+
+
+def test_search_computes_rows_once(spark):
+    """The table behind a search is computed once; a score is the mean of the areas that Spark's evaluator finds in one task."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def shifted(v):
+        seen.add(1)
+        return float(v)
+
+    rng = np.random.default_rng(4)
+    n = 7000
+    y = rng.integers(0, 2, n)
+    data = [(int(a), float(b), float(c), i % 2) for i, (a, b, c) in enumerate(zip(y, rng.normal(size=n) + 0.8 * y, rng.normal(size=n)))]
+    base = spark.createDataFrame([*data, (0, None, 0.0, 1)], "y int, a double, b double, fold int").repartition(3).cache()
+    df = base.select("y", "a", F.udf(shifted, "double")("b").alias("b"), "fold")
+    got = models.grid_search(df, ["a", "b"], "y", "fold", 2, [0.01, 0.5], [0.0]).collect()
+    assert seen.value == n + 1
+    for r, reg in zip(got, [0.01, 0.5]):
+        areas = []
+        for i in range(2):
+            fitted = models.logistic(["a", "b"], "y", maxIter=20, regParam=reg, elasticNetParam=0.0).fit(base.where(F.col("fold") != i))
+            areas.append(BinaryClassificationEvaluator(labelCol="y").evaluate(fitted.transform(base.where(F.col("fold") == i).coalesce(1))))
+        assert r["score"] == pytest.approx(np.mean(areas), abs=1e-9)
+    assert [r["best"] for r in got] == [r["score"] == max(x["score"] for x in got) for r in got]
