@@ -98,3 +98,16 @@ def test_search_computes_rows_once(spark):
             areas.append(BinaryClassificationEvaluator(labelCol="y").evaluate(fitted.transform(base.where(F.col("fold") == i).coalesce(1))))
         assert r["score"] == pytest.approx(np.mean(areas), abs=1e-9)
     assert [r["best"] for r in got] == [r["score"] == max(x["score"] for x in got) for r in got]
+
+
+def test_random_search_on_odd_folds(spark):
+    """Folds of one class have the areas Spark's evaluator gives them; folds out of range and empty folds are refused."""
+    data = [(i % 2, float(i % 7 + 2 * (i % 2)), i % 3) for i in range(60)]
+    one = spark.createDataFrame([*[r for r in data if r[2]], *[(1, 3.0, 0), (1, 4.0, 0)]], "y int, a double, fold int")
+    none = spark.createDataFrame([*[r for r in data if r[2]], *[(0, 3.0, 0), (0, 4.0, 0)]], "y int, a double, fold int")
+    high, low = (models.random_search(d, ["a"], "y", "fold", 3, 1).first()["score"] for d in (one, none))
+    assert high - low == pytest.approx(1 / 3, abs=0.02)
+    whole = spark.createDataFrame(data, "y int, a double, fold int")
+    for bad in (whole.where("fold < 2"), whole.withColumn("fold", F.when(F.col("fold") > 0, F.col("fold")))):
+        with pytest.raises(Exception, match="empty|Fold number"):
+            models.random_search(bad, ["a"], "y", "fold", 3, 1)
