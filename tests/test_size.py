@@ -111,3 +111,35 @@ def test_random_search_on_odd_folds(spark):
     for bad in (whole.where("fold < 2"), whole.withColumn("fold", F.when(F.col("fold") > 0, F.col("fold")))):
         with pytest.raises(Exception, match="empty|Fold number"):
             models.random_search(bad, ["a"], "y", "fold", 3, 1)
+
+
+def test_search_scores_a_fold_once(spark, monkeypatch):
+    """A held row is written once with the scores of all candidates, not once for each of them."""
+    kept = []
+    monkeypatch.setattr(models, "remove_folder", lambda session, path: kept.append(session.read.parquet(path).count()))
+    df = spark.createDataFrame([(i % 2, float(i % 7 + 2 * (i % 2)), i % 3) for i in range(90)], "y int, a double, fold int")
+    got = models.random_search(df, ["a"], "y", "fold", 3, 5).collect()
+    assert kept == [90] and [r["candidate"] for r in got] == list(range(5))
+
+
+def test_areas_of_a_search_deal_arrays(spark):
+    """Scores travel as arrays, a row for each fold, candidate and range; areas do not depend on the ranges and are those of the thresholds taken one by one."""
+    rng = np.random.default_rng(6)
+    n, wanted, rows = 1500, {}, []
+    for fold in range(3):
+        y = rng.integers(0, 2, n) if fold else np.ones(n, int)
+        high = rng.normal(size=n) + y
+        high[:400] = 0.25
+        for candidate, s in enumerate((high, few := np.where(np.arange(n) < 9, -0.0, np.round(2 * high)))):
+            ends = np.unique(s)[::-1]
+            step = max(len(ends) // 50, 1)
+            ends = [v for i, v in enumerate(ends, 1) if i % step == 0 or i == len(ends)]
+            t, x = ([0.0, *[m[s >= v].sum() / max(m.sum(), 1) for v in ends], 1.0] for m in (y, 1 - y))
+            wanted[fold, candidate] = np.trapezoid(t, x)
+        rows += [(fold, int(a), [float(b), float(c)]) for a, b, c in zip(y, high, few)]
+    df = spark.createDataFrame(rows, "fold int, y int, scores array<double>").repartition(5).cache()
+    for per in (2_000_000, 900, 70):
+        got = {(r["fold"], r["candidate"]): r["area"] for r in models._binned_areas(df, 50, per)}
+        assert got == pytest.approx(wanted, abs=1e-9)
+        assert models._score_curves(df, per).count() <= 6 * -(-len(rows) // per)
+    assert models._binned_areas(df.where("false")) == []
