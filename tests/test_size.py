@@ -143,3 +143,34 @@ def test_areas_of_a_search_deal_arrays(spark):
         assert got == pytest.approx(wanted, abs=1e-9)
         assert models._score_curves(df, per).count() <= 6 * -(-len(rows) // per)
     assert models._binned_areas(df.where("false")) == []
+
+
+def test_several_classes_are_boosted_to_the_end(spark, tmp_path):
+    """Classes in many small steps of two columns: a few shallow rounds miss most of them."""
+    from plumbline.plans import registry
+
+    registry.load_all()
+    step = F.floor(F.col("id") % 50 / 4) + F.col("id") % 7
+    lines = spark.range(2800).select((F.col("id") % 50).cast("double").alias("l_quantity"), F.when(F.col("id") % 100 > 0, 0.05).alias("l_discount"), F.lit(0.02).alias("l_tax"),
+                                     (F.col("id") % 7).cast("int").alias("l_linenumber"), F.lit(100.0).alias("l_extendedprice"), F.substring(F.lit("ANR"), (step % 3 + 1).cast("int"), F.lit(1)).alias("l_returnflag"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {(r["flag"], r["prediction"]): r["n"] for r in registry.QUERIES["fit_boosted_multiclass"](spark, str(tmp_path)).collect()}
+    assert sum(got.values()) == 2800 - 28  # without a discount a row has no prediction
+    assert sum(n for (flag, guess), n in got.items() if flag == guess) > 0.97 * 2772
+
+
+def test_boosted_classes_do_not_depend_on_parts(spark, monkeypatch):
+    """Sums of the executors' parts grow the same trees as arrays in the driver, and copies of rows are weights."""
+    rng = np.random.default_rng(8)
+    x, z = rng.normal(0, 1, 600), rng.integers(0, 9, 600)
+    rows = [(float(a), int(b), int(a > 0) + int(b > 4)) for a, b in zip(x, z)]
+    odd = [(None, 1, 0), (float("nan"), 1, 0), (0.1, 1, None)]
+    df = spark.createDataFrame([*rows, *rows[:50], *odd], "x double, z int, y int").repartition(5).cache()
+    one = models.fit_boosted_multiclass(df, ["x", "z"], "y", rounds=4, depth=3, rate=0.5)
+    monkeypatch.setattr(models, "ROWS_IN_DRIVER", 0)
+    other = models.fit_boosted_multiclass(df, ["x", "z"], "y", rounds=4, depth=3, rate=0.5, keep_every=2)
+    assert len(one.rounds) == len(other.rounds) == 4 and one.classes == [0, 1, 2] and len(one.cuts[1]) == 8
+    for a, b in zip(one.rounds, other.rounds):
+        assert (a[0] == b[0]).all() and (a[1] == b[1])[a[0] >= 0].all() and a[2] == pytest.approx(b[2])
+    got = one.transform(df).toPandas()
+    assert len(got) == 651 and (got.y == got.prediction).mean() > 0.95 and all(abs(sum(p) - 1) < 1e-9 for p in got.probability)
