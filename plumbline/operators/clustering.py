@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import functools
-import itertools
 import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from plumbline.functions.core import h32, ratio, rnd
 from plumbline.operators.lloyd import Run, best_of, labelled, lloyd, pair_counts, silhouettes
@@ -246,9 +247,13 @@ def grid_points(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
 def neighbour_counts(df: DataFrame, id_col: str, cols: Sequence[str], eps: float) -> DataFrame:
     """Rows within ``eps`` of each distinct position, itself and its copies included: ``(pid, *cols, n, n_within)``.
 
-    Meant for sparse data or reports; :func:`dbscan` compares points only where a cell does not already decide.
+    Meant for sparse data or reports; :func:`dbscan` counts no further than it needs.
     """
-    return _dense_counts(df, id_col, cols, eps, None, _axes(df, cols, eps))
+    g = [f"__g{i}" for i in range(len(cols))]
+    pts = _grid(df, id_col, cols, eps)
+    pts = pts.join(pts.groupBy(*g).agg(F.sum("n").alias("cell_n")), g)
+    outside = _near(pts, pts, cols, eps, _axes(df, cols, eps)).groupBy("pid").agg(F.sum("q_n").alias("out_n"))
+    return pts.join(outside, "pid", "left").withColumn("n_within", F.col("cell_n") + F.coalesce("out_n", F.lit(0)))
 
 
 def _cell_side(cols: Sequence[str], eps: float) -> float:
@@ -317,105 +322,304 @@ def _grid(df: DataFrame, id_col: str, cols: Sequence[str], eps: float) -> DataFr
     return grid_points(df, id_col, cols).withColumns({f"__g{i}": F.floor(F.col(c) / side).cast("long") for i, c in enumerate(cols)})
 
 
-def _dense_counts(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, enough: int | None, axes: Sequence[int]) -> DataFrame:
-    g = [f"__g{i}" for i in range(len(cols))]
-    pts = _grid(df, id_col, cols, eps)
-    full = pts.groupBy(*g).agg(F.sum("n").alias("cell_n"))
-    pts = pts.join(full, g)
-    todo = pts if enough is None else pts.where(F.col("cell_n") < enough)
-    outside = _near(todo, pts, cols, eps, axes).groupBy("pid").agg(F.sum("q_n").alias("out_n"))
-    return pts.join(outside, "pid", "left").withColumn("n_within", F.col("cell_n") + F.coalesce("out_n", F.lit(0)))
+# positions of a chunk (a box of the space), of a leaf inside a chunk, chunks at most while these are small, and pairs compared at a time
+CHUNK, LEAF, CHUNKS, PAIRS = (4096, 65_536), 256, 16, 1 << 19
+
 
+def _cut(x: np.ndarray, number: int, first: int = 0) -> list:
+    """Boxes of about equal numbers of the rows of ``x`` as nested lists: [column, cut, below, above] or [number of the box]."""
+    if number > 1:
+        for c in np.argsort(-np.nan_to_num(x.max(axis=0) - x.min(axis=0)), kind="stable"):
+            v = np.sort(x[:, c])
+            above = v[v > v[0]]
+            if len(above):
+                cut = max(v[len(v) // 2], above[0])
+                low = x[:, c] < cut
+                below = _cut(x[low], number // 2, first)
+                return [int(c), float(cut), below, _cut(x[~low], number - number // 2, first + number // 2)]
+    return [first]
 
-def _link_cells(core: DataFrame, cols: Sequence[str], eps: float, axes: Sequence[int]) -> DataFrame:
-    """Pairs of neighbouring core cells that hold points within ``eps`` of each other: ``(a, b)`` both ways.
 
-    Points are never paired.  Cells are compared by the bounding boxes of their points: boxes that lie wholly
-    within eps link the cells, boxes further apart than eps never do, and only undecided boxes are cut in half
-    along every axis and compared again.  A linked pair of cells drops out at once, so crowded cells settle
-    after a few cuts; a box that is a single position always decides.
+def _box(tree: list, x: np.ndarray) -> np.ndarray:
+    if len(tree) == 1:
+        return np.full(len(x), tree[0], np.int32)
+    out = np.empty(len(x), np.int32)
+    low = x[:, tree[0]] < tree[1]
+    out[low], out[~low] = _box(tree[2], x[low]), _box(tree[3], x[~low])
+    return out
+
+
+def _close(p: np.ndarray, q: np.ndarray, eps: float) -> np.ndarray:
+    """Which rows of ``p`` lie within ``eps`` of which rows of ``q``: a product of matrices decides but for pairs so near the edge that its rounding could, whose squares are added column by column."""
+    limit = eps * eps
+    with np.errstate(all="ignore"):
+        pp, qq = (p * p).sum(axis=1), (q * q).sum(axis=1)
+        slack = 1e-14 * (p.shape[1] + 4) * (pp.max(initial=0) + qq.max(initial=0) + limit)
+        gap = p @ (-2.0 * q.T)
+        gap += pp[:, None]
+        gap += qq
+        near = gap <= limit - slack
+        i, j = np.nonzero(~(near | (gap > limit + slack)))
+        far = np.zeros(len(i))
+        for c in range(p.shape[1]):
+            d = p[i, c] - q[j, c]
+            far += d * d
+        near[i, j] = far <= limit
+    return near
+
+
+def _leaves(x: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """``rows`` of ``x`` in groups that lie together, at most LEAF each."""
+    out, todo = [], [rows]
+    while todo:
+        at = todo.pop()
+        if len(at) > LEAF:
+            with np.errstate(all="ignore"):
+                c = np.nan_to_num(np.ptp(x[at], axis=0)).argmax()
+            order = np.argpartition(x[at, c], len(at) // 2)
+            todo += [at[order[: len(at) // 2]], at[order[len(at) // 2 :]]]
+        elif len(at):
+            out.append(at)
+    return out
+
+
+def _ends(x: np.ndarray, groups: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    shape = (len(groups), x.shape[1])
+    return tuple(np.array([f(x[at], axis=0) for at in groups]).reshape(shape) for f in (np.min, np.max))
+
+
+def _reach(low: np.ndarray, high: np.ndarray, lows: np.ndarray, highs: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
+    """Squared gap between boxes, and whether points of them may lie within ``eps``."""
+    with np.errstate(all="ignore"):
+        d = np.maximum(np.maximum(lows - high, low - highs), 0.0)
+        gap = (d * d).sum(axis=-1)
+        return gap, ~(gap > eps * eps * (1 + 1e-9))
+
+
+def _counted(p: np.ndarray, have: np.ndarray, q: np.ndarray, n: np.ndarray, eps: float, enough: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``have`` and the rows (``n`` of each ``q``) within ``eps`` of each ``p``, exact below ``enough`` where counting stops; and the pairs of those that stay below."""
+    counts, groups, pairs = have.astype(float), _leaves(q, np.arange(len(q))), [np.empty((2, 0), np.int64)]
+    lows, highs = _ends(q, groups)
+    for left in _leaves(p, np.flatnonzero(counts < enough)):
+        gap, may = _reach(p[left].min(axis=0), p[left].max(axis=0), lows, highs, eps)
+        order = [groups[i] for i in np.argsort(gap, kind="stable") if may[i]]
+        while order and len(left):
+            some = max(1, PAIRS // (LEAF * len(left)))
+            right, order = np.concatenate(order[:some]), order[some:]
+            near = _close(p[left], q[right], eps)
+            counts[left] += near @ n[right]
+            few = counts[left] < enough
+            i, j = np.nonzero(near[few])
+            left = left[few]
+            pairs.append(np.stack([left[i], right[j]]))
+    i, j = np.concatenate(pairs, axis=1)
+    few = counts[i] < enough
+    return counts, i[few], j[few]
+
+
+def _merge(up: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give the groups ``a`` and ``b`` that meet their lowest number, in ``up``, where every group has its own."""
+    while len(a := a[(apart := up[a] != up[b])]):
+        b = b[apart]
+        np.minimum.at(up, np.maximum(up[a], up[b]), np.minimum(up[a], up[b]))
+        while (up != (further := up[up])).any():
+            up[:] = further
+
+
+def _met(x: np.ndarray, group: np.ndarray, eps: float, side: np.ndarray | None = None) -> np.ndarray:
+    """The lowest group each group (0, 1, ..) is linked with by points within ``eps``, directly or by others; with ``side`` only points of both sides are compared.
+
+    Points that are in one group already are not compared: a place where nearly all are linked costs little more than its odd points.
     """
-    side, dims = _cell_side(cols, eps), range(len(cols))
-
-    def boxes(level: int) -> DataFrame:
-        at = [F.floor(F.col(c) / side * float(2 ** level)).cast("long").alias(f"k{i}") for i, c in enumerate(cols)]
-        return core.groupBy("cell", *at).agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))])
-
-    def sided(b: DataFrame, x: str) -> DataFrame:
-        return b.select(F.col("cell").alias(f"cell_{x}"), *[F.col(f"{n}{i}").alias(f"{x}_{n}{i}") for i in dims for n in ("k", "lo", "hi")])
-
-    def judged(pairs: DataFrame) -> DataFrame:
-        far, near = F.lit(0.0), F.lit(0.0)
-        for i in dims:
-            one, two = F.col(f"a_hi{i}") - F.col(f"b_lo{i}"), F.col(f"b_hi{i}") - F.col(f"a_lo{i}")
-            widest, gap = F.greatest(one, two), F.greatest(-one, -two, F.lit(0.0))
-            far, near = far + widest * widest, near + gap * gap
-        keep = ["cell_a", "cell_b", *[f"{x}_k{i}" for x in "ab" for i in dims]]
-        return pairs.where(near <= eps * eps).select(*keep, (far <= eps * eps).alias("sure"))
-
-    first = boxes(0)
-    lane = [f"lane{k}" for k in range(len(axes))]
-
-    def laned(x: str) -> DataFrame:
-        named = _lanes(first.select("*", *[F.col(f"k{i}").alias(f"__g{i}") for i in dims]), cols, eps, axes, "lane")
-        return sided(first, x).join(named.select(F.col("cell").alias(f"cell_{x}"), *lane), f"cell_{x}")
-
-    left = laned("a").withColumn("m", _steps(axes)).withColumns({x: F.col(x) + F.col(f"m.o{k}") for k, x in enumerate(lane)}).drop("m")
-    state, _ = written(judged(_meet(left, laned("b"), lane, "cell_a").where("cell_a < cell_b")), "boxes")
-    edges = state.where("sure").select("cell_a", "cell_b").distinct()
-    for level in itertools.count(1):
-        open_pairs = state.where("not sure").join(edges, ["cell_a", "cell_b"], "left_anti")
-        if open_pairs.isEmpty():
-            both = edges.select(F.col("cell_a").alias("a"), F.col("cell_b").alias("b"))
-            return both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
-        parents = open_pairs.select("cell_a", "cell_b", *[F.col(f"{x}_k{i}").alias(f"{x}_p{i}") for x in "ab" for i in dims])
-        for x in "ab":
-            child = sided(boxes(level), x).withColumns({f"{x}_p{i}": F.floor(F.col(f"{x}_k{i}") / 2).cast("long") for i in dims})
-            parents = parents.join(child, [f"cell_{x}", *[f"{x}_p{i}" for i in dims]])
-        state, _ = written(judged(parents), "boxes")
-        edges, _ = written(edges.unionByName(state.where("sure").select("cell_a", "cell_b")).distinct(), "edges")
+    up = np.arange(int(group.max(initial=-1)) + 1)
+    left = _leaves(x, np.arange(len(x)) if side is None else np.flatnonzero(~side))
+    right = left if side is None else _leaves(x, np.flatnonzero(side))
+    lows, highs = _ends(x, right)
+    for number, at in enumerate(left):
+        may = np.flatnonzero(_reach(x[at].min(axis=0), x[at].max(axis=0), lows, highs, eps)[1])
+        others = [right[i] for i in may if side is not None or i >= number]
+        if not others:
+            continue
+        others, mine = np.concatenate(others), up[group[at]]
+        names, sizes = np.unique(mine, return_counts=True)
+        most = mine == names[sizes.argmax()]
+        for some in (at[most], at[~most]):
+            step = PAIRS // max(1, len(some))
+            for k in range(0, len(others) if len(some) else 0, step):
+                block, own = others[k : k + step], up[group[some]]
+                if (own == own[0]).all():
+                    block = block[up[group[block]] != own[0]]
+                near = _close(x[some], x[block], eps)
+                while len(block):  # every point with a link to another group takes one: few turns
+                    own, their = up[group[some]], up[group[block]]
+                    new = near & (own[:, None] != their)
+                    i, j = np.flatnonzero(new.any(axis=1)), np.flatnonzero(new.any(axis=0))
+                    if not len(i):
+                        break
+                    _merge(up, np.append(own[i], own[new[:, j].argmax(axis=0)]), np.append(their[new[i].argmax(axis=1)], their[j]))
+    return up
+
+
+def _positions(df: DataFrame, id_col: str, cols: Sequence[str], axes: Sequence[str]) -> tuple[DataFrame, DataFrame, int]:
+    """Distinct positions ``(pos, pid, n, *cols, *axes)``, the same dealt to chunks (boxes of the space) ``chunk``, and the number of chunks.  The boxes come from
+    a part of the positions: they decide who is compared where, not what is found."""
+    pts, _ = written(grid_points(df, id_col, cols).withColumn("pos", F.monotonically_increasing_id()).withColumns({a: F.col(c).cast("double") for a, c in zip(axes, cols)}), "positions")
+    m = pts.count()
+    number = -(-m // min(max(m // CHUNKS, CHUNK[0]), CHUNK[1]))
+    if number <= 1:
+        return pts, pts.withColumn("chunk", F.lit(0)), 1
+    seen = pts.where(F.pmod(F.xxhash64("pos"), F.lit(max(1, m // max(20_000, 256 * number)))) == 0).select(*axes).collect()
+    tree = _cut(np.array(seen, dtype=float).reshape(-1, len(axes)), number)
+
+    def dealt(batches):
+        for batch in batches:
+            x = np.stack([batch.column(a).to_numpy() for a in axes], axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_box(tree, x))], names=[*batch.schema.names, "chunk"])
+
+    return pts, pts.mapInArrow(dealt, StructType([*pts.schema.fields, StructField("chunk", IntegerType())])), number
+
+
+def _matrix(t: pa.Table, axes: Sequence[str]) -> np.ndarray:
+    return np.stack([t.column(a).to_numpy() for a in axes], axis=1) if t.num_rows else np.empty((0, len(axes)))
+
+
+def _lists(i: np.ndarray, values: np.ndarray, rows: int) -> pa.ListArray:
+    """``values`` as one list for each of ``rows``, to which ``i`` assigns them."""
+    ends = np.append(0, np.cumsum(np.bincount(i, minlength=rows)))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[np.argsort(i, kind="stable")], pa.int64()))
+
+
+def _chunk_ends(df: DataFrame, axes: Sequence[str], *more: Column) -> list:
+    """One row for each chunk: its box and ``more``."""
+    return df.groupBy("chunk").agg(*[f(a).alias(f"{k}_{a}") for k, f in (("lo", F.min), ("hi", F.max)) for a in axes], *more).orderBy("chunk").collect()
+
+
+def _cores(df: DataFrame, id_col: str, cols: Sequence[str], axes: Sequence[str], eps: float, enough: int) -> tuple[DataFrame, DataFrame, int]:
+    """Positions, the same with ``core`` and, where that is false, the positions within ``eps`` (``near``), and the number of chunks.
+
+    A position is compared with its own chunk first, and only until ``enough`` rows are found; those that lack rows then visit the chunks within ``eps`` of them.
+    """
+    spark = df.sparkSession
+    pts, dealt, number = _positions(df, id_col, cols, axes)
+    tasks = min(2 * number, 4096)
+
+    def own(t: pa.Table) -> pa.Table:
+        x, n = _matrix(t, axes), t.column("n").to_numpy().astype(float)
+        have, i, j = _counted(x, np.where(np.isfinite(x).all(axis=1), 0.0, n), x, n, eps, enough)
+        return t.append_column("have", pa.array(have)).append_column("near", _lists(i, t.column("pos").to_numpy()[j], t.num_rows))
+
+    kind = StructType([*dealt.schema.fields, StructField("have", DoubleType()), StructField("near", ArrayType(LongType()))])
+    found, folder = written(dealt.repartition(tasks, "chunk").groupBy("chunk").applyInArrow(own, kind), "counted")
+    core = F.col("pid").isNotNull() & (F.col("have") >= enough)
+    keep = ["pos", "pid", *axes, "chunk"]
+    if number == 1:
+        return pts, found.select(*keep, core.alias("core"), "near"), number
+    ends = _chunk_ends(found, axes)
+    boxes = [(r["chunk"], *(np.array([r[f"{k}_{a}"] for a in axes]) for k in ("lo", "hi"))) for r in ends]
+
+    def visits(batches):
+        for batch in batches:
+            x, at = np.stack([batch.column(a).to_numpy() for a in axes], axis=1), batch.column("chunk").to_numpy()
+            for c, low, high in boxes:
+                go = _reach(x, x, low, high, eps)[1] & (at != c)
+                if go.any():
+                    some = batch.filter(pa.array(go))
+                    yield some.set_column(some.schema.get_field_index("chunk"), "chunk", pa.array(np.full(some.num_rows, c, np.int32)))
+
+    def visited(guests: pa.Table, hosts: pa.Table) -> pa.Table:
+        have = guests.column("have").to_numpy() if guests.num_rows else np.empty(0)
+        n = hosts.column("n").to_numpy().astype(float) if hosts.num_rows else np.empty(0)
+        all_, i, j = _counted(_matrix(guests, axes), have, _matrix(hosts, axes), n, eps, enough)
+        pos = hosts.column("pos").to_numpy()[j] if hosts.num_rows else np.empty(0, np.int64)
+        return pa.table({"pos": guests.column("pos").cast(pa.int64()), "more": pa.array(all_ - have), "far": _lists(i, pos, guests.num_rows)})
+
+    lacking = found.where(F.col("have") < enough).select("pos", *axes, "chunk", "have")
+    guests = lacking.repartition(spark.sparkContext.defaultParallelism).mapInArrow(visits, lacking.schema)
+    met = guests.repartition(tasks, "chunk").groupBy("chunk").cogroup(found.select("pos", "n", *axes, "chunk").repartition(tasks, "chunk").groupBy("chunk"))
+    far = met.applyInArrow(visited, "pos long, more double, far array<long>").groupBy("pos").agg(F.sum("more").alias("more"), F.flatten(F.collect_list("far")).alias("far"))
+    core = F.col("pid").isNotNull() & (F.col("have") + F.coalesce("more", F.lit(0.0)) >= enough)
+    flagged, _ = written(found.join(far, "pos", "left").select(*keep, core.alias("core"), F.concat("near", F.coalesce("far", F.array().cast("array<long>"))).alias("near")), "cores")
+    remove_folder(spark, folder)
+    return pts, flagged, number
+
+
+def _parts(core: DataFrame, axes: Sequence[str], eps: float, number: int) -> tuple[DataFrame, DataFrame]:
+    """Core positions with the part ``cell`` (linked positions of one chunk) each belongs to, and pairs of linked parts of different chunks ``(a, b)`` both ways."""
+    spark = core.sparkSession
+    tasks = min(2 * number, 4096)
+
+    def own(t: pa.Table) -> pa.Table:
+        up = _met(_matrix(t, axes), np.arange(t.num_rows), eps)
+        return t.append_column("cell", pa.array(t.column("pos").to_numpy()[up]))
+
+    kind = StructType([*core.schema.fields, StructField("cell", LongType())])
+    parts, _ = written(core.repartition(tasks, "chunk").groupBy("chunk").applyInArrow(own, kind), "parts")
+    ends = _chunk_ends(parts, axes, F.min("cell").alias("first"), F.max("cell").alias("last"))
+    low, high = (np.array([[r[f"{k}_{a}"] for a in axes] for r in ends]).reshape(-1, len(axes)) for k in ("lo", "hi"))
+    single, up = np.array([r["first"] == r["last"] for r in ends], bool), np.arange(len(ends))
+    links, may = [], []
+    for i in range(len(ends)):
+        near = _reach(low[i], high[i], low[i + 1 :], high[i + 1 :], eps)[1]
+        with np.errstate(all="ignore"):
+            widest = np.maximum(high[i] - low[i + 1 :], high[i + 1 :] - low[i])
+            sure = single[i] & single[i + 1 :] & ((widest * widest).sum(axis=1) <= eps * eps * (1 - 1e-9))  # every point of one with every point of the other
+        may += [(i, i + 1 + int(j)) for j in np.flatnonzero(near & ~sure)]
+        for j in i + 1 + np.flatnonzero(sure):
+            if up[i] != up[j]:
+                _merge(up, np.array([i]), np.array([j]))
+                links.append((ends[i]["first"], ends[j]["first"]))
+    may = [(i, j) for i, j in may if not (single[i] and single[j] and up[i] == up[j])]
+    tiles = [(t, ends[i]["chunk"], s) for t, pair in enumerate(may) for s, i in enumerate(pair)]
+    found = spark.createDataFrame(links, "a long, b long")
+    if tiles:
+
+        def linked(t: pa.Table) -> pa.Table:
+            cells, group = np.unique(t.column("cell").to_numpy(), return_inverse=True)
+            up = _met(_matrix(t, axes), group, eps, t.column("side").to_numpy() == 1)
+            new = np.flatnonzero(up != np.arange(len(up)))
+            return pa.table({"a": pa.array(cells[new], pa.int64()), "b": pa.array(cells[up[new]], pa.int64())})
+
+        where = F.broadcast(spark.createDataFrame(tiles, "tile int, chunk int, side int"))
+        met = parts.select("cell", "chunk", *axes).join(where, "chunk").repartition(min(2 * len(may), 4096), "tile")
+        found = found.unionByName(met.groupBy("tile").applyInArrow(linked, "a long, b long"))
+    return parts, found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
 def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_points: int) -> DataFrame:
-    """Density clusters: ``(id, cluster)`` with noise -1; cluster ids are the lowest id of a core row in it.  Rows with a NULL or NaN coordinate are noise.
+    """Density clusters: ``(id, cluster)`` with noise -1; cluster ids are the lowest id of a core row in it.  Rows with a NULL or NaN coordinate or without an id are noise.
 
-    Core cells (cells of side eps / sqrt(d) holding a core point) are the nodes: all core points of a cell
-    belong together, so a crowded place is one node however many rows it holds.  A point is compared with other
-    points only when its own cell holds fewer than ``min_points`` rows.  Linked nodes share the lowest label by
-    repeated minima with hooks and pointer jumping (rounds grow with the logarithm of the cells), each round written to the reliable checkpoint folder.  Border rows
+    Copies of a position are handled once, and positions are dealt to chunks that lie together.  A position is compared with others only until ``min_points`` rows
+    are found, and core positions only where they are not linked already: first inside a chunk, then between chunks.  Linked parts of chunks share the lowest label by
+    repeated minima with hooks and pointer jumping (rounds grow with the logarithm of the parts), each round written to the reliable checkpoint folder.  Border rows
     take the lowest label among the core points in reach.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    g = [f"__g{i}" for i in range(len(cols))]
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     fit = functools.reduce(lambda x, y: x & y, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in cols])
     whole = df.where(fit)
-    axes = _axes(whole, cols, eps)
-    counts = _dense_counts(whole, id_col, cols, eps, min_points, axes)
-    pts = counts.withColumn("core", F.col("n_within") >= min_points).select("pid", "n", *cols, *g, "core").checkpoint()
-    core = pts.where("core")
-    cells = core.groupBy(*g).agg(F.min("pid").alias("cell")).checkpoint()
-    core = core.join(cells, g)
-    edges = _link_cells(core, cols, eps, axes)
-    labels, last = written(cells.select("cell", F.col("cell").alias("label")), "labels")
+    axes = [f"__x{i}" for i in range(len(cols))]
+    pts, flagged, number = _cores(whole, id_col, cols, axes, eps, min_points)
+    parts, edges = _parts(flagged.where("core").select("pos", "pid", *axes, "chunk"), axes, eps, number)
+    edges, links = written(edges, "links")
+    labels, last = written(parts.groupBy("cell").agg(F.min("pid").alias("pid")).select("cell", "pid", F.col("cell").alias("label")), "labels")
     while True:  # labels only fall, so this ends
         near = edges.join(labels.select(F.col("cell").alias("b"), "label"), "b").groupBy(F.col("a").alias("cell")).agg(F.min("label").alias("m"))
-        met = labels.join(near, "cell", "left").select("cell", "label", F.least("label", F.coalesce("m", "label")).alias("new"))
+        met = labels.join(near, "cell", "left").select("cell", "pid", "label", F.least("label", F.coalesce("m", "label")).alias("new"))
         hook = met.groupBy(F.col("label").alias("cell")).agg(F.min("new").alias("h"))  # what any of its cells met moves the label itself
-        step = met.join(hook, "cell", "left").select("cell", "label", F.least("new", F.coalesce("h", "new")).alias("new"))
+        step = met.join(hook, "cell", "left").select("cell", "pid", "label", F.least("new", F.coalesce("h", "new")).alias("new"))
         jump = step.select(F.col("cell").alias("new"), F.col("new").alias("further"))
-        nxt, folder = written(step.join(jump, "new", "left").select("cell", F.col("label").alias("old"), F.least("new", F.coalesce("further", "new")).alias("label")), "labels")
-        remove_folder(df.sparkSession, last)
-        labels, last = nxt.select("cell", "label"), folder
+        nxt, folder = written(step.join(jump, "new", "left").select("cell", "pid", F.col("label").alias("old"), F.least("new", F.coalesce("further", "new")).alias("label")), "labels")
+        remove_folder(spark, last)
+        labels, last = nxt.select("cell", "pid", "label"), folder
         if nxt.where("old <> label").isEmpty():
             break
-    labelled = core.join(labels, "cell").select("pid", *cols, "n", *g, "label")
-    border = pts.where("not core")  # such a cell holds fewer than min_points rows
-    inner = border.join(labelled.groupBy(*g).agg(F.min("label").alias("label")), g).select("pid", "label")
-    reach = _near(border, labelled.select("pid", "n", *cols, *g), cols, eps, axes).join(
-        labelled.select(F.col("pid").alias("qid"), "label"), "qid").select("pid", "label")
-    edge = inner.unionByName(reach).groupBy("pid").agg(F.min("label").alias("label"))
-    final = labelled.select("pid", "label").unionByName(edge)
-    named = whole.join(pts.select("pid", *cols), list(cols)).join(final, "pid", "left").select(id_col, F.coalesce("label", F.lit(-1)).cast("long").alias("cluster"))
+    remove_folder(spark, links)
+    lowest = labels.groupBy("label").agg(F.min("pid").alias("name"))
+    labelled = parts.join(labels.join(lowest, "label").select("cell", "name"), "cell").select("pos", F.col("name").alias("label"))
+    border = flagged.where(~F.col("core") & F.col("pid").isNotNull()).select("pos", F.explode("near").alias("q"))
+    edge = border.join(labelled.withColumnRenamed("pos", "q"), "q").groupBy("pos").agg(F.min("label").alias("label"))
+    final = labelled.unionByName(edge)
+    named = whole.join(pts.select("pos", *cols), list(cols)).join(final, "pos", "left").select(id_col, F.coalesce("label", F.lit(-1)).cast("long").alias("cluster"))
     return named.unionByName(df.where(~fit).select(id_col, F.lit(-1).cast("long").alias("cluster")))
 
 

@@ -280,3 +280,49 @@ def test_neighbour_information_reads_its_input_a_few_times(spark):
     psi = information.digammas
     want = psi(399) + psi(k).mean() - psi(n).mean() - psi((gap < r[:, None]).sum(axis=1)).mean()
     assert got["x"] == pytest.approx(max(0, want), abs=2e-6)
+
+
+def test_density_clusters_meet_across_chunks(spark, monkeypatch):
+    """Many small chunks give the clusters of all pairs; an id that comes twice stays two rows, and rows without an id count but have no cluster."""
+    from plumbline.operators import clustering
+
+    rng = np.random.default_rng(12)
+    chain = np.stack([np.arange(80) * 0.4, np.sin(np.arange(80)) * 0.1, np.zeros(80)], axis=1)
+    x = np.concatenate([chain, chain + [0, 6, 0], *(rng.normal(c, 0.5, (70, 3)) for c in rng.uniform(0, 25, (4, 3))), rng.uniform(-3, 30, (80, 3))])
+    x = np.concatenate([x, np.repeat(x[:5], 3, axis=0)])
+    ids = rng.permutation(len(x)).tolist()
+    eps, enough = 0.9, 4
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in zip(ids, x)], "id long, x double, y double, z double").repartition(7)
+    monkeypatch.setattr(clustering, "CHUNK", (16, 40))
+    got = {r["id"]: r["cluster"] for r in clustering.dbscan(df, "id", ["x", "y", "z"], eps, enough).collect()}
+    near = ((x[:, None] - x[None]) ** 2).sum(axis=2) <= eps * eps
+    core, none = near.sum(axis=1) >= enough, len(x)
+    label = np.where(core, ids, none)
+    for _ in x:
+        label = np.where(core, np.where(near & core[None], label[None], none).min(axis=1), none)
+    edge = np.where(near & core[None], label[None], none).min(axis=1)
+    want = np.where(edge < none, edge, -1)
+    assert len(set(want)) > 5 and (want == -1).sum() > 20 and (~core & (want >= 0)).any()
+    assert got == dict(zip(ids, want.tolist()))
+
+    rows = [(1, 0.0), (1, 9.0), (2, 0.1), (3, 9.1), (None, 0.2), (None, 5.0), (4, 20.0)]
+    got = clustering.dbscan(spark.createDataFrame(rows, "id long, x double"), "id", ["x"], 0.3, 3).collect()
+    assert sorted((r["id"] or 0, r["cluster"]) for r in got) == [(0, -1), (0, -1), (1, -1), (1, 1), (2, 1), (3, -1), (4, -1)]
+
+
+def test_density_clusters_compare_few_pairs(monkeypatch):
+    """In a crowd of 20,000 points a few comparisons of each point show that it is core and linked, not one with every other point."""
+    from plumbline.operators import clustering
+
+    x, compared, close = np.random.default_rng(3).normal(0, 1, (20_000, 3)), [], clustering._close
+    monkeypatch.setattr(clustering, "_close", lambda p, q, eps: (compared.append(len(p) * len(q)), close(p, q, eps))[1])
+    counts, i, j = clustering._counted(x, np.zeros(len(x)), x, np.ones(len(x)), 0.5, 4)
+    up = clustering._met(x[counts >= 4], np.arange((counts >= 4).sum()), 0.5)
+    assert (counts >= 4).mean() > 0.98 and (up == 0).mean() > 0.98
+    assert sum(compared) < 0.2 * len(x) ** 2
+    few = np.flatnonzero(counts < 4)
+    near = ((x[few, None] - x[None]) ** 2).sum(axis=2) <= 0.25
+    assert (near.sum(axis=1) == counts[few]).all() and set(zip(i, j)) == {(few[a], b) for a, b in zip(*np.nonzero(near))}
+    shifted = x[:400] + 1e6  # rounding of the product decides nothing
+    exact = ((shifted[:, None] - shifted[None]) ** 2).sum(axis=2)
+    assert (close(shifted, shifted, 0.5) == (exact <= 0.25)).all()
