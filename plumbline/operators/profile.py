@@ -405,7 +405,7 @@ def mi_vs_pearson_gap(df: DataFrame, target: str, top: int = 5) -> DataFrame:
 def eda_findings(df: DataFrame, target: str) -> DataFrame:
     """All detectors as one table ``(issue, feature, metric, value)``.
 
-    The detectors share their passes: one aggregate holds missing cells, one in blocks the skew, one frequent items and quartile brackets; one Arrow pass the moments
+    The detectors share their passes: one aggregate holds missing cells and skew, one frequent items and quartile brackets; one Arrow pass the moments
     of all pairs; one the values inside the brackets; one aggregate the counts of candidates and outliers; one the distinct strings.  Only
     a few numbers per column reach the driver.
     """
@@ -420,16 +420,17 @@ def eda_findings(df: DataFrame, target: str) -> DataFrame:
         *[as_number(df, c).cast("double").alias(x) for c, x in number.items()],
         *[e.alias(v) for e, v in zip(_plain_columns(df), value.values())])
     own = [number[c] for c in feats]
-    # plain counts, moments and sketches are aggregates of their own: in one aggregate their code is too large to be compiled
-    holes = cells.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(f"m{i}").alias(f"m{i}") for i in range(len(columns))]).first()
-    skew = {r["column"]: r["skew"] for r in agg_per_column(cells, {x: {"skew": sample_skew(F.col(x))} for x in own}, block=5).collect()} if own else {}
+    # one row for each cell, so that holes and skew of all columns share a pass and their code stays small; in one aggregate by column it is too large to be compiled
+    cell = [F.struct(F.lit(i).alias("i"), F.col(f"m{i}").alias("m"), (F.col(number[c]) if c in feats else F.lit(None).cast("double")).alias("x")) for i, c in enumerate(columns)]
+    shape = {r["i"]: r for r in cells.select(F.inline(F.array(*cell))).groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.count_if("m").alias("m"), sample_skew(F.col("x")).alias("skew")).collect()}
+    n = shape[0]["n"] if shape else 0
     sketched = own + [x for x in number.values() if x not in own]
     state = cells.agg(
         F.count(F.lit(1)).alias("n"), *_top_values(list(value.values())),
-        *bracket_aggregates([F.col(x) for x in sketched], QUARTILES, bracket_accuracy(holes["n"]))).first()
+        *bracket_aggregates([F.col(x) for x in sketched], QUARTILES, bracket_accuracy(n))).first()
 
-    rows = [("missing data", c, "missing_pct", holes[f"m{i}"] / holes["n"]) for i, c in enumerate(columns) if holes[f"m{i}"]]
-    skews = [(c, skew[number[c]]) for c in feats]
+    rows = [("missing data", c, "missing_pct", shape[i]["m"] / n) for i, c in enumerate(columns) if n and shape[i]["m"]]
+    skews = [(c, shape[columns.index(c)]["skew"]) for c in feats if n]
     rows += [("skewed distribution", c, "skew", s) for c, s in skews if s is not None]
     known = spark.createDataFrame(rows, FINDING_SCHEMA).withColumn("value", rnd(F.col("value"), 4)).where(
         (F.col("issue") != "skewed distribution") | (F.abs("value") > SKEW_LIMIT))
